@@ -149,21 +149,26 @@ def interval_regularity(df: DataFrame, by, date: str, min_n: int = 3, bands=((10
 def alloc_proportional(totals: DataFrame, weights: DataFrame, on, share_key: str, weight: str, measures,
                        fallback_key: str, scale: int = 2, zero_total_keep=()) -> DataFrame:
     """Split each total row across ``weights`` rows by their share of the
-    per-total weight sum; rows without weights keep the total under
-    ``fallback_key``. Measures in ``zero_total_keep`` keep the full amount
-    when the weight sum is 0 (others become 0)."""
-    wsum = weights.groupBy(*on).agg(F.sum(weight).alias("_wtotal"))
-    with_w = totals.join(weights, list(on), "inner").join(wsum, list(on), "inner")
+    per-total weight sum (exact half-away-from-zero rounding); rows without
+    weights keep the total under ``fallback_key``. Measures in
+    ``zero_total_keep`` keep the full amount when the weight sum is 0
+    (others become 0). Weights are pre-aggregated per (on, share_key) so
+    the join fans out only to distinct accounts, never to raw rows."""
+    from furrow.functions.arith import share_round
+
+    w = weights.groupBy(*on, share_key).agg(F.sum(weight).alias(weight))
+    wsum = w.groupBy(*on).agg(F.sum(weight).alias("_wtotal"))
+    with_w = totals.join(w, list(on), "inner").join(wsum, list(on), "inner")
     without = totals.join(wsum.select(*on), list(on), "left_anti").withColumn(share_key, F.col(fallback_key)) \
-        .withColumn(weight, F.lit(0.0)).withColumn("_wtotal", F.lit(None).cast("double"))
-    both = with_w.unionByName(without.select(*with_w.columns))
-    out = both
+        .withColumn(weight, F.lit(0).cast(w.schema[weight].dataType)).withColumn("_wtotal", F.lit(None).cast(wsum.schema["_wtotal"].dataType))
+    out = with_w.unionByName(without.select(*with_w.columns))
+    dec = f"decimal(18,{scale})"
     for m in measures:
-        alloc = (F.when(F.col("_wtotal").isNull(), F.col(m).cast("double"))
-                 .when(F.col("_wtotal") > 0, F.col(m).cast("double") * F.col(weight).cast("double") / F.col("_wtotal").cast("double"))
-                 .otherwise(F.col(m).cast("double") if m in zero_total_keep else F.lit(0.0)))
-        out = out.withColumn(m, F.round(alloc, scale).cast(f"decimal(18,{scale})"))
-    return out.withColumn(weight, F.round(F.col(weight).cast("double"), scale).cast(f"decimal(18,{scale})"))
+        alloc = (F.when(F.col("_wtotal").isNull(), F.col(m).cast(dec))
+                 .when(F.col("_wtotal") > 0, share_round(F.col(m), F.col(weight), F.col("_wtotal"), scale))
+                 .otherwise(F.col(m).cast(dec) if m in zero_total_keep else F.lit(0).cast(dec)))
+        out = out.withColumn(m, alloc.cast(dec))
+    return out.drop("_wtotal")
 
 
 def delta_residual(df: DataFrame, measures, cur_prefix: str = "c_", prev_prefix: str = "p_", suffix: str = "_delta") -> DataFrame:

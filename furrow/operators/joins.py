@@ -119,11 +119,12 @@ def asof_next(df: DataFrame, events: DataFrame, keys, ref: str, ev: str, out: st
     and take the first non-null event value over a following frame."""
     from pyspark.sql import Window
 
-    left = df.withColumn("_t", F.col(ref)).withColumn("_side", F.lit(1)).withColumn("_ev", F.lit(None).cast(events.schema[ev].dataType))
-    right = events.select(*keys, F.col(ev).alias("_t"), F.lit(0).alias("_side"), F.col(ev).alias("_ev"))
+    # reference rows sort before events at the same instant, so ">=" holds
+    left = df.withColumn("_t", F.col(ref)).withColumn("_side", F.lit(0)).withColumn("_ev", F.lit(None).cast(events.schema[ev].dataType))
+    right = events.select(*keys, F.col(ev).alias("_t"), F.lit(1).alias("_side"), F.col(ev).alias("_ev"))
     u = left.unionByName(right, allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return u.withColumn(out, F.first("_ev", ignorenulls=True).over(w)).where(F.col("_side") == 1).drop("_t", "_side", "_ev")
+    return u.withColumn(out, F.first("_ev", ignorenulls=True).over(w)).where(F.col("_side") == 0).drop("_t", "_side", "_ev")
 
 
 def latest_per_key_join(df: DataFrame, snaps: DataFrame, keys, order) -> DataFrame:

@@ -95,11 +95,11 @@ def window_total_status(df: DataFrame, by, value: str, threshold, out_total: str
     )
 
 
-def cumulative_to_delta(df: DataFrame, by, order: str, cum: str, out: str = "delta") -> DataFrame:
+def cumulative_to_delta(df: DataFrame, by, order, cum: str, out: str = "delta") -> DataFrame:
     """max(0, cum - previous cum) within (by) in ``order``; NULL cells are
     dropped first so they do not move the previous value."""
     d = df.where(F.col(cum).isNotNull())
-    w = Window.partitionBy(*by).orderBy(order)
+    w = Window.partitionBy(*by).orderBy(*([order] if isinstance(order, str) else order))
     prev = F.lag(cum).over(w)
     return d.withColumn(out, F.greatest(F.col(cum) - F.coalesce(prev, F.lit(0)), F.lit(0)))
 
@@ -137,8 +137,9 @@ def attach_once(df: DataFrame, by, order, c: str) -> DataFrame:
     return df.withColumn(c, F.when(F.row_number().over(w) == 1, F.col(c)))
 
 
-def gap_days(df: DataFrame, by, date: str, out: str = "gap_days") -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(date)
+def gap_days(df: DataFrame, by, date: str, out: str = "gap_days", tie=()) -> DataFrame:
+    """Days since the previous date of the same key (``tie`` orders equal dates)."""
+    w = Window.partitionBy(*by).orderBy(date, *tie)
     return df.withColumn(out, F.datediff(F.col(date), F.lag(date).over(w)))
 
 

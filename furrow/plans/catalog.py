@@ -8,6 +8,7 @@ from furrow.plans.registry import ORACLE, QUERIES
 
 PLAN_MODULES = (
     "furrow.plans.payroll",
+    "furrow.plans.relational",
 )
 
 _loaded = False
