@@ -9,6 +9,7 @@ from furrow.plans.registry import ORACLE, QUERIES
 PLAN_MODULES = (
     "furrow.plans.payroll",
     "furrow.plans.relational",
+    "furrow.plans.views",
 )
 
 _loaded = False
