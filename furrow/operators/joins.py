@@ -91,27 +91,35 @@ def inequality_join(a: DataFrame, b: DataFrame, a_level: str, b_required: str, k
     return fan.join(b.withColumnRenamed(b_required, "_lvl"), [*keys, "_lvl"], "inner").withColumn(b_required, F.col("_lvl")).drop("_lvl")
 
 
-def range_join(points: DataFrame, ranges: DataFrame, eq, point: str, lo: str, hi: str, max_days: int | None = 62) -> DataFrame:
-    """``points.eq = ranges.eq AND point BETWEEN lo AND hi`` on dates.
-
-    With ``max_days`` (the period length bound), each range expands into
-    its days and the join is a pure equi-join on (eq, day): no residual
-    filter over a key-only match, and a hot key is spread over its days.
-    Ranges longer than the bound are joined with the residual predicate.
+def range_join(points: DataFrame, ranges: DataFrame, eq, point: str, lo: str, hi: str, bucket: str = "month",
+               max_buckets: int | None = 3) -> DataFrame:
+    """``points.eq = ranges.eq AND point::date BETWEEN lo AND hi``.
+
+    Bucketed equi-join: every range expands into the calendar buckets
+    (months by default) it overlaps and every point gets its own bucket,
+    so the join is an equi-join on (eq, bucket) followed by the exact
+    BETWEEN test. Fan-out is 1-3 rows per pay period instead of one row per
+    day, and a hot key is still split by bucket. Ranges spanning more than
+    ``max_buckets`` buckets are joined on the keys with the residual test.
     """
-    pts = points.withColumn("_day", F.col(point).cast("date"))
-    if max_days is None:
-        cond = [pts[k] == ranges[k] for k in eq] + [pts["_day"].between(ranges[lo], ranges[hi])]
-        return pts.join(ranges, cond, "inner").drop("_day")
-    span = F.datediff(F.col(hi), F.col(lo))
-    short = ranges.where(span <= max_days)
-    long_ = ranges.where(~(span <= max_days))
-    days = short.withColumn("_day", F.explode(F.sequence(F.col(lo).cast("date"), F.col(hi).cast("date"))))
-    out_short = pts.join(days, [*eq, "_day"], "inner")
-    r = long_.alias("r")
-    cond = [pts[k] == F.col(f"r.{k}") for k in eq] + [pts["_day"].between(F.col(f"r.{lo}"), F.col(f"r.{hi}"))]
-    out_long = pts.join(r, cond, "inner").drop(*[F.col(f"r.{k}") for k in eq])
-    return out_short.unionByName(out_long.select(*out_short.columns)).drop("_day")
+    pts = points.withColumn("_day", F.col(point).cast("date")).withColumn("_b", F.date_trunc(bucket, F.col("_day")).cast("date"))
+    lo_b = F.date_trunc(bucket, F.col(lo).cast("date")).cast("date")
+    hi_b = F.date_trunc(bucket, F.col(hi).cast("date")).cast("date")
+    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    n_buckets = F.size(F.sequence(lo_b, hi_b, step))
+    if max_buckets is None:
+        short, long_ = ranges, None
+    else:
+        short = ranges.where(n_buckets <= max_buckets)
+        long_ = ranges.where(~(n_buckets <= max_buckets))
+    r = short.withColumn("_b", F.explode(F.sequence(lo_b, hi_b, step)))
+    out = pts.join(r, [*eq, "_b"], "inner").where(F.col("_day").between(F.col(lo), F.col(hi))).drop("_b")
+    if long_ is not None:
+        rl = long_.alias("r")
+        cond = [pts[k] == F.col(f"r.{k}") for k in eq] + [pts["_day"].between(F.col(f"r.{lo}"), F.col(f"r.{hi}"))]
+        out_long = pts.join(rl, cond, "inner").drop(*[F.col(f"r.{k}") for k in eq]).drop("_b")
+        out = out.unionByName(out_long.select(*out.columns))
+    return out.drop("_day")
 
 
 def asof_next(df: DataFrame, events: DataFrame, keys, ref: str, ev: str, out: str = "next_event") -> DataFrame:
