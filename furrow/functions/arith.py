@@ -76,23 +76,34 @@ def elapsed_hours(start, stop, captured=None, per: int = 3600) -> Column:
     return v if captured is None else F.coalesce(col(captured), v)
 
 
+def round_binary(c, n: int) -> Column:
+    """Round the *binary* double value half away from zero, as C / Python
+    float rounding does (1.255 is stored as 1.25499.. and gives 1.25);
+    Spark's ``round`` rounds the decimal text instead (1.26)."""
+    f = float(10 ** n)
+    x = col(c)
+    return F.signum(x) * F.floor(F.abs(x) * f + 0.5) / f
+
+
 def unit_convert(kind, raw, exponent) -> Column:
     """Weather channel conversion: value = raw / 10^exponent, then per type.
-    Returns text so that numeric and label channels share one column."""
+    Returns struct<value double, label string>: numeric channels fill
+    ``value``, the compass and power channels fill ``label``."""
     v = col(raw) / F.pow(F.lit(10.0), col(exponent))
     k = col(kind)
     temp = k.isin("TEMPERATURE", "WET_BULB_TEMPERATURE", "DEW_POINT_TEMPERATURE")
     compass = F.array(*[F.lit(x) for x in COMPASS_16])
-    return (
-        F.when(temp, F.round((v / 100) * 9 / 5 + 32, 2).cast("string"))
-        .when(k == "HUMIDITY", F.round(v / 100, 2).cast("string"))
-        .when(k.isin("WIND_AVERAGE_SPEED", "WIND_AVERAGE_MAX_SPEED"), F.round((v / 100) * MPS_TO_MPH, 2).cast("string"))
-        .when(k == "WIND_DIRECTION", F.try_element_at(compass, v.cast("int") + 1))
-        .when(k == "RAIN", F.round((v / 1000) * MM_TO_INCH, 4).cast("string"))
-        .when(k.isin("PAR", "ATMOSPHERIC_PRESSURE"), F.round(v / 100, 2).cast("string"))
-        .when(k == "POWER_SUPPLY", F.when(col(raw).cast("int") == 1, F.lit("On")).otherwise(F.lit("Off")))
-        .otherwise(v.cast("string"))
+    value = (
+        F.when(temp, round_binary((v / 100) * 9 / 5 + 32, 2))
+        .when(k == "HUMIDITY", round_binary(v / 100, 2))
+        .when(k.isin("WIND_AVERAGE_SPEED", "WIND_AVERAGE_MAX_SPEED"), round_binary((v / 100) * MPS_TO_MPH, 2))
+        .when(k == "RAIN", round_binary((v / 1000) * MM_TO_INCH, 4))
+        .when(k.isin("PAR", "ATMOSPHERIC_PRESSURE"), round_binary(v / 100, 2))
+        .when(~k.isin("WIND_DIRECTION", "POWER_SUPPLY"), v)
     )
+    label = (F.when(k == "WIND_DIRECTION", F.try_element_at(compass, v.cast("int") + 1))
+             .when(k == "POWER_SUPPLY", F.when(col(raw).cast("int") == 1, F.lit("On")).otherwise(F.lit("Off"))))
+    return F.struct(value.alias("value"), label.alias("label"))
 
 
 def utc_to_local_ntz(c, offset: str = "-10:00") -> Column:

@@ -6,6 +6,8 @@ functions and returns NULL on bad input instead of failing the job.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,12 +52,16 @@ def _try_ts(s: Column, fmt: str) -> Column:
     return _fix_two_digit_year(F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"), fmt)
 
 
+_LAYOUT_TOKENS = {"yyyy": r"\d{4}", "yy": r"\d{2}", " a": r"\s*[AaPp][Mm]"}
+
+
 def _layout_regex(fmt: str) -> str:
-    r = fmt.replace("yyyy", r"\d{4}").replace("yy", r"\d{2}")
-    r = r.replace("M", r"\d{1,2}").replace("d", r"\d{1,2}")
-    r = r.replace("H", r"\d{1,2}").replace("h", r"\d{1,2}").replace("m", r"\d{1,2}").replace("s", r"\d{1,2}")
-    r = r.replace(" a", r"\s*[AaPp][Mm]")
-    return "^" + r + "$"
+    """Digit layout of a datetime pattern, e.g. 'M/d/yyyy' -> ^\d{1,2}/\d{1,2}/\d{4}$."""
+    def tok(m):
+        t = m.group(0)
+        return _LAYOUT_TOKENS.get(t, r"\d{1,2}")
+
+    return "^" + re.sub(r"yyyy|yy| a|M+|d+|H+|h+|m+|s+", tok, fmt) + "$"
 
 
 def parse_ts_multi(c, fmts=TS_FORMATS, date_only_hour: int = 0, date_only_fmts=DATE_ONLY_FORMATS) -> Column:

@@ -10,6 +10,7 @@ PLAN_MODULES = (
     "furrow.plans.payroll",
     "furrow.plans.relational",
     "furrow.plans.views",
+    "furrow.plans.cleaning",
 )
 
 _loaded = False
