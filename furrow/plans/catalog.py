@@ -11,6 +11,7 @@ PLAN_MODULES = (
     "furrow.plans.relational",
     "furrow.plans.views",
     "furrow.plans.cleaning",
+    "furrow.plans.loads",
 )
 
 _loaded = False
