@@ -12,6 +12,7 @@ PLAN_MODULES = (
     "furrow.plans.views",
     "furrow.plans.cleaning",
     "furrow.plans.loads",
+    "furrow.plans.sensor_streams",
 )
 
 _loaded = False
