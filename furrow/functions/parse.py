@@ -56,7 +56,7 @@ _LAYOUT_TOKENS = {"yyyy": r"\d{4}", "yy": r"\d{2}", " a": r"\s*[AaPp][Mm]"}
 
 
 def _layout_regex(fmt: str) -> str:
-    """Digit layout of a datetime pattern, e.g. 'M/d/yyyy' -> ^\d{1,2}/\d{1,2}/\d{4}$."""
+    """Digit layout of a datetime pattern: 'M/d/yyyy' -> one or two digits, slash, ..., four digits."""
     def tok(m):
         t = m.group(0)
         return _LAYOUT_TOKENS.get(t, r"\d{1,2}")
