@@ -123,21 +123,22 @@ def employees(t: Tables) -> DataFrame:
     return c.select(
         F.lit(ORG).alias("org_id"),
         F.col("c_custkey").alias("id"),
-        F.col("c_nationkey").cast("bigint").alias("compensation_manager_id"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey").cast("bigint")).alias("compensation_manager_id"),
         F.col("c_mktsegment").alias("hr_work_authorization_id"),
         F.substring_index(F.col("c_name"), "#", 1).alias("first_name"),
         F.substring_index(F.col("c_name"), "#", -1).alias("last_name"),
+        F.concat(F.lit("mgr-"), F.col("c_custkey").cast("string")).alias("preferred_name"),
         F.col("c_acctbal"),
     )
 
 
 EMPLOYEES_SQL = f"""
 employees AS (
-  SELECT {ORG} AS org_id, c_custkey AS id, CAST(c_nationkey AS BIGINT) AS compensation_manager_id,
+  SELECT {ORG} AS org_id, c_custkey AS id, CASE WHEN c_acctbal >= 0 THEN CAST(c_nationkey AS BIGINT) END AS compensation_manager_id,
          c_mktsegment AS hr_work_authorization_id,
          split_part(c_name, '#', 1) AS first_name,
          CASE WHEN strpos(c_name, '#') > 0 THEN split_part(c_name, '#', 2) ELSE c_name END AS last_name,
-         c_acctbal
+         'mgr-' || CAST(c_custkey AS VARCHAR) AS preferred_name, c_acctbal
   FROM customer
 )"""
 
