@@ -92,15 +92,17 @@ def inequality_join(a: DataFrame, b: DataFrame, a_level: str, b_required: str, k
 
 
 def range_join(points: DataFrame, ranges: DataFrame, eq, point: str, lo: str, hi: str, bucket: str = "month",
-               max_buckets: int | None = 3) -> DataFrame:
+               max_buckets: int | None = None) -> DataFrame:
     """``points.eq = ranges.eq AND point::date BETWEEN lo AND hi``.
 
     Bucketed equi-join: every range expands into the calendar buckets
     (months by default) it overlaps and every point gets its own bucket,
     so the join is an equi-join on (eq, bucket) followed by the exact
     BETWEEN test. Fan-out is 1-3 rows per pay period instead of one row per
-    day, and a hot key is still split by bucket. Ranges spanning more than
-    ``max_buckets`` buckets are joined on the keys with the residual test.
+    day, and a hot key is still split by bucket. A long range simply spans
+    more buckets; only when ``max_buckets`` is given are ranges longer than
+    that joined on the keys with the residual test instead (that branch
+    re-reads the points, so it is off by default).
     """
     pts = points.withColumn("_day", F.col(point).cast("date")).withColumn("_b", F.date_trunc(bucket, F.col("_day")).cast("date"))
     lo_b = F.date_trunc(bucket, F.col(lo).cast("date")).cast("date")

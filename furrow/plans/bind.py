@@ -108,8 +108,9 @@ schedule AS (
 
 
 def tasks(spark) -> DataFrame:
-    """Task dimension: a fixed three-row table (so broadcasting it is safe)."""
-    return F.broadcast(spark.createDataFrame([("A", "Accepted"), ("R", "Returns"), ("N", None)], "id string, qb_account string"))
+    """Task dimension: a fixed three-row literal table (a JVM-local relation,
+    so broadcasting it is safe and no Python worker is involved)."""
+    return F.broadcast(spark.sql("SELECT * FROM VALUES ('A', 'Accepted'), ('R', 'Returns'), ('N', CAST(NULL AS STRING)) AS t(id, qb_account)"))
 
 
 TASKS_SQL = """
