@@ -13,6 +13,8 @@ PLAN_MODULES = (
     "furrow.plans.cleaning",
     "furrow.plans.loads",
     "furrow.plans.sensor_streams",
+    "furrow.plans.harvest",
+    "furrow.plans.landing",
 )
 
 _loaded = False
