@@ -104,7 +104,8 @@ def q_scan_json_docs(spark, d):
         F.struct(F.col("o_custkey").cast("string").alias("value"), F.lit("c").alias("name")).alias("CustomerRef"), "Line")
     docs.write.mode("overwrite").json(path)
     inv = readers.scan_json_docs(spark, path, INVOICE_SCHEMA, "TxnDate", "1999-01-01")
-    return rs.explode_docs(inv, "Line", [F.col("Id").alias("invoice_id"), F.col("TxnDate").alias("txn_date")], {
+    inv = inv.select(F.col("Id").alias("invoice_id"), F.col("TxnDate").alias("txn_date"), "Line")
+    return rs.explode_docs(inv, "Line", ["invoice_id", "txn_date"], {
         "line_num": F.col("l.LineNum"), "item_name": F.col("l.SalesItemLineDetail.ItemRef.name"),
         "qty": F.col("l.SalesItemLineDetail.Qty"), "amount": F.col("l.Amount")})
 
