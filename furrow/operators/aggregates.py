@@ -131,19 +131,70 @@ def collect_children(df: DataFrame, by, fields, out: str = "children", order=Non
     return df.groupBy(*by).agg(F.sort_array(F.collect_list(s)).alias(out))
 
 
-def interval_regularity(df: DataFrame, by, date: str, min_n: int = 3, bands=((10, "Weekly"), (20, "Biweekly"), (45, "Monthly"))) -> DataFrame:
-    """Mean gap between distinct dates per key -> cadence label. The mean
-    of consecutive gaps telescopes to (last - first) / (n - 1), so this is
-    an aggregate, not a window."""
-    g = df.select(*by, F.col(date).cast("date").alias("_d")).groupBy(*by).agg(
-        F.countDistinct("_d").alias("n_dates"), F.min("_d").alias("first_date"), F.max("_d").alias("last_date")
-    )
-    mean_gap = F.datediff("last_date", "first_date") / (F.col("n_dates") - 1)
+# Mean-gap bands (days, inclusive) of recurring orders.
+CADENCE_BANDS = ((5, 9, "Weekly"), (12, 16, "Biweekly"), (25, 35, "Monthly"))
+
+
+def interval_regularity(df: DataFrame, by, date: str, min_n: int = 3, bands=CADENCE_BANDS, after=None) -> DataFrame:
+    """Orders per key (only those after ``after`` when given): with at
+    least ``min_n`` orders, the mean gap between consecutive order dates
+    -> Weekly / Biweekly / Monthly, NULL when irregular. The mean of
+    consecutive gaps telescopes to (last - first) / (n - 1), so this is a
+    partial aggregate, not a per-key window."""
+    x = df.select(*by, F.col(date).cast("date").alias("_d"))
+    if after is not None:
+        x = x.where(F.col("_d") > F.lit(after).cast("date"))
+    g = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n_orders"), F.min("_d").alias("first_date"), F.max("_d").alias("last_date"))
+    mean_gap = F.datediff("last_date", "first_date") / (F.col("n_orders") - 1)
     label = None
-    for upper, name in bands:
-        cond = mean_gap <= upper
+    for lo, hi, name in bands:
+        cond = (mean_gap >= lo) & (mean_gap <= hi)
         label = F.when(cond, name) if label is None else label.when(cond, name)
-    return g.where(F.col("n_dates") >= min_n).withColumn("mean_gap_days", F.round(mean_gap, 2)).withColumn("cadence", label)
+    return g.where(F.col("n_orders") >= min_n).withColumn("mean_gap_days", F.round(mean_gap, 4)).withColumn("cadence", label)
+
+
+def block_extent(df: DataFrame, site: str, block: str, order, value: str, first_seen) -> DataFrame:
+    """Per (site, block): min / max value, block number by first appearance
+    within the site, direction Forward when ascending steps (in ``order``)
+    are at least the descending ones. The step counts use a window over
+    one block's rows; block numbering ranks the small (site, block) table."""
+    from pyspark.sql import Window
+
+    from furrow.operators._order import window_order
+
+    w = Window.partitionBy(site, block).orderBy(*window_order(order))
+    prev = F.lag(value).over(w)
+    steps = df.select(site, block, value, *[F.col(o.lstrip("-")) for o in first_seen if o.lstrip("-") not in (site, block, value)],
+                      F.when(F.col(value) > prev, 1).otherwise(0).alias("_up"), F.when(F.col(value) < prev, 1).otherwise(0).alias("_down"))
+    r = rank_struct(steps, first_seen)
+    g = steps.groupBy(site, block).agg(F.min(value).alias("row_from"), F.max(value).alias("row_to"), F.sum("_up").alias("_up"),
+                                       F.sum("_down").alias("_down"), F.min(r).alias("_first"))
+    g = g.withColumn("block_number", F.dense_rank().over(Window.partitionBy(site).orderBy("_first")))
+    return g.select(site, block, "block_number", "row_from", "row_to",
+                    F.when(F.col("_up") >= F.col("_down"), "Forward").otherwise("Reverse").alias("direction"))
+
+
+def planned_capacity(df: DataFrame, by, cell: str, measure: str, sep: str = "/") -> DataFrame:
+    """Per (by, variety): measure and row count; a pair cell 'A/B' splits
+    50/50 between its two varieties (exact DECIMAL shares)."""
+    parts = F.split(F.col(cell), sep)
+    n = F.size(parts)
+    share = F.lit(1).cast("decimal(10,4)") / n.cast("decimal(10,4)")
+    x = df.select(*by, F.col(measure).cast("decimal(18,4)").alias("_m"),
+                  F.explode(F.transform(parts, lambda v: F.struct(F.trim(v).alias("variety"), share.cast("decimal(10,4)").alias("share")))).alias("_v"))
+    return x.groupBy(*by, F.col("_v.variety").alias("variety")).agg(
+        F.sum(F.col("_m") * F.col("_v.share")).cast("decimal(18,4)").alias(measure), F.sum("_v.share").cast("decimal(18,4)").alias("rows"))
+
+
+def daily_packer_rollup(df: DataFrame, day: str, product_cols: dict, reporter: str, order) -> DataFrame:
+    """Per-packer rows with one column per product -> (day, product) totals
+    and the first reporter of the day (in ``order``); zero totals dropped."""
+    arr = F.array(*[F.struct(F.lit(p).alias("product"), F.col(c).alias("qty")) for p, c in product_cols.items()])
+    long = df.select(day, reporter, *[F.col(o.lstrip("-")) for o in order if o.lstrip("-") not in (day, reporter)],
+                     F.explode(arr).alias("_p")).select("*", "_p.product", "_p.qty").drop("_p")
+    r = rank_struct(long, order)
+    g = long.groupBy(day, "product").agg(F.sum("qty").alias("total"), F.min_by(F.col(reporter), r).alias("first_reporter"))
+    return g.where(F.col("total") > 0)
 
 
 def alloc_proportional(totals: DataFrame, weights: DataFrame, on, share_key: str, weight: str, measures,

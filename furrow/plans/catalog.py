@@ -15,6 +15,7 @@ PLAN_MODULES = (
     "furrow.plans.sensor_streams",
     "furrow.plans.harvest",
     "furrow.plans.landing",
+    "furrow.plans.agronomy",
 )
 
 _loaded = False

@@ -575,16 +575,16 @@ def q_collect_children(spark, d):
 
 
 @register("interval_regularity", """
-WITH g AS (SELECT o_custkey, o_orderpriority, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS n_dates,
-                  min(CAST(o_orderdate AS DATE)) AS first_date, max(CAST(o_orderdate AS DATE)) AS last_date
-           FROM orders GROUP BY 1, 2)
-SELECT *, ROUND(datediff('day', first_date, last_date) / (n_dates - 1), 2) AS mean_gap_days,
-       CASE WHEN datediff('day', first_date, last_date) / (n_dates - 1) <= 10 THEN 'Weekly'
-            WHEN datediff('day', first_date, last_date) / (n_dates - 1) <= 20 THEN 'Biweekly'
-            WHEN datediff('day', first_date, last_date) / (n_dates - 1) <= 45 THEN 'Monthly' END AS cadence
-FROM g WHERE n_dates >= 3""")
+WITH g AS (SELECT o_custkey, o_orderpriority, COUNT(*) AS n_orders, min(CAST(o_orderdate AS DATE)) AS first_date,
+                  max(CAST(o_orderdate AS DATE)) AS last_date
+           FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1996-12-31' GROUP BY 1, 2)
+SELECT *, ROUND(datediff('day', first_date, last_date) / (n_orders - 1), 4) AS mean_gap_days,
+       CASE WHEN datediff('day', first_date, last_date) / (n_orders - 1) BETWEEN 5 AND 9 THEN 'Weekly'
+            WHEN datediff('day', first_date, last_date) / (n_orders - 1) BETWEEN 12 AND 16 THEN 'Biweekly'
+            WHEN datediff('day', first_date, last_date) / (n_orders - 1) BETWEEN 25 AND 35 THEN 'Monthly' END AS cadence
+FROM g WHERE n_orders >= 3""")
 def q_interval_regularity(spark, d):
-    return agg.interval_regularity(Tables(spark, d).orders, ["o_custkey", "o_orderpriority"], "o_orderdate")
+    return agg.interval_regularity(Tables(spark, d).orders, ["o_custkey", "o_orderpriority"], "o_orderdate", after="1996-12-31")
 
 
 @register("alloc_proportional", """
