@@ -16,6 +16,7 @@ PLAN_MODULES = (
     "furrow.plans.harvest",
     "furrow.plans.landing",
     "furrow.plans.agronomy",
+    "furrow.plans.sales_rules",
 )
 
 _loaded = False
