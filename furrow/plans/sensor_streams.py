@@ -54,3 +54,56 @@ def q_stream_next_interval(spark, d):
     s = _events_stream(spark, d).select("user_id", "ts", "value")
     out = streams.run_available_now(spark, streams.stream_next_interval(s, "user_id", "ts", "value"), "next_interval")
     return out.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "increment")
+
+
+@register("stream_terminate", """
+SELECT l_orderkey, min(l_shipdate) AS terminated_at, arg_min('discount on line ' || CAST(l_linenumber AS VARCHAR),
+  (l_shipdate, 'discount on line ' || CAST(l_linenumber AS VARCHAR))) AS termination_reason
+FROM lineitem WHERE l_discount > 0.08 GROUP BY 1""")
+def q_stream_terminate(spark, d):
+    schema = spark.read.parquet(table_path(d, "lineitem")).schema
+    s = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d) \
+        .withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    agg = streams.stream_terminate(s, "l_orderkey", "l_shipdate", F.col("l_discount") > 0.08,
+                                   F.concat(F.lit("discount on line "), F.col("l_linenumber").cast("string")), delay="3650 days")
+    out = streams.run_available_now(spark, agg, "terminate", mode="complete")
+    return out.select("l_orderkey", F.col("terminated_at").cast("timestamp_ntz").alias("terminated_at"), "termination_reason")
+
+
+@register("stream_upsert_parent_children", """
+WITH kids AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE year(o.o_orderdate) = 1997),
+touched AS (SELECT o_orderkey FROM orders WHERE year(o_orderdate) IN (1997, 1998) AND o_orderstatus = 'F')
+SELECT * FROM kids WHERE l_orderkey NOT IN (SELECT o_orderkey FROM touched)
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM touched)""")
+def q_stream_upsert_parent_children(spark, d):
+    from furrow.session import scratch_path
+    from furrow.sources.tables import Tables
+    import uuid
+
+    t = Tables(spark, d)
+    run = scratch_path(spark, f"stream-upsert-{uuid.uuid4().hex[:8]}")
+    o = t.orders.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderstatus")
+    kids = t.lineitem.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
+    schema = spark.read.parquet(table_path(d, "orders")).schema
+    s = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d) \
+        .where(F.year("o_orderdate").isin(1997, 1998) & (F.col("o_orderstatus") == "F")).select("o_orderkey", "o_orderstatus")
+
+    def children_for(batch):
+        return t.lineitem.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey") \
+            .select("l_orderkey", "l_linenumber", (F.col("l_quantity") + 1).alias("l_quantity"))
+
+    handler = streams.upsert_state_handler(f"{run}/state", ["o_orderkey"], ["l_orderkey"], children_for, o, kids)
+    last = streams.run_foreach_batch(s, handler, f"{run}/ckpt")
+    return spark.read.parquet(f"{run}/state/v{last}/children")
+
+
+@register("stream_late_report", """
+SELECT event_id, ts FROM events WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 6 HOUR""")
+def q_stream_late_report(spark, d):
+    from furrow.session import scratch_path
+    import uuid
+
+    run = scratch_path(spark, f"stream-late-{uuid.uuid4().hex[:8]}")
+    s = _events_stream(spark, d).select("event_id", "ts")
+    streams.run_foreach_batch(s, streams.late_report_handler(f"{run}/out", "ts"), f"{run}/ckpt")
+    return spark.read.parquet(f"{run}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))

@@ -75,21 +75,59 @@ def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str) -> DataF
         stateStructType="ts timestamp, value double", outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
 
 
-def stream_upsert_parent_children(sdf: DataFrame, handler, checkpoint: str):
-    """Micro-batch header upsert with line replacement: ``handler(batch_df,
-    batch_id)`` computes and writes the new state (see sources.sinks)."""
-    return sdf.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, delay: str = LOOKBACK) -> DataFrame:
+    """First failing observation per trial (terminated_at, reason); the
+    aggregate is idempotent, so replays after a failure give the same row."""
+    f = sdf.where(failed).withColumn("_reason", reason)
+    return f.withWatermark(ts, delay).groupBy(trial).agg(
+        F.min(ts).alias("terminated_at"), F.min_by("_reason", F.struct(F.col(ts), F.col("_reason"))).alias("termination_reason"))
+
+
+def upsert_state_handler(state_dir: str, parent_key, child_fk, children_for, parents_seed: DataFrame, children_seed: DataFrame):
+    """``foreachBatch`` handler: each micro-batch of new parent rows upserts
+    the parent table and replaces the children of every touched parent.
+    The state is versioned (one folder per batch id) so a batch never
+    overwrites the files it reads, and a replayed batch rewrites the same
+    version."""
+    from furrow.sources.sinks import upsert_parent_replace_children
+
+    def handler(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        if batch_id == 0:
+            parents, children = parents_seed, children_seed
+        else:
+            prev = f"{state_dir}/v{batch_id - 1}"
+            parents, children = spark.read.parquet(f"{prev}/parents"), spark.read.parquet(f"{prev}/children")
+        new_children = children_for(batch)
+        p, c = upsert_parent_replace_children(parents, children, batch.select(*parents.columns), new_children, parent_key, child_fk)
+        p.write.mode("overwrite").parquet(f"{state_dir}/v{batch_id}/parents")
+        c.write.mode("overwrite").parquet(f"{state_dir}/v{batch_id}/children")
+
+    return handler
 
 
-def stream_late_report(sdf: DataFrame, ts: str, lookback_hours: int = 6) -> DataFrame:
-    """Rows older than (max event time seen in the batch - look-back)."""
-    def handler(batch: DataFrame, batch_id: int):  # pragma: no cover - used in foreachBatch
-        mx = batch.agg(F.max(ts)).scalar()
-        return batch.where(F.col(ts) < mx - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)))
+def late_report_handler(out_dir: str, ts: str, lookback_hours: int = 6):
+    """``foreachBatch`` handler: append the rows of a micro-batch that are
+    older than the batch's newest event time minus the look-back."""
+    def handler(batch: DataFrame, batch_id: int):
+        mx = batch.agg(F.max(ts)).first()[0]
+        if mx is None:
+            return
+        late = batch.where(F.col(ts) < F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))).withColumn("batch_id", F.lit(batch_id))
+        late.write.mode("append").parquet(out_dir)
 
     return handler
 
 
+def run_foreach_batch(sdf: DataFrame, handler, checkpoint: str) -> int:
+    """Run a ``foreachBatch`` handler over everything available; returns
+    the id of the last micro-batch (-1 when none ran)."""
+    q = sdf.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    ids = [p["batchId"] for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+    return max(ids) if ids else -1
+
+
 def run_available_now(spark: SparkSession, sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a streaming plan over everything available and return the sink
     contents as a batch DataFrame (sink and checkpoint under the shared
