@@ -20,9 +20,10 @@ def unpivot_measures(df: DataFrame, id_cols, value_cols, name: str = "metric", v
     optional metric config (fixed-size) is joined on the metric name."""
     long = df.unpivot(list(id_cols), list(value_cols), name, value).where(F.col(value).isNotNull())
     if config is not None:
-        long = long.join(F.broadcast(config), long[name] == config[config_key or name], "inner")
-        if config_key and config_key != name:
-            long = long.drop(config_key)
+        if config_key is None or config_key == name:
+            long = long.join(F.broadcast(config), name, "inner")
+        else:
+            long = long.join(F.broadcast(config), long[name] == config[config_key], "inner").drop(config_key)
     return long
 
 

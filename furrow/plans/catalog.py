@@ -17,6 +17,7 @@ PLAN_MODULES = (
     "furrow.plans.landing",
     "furrow.plans.agronomy",
     "furrow.plans.sales_rules",
+    "furrow.plans.jobs",
 )
 
 _loaded = False
