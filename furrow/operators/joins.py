@@ -137,6 +137,31 @@ def asof_next(df: DataFrame, events: DataFrame, keys, ref: str, ev: str, out: st
     return u.withColumn(out, F.first("_ev", ignorenulls=True).over(w)).where(F.col("_side") == 0).drop("_t", "_side", "_ev")
 
 
+def asof_next_bucketed(df: DataFrame, events: DataFrame, keys, ref: str, ev: str, bucket: str = "month",
+                       out: str = "next_event") -> DataFrame:
+    """``asof_next`` with the per-key window split by calendar bucket: the
+    first event >= ref inside the ref's bucket, else the earliest event of
+    any later bucket (a suffix minimum over the small per-(key, bucket)
+    table of earliest events)."""
+    from pyspark.sql import Window
+
+    b = lambda c: F.date_trunc(bucket, F.col(c))
+    left = df.withColumn("_t", F.col(ref)).withColumn("_side", F.lit(0)).withColumn("_ev", F.lit(None).cast(events.schema[ev].dataType))
+    right = events.select(*keys, F.col(ev).alias("_t"), F.lit(1).alias("_side"), F.col(ev).alias("_ev"))
+    u = left.unionByName(right, allowMissingColumns=True).withColumn("_b", b("_t"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    u = u.withColumn("_in", F.first("_ev", ignorenulls=True).over(w)).where(F.col("_side") == 0)
+    # every (key, bucket) holding a reference or an event, with the
+    # bucket's earliest event (NULL when it has none), then a suffix minimum
+    firsts = events.select(*keys, b(ev).alias("_b"), F.col(ev).alias("_first")).unionByName(
+        df.select(*keys, b(ref).alias("_b"), F.lit(None).cast(events.schema[ev].dataType).alias("_first"))
+    ).groupBy(*keys, "_b").agg(F.min("_first").alias("_first"))
+    wl = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    later = firsts.select(*keys, "_b", F.min("_first").over(wl).alias("_later"))
+    u = u.join(later, [*keys, "_b"], "left")
+    return u.withColumn(out, F.coalesce("_in", "_later")).drop("_t", "_side", "_ev", "_b", "_in", "_later")
+
+
 def latest_per_key_join(df: DataFrame, snaps: DataFrame, keys, order) -> DataFrame:
     return df.join(keep_first(snaps, keys, order), list(keys), "left")
 

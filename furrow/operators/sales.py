@@ -34,7 +34,7 @@ def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str =
 
 
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
-              order_tail=(), family: str = "family") -> tuple[DataFrame, DataFrame]:
+              order_tail=(), family: str = "family", number_bucket=None) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).
 
     Pallets are filled to ``max_cases`` walking pack dates oldest first
@@ -57,20 +57,33 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
         F.max(F.col(stackable).cast("int")).alias("_stack"), F.first(family, ignorenulls=True).alias(family))
     label = F.when(F.col("cases") >= F.col("full_cases"), "Full").when(F.col("_stack") == 1, "Stackable").otherwise("Shareable")
     prefix = F.when(F.col(family) == "cucumber", "CP").when(F.col(family) == "lettuce", "LP").otherwise("BP")
-    wnum = Window.partitionBy(*scope, family).orderBy(*[F.col(k) for k in group], "pallet_index")
-    pallets = pallets.withColumn("label", label).withColumn(
-        "pallet_number", F.concat(prefix, F.lpad(F.row_number().over(wnum).cast("string"), 2, "0"))).drop("_stack")
+    pallets = pallets.withColumn("label", label).drop("_stack")
+    order = [*group, "pallet_index"]
+    if number_bucket is not None:
+        from furrow.operators.windows import row_number_bucketed
+
+        pallets = row_number_bucketed(pallets, [*scope, family], order, number_bucket, out="_num")
+    else:
+        pallets = pallets.withColumn("_num", F.row_number().over(Window.partitionBy(*scope, family).orderBy(*order)))
+    pallets = pallets.withColumn("pallet_number", F.concat(prefix, F.lpad(F.col("_num").cast("string"), 2, "0"))).drop("_num")
     return pallets, alloc
 
 
 def stack_spaces(pallets: DataFrame, scope, order, capacity: int, containers=("cucumber", "lettuce", "box_truck"),
-                 label: str = "label") -> DataFrame:
+                 label: str = "label", bucket=None) -> DataFrame:
     """Non-Full pallets get container spaces 1..N in sort order; when the
     preferred container is full the highest spaces spill over to the next
-    container family, moving whole pallets (one pallet_number = one row)."""
+    container family, moving whole pallets (one pallet_number = one row).
+    With ``bucket`` (monotone in ``order``) the sequence numbers are
+    computed per (scope, bucket) plus earlier-bucket counts."""
     nf = pallets.where(F.col(label) != "Full")
-    w = Window.partitionBy(*scope).orderBy(*window_order(order))
-    x = nf.withColumn("_seq", F.row_number().over(w) - 1)
+    if bucket is not None:
+        from furrow.operators.windows import row_number_bucketed
+
+        x = row_number_bucketed(nf, scope, order, bucket, out="_seq").withColumn("_seq", F.col("_seq") - 1)
+    else:
+        w = Window.partitionBy(*scope).orderBy(*window_order(order))
+        x = nf.withColumn("_seq", F.row_number().over(w) - 1)
     slot = (F.col("_seq") / capacity).cast("int")
     cont = F.array(*[F.lit(c) for c in containers])
     return x.select("*", (F.col("_seq") % capacity + 1).alias("container_space_number"),

@@ -156,3 +156,62 @@ def first_nonblank(df: DataFrame, by, order: str, c: str, last: bool = False, ou
 def row_number_within(df: DataFrame, by, order, out: str = "rn") -> Column:
     w = Window.partitionBy(*by).orderBy(*window_order(order))
     return df.withColumn(out, F.row_number().over(w))
+
+
+# ---------------------------------------------------------------------------
+# Skew-safe per-key sequence operators.
+#
+# A window partitioned only by a key sends a key holding a third of all rows
+# to one task. These helpers partition by (key, bucket), where the bucket is a
+# caller-supplied expression that is monotone in the order (a month of the
+# first order column, an integer range of a numeric key, ...), and carry the
+# state across buckets through a small per-(key, bucket) table.
+# ---------------------------------------------------------------------------
+
+
+def prev_value(df: DataFrame, by, order, c: str, bucket, out: str = "prev") -> DataFrame:
+    """Value of ``c`` on the previous row of the same key in ``order``."""
+    keys = list(by)
+    d = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(*window_order(order))
+    d = d.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(c).over(w))
+    last = d.groupBy(*keys, "_b").agg(F.max_by(F.col(c), rank_struct(d, order)).alias("_last"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    carry = last.select(*keys, "_b", F.lag("_last").over(wb).alias("_carry"))
+    d = d.join(carry, [*keys, "_b"], "left")
+    return d.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag"))).drop("_b", "_rn", "_lag", "_carry")
+
+
+def row_number_bucketed(df: DataFrame, by, order, bucket, out: str = "rn") -> DataFrame:
+    """1-based row number per key in ``order``: number inside the bucket
+    plus the row count of the key's earlier buckets."""
+    keys = list(by)
+    d = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*keys, "_b").orderBy(*window_order(order))
+    d = d.withColumn("_rnb", F.row_number().over(w))
+    counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
+    return d.join(offs, [*keys, "_b"], "left").withColumn(out, F.col("_rnb") + F.col("_off")).drop("_b", "_rnb", "_off")
+
+
+def gap_days_bucketed(df: DataFrame, by, date: str, bucket, out: str = "gap_days", tie=()) -> DataFrame:
+    """``gap_days`` with the per-key window split by ``bucket``."""
+    p = prev_value(df, by, [date, *tie], date, bucket, out="_prev_d")
+    return p.withColumn(out, F.datediff(F.col(date), F.col("_prev_d"))).drop("_prev_d")
+
+
+def dup_suffix_bucketed(df: DataFrame, code: str, order, bucket, sep: str = "_", out: str | None = None) -> DataFrame:
+    """``dup_suffix`` with the per-code numbering split by ``bucket``."""
+    out = out or code
+    r = row_number_bucketed(df, [code], order, bucket, out="_rn")
+    return r.withColumn(out, F.when(F.col("_rn") > 1, F.concat(F.col(code), F.lit(sep), F.col("_rn").cast("string"))).otherwise(F.col(code))).drop("_rn")
+
+
+def attach_once_bucketed(df: DataFrame, by, order, c: str, bucket) -> DataFrame:
+    """``attach_once`` without a whole-key window: the first row per key is
+    the ``min_by`` of an order struct, joined back by that struct."""
+    r = rank_struct(df, order)
+    firsts = df.groupBy(*by).agg(F.min(r).alias("_first"))
+    d = df.withColumn("_me", r).join(firsts, list(by), "left")
+    return d.withColumn(c, F.when(F.col("_me") == F.col("_first"), F.col(c))).drop("_me", "_first")

@@ -247,7 +247,7 @@ FROM orders o""")
 def q_asof_next(spark, d):
     o = Tables(spark, d).orders
     ev = o.where(F.col("o_orderstatus") == "F").select("o_custkey", F.col("o_orderdate").alias("ev_date"))
-    return jn.asof_next(o.select("o_orderkey", "o_custkey", "o_orderdate"), ev, ["o_custkey"], "o_orderdate", "ev_date") \
+    return jn.asof_next_bucketed(o.select("o_orderkey", "o_custkey", "o_orderdate"), ev, ["o_custkey"], "o_orderdate", "ev_date") \
         .select("o_orderkey", "next_event")
 
 
@@ -679,7 +679,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN rn > 1 THEN cod
   FROM lineitem)""")
 def q_dup_suffix(spark, d):
     li = Tables(spark, d).lineitem.withColumn("code", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    r = win.dup_suffix(li, "code", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])
+    r = win.dup_suffix_bucketed(li, "code", ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"],
+                                F.date_trunc("month", "l_shipdate"))
     return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "code")
 
 
@@ -722,7 +723,8 @@ SELECT o_orderkey, o_custkey, CASE WHEN row_number() OVER (PARTITION BY o_custke
                                    THEN o_orderpriority END AS note FROM orders""")
 def q_attach_once(spark, d):
     o = Tables(spark, d).orders.withColumn("note", F.col("o_orderpriority"))
-    return win.attach_once(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "note").select("o_orderkey", "o_custkey", "note")
+    return win.attach_once_bucketed(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "note", F.date_trunc("year", "o_orderdate")) \
+        .select("o_orderkey", "o_custkey", "note")
 
 
 @register("gap_days", """
@@ -730,7 +732,8 @@ SELECT o_orderkey, datediff('day', lag(o_orderdate) OVER (PARTITION BY o_custkey
 FROM orders""")
 def q_gap_days(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return win.gap_days(o, ["o_custkey"], "o_orderdate", tie=["o_orderkey"]).select("o_orderkey", "gap_days")
+    return win.gap_days_bucketed(o, ["o_custkey"], "o_orderdate", F.date_trunc("year", "o_orderdate"), tie=["o_orderkey"]) \
+        .select("o_orderkey", "gap_days")
 
 
 @register("first_nonblank", """

@@ -61,7 +61,8 @@ pallets AS (SELECT farm_id, run_year, customer, product, pallet_index, cases, ma
 
 
 def _palletize(t: Tables):
-    return sales.palletize(fulfilments(t), SCOPE, GROUP, "pack_date", "qty", "max_cases", "full_cases", "stackable", ORDER_TAIL)
+    return sales.palletize(fulfilments(t), SCOPE, GROUP, "pack_date", "qty", "max_cases", "full_cases", "stackable", ORDER_TAIL,
+                           number_bucket=F.floor(F.col("customer") / 1000))
 
 
 @register("palletize", FUL_SQL + "SELECT * FROM pallets")
@@ -86,7 +87,7 @@ FROM (SELECT farm_id, run_year, customer, product, pallet_index, label,
 def q_stack_spaces(spark, d):
     pallets, _ = _palletize(Tables(spark, d))
     p = pallets.select(*SCOPE, *GROUP, "pallet_index", "label")
-    out = sales.stack_spaces(p, SCOPE, ["customer", "product", "pallet_index"], 20)
+    out = sales.stack_spaces(p, SCOPE, ["customer", "product", "pallet_index"], 20, bucket=F.floor(F.col("customer") / 1000))
     return out.select(*SCOPE, *GROUP, "pallet_index", "label", F.col("container_space_number").cast("long").alias("container_space_number"),
                       "container", "is_spillover")
 
@@ -103,13 +104,14 @@ def q_asn_cartons(spark, d):
 @register("allocation_reconcile", FUL_SQL + """
 SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, f.qty AS fulfilled, COALESCE(s.allocated, 0) AS allocated,
   CASE WHEN COALESCE(s.allocated, 0) = f.qty THEN 'ok' ELSE 'mismatch' END AS status
-FROM f LEFT JOIN (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, SUM(allocated_quantity) AS allocated FROM a GROUP BY 1, 2, 3, 4) s
-  USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
+FROM f LEFT JOIN (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity,
+                         SUM(allocated_quantity) AS allocated FROM a GROUP BY 1, 2, 3, 4, 5, 6, 7) s
+  USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity)""")
 def q_allocation_reconcile(spark, d):
     t = Tables(spark, d)
     _, alloc = _palletize(t)
-    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return sales.allocation_reconcile(alloc, fulfilments(t), key, "allocated_quantity", "qty").select(*key, "fulfilled", "allocated", "status")
+    r = sales.allocation_reconcile(alloc, fulfilments(t), LINE_KEY, "allocated_quantity", "qty")
+    return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "fulfilled", "allocated", "status")
 
 
 @register("lock_preserving_refresh", FUL_SQL + """
