@@ -68,14 +68,14 @@ def parse_ts_multi(c, fmts=TS_FORMATS, date_only_hour: int = 0, date_only_fmts=D
     """First layout that matches the whole cell wins; date-only layouts get
     ``date_only_hour`` (12 in the food-safety sheets, 0 elsewhere)."""
     s = _strip(c)
-    out = None
+    tries = []
     for fmt in fmts:
         t = _try_ts(s, fmt)
         if fmt in date_only_fmts and date_only_hour:
             t = t + F.make_dt_interval(F.lit(0), F.lit(date_only_hour))
-        cond = s.rlike(_layout_regex(fmt)) & t.isNotNull()
-        out = F.when(cond, t) if out is None else out.when(cond, t)
-    return out
+        # parse only when the layout matches; a NULL falls through to the next layout
+        tries.append(F.when(s.rlike(_layout_regex(fmt)), t))
+    return F.coalesce(*tries)
 
 
 def parse_date_multi(c, fmts=DATE_FORMATS, before_space: bool = False) -> Column:
@@ -91,12 +91,11 @@ def parse_time_multi(c, ampm: bool = False) -> Column:
     """``H:M[:S]`` (optionally ``h:M[:S] AM/PM``) -> 'HH:mm:ss' text."""
     s = _strip(c)
     fmts = TIME_FORMATS + (TIME_FORMATS_AMPM if ampm else ())
-    out = None
+    tries = []
     for fmt in fmts:
         t = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), F.upper(s)), F.lit("yyyy-MM-dd " + fmt))
-        cond = s.rlike(_layout_regex(fmt)) & t.isNotNull()
-        out = F.when(cond, F.date_format(t, "HH:mm:ss")) if out is None else out.when(cond, F.date_format(t, "HH:mm:ss"))
-    return out
+        tries.append(F.when(s.rlike(_layout_regex(fmt)), F.date_format(t, "HH:mm:ss")))
+    return F.coalesce(*tries)
 
 
 def combine_date_time(d, t, default: str | None = None) -> Column:

@@ -91,8 +91,11 @@ def raw_schedule(t: Tables) -> DataFrame:
 def etl_schedule(raw: DataFrame) -> DataFrame:
     """Task names normalised to proper case, leave rows skipped, last row
     wins per (employee, date, task) in sheet order."""
-    x = raw.withColumn("task", text.slug_to_proper(text.slug("task")))
-    x = x.where(F.col("task") != "Leave")
+    # skip leave on the raw cell (cheap); a filter on the cased name would be
+    # pushed below the distinct and case every row
+    x = raw.where(text.slug("task") != "leave")
+    x = text.map_distinct(x, "task", lambda c: text.slug_to_proper(text.slug(c)), "_task")
+    x = x.drop("task").withColumnRenamed("_task", "task")
     return win.keep_last(x.select("employee", "work_date", "task", "hours", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
                          ["employee", "work_date", "task"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]) \
         .select("employee", "work_date", "task", "hours")
@@ -116,10 +119,16 @@ def q_etl_tasks_seed(spark, d):
 
 
 def rs_distinct_proper(df: DataFrame, c: str, out: str = "name") -> DataFrame:
-    """Distinct non-blank values of ``c`` in display-name casing."""
-    from furrow.sources.readers import distinct_seed
+    """Distinct non-blank values of ``c`` in display-name casing. The casing
+    runs on the distinct raw values only; the cased names are then
+    de-duplicated with a window over that small mapping (a second
+    aggregate would let the optimizer drop the first one and case every
+    row)."""
+    from pyspark.sql import Window
 
-    return distinct_seed(df.select(text.slug_to_proper(text.slug(c)).alias(c)), c, out=out)
+    m = df.select(c).where(text.slug(c) != "").distinct().withColumn(out, text.slug_to_proper(text.slug(c)))
+    w = Window.partitionBy(out).orderBy(c)
+    return m.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(out)
 
 
 # ---------------------------------------------------------------- etl_sales_orders
@@ -318,7 +327,7 @@ FROM part p JOIN (SELECT name, upper(substr(lower(name), 1, 1)) || substr(lower(
 def q_etl_inventory(spark, d):
     p = Tables(spark, d).part
     cats = rs_distinct_proper(p, "p_type", out="category")
-    x = p.withColumn("category", text.proper_case(F.lower("p_type")))
+    x = text.map_distinct(p, "p_type", lambda c: text.proper_case(F.lower(c)), "category")
     x = x.join(cats, "category", "left_semi")
     return x.select(F.col("p_partkey").alias("item_id"), "category",
                     arith.reorder_point(F.col("p_size").cast("double"), F.lit(2), F.lit(3)).alias("reorder_point"),
