@@ -36,38 +36,54 @@ POSITIVE_WORDS = ("true", "positive", "detected")
 TWO_DIGIT_YEAR_PIVOT = 69
 
 
-def _fix_two_digit_year(ts: Column, fmt: str) -> Column:
-    if "yy" in fmt and "yyyy" not in fmt:
-        return F.when(F.year(ts) >= 2000 + TWO_DIGIT_YEAR_PIVOT, ts - F.expr("INTERVAL 100 YEARS")).otherwise(ts)
-    return ts
+_WS = " \t\r\n\f\v"
 
 
 def _strip(c) -> Column:
-    return F.regexp_replace(col(c).cast("string"), r"^\s+|\s+$", "")
+    """Python ``str.strip()`` (all ASCII whitespace), without a regex."""
+    return F.btrim(col(c).cast("string"), F.lit(_WS))
+
+
+def _expand_two_digit_year(s: Column, fmt: str):
+    """For a layout with a two-digit year, rewrite the cell's year to four
+    digits with the C / Python pivot (69-99 -> 19xx, 00-68 -> 20xx) and
+    return (text, four-digit layout); other layouts pass through."""
+    if "yy" not in fmt or "yyyy" in fmt:
+        return s, fmt
+    rx = "^" + _layout_body(fmt).replace(r"\d{2}", r"(\d{2})", 1) + "$"
+    yy = F.regexp_extract(s, rx, 1)
+    century = F.when(yy.try_cast("int") >= TWO_DIGIT_YEAR_PIVOT, F.lit("19")).otherwise(F.lit("20"))
+    if not fmt.endswith("yy"):
+        raise ValueError(f"two-digit year layouts must end with the year: {fmt!r}")
+    text = F.concat(F.substr(s, F.lit(1), F.length(s) - 2), century, yy)
+    return text, fmt.replace("yy", "yyyy", 1)
 
 
 def _try_ts(s: Column, fmt: str) -> Column:
-    # Spark's parser is lenient about trailing text for some patterns; require
-    # the whole cell to be consumed by matching the digit layout too.
-    return _fix_two_digit_year(F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"), fmt)
+    text, fmt4 = _expand_two_digit_year(s, fmt)
+    return F.try_to_timestamp(text, F.lit(fmt4)).cast("timestamp_ntz")
 
 
 _LAYOUT_TOKENS = {"yyyy": r"\d{4}", "yy": r"\d{2}", " a": r"\s*[AaPp][Mm]"}
 
 
-def _layout_regex(fmt: str) -> str:
-    """Digit layout of a datetime pattern: 'M/d/yyyy' -> one or two digits, slash, ..., four digits."""
+def _layout_body(fmt: str) -> str:
     def tok(m):
         t = m.group(0)
         return _LAYOUT_TOKENS.get(t, r"\d{1,2}")
 
-    return "^" + re.sub(r"yyyy|yy| a|M+|d+|H+|h+|m+|s+", tok, fmt) + "$"
+    return re.sub(r"yyyy|yy| a|M+|d+|H+|h+|m+|s+", tok, fmt)
 
 
-def parse_ts_multi(c, fmts=TS_FORMATS, date_only_hour: int = 0, date_only_fmts=DATE_ONLY_FORMATS) -> Column:
+def _layout_regex(fmt: str) -> str:
+    """Digit layout of a datetime pattern: 'M/d/yyyy' -> one or two digits, slash, ..., four digits."""
+    return "^" + _layout_body(fmt) + "$"
+
+
+def parse_ts_multi(c, fmts=TS_FORMATS, date_only_hour: int = 0, date_only_fmts=DATE_ONLY_FORMATS, stripped: bool = False) -> Column:
     """First layout that matches the whole cell wins; date-only layouts get
     ``date_only_hour`` (12 in the food-safety sheets, 0 elsewhere)."""
-    s = _strip(c)
+    s = col(c) if stripped else _strip(c)
     tries = []
     for fmt in fmts:
         t = _try_ts(s, fmt)
@@ -84,7 +100,7 @@ def parse_date_multi(c, fmts=DATE_FORMATS, before_space: bool = False) -> Column
     s = _strip(c)
     if before_space:
         s = F.substring_index(s, " ", 1)
-    return parse_ts_multi(s, fmts).cast("date")
+    return parse_ts_multi(s, fmts, stripped=True).cast("date")
 
 
 def parse_time_multi(c, ampm: bool = False) -> Column:
@@ -122,6 +138,23 @@ def split_period(period, check=None) -> Column:
     )
 
 
+def with_split_period(df, period, check=None, out: str = "period_parts"):
+    """DataFrame form of ``split_period``: each date is parsed once, in its
+    own projection (Catalyst keeps the projections apart because merging
+    them would duplicate the parse), then packed into the same struct."""
+    from pyspark.sql import DataFrame  # noqa: F401
+
+    d = df.withColumn("_sp_p", _strip(period))
+    p = F.col("_sp_p")
+    has = p.contains(" - ")
+    d = d.withColumn("_sp_s", F.when(has, parse_date_multi(F.substring_index(p, " - ", 1)))) \
+          .withColumn("_sp_e", F.when(has, parse_date_multi(F.substr(p, F.instr(p, " - ") + 3))))
+    chk = parse_date_multi(check) if check is not None else F.lit(None).cast("date")
+    d = d.withColumn("_sp_c", F.coalesce(chk, F.col("_sp_e"), F.col("_sp_s")))
+    return d.withColumn(out, F.struct(F.coalesce("_sp_s", "_sp_c").alias("start"), F.coalesce("_sp_e", "_sp_c").alias("end"),
+                                      F.col("_sp_c").alias("check_date"))).drop("_sp_p", "_sp_s", "_sp_e", "_sp_c")
+
+
 def parse_number(c, default=None, strip: str = ",", dtype: str = "double") -> Column:
     """Remove separators (``,`` and optionally ``%``), ``try_cast``; blank or
     invalid -> ``default`` (NULL when None)."""

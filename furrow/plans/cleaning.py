@@ -92,9 +92,9 @@ _reg("combine_date_time", "CAST(o_orderdate AS DATE) + CAST(COALESCE(CASE WHEN k
      lambda x: parse.combine_date_time(F.col("o_orderdate").cast("date"),
                                        F.when(F.col("k") % 3 != 0, F.date_format(F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("k") % 24).cast("int")),
                                                                                  "HH:mm:ss")), default="07:00:00"))
-_reg("split_period", "{'start': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 1)") + ", 'end': "
-     + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)") + ", 'check_date': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)") + "}",
-     lambda x: parse.split_period("period"))
+register("split_period", DIRTY_SQL + "SELECT k, {'start': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 1)") + ", 'end': "
+         + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)") + ", 'check_date': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)")
+         + "} AS v FROM d")(lambda spark, d: parse.with_split_period(dirty_orders(Tables(spark, d)), "period", out="v").select("k", "v"))
 _reg("parse_number", "TRY_CAST(NULLIF(replace(trim(num), ',', ''), '') AS DOUBLE)", lambda x: parse.parse_number("num"))
 _reg("parse_int_trunc", "CAST(trunc(TRY_CAST(replace(num, ',', '') AS DOUBLE)) AS BIGINT)", lambda x: parse.parse_int_trunc(F.regexp_replace("num", ",", "")))
 _reg("percent_to_ratio", "ROUND(TRY_CAST(replace(replace(pct, ',', ''), '%', '') AS DOUBLE) / 100.0, 4)", lambda x: parse.percent_to_ratio("pct"))

@@ -40,8 +40,7 @@ def raw_payroll(t: Tables) -> DataFrame:
 
 
 def etl_payroll(raw: DataFrame, employees: DataFrame) -> DataFrame:
-    per = parse.split_period("pay_period", "check_date")
-    x = raw.withColumn("_p", per)
+    x = parse.with_split_period(raw, "pay_period", "check_date", out="_p")
     emp = employees.select("c_custkey", "c_name", text.slug("c_name").alias("c_slug"))
     x = jn.cascade_lookup(x.withColumn("_slug", text.slug("full_name")), [
         (emp, "employee_id", "c_custkey", "c_custkey"),
