@@ -50,12 +50,12 @@ def _expand_two_digit_year(s: Column, fmt: str):
     return (text, four-digit layout); other layouts pass through."""
     if "yy" not in fmt or "yyyy" in fmt:
         return s, fmt
-    rx = "^" + _layout_body(fmt).replace(r"\d{2}", r"(\d{2})", 1) + "$"
-    yy = F.regexp_extract(s, rx, 1)
-    century = F.when(yy.try_cast("int") >= TWO_DIGIT_YEAR_PIVOT, F.lit("19")).otherwise(F.lit("20"))
-    if not fmt.endswith("yy"):
-        raise ValueError(f"two-digit year layouts must end with the year: {fmt!r}")
-    text = F.concat(F.substr(s, F.lit(1), F.length(s) - 2), century, yy)
+    body = _layout_body(fmt)
+    pre, post = body.split(r"\d{2}", 1)
+    rx = "^(?<pre>" + pre + r")(?<yy>\d{2})(?<post>" + post + ")$"
+    yy = F.regexp_extract(s, rx, 2)
+    text = F.when(yy.try_cast("int") >= TWO_DIGIT_YEAR_PIVOT, F.regexp_replace(s, rx, "${pre}19${yy}${post}")) \
+        .otherwise(F.regexp_replace(s, rx, "${pre}20${yy}${post}"))
     return text, fmt.replace("yy", "yyyy", 1)
 
 

@@ -182,3 +182,15 @@ def test_palletize_conserves_cases(spark):
 
     alloc = catalog.queries()["allocation_reconcile"](spark, SF_SMALL)
     assert alloc.where("status <> 'ok'").count() == 0
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("5/3/24 15:02:00", dt.datetime(2024, 5, 3, 15, 2)),
+    ("5/3/70 1:02", dt.datetime(1970, 5, 3, 1, 2)),
+    ("12/31/68", dt.datetime(2068, 12, 31)),
+    ("2024-01-05 07:08:09", dt.datetime(2024, 1, 5, 7, 8, 9)),
+    ("\t 4/4/2023 \n", dt.datetime(2023, 4, 4)),
+    ("junk", None),
+])
+def test_parse_ts_two_digit_years(spark, raw, expected):
+    assert _one(spark, parse.parse_ts_multi(F.col("x")), raw) == expected
