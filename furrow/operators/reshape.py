@@ -31,13 +31,37 @@ def unpivot_slots(df: DataFrame, id_cols, slots, slot_col: str = "slot", drop_al
     """Numbered column groups -> one row per slot. ``slots`` is a list of
     dicts {field: column}; the slot number is its position (1-based)."""
     fields = list(slots[0].keys())
-    arr = F.array(*[F.struct(F.lit(i + 1).alias(slot_col), *[F.col(s[f]).alias(f) for f in fields]) for i, s in enumerate(slots)])
+
+    def c(v):
+        return F.col(v) if isinstance(v, str) else v
+
+    arr = F.array(*[F.struct(F.lit(i + 1).alias(slot_col), *[c(s[f]).alias(f) for f in fields]) for i, s in enumerate(slots)])
     out = df.select(*id_cols, F.explode(arr).alias("_s")).select(*id_cols, "_s.*")
     if drop_all_null:
         out = out.where(F.coalesce(*[F.col(f) for f in fields]).isNotNull())
     return out
 
 
+def unpivot_prefix_groups(df: DataFrame, id_cols, prefixes, fields, label: str = "group", sep: str = "_",
+                          drop_if_null=None) -> DataFrame:
+    """Column groups named ``{prefix}{sep}{field}`` -> one row per prefix
+    with the prefix in ``label``; a row is dropped when all its fields (or
+    the ``drop_if_null`` ones) are NULL. Variety blocks, scenarios, photo
+    columns and per-product price blocks are all this shape."""
+    arr = F.array(*[F.struct(F.lit(p).alias(label), *[F.col(f"{p}{sep}{f}").alias(f) for f in fields]) for p in prefixes])
+    out = df.select(*id_cols, F.explode(arr).alias("_g")).select(*id_cols, "_g.*")
+    keep = drop_if_null or list(fields)
+    return out.where(F.coalesce(*[F.col(f) for f in keep]).isNotNull())
+
+
+def explode_channel_index(sensors: DataFrame, device: str, channels: str, types: DataFrame, type_key: str) -> DataFrame:
+    """Sensors with channel arrays -> one row per (device, channel) with the
+    channel's type and exponent from a fixed type table; channels whose
+    type is not listed (skipped types) drop out of the inner join."""
+    x = sensors.select(F.col(device).alias("device_id"), F.explode(F.col(channels)).alias(type_key))
+    return x.join(F.broadcast(types), type_key, "inner")
+
+
 def unpivot_questions(df: DataFrame, id_cols, questions, out_prefix: str = "response_") -> DataFrame:
     """Row x question list -> typed answers. ``questions = [(question_id,
     column, type)]`` with type boolean / numeric / enum / text. A fixed

@@ -18,6 +18,7 @@ PLAN_MODULES = (
     "furrow.plans.agronomy",
     "furrow.plans.sales_rules",
     "furrow.plans.jobs",
+    "furrow.plans.coverage",
 )
 
 _loaded = False
