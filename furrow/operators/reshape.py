@@ -27,6 +27,15 @@ def unpivot_measures(df: DataFrame, id_cols, value_cols, name: str = "metric", v
     return long
 
 
+def _any_not_null(cols):
+    """OR of IS NOT NULL over columns of possibly different types."""
+    cond = None
+    for c in cols:
+        x = F.col(c).isNotNull()
+        cond = x if cond is None else (cond | x)
+    return cond
+
+
 def unpivot_slots(df: DataFrame, id_cols, slots, slot_col: str = "slot", drop_all_null: bool = True) -> DataFrame:
     """Numbered column groups -> one row per slot. ``slots`` is a list of
     dicts {field: column}; the slot number is its position (1-based)."""
@@ -38,7 +47,7 @@ def unpivot_slots(df: DataFrame, id_cols, slots, slot_col: str = "slot", drop_al
     arr = F.array(*[F.struct(F.lit(i + 1).alias(slot_col), *[c(s[f]).alias(f) for f in fields]) for i, s in enumerate(slots)])
     out = df.select(*id_cols, F.explode(arr).alias("_s")).select(*id_cols, "_s.*")
     if drop_all_null:
-        out = out.where(F.coalesce(*[F.col(f) for f in fields]).isNotNull())
+        out = out.where(_any_not_null(fields))
     return out
 
 
@@ -51,7 +60,7 @@ def unpivot_prefix_groups(df: DataFrame, id_cols, prefixes, fields, label: str =
     arr = F.array(*[F.struct(F.lit(p).alias(label), *[F.col(f"{p}{sep}{f}").alias(f) for f in fields]) for p in prefixes])
     out = df.select(*id_cols, F.explode(arr).alias("_g")).select(*id_cols, "_g.*")
     keep = drop_if_null or list(fields)
-    return out.where(F.coalesce(*[F.col(f) for f in keep]).isNotNull())
+    return out.where(_any_not_null(keep))
 
 
 def explode_channel_index(sensors: DataFrame, device: str, channels: str, types: DataFrame, type_key: str) -> DataFrame:

@@ -19,6 +19,7 @@ PLAN_MODULES = (
     "furrow.plans.sales_rules",
     "furrow.plans.jobs",
     "furrow.plans.coverage",
+    "furrow.plans.jobs_grow",
 )
 
 _loaded = False
