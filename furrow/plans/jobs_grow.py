@@ -173,9 +173,9 @@ WHERE COALESCE(CAST(price_per_tray AS VARCHAR), CAST(best_by AS VARCHAR)) IS NOT
 def q_etl_crm(spark, d):
     o = Tables(spark, d).orders
     wide = o.select(F.col("o_orderkey").alias("visit_id"),
-                    F.round(F.col("o_totalprice") / 1000, 2).alias("own_price_per_tray"),
+                    arith.round_binary(F.col("o_totalprice") / 1000, 2).alias("own_price_per_tray"),
                     F.date_add(F.col("o_orderdate").cast("date"), 10).alias("own_best_by"),
-                    F.when(F.col("o_orderstatus") == "O", F.round(F.col("o_totalprice") / 900, 2)).alias("competitor_price_per_tray"),
+                    F.when(F.col("o_orderstatus") == "O", arith.round_binary(F.col("o_totalprice") / 900, 2)).alias("competitor_price_per_tray"),
                     F.when(F.col("o_orderstatus") == "O", F.date_add(F.col("o_orderdate").cast("date"), 7)).alias("competitor_best_by"))
     return rs.unpivot_prefix_groups(wide, ["visit_id"], ["own", "competitor"], ["price_per_tray", "best_by"], label="product")
 
