@@ -20,6 +20,7 @@ PLAN_MODULES = (
     "furrow.plans.jobs",
     "furrow.plans.coverage",
     "furrow.plans.jobs_grow",
+    "furrow.plans.jobs_field",
 )
 
 _loaded = False
