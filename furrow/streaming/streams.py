@@ -50,14 +50,16 @@ def stream_daily_dose(sdf: DataFrame, by, ts: str, value: str, delay: str = LOOK
 def _next_interval_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
     """Per key: sort the batch, pair each reading with the next one; the
     last reading waits in state for its successor (emitted later)."""
-    frames = [p for p in pdfs]
-    cur = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=["ts", "value"])
+    frames = [p[["ts", "value"]] for p in pdfs if len(p)]
     if state.exists:
         prev_ts, prev_val = state.get
-        cur = pd.concat([pd.DataFrame({"ts": [pd.Timestamp(prev_ts)], "value": [prev_val]}), cur], ignore_index=True)
-    cur = cur.sort_values("ts", kind="mergesort").reset_index(drop=True)
-    if len(cur) == 0:
+        frames.insert(0, pd.DataFrame({"ts": [pd.Timestamp(prev_ts)], "value": [float(prev_val)]}))
+    if not frames:
         return
+    cur = pd.concat(frames, ignore_index=True)
+    cur["ts"] = pd.to_datetime(cur["ts"])
+    cur["value"] = cur["value"].astype("float64")
+    cur = cur.sort_values("ts", kind="mergesort").reset_index(drop=True)
     nxt = cur["ts"].shift(-1)
     secs = (nxt - cur["ts"]).dt.total_seconds()
     out = pd.DataFrame({"key": [key[0]] * (len(cur) - 1), "ts": cur["ts"].iloc[:-1], "increment": (cur["value"] * secs).iloc[:-1]})
