@@ -71,7 +71,7 @@ def generated_average(*cs) -> Column:
 
 def elapsed_hours(start, stop, captured=None, per: int = 3600) -> Column:
     """(stop - start) seconds / 3600 (or / 60 with per=60); captured hours win."""
-    secs = F.unix_timestamp(col(stop).cast("timestamp")) - F.unix_timestamp(col(start).cast("timestamp"))
+    secs = F.timestamp_diff("SECOND", col(start), col(stop))
     v = secs / F.lit(float(per))
     return v if captured is None else F.coalesce(col(captured), v)
 

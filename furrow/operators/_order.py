@@ -31,8 +31,11 @@ def _negate(c: Column, dtype: T.DataType) -> Column:
         return -c
     if isinstance(dtype, T.DateType):
         return -F.unix_date(c)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, T.TimestampNTZType):
+        # microseconds since the epoch read as wall clock: no session time zone involved
+        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dtype, T.TimestampType):
+        return -F.unix_micros(c)
     if isinstance(dtype, T.BooleanType):
         return ~c
     raise TypeError(f"descending order on {dtype} needs a numeric, date, timestamp or boolean column")

@@ -76,7 +76,7 @@ def lead_interval(df: DataFrame, by, ts: str, value: str, out: str = "dli", scal
     nxt = firsts.select(*keys, "_bucket", F.lead("_first").over(wb).alias("_next_bucket_first"))
     d = d.join(nxt, [*keys, "_bucket"], "left")
     nxt_ts = F.coalesce(F.col("_next"), F.col("_next_bucket_first"))
-    secs = F.unix_micros(nxt_ts.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))
+    secs = F.timestamp_diff("MICROSECOND", F.col(ts), nxt_ts)
     val = F.coalesce(F.col(value) * (secs / 1e6) / F.lit(scale), F.lit(0.0))
     return d.withColumn(out, val).drop("_bucket", "_next", "_next_bucket_first")
 
