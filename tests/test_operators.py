@@ -194,3 +194,50 @@ def test_palletize_conserves_cases(spark):
 ])
 def test_parse_ts_two_digit_years(spark, raw, expected):
     assert _one(spark, parse.parse_ts_multi(F.col("x")), raw) == expected
+
+
+def test_palletize_golden(spark):
+    """Max 60 per pallet: 50 cases then 34 cases -> pallet 0 holds 50 + 10,
+    pallet 1 holds the remaining 24 (top-off across pack dates)."""
+    from furrow.operators.sales import palletize
+
+    f = spark.createDataFrame(
+        [("F", 1, 7, 9, dt.date(2024, 1, 2), 50, 60, 55, False, "cucumber", 1),
+         ("F", 1, 7, 9, dt.date(2024, 2, 3), 34, 60, 55, False, "cucumber", 2)],
+        "farm string, run int, customer int, product int, pack_date date, qty long, max_cases long, full_cases long, "
+        "stackable boolean, family string, line int")
+    pallets, alloc = palletize(f, ["farm", "run"], ["customer", "product"], "pack_date", "qty", "max_cases", "full_cases",
+                               "stackable", ["line"])
+    got = sorted((r["line"], r["pallet_index"], r["allocated_quantity"]) for r in alloc.collect())
+    assert got == [(1, 0, 50), (2, 0, 10), (2, 1, 24)]
+    labels = {r["pallet_index"]: (r["cases"], r["label"], r["pallet_number"]) for r in pallets.collect()}
+    assert labels == {0: (60, "Full", "CP01"), 1: (24, "Shareable", "CP02")}
+
+
+def test_range_join_matches_brute_force(spark):
+    from furrow.operators.joins import range_join
+
+    pts = spark.createDataFrame([(k, dt.datetime(2024, 1, 1) + dt.timedelta(days=i * 3 + k)) for k in range(3) for i in range(40)],
+                                "k int, t timestamp_ntz")
+    rng = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(days=s), dt.date(2024, 1, 1) + dt.timedelta(days=s + w), s * 10 + w)
+                                 for k in range(3) for s in range(0, 100, 17) for w in (0, 5, 40)],
+                                "k int, lo date, hi date, rid int")
+    got = sorted((r["k"], r["t"], r["rid"]) for r in range_join(pts, rng, ["k"], "t", "lo", "hi").collect())
+    p_rows, r_rows = pts.collect(), rng.collect()
+    want = sorted((p["k"], p["t"], r["rid"]) for p in p_rows for r in r_rows if p["k"] == r["k"] and r["lo"] <= p["t"].date() <= r["hi"])
+    assert got == want
+
+
+def test_price_resolution_tiers(spark):
+    from furrow.operators.sales import price_resolution
+
+    lines = spark.createDataFrame([(1, 10, 100, "A", dt.date(2024, 3, 1)), (2, 10, 200, "A", dt.date(2024, 3, 1)),
+                                   (3, 10, 300, "B", dt.date(2024, 3, 1)), (4, 10, 300, "B", dt.date(2023, 3, 1))],
+                                  "line int, product int, customer int, grp string, d date")
+    prices = spark.createDataFrame([
+        (10, None, None, 5.0, dt.date(2023, 1, 1), dt.date(2023, 12, 31)), (10, None, None, 6.0, dt.date(2024, 1, 1), None),
+        (10, None, "A", 4.0, dt.date(2024, 1, 1), None), (10, 100, None, 3.0, dt.date(2024, 1, 1), None)],
+        "product int, customer_id int, group_id string, price double, effective_from date, effective_to date")
+    out = {r["line"]: (r["price_per_case"], r["price_tier"]) for r in
+           price_resolution(lines, prices, ["line"], "product", "customer", "grp", "d").collect()}
+    assert out == {1: (3.0, "customer"), 2: (4.0, "group"), 3: (6.0, "default"), 4: (5.0, "default")}
