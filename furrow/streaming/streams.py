@@ -51,13 +51,19 @@ def _next_interval_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
     """Per key: sort the batch, pair each reading with the next one; the
     last reading waits in state for its successor (emitted later)."""
     frames = [p[["ts", "value"]] for p in pdfs if len(p)]
+    prev = None
     if state.exists:
         prev_ts, prev_val = state.get
-        frames.insert(0, pd.DataFrame({"ts": [pd.Timestamp(prev_ts)], "value": [float(prev_val)]}))
+        prev = pd.Timestamp(prev_ts)
     if not frames:
         return
     cur = pd.concat(frames, ignore_index=True)
     cur["ts"] = pd.to_datetime(cur["ts"])
+    if prev is not None:
+        # readings not newer than the stored one arrived late: the pair they
+        # belong to was already emitted, so they are left to the late report
+        cur = cur[cur["ts"] > prev]
+        cur = pd.concat([pd.DataFrame({"ts": [prev], "value": [float(prev_val)]}), cur], ignore_index=True)
     cur["value"] = cur["value"].astype("float64")
     cur = cur.sort_values("ts", kind="mergesort").reset_index(drop=True)
     nxt = cur["ts"].shift(-1)
