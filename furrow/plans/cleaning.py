@@ -67,12 +67,30 @@ PARSE_DATE_SQL = """CASE WHEN regexp_matches(trim({c}), '^\\d{{1,2}}/\\d{{1,2}}/
   WHEN regexp_matches(trim({c}), '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') THEN CAST(try_strptime(trim({c}), '%Y-%m-%d') AS DATE) END"""
 
 
-def _reg(name: str, sql_expr: str, spark_fn, out: str = "v"):
-    sql = DIRTY_SQL + f"SELECT k, {sql_expr} AS {out} FROM d"
+def flat_spark(df, c: str = "v", shape: str | None = None):
+    """Scalar-only output for the oracle compare: struct fields become
+    columns, arrays become '|'-joined text."""
+    if shape == "struct":
+        return df.select(*[x for x in df.columns if x != c], f"{c}.*")
+    if shape == "array":
+        return df.withColumn(c, F.array_join(F.transform(F.col(c), lambda e: e.cast("string")), "|"))
+    return df
+
+
+def flat_sql(sql: str, keys: str = "k", c: str = "v", shape: str | None = None) -> str:
+    if shape == "struct":
+        return f"SELECT {keys}, {c}.* FROM ({sql})"
+    if shape == "array":
+        return f"SELECT {keys}, array_to_string(list_transform({c}, lambda e: CAST(e AS VARCHAR)), '|') AS {c} FROM ({sql})"
+    return sql
+
+
+def _reg(name: str, sql_expr: str, spark_fn, out: str = "v", shape: str | None = None):
+    sql = flat_sql(DIRTY_SQL + f"SELECT k, {sql_expr} AS {out} FROM d", "k", out, shape)
 
     def q(spark, d):
         x = dirty_orders(Tables(spark, d))
-        return x.select("k", spark_fn(x).alias(out))
+        return flat_spark(x.select("k", spark_fn(x).alias(out)), out, shape)
 
     register(name, sql)(q)
 
@@ -92,9 +110,10 @@ _reg("combine_date_time", "CAST(o_orderdate AS DATE) + CAST(COALESCE(CASE WHEN k
      lambda x: parse.combine_date_time(F.col("o_orderdate").cast("date"),
                                        F.when(F.col("k") % 3 != 0, F.date_format(F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("k") % 24).cast("int")),
                                                                                  "HH:mm:ss")), default="07:00:00"))
-register("split_period", DIRTY_SQL + "SELECT k, {'start': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 1)") + ", 'end': "
+register("split_period", flat_sql(DIRTY_SQL + "SELECT k, {'start': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 1)") + ", 'end': "
          + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)") + ", 'check_date': " + PARSE_DATE_SQL.format(c="split_part(period, ' - ', 2)")
-         + "} AS v FROM d")(lambda spark, d: parse.with_split_period(dirty_orders(Tables(spark, d)), "period", out="v").select("k", "v"))
+         + "} AS v FROM d", shape="struct"))(
+    lambda spark, d: flat_spark(parse.with_split_period(dirty_orders(Tables(spark, d)), "period", out="v").select("k", "v"), shape="struct"))
 _reg("parse_number", "TRY_CAST(NULLIF(replace(trim(num), ',', ''), '') AS DOUBLE)", lambda x: parse.parse_number("num"))
 _reg("parse_int_trunc", "CAST(trunc(TRY_CAST(replace(num, ',', '') AS DOUBLE)) AS BIGINT)", lambda x: parse.parse_int_trunc(F.regexp_replace("num", ",", "")))
 _reg("percent_to_ratio", "ROUND(TRY_CAST(replace(replace(pct, ',', ''), '%', '') AS DOUBLE) / 100.0, 4)", lambda x: parse.percent_to_ratio("pct"))
@@ -117,7 +136,7 @@ _reg("compose_key", "lower(o_orderstatus) || '_' || CAST(o_custkey AS VARCHAR) |
      lambda x: codes.compose_key("{farm}_{site}_trap_{n}", farm=F.lower("o_orderstatus"), site="o_custkey", n=F.col("k") % 9))
 _reg("split_pair_cell", "{'primary': CASE WHEN lower(trim(o_orderpriority || '/' || o_orderstatus)) = 'mixed' THEN '' "
      "ELSE trim(split_part(trim(o_orderpriority || '/' || o_orderstatus), '/', 1)) END, 'secondary': trim(split_part(trim(o_orderpriority || '/' || o_orderstatus), '/', -1))}",
-     lambda x: codes.split_pair_cell(F.concat_ws("/", "o_orderpriority", "o_orderstatus")))
+     lambda x: codes.split_pair_cell(F.concat_ws("/", "o_orderpriority", "o_orderstatus")), shape="struct")
 _reg("offset_key", "CASE WHEN o_orderstatus = 'P' THEN k + 100000 ELSE k END", lambda x: codes.offset_key("k", F.col("o_orderstatus") == "P", 100000))
 _reg("map_values", "COALESCE(CASE lower(trim(o_orderstatus)) WHEN 'f' THEN 'Fulfilled' WHEN 'o' THEN 'Open' END, 'Other')",
      lambda x: codes.map_values("o_orderstatus", {"F": "Fulfilled", "O": "Open"}, miss="other"))
@@ -133,10 +152,10 @@ _reg("name_from_email", "{'first_name': upper(substr(split_part(lower(trim(email
      "'last_name': CASE WHEN len(regexp_split_to_array(split_part(lower(trim(email)), '@', 1), '[._\\-]+')) > 1 THEN "
      "upper(substr(regexp_split_to_array(split_part(lower(trim(email)), '@', 1), '[._\\-]+')[-1], 1, 1)) || "
      "lower(substr(regexp_split_to_array(split_part(lower(trim(email)), '@', 1), '[._\\-]+')[-1], 2)) ELSE '' END}",
-     lambda x: text.name_from_email("email"))
+     lambda x: text.name_from_email("email"), shape="struct")
 _reg("split_list", "(SELECT list_filter(l, lambda x, i: list_position(l, x) = i) FROM (SELECT list_filter(list_transform("
      "regexp_split_to_array(lst, '[+;&,]'), lambda x: trim(x)), lambda x: x <> '') AS l))",
-     lambda x: lists.split_list("lst", dedupe=True))
+     lambda x: lists.split_list("lst", dedupe=True), shape="array")
 _reg("join_labelled_notes", "NULLIF(concat_ws(' | ', CASE WHEN NOT COALESCE(upper(trim(o_orderpriority)) IN ('', 'N/A'), true) "
      "THEN 'Priority: ' || trim(o_orderpriority) END, CASE WHEN NOT COALESCE(upper(trim(o_orderstatus)) IN ('', 'N/A'), true) "
      "THEN 'Status: ' || trim(o_orderstatus) END), '')",
@@ -146,7 +165,7 @@ _reg("concat_paragraphs", "NULLIF(concat_ws(chr(10) || chr(10), CASE WHEN NOT CO
      lambda x: lists.concat_paragraphs(["frac", "flag"]))
 _reg("collect_nonblank", "list_filter([CASE WHEN NOT COALESCE(upper(trim(frac)) IN ('', 'N/A'), true) THEN trim(frac) END, "
      "CASE WHEN NOT COALESCE(upper(trim(flag)) IN ('', 'N/A'), true) THEN trim(flag) END], lambda x: x IS NOT NULL)",
-     lambda x: lists.collect_nonblank(["frac", "flag"]))
+     lambda x: lists.collect_nonblank(["frac", "flag"]), shape="array")
 _reg("carry_unmatched", "CASE WHEN (CASE WHEN o_orderstatus = 'F' THEN 1 END) IS NULL AND o_orderpriority IS NOT NULL THEN "
      "CASE WHEN COALESCE(trim(NULLIF(flag, '')), '') = '' THEN '[' || o_orderpriority || ']' ELSE '[' || o_orderpriority || '] ' || NULLIF(flag, '') END "
      "ELSE NULLIF(flag, '') END",
@@ -210,16 +229,16 @@ def q_slug_to_proper(spark, d):
     return c.select("c_custkey", text.slug_to_proper(text.slug(F.concat_ws(" ", "c_mktsegment", "c_name"))).alias("v"))
 
 
-@register("split_person_name", """
+@register("split_person_name", flat_sql("""
 SELECT c_custkey, {'first_name': CASE WHEN len(string_split(regexp_replace(trim(c_mktsegment || ' ' || c_name), '\\s+', ' ', 'g'), ' ')) <= 1
     THEN regexp_replace(trim(c_mktsegment || ' ' || c_name), '\\s+', ' ', 'g')
     ELSE array_to_string(string_split(regexp_replace(trim(c_mktsegment || ' ' || c_name), '\\s+', ' ', 'g'), ' ')[2:], ' ') END,
   'last_name': CASE WHEN len(string_split(regexp_replace(trim(c_mktsegment || ' ' || c_name), '\\s+', ' ', 'g'), ' ')) <= 1 THEN 'Unknown'
     ELSE string_split(regexp_replace(trim(c_mktsegment || ' ' || c_name), '\\s+', ' ', 'g'), ' ')[1] END} AS v
-FROM customer""")
+FROM customer""", keys="c_custkey", shape="struct"))
 def q_split_person_name(spark, d):
     c = Tables(spark, d).customer
-    return c.select("c_custkey", text.split_person_name(F.concat_ws(" ", "c_mktsegment", "c_name")).alias("v"))
+    return flat_spark(c.select("c_custkey", text.split_person_name(F.concat_ws(" ", "c_mktsegment", "c_name")).alias("v")), shape="struct")
 
 
 @register("rewrite_path", """
@@ -231,19 +250,17 @@ def q_rewrite_path(spark, d):
 
 
 @register("regex_extract_events", """
-SELECT page_id, map_from_entries(list_filter([
-  {'key': 'lang', 'value': CASE WHEN regexp_extract(url, '/(\\d+)', 1) <> '' THEN
+SELECT page_id, (SELECT lang FROM (SELECT CASE WHEN regexp_extract(url, '/(\\d+)', 1) <> '' THEN
       lpad(CAST(CASE WHEN TRY_CAST(split_part(regexp_extract(url, '/(\\d+)', 1), ':', 1) AS INTEGER) < 7
                      THEN TRY_CAST(split_part(regexp_extract(url, '/(\\d+)', 1), ':', 1) AS INTEGER) + 12
-                     ELSE TRY_CAST(split_part(regexp_extract(url, '/(\\d+)', 1), ':', 1) AS INTEGER) END AS VARCHAR), 2, '0') || ':00' END}],
-  lambda x: x.value IS NOT NULL)) AS v
+                     ELSE TRY_CAST(split_part(regexp_extract(url, '/(\\d+)', 1), ':', 1) AS INTEGER) END AS VARCHAR), 2, '0') || ':00' END AS lang)) AS v
 FROM pages""")
 def q_regex_extract_events(spark, d):
     p = Tables(spark, d).pages
-    return p.select("page_id", codes.regex_extract_events("url", {"lang": r"/(\d+)"}).alias("v"))
+    return p.select("page_id", F.element_at(codes.regex_extract_events("url", {"lang": r"/(\d+)"}), F.lit("lang")).alias("v"))
 
 
-@register("parse_cycle_code", """
+@register("parse_cycle_code", flat_sql("""
 WITH c AS (SELECT o_orderkey AS k, upper(trim(CASE WHEN o_orderstatus = 'F' THEN 'S-' ELSE '' END || strftime(o_orderdate, '%y%m')
               || lpad(CAST(o_orderkey % 12 AS VARCHAR), 2, '0') || o_orderstatus)) AS s FROM orders),
 p AS (SELECT k, starts_with(s, 'S-') AS is_trial, CASE WHEN starts_with(s, 'S-') THEN substr(s, 3) ELSE s END AS core FROM c)
@@ -253,12 +270,12 @@ SELECT k, CASE WHEN regexp_matches(core, '^\\d{4}[0-9A-Z]{2}[A-Z]$') AND TRY_CAS
    'month': TRY_CAST(substr(core, 3, 2) AS INTEGER), 'site': substr(core, 5, 2), 'variety': substr(core, 7, 1),
    'seeding_month': make_date(CASE WHEN TRY_CAST(substr(core, 1, 2) AS INTEGER) >= 70 THEN TRY_CAST(substr(core, 1, 2) AS INTEGER) + 1900
                                    ELSE TRY_CAST(substr(core, 1, 2) AS INTEGER) + 2000 END, TRY_CAST(substr(core, 3, 2) AS INTEGER), 1)} END AS v
-FROM p""")
+FROM p""", shape="struct"))
 def q_parse_cycle_code(spark, d):
     o = Tables(spark, d).orders
     code = F.concat(F.when(F.col("o_orderstatus") == "F", F.lit("S-")).otherwise(F.lit("")),
                     codes.cycle_code("o_orderdate", F.lpad((F.col("o_orderkey") % 12).cast("string"), 2, "0"), "o_orderstatus"))
-    return o.select(F.col("o_orderkey").alias("k"), codes.parse_cycle_code(code).alias("v"))
+    return flat_spark(o.select(F.col("o_orderkey").alias("k"), codes.parse_cycle_code(code).alias("v")), shape="struct")
 
 
 # Weather channel kinds bound to the event types of the
@@ -267,7 +284,7 @@ EVENT_CHANNELS = {"view": ("TEMPERATURE", 1), "click": ("HUMIDITY", 0), "purchas
                   "error": ("WIND_DIRECTION", 0), "signup": ("RAIN", 0)}
 
 
-@register("unit_convert", """
+@register("unit_convert", flat_sql("""
 WITH e AS (SELECT event_id, CASE event_type WHEN 'view' THEN 'TEMPERATURE' WHEN 'click' THEN 'HUMIDITY' WHEN 'purchase' THEN 'WIND_AVERAGE_SPEED'
                   WHEN 'error' THEN 'WIND_DIRECTION' ELSE 'RAIN' END AS kind,
                   CASE event_type WHEN 'view' THEN 1 WHEN 'purchase' THEN 1 ELSE 0 END AS ex, value FROM events),
@@ -276,9 +293,10 @@ SELECT event_id, {'value': CASE WHEN kind = 'TEMPERATURE' THEN ROUND((x / 100) *
   WHEN kind = 'WIND_AVERAGE_SPEED' THEN ROUND((x / 100) * 2.23694, 2) WHEN kind = 'RAIN' THEN ROUND((x / 1000) * 0.0393701, 4)
   WHEN kind NOT IN ('WIND_DIRECTION', 'POWER_SUPPLY') THEN x END,
   'label': CASE WHEN kind = 'WIND_DIRECTION' THEN ['N', 'NNE', 'NE', 'ENE', 'E', 'ESE', 'SE', 'SSE', 'S', 'SSW', 'SW', 'WSW', 'W', 'WNW', 'NW', 'NNW'][CAST(trunc(x) AS INTEGER) + 1] END} AS v
-FROM v""")
+FROM v""", keys="event_id", shape="struct"))
 def q_unit_convert(spark, d):
     ev = Tables(spark, d).events
     kind = F.create_map(*[x for k, (kd, _) in EVENT_CHANNELS.items() for x in (F.lit(k), F.lit(kd))])
     ex = F.create_map(*[x for k, (_, e) in EVENT_CHANNELS.items() for x in (F.lit(k), F.lit(e))])
-    return ev.select("event_id", arith.unit_convert(F.element_at(kind, F.col("event_type")), F.col("value"), F.element_at(ex, F.col("event_type"))).alias("v"))
+    return flat_spark(ev.select("event_id", arith.unit_convert(F.element_at(kind, F.col("event_type")), F.col("value"),
+                                                                F.element_at(ex, F.col("event_type"))).alias("v")), shape="struct")

@@ -165,13 +165,13 @@ WITH al AS (
   UNION ALL SELECT c_custkey, 2, lower(trim(c_mktsegment)) FROM customer
   UNION ALL SELECT c_custkey, 3, lower(trim('nation ' || CAST(c_nationkey AS VARCHAR))) FROM customer),
 best AS (SELECT a, min(p) AS bp FROM al GROUP BY a)
-SELECT al.a AS alias, COUNT(DISTINCT al.id) AS n_ids, list_sort(list(DISTINCT al.id)) AS ids
+SELECT al.a AS alias, COUNT(DISTINCT al.id) AS n_ids, array_to_string(list_transform(list_sort(list(DISTINCT al.id)), lambda e: CAST(e AS VARCHAR)), '|') AS ids
 FROM al JOIN best ON al.a = best.a AND al.p = best.bp GROUP BY al.a HAVING COUNT(DISTINCT al.id) > 1""")
 def q_multi_alias_lookup(spark, d):
     c = Tables(spark, d).customer
     aliases = [(1, F.col("c_name")), (2, F.col("c_mktsegment")), (3, F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")))]
     _, collisions = jn.multi_alias_lookup(c.select("c_name"), "c_name", c, "c_custkey", aliases, "employee_id")
-    return collisions
+    return collisions.withColumn("ids", F.array_join(F.transform("ids", lambda e: e.cast("string")), "|"))
 
 
 @register("multi_alias_lookup_resolve", """
@@ -361,7 +361,8 @@ MULTI_CODE_CELL_SQL = ("'Supplier#' || lpad(CAST(o_custkey % 100 AS VARCHAR), 9,
 @register("multi_code_join", f"""
 WITH parts AS (SELECT o_orderkey, lower(trim(unnest(string_split({MULTI_CODE_CELL_SQL}, '+')))) AS part FROM orders),
 codes AS (SELECT s_suppkey, lower(s_name) AS a FROM supplier UNION SELECT s_suppkey, lower(regexp_replace(s_name, '_\\d+$', '')) FROM supplier)
-SELECT p.o_orderkey, list_sort(list(DISTINCT c.s_suppkey) FILTER (WHERE c.s_suppkey IS NOT NULL)) AS matched_ids
+SELECT p.o_orderkey, array_to_string(list_transform(list_sort(list(DISTINCT c.s_suppkey) FILTER (WHERE c.s_suppkey IS NOT NULL)),
+                                                       lambda e: CAST(e AS VARCHAR)), '|') AS matched_ids
 FROM parts p LEFT JOIN codes c ON p.part = c.a
 GROUP BY p.o_orderkey""")
 def q_multi_code_join(spark, d):
@@ -369,7 +370,8 @@ def q_multi_code_join(spark, d):
     cell = F.concat(F.lit("Supplier#"), F.lpad((F.col("o_custkey") % 100).cast("string"), 9, "0"), F.lit("+"),
                     F.lit("Supplier#"), F.lpad((F.col("o_orderkey") % 100).cast("string"), 9, "0"), F.lit("_2"))
     o = t.orders.select("o_orderkey", cell.alias("cell"))
-    return jn.multi_code_join(o, "cell", t.supplier, "s_name", "s_suppkey", keys=["o_orderkey"])
+    j = jn.multi_code_join(o, "cell", t.supplier, "s_name", "s_suppkey", keys=["o_orderkey"])
+    return j.withColumn("matched_ids", F.array_join(F.transform("matched_ids", lambda e: e.cast("string")), "|"))
 
 
 @register("strip_prefix_retry_join", """
@@ -568,10 +570,14 @@ def q_mode_per_key(spark, d):
 
 
 @register("collect_children", """
-SELECT l_orderkey, list_sort(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey})) AS children
+SELECT l_orderkey, array_to_string(list_transform(list_sort(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey})),
+  lambda x: CAST(x.l_linenumber AS VARCHAR) || ':' || CAST(x.l_partkey AS VARCHAR) || ':' || CAST(x.l_suppkey AS VARCHAR)), ',') AS children
 FROM lineitem GROUP BY 1""")
 def q_collect_children(spark, d):
-    return agg.collect_children(Tables(spark, d).lineitem, ["l_orderkey"], ["l_partkey", "l_suppkey"], order=["l_linenumber"])
+    c = agg.collect_children(Tables(spark, d).lineitem, ["l_orderkey"], ["l_partkey", "l_suppkey"], order=["l_linenumber"])
+    flat = F.transform("children", lambda x: F.concat_ws(":", x["l_linenumber"].cast("string"), x["l_partkey"].cast("string"),
+                                                          x["l_suppkey"].cast("string")))
+    return c.select("l_orderkey", F.array_join(flat, ",").alias("children"))
 
 
 @register("interval_regularity", """
