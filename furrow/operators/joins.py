@@ -25,14 +25,24 @@ def _norm(c):
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on: str, dim_key: str, take, on_duplicate: str = "first",
-                order=None, normalise: bool = True) -> DataFrame:
+                order=None, normalise: bool = True, priority=None) -> DataFrame:
     """Many-to-one lookup by (normalised) key; misses give NULL. Duplicate
-    dimension keys are resolved explicitly: first / last in ``order``."""
-    d = dim.select(F.col(dim_key), *[F.col(t) for t in take], *[F.col(o.lstrip("-")) for o in (order or [])
-                                                                   if o.lstrip("-") not in take and o.lstrip("-") != dim_key])
+    dimension keys are resolved explicitly: first / last in ``order``, or
+    ``priority`` = (column, [preferred values in rank order]) - e.g. the
+    preferred item category - with ``order`` breaking ties."""
+    extra = [o.lstrip("-") for o in (order or [])]
+    if priority is not None:
+        extra.append(priority[0])
+    d = dim.select(F.col(dim_key), *[F.col(t) for t in take], *[F.col(c) for c in dict.fromkeys(extra) if c not in take and c != dim_key])
     d = d.withColumn("_lk", _norm(F.col(dim_key).cast("string")) if normalise else F.col(dim_key))
     d = d.where(F.col("_lk").isNotNull())
-    d = (keep_first if on_duplicate == "first" else keep_last)(d, ["_lk"], order or [dim_key])
+    if on_duplicate == "priority":
+        pcol, ranked = priority
+        pos = F.array_position(F.array(*[F.lit(v) for v in ranked]), F.col(pcol))  # 0 when absent
+        rank = F.when(F.coalesce(pos, F.lit(0)) == 0, F.lit(len(ranked) + 1)).otherwise(pos)
+        d = keep_first(d.withColumn("_prio", rank.cast("long")), ["_lk"], ["_prio", *(order or [dim_key])])
+    else:
+        d = (keep_first if on_duplicate == "first" else keep_last)(d, ["_lk"], order or [dim_key])
     d = d.select("_lk", *take)
     left = df.withColumn("_lk", _norm(F.col(on).cast("string")) if normalise else F.col(on))
     return left.join(d, "_lk", "left").drop("_lk")

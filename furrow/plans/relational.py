@@ -145,6 +145,20 @@ def q_lookup_join_last(spark, d):
                           order=["canonical_id"]).select("p_partkey", "canonical_id")
 
 
+@register("lookup_join_priority", """
+WITH dim AS (SELECT lower(trim(p_name)) AS k,
+                    arg_min(p_partkey, (CASE p_type WHEN 'PROMO' THEN 1 WHEN 'SMALL' THEN 2 ELSE 3 END, p_partkey)) AS canonical_id
+             FROM part GROUP BY 1)
+SELECT p.p_partkey, dim.canonical_id FROM part p LEFT JOIN dim ON lower(trim(p.p_name)) = dim.k""")
+def q_lookup_join_priority(spark, d):
+    """Preferred-category rule: among parts sharing a name, PROMO beats SMALL
+    beats the rest, then the smallest key."""
+    p = Tables(spark, d).part
+    dim = p.select("p_name", "p_type", F.col("p_partkey").alias("canonical_id"))
+    return jn.lookup_join(p.select("p_partkey", "p_name"), dim, "p_name", "p_name", ["canonical_id"], on_duplicate="priority",
+                          order=["canonical_id"], priority=("p_type", ["PROMO", "SMALL"])).select("p_partkey", "canonical_id")
+
+
 @register("cascade_lookup", """
 SELECT l.l_orderkey, l.l_linenumber, COALESCE(p.p_name, s.s_name) AS resolved
 FROM lineitem l
