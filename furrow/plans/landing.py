@@ -151,7 +151,9 @@ SELECT table_name, column_name, {_SPARK_TYPES_SQL} AS data_type FROM information
 WHERE table_name IN ({", ".join("'" + t + "'" for t in TABLE_NAMES)})""")
 def q_catalog_columns(spark, d):
     db = f"furrow_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    # the database folder lives in the shared checkpoint folder, not in the
+    # driver's working directory (the default warehouse location)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{_run_dir(spark, 'catalog')}'")
     for t in TABLE_NAMES:
         spark.sql(f"CREATE OR REPLACE VIEW {db}.{t} AS SELECT * FROM parquet.`{table_path(d, t)}`")
     return readers.catalog_columns(spark, db).select("table_name", "column_name", "data_type")
