@@ -27,7 +27,9 @@ def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str =
     the month of the first order column)."""
     w_in = Window.partitionBy(*by, bucket).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     inside = df.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    totals = df.groupBy(*by, bucket).agg(F.sum(value).alias("_bt"))
+    # bucket totals from the windowed rows: same partitioning, so the input
+    # is shuffled (and read) once and the exchange is shared
+    totals = inside.groupBy(*by, bucket).agg(F.sum(value).alias("_bt"))
     wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, bucket, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
     return inside.join(offsets, [*by, bucket], "left").withColumn(out, F.col("_in") + F.col("_off")).drop("_in", "_off")

@@ -189,7 +189,7 @@ def row_number_bucketed(df: DataFrame, by, order, bucket, out: str = "rn") -> Da
     d = df.withColumn("_b", bucket)
     w = Window.partitionBy(*keys, "_b").orderBy(*window_order(order))
     d = d.withColumn("_rnb", F.row_number().over(w))
-    counts = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = d.groupBy(*keys, "_b").agg(F.max("_rnb").alias("_n"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
     return d.join(offs, [*keys, "_b"], "left").withColumn(out, F.col("_rnb") + F.col("_off")).drop("_b", "_rnb", "_off")
