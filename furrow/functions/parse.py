@@ -142,8 +142,6 @@ def with_split_period(df, period, check=None, out: str = "period_parts"):
     """DataFrame form of ``split_period``: each date is parsed once, in its
     own projection (Catalyst keeps the projections apart because merging
     them would duplicate the parse), then packed into the same struct."""
-    from pyspark.sql import DataFrame  # noqa: F401
-
     d = df.withColumn("_sp_p", _strip(period))
     p = F.col("_sp_p")
     has = p.contains(" - ")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.functions import arith, codes, lists, parse, text
+from furrow.functions import arith, codes, parse, text
 from furrow.operators import aggregates as agg
 from furrow.operators import joins as jn
 from furrow.operators import reshape as rs

@@ -7,14 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from furrow.functions import arith, codes, lists, text
+from furrow.functions import arith, codes
 from furrow.operators import aggregates as agg
 from furrow.operators import joins as jn
 from furrow.operators import reshape as rs
 from furrow.operators import rows, setops
 from furrow.operators import windows as win
 from furrow.plans.registry import register
-from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
 

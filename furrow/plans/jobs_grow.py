@@ -13,7 +13,6 @@ from furrow.operators import reshape as rs
 from furrow.operators import rows, rules
 from furrow.operators import windows as win
 from furrow.plans.registry import register
-from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from furrow.functions.arith import share_round
 from furrow.operators import aggregates as agg
 from furrow.operators import joins as jn
 from furrow.operators import rows

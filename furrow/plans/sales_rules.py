@@ -305,8 +305,6 @@ WITH w AS (SELECT user_id, date_trunc('hour', ts) AS hr, max(CASE WHEN event_typ
                   max(CASE WHEN event_type = 'click' THEN value END) AS click FROM events GROUP BY 1, 2)
 SELECT user_id, hr, CASE WHEN view IS NOT NULL AND click IS NOT NULL THEN view / (click + 1) END AS ratio FROM w""")
 def q_calculated_metric(spark, d):
-    from furrow.operators.aggregates import pivot_channels
-
     ev = Tables(spark, d).events.withColumn("hr", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     w = ev.groupBy("user_id", "hr").agg(F.max(F.when(F.col("event_type") == "view", F.col("value"))).alias("view"),
                                         F.max(F.when(F.col("event_type") == "click", F.col("value"))).alias("click"))
