@@ -234,10 +234,21 @@ def load_counters(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.groupBy(reason).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def json_agg_rows(df: DataFrame, by=None, out: str = "rows_json") -> DataFrame:
-    """Rows -> JSON array text per group (``by``); without ``by`` each row is
-    rendered as its own JSON object so no single task holds the result."""
+def json_agg_rows(df: DataFrame, by=None, order=None, page_size: int = 1000, bucket=None, out: str = "rows_json") -> DataFrame:
+    """Rows -> JSON array text per group (``by``), in pages of at most
+    ``page_size`` rows (``page`` column, 0-based, in ``order``), so a group
+    holding a third of all rows never becomes one array in one task; the
+    page numbers come from the bucketed row number (``bucket`` monotone in
+    ``order``). Without ``by`` each row is rendered as its own JSON object."""
     payload = [c for c in df.columns if not by or c not in by]
     if not by:
         return df.select(F.to_json(F.struct(*payload)).alias(out))
-    return df.groupBy(*by).agg(F.to_json(F.sort_array(F.collect_list(F.struct(*payload)))).alias(out))
+    from furrow.operators._order import rank_struct
+    from furrow.operators.windows import row_number_bucketed, row_number_within
+
+    order = list(order or payload)
+    numbered = row_number_bucketed(df, by, order, bucket, out="_rn") if bucket is not None else row_number_within(df, by, order, out="_rn")
+    paged = numbered.withColumn("page", ((F.col("_rn") - 1) / page_size).cast("long"))
+    r = rank_struct(paged, order)
+    return paged.groupBy(*by, "page").agg(
+        F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(r.alias("_k"), F.struct(*payload).alias("_v")))), lambda x: x["_v"])).alias(out))

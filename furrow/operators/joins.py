@@ -64,7 +64,8 @@ def cascade_lookup(df: DataFrame, steps, out: str) -> DataFrame:
 def multi_alias_lookup(df: DataFrame, on: str, dim: DataFrame, id_col: str, aliases, out: str):
     """One entity reachable by several aliases, ``aliases = [(priority, Column)]``
     over ``dim``. Returns (joined, collisions): an alias claimed by several
-    ids at its best priority resolves to the smallest id and is reported."""
+    ids at its best priority resolves to the smallest id and is reported
+    (one row per alias and id)."""
     exploded = dim.select(
         F.col(id_col).alias("_id"),
         F.explode(F.array(*[F.struct(F.lit(p).alias("p"), _norm(c).alias("a")) for p, c in aliases])).alias("_al"),
@@ -74,8 +75,11 @@ def multi_alias_lookup(df: DataFrame, on: str, dim: DataFrame, id_col: str, alia
         F.min("_p").alias("_p"),
     )
     at_best = exploded.join(best.select("_a", F.col("_p").alias("_bp")), "_a").where(F.col("_p") == F.col("_bp"))
-    collisions = at_best.groupBy("_a").agg(F.countDistinct("_id").alias("n_ids"), F.sort_array(F.collect_set("_id")).alias("ids")) \
-        .where(F.col("n_ids") > 1).withColumnRenamed("_a", "alias")
+    pairs = at_best.select("_a", "_id").distinct()
+    # long form (one row per alias and id): an alias shared by millions of
+    # ids never becomes one array in one task
+    n = pairs.groupBy("_a").agg(F.count(F.lit(1)).alias("n_ids")).where(F.col("n_ids") > 1)
+    collisions = pairs.join(n, "_a").select(F.col("_a").alias("alias"), F.col("_id").alias("id"), "n_ids")
     joined = df.withColumn("_a", _norm(F.col(on))).join(best.select("_a", F.col("_id").alias(out)), "_a", "left").drop("_a")
     return joined, collisions
 

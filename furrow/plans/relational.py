@@ -177,14 +177,15 @@ WITH al AS (
   SELECT c_custkey AS id, 1 AS p, lower(trim(c_name)) AS a FROM customer
   UNION ALL SELECT c_custkey, 2, lower(trim(c_mktsegment)) FROM customer
   UNION ALL SELECT c_custkey, 3, lower(trim('nation ' || CAST(c_nationkey AS VARCHAR))) FROM customer),
-best AS (SELECT a, min(p) AS bp FROM al GROUP BY a)
-SELECT al.a AS alias, COUNT(DISTINCT al.id) AS n_ids, array_to_string(list_transform(list_sort(list(DISTINCT al.id)), lambda e: CAST(e AS VARCHAR)), '|') AS ids
-FROM al JOIN best ON al.a = best.a AND al.p = best.bp GROUP BY al.a HAVING COUNT(DISTINCT al.id) > 1""")
+best AS (SELECT a, min(p) AS bp FROM al GROUP BY a),
+pairs AS (SELECT DISTINCT al.a, al.id FROM al JOIN best ON al.a = best.a AND al.p = best.bp),
+n AS (SELECT a, COUNT(*) AS n_ids FROM pairs GROUP BY a HAVING COUNT(*) > 1)
+SELECT pairs.a AS alias, pairs.id AS id, n.n_ids FROM pairs JOIN n USING (a)""")
 def q_multi_alias_lookup(spark, d):
     c = Tables(spark, d).customer
     aliases = [(1, F.col("c_name")), (2, F.col("c_mktsegment")), (3, F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")))]
     _, collisions = jn.multi_alias_lookup(c.select("c_name"), "c_name", c, "c_custkey", aliases, "employee_id")
-    return collisions.withColumn("ids", F.array_join(F.transform("ids", lambda e: e.cast("string")), "|"))
+    return collisions
 
 
 @register("multi_alias_lookup_resolve", """
@@ -626,11 +627,11 @@ def q_alloc_proportional(spark, d):
 
 
 @register("json_agg_rows", """
-SELECT o_custkey, to_json(list_sort(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus}))) AS rows_json
-FROM orders GROUP BY 1""")
+SELECT o_custkey, page, to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS rows_json
+FROM (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 5 AS page FROM orders) GROUP BY 1, 2""")
 def q_json_agg_rows(spark, d):
     o = Tables(spark, d).orders.select("o_custkey", "o_orderkey", "o_orderstatus")
-    return agg.json_agg_rows(o, by=["o_custkey"])
+    return agg.json_agg_rows(o, by=["o_custkey"], order=["o_orderkey"], page_size=5, bucket=F.floor(F.col("o_orderkey") / 1000))
 
 
 # ---------------------------------------------------------------- §2.7 windows
