@@ -115,14 +115,16 @@ def upsert_state_handler(state_dir: str, parent_key, child_fk, children_for, par
 
 
 def late_report_handler(out_dir: str, ts: str, lookback_hours: int = 6):
-    """``foreachBatch`` handler: append the rows of a micro-batch that are
-    older than the batch's newest event time minus the look-back."""
+    """``foreachBatch`` handler: report the rows of a micro-batch that are
+    older than the batch's newest event time minus the look-back. Each batch
+    writes its own ``batch_id=N`` folder with overwrite, so a batch replayed
+    after a failure rewrites its report instead of duplicating it."""
     def handler(batch: DataFrame, batch_id: int):
         mx = batch.agg(F.max(ts)).first()[0]
         if mx is None:
             return
-        late = batch.where(F.col(ts) < F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))).withColumn("batch_id", F.lit(batch_id))
-        late.write.mode("append").parquet(out_dir)
+        late = batch.where(F.col(ts) < F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)))
+        late.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     return handler
 
