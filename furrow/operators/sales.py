@@ -21,20 +21,37 @@ from pyspark.sql import functions as F
 from furrow.operators._order import window_order
 
 
-def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str = "cum_before") -> DataFrame:
-    """Sum of ``value`` over earlier rows of the same group in ``order``
-    (exclusive prefix sum). ``bucket`` must be monotone in the order (e.g.
-    the month of the first order column)."""
+# Groups above this many rows take the bucketed path. At most
+# rows / HOT_GROUP_ROWS groups can be that large, which bounds the hot-key
+# set that is broadcast (e.g. 1e12 rows -> at most 2e5 keys).
+HOT_GROUP_ROWS = 5_000_000
+
+
+def _running_total_bucketed(df: DataFrame, by, order, value: str, bucket: str, out: str) -> DataFrame:
     w_in = Window.partitionBy(*by, bucket).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     inside = df.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    # bucket totals from the windowed rows: same partitioning, so the input
-    # is shuffled (and read) once and the exchange is shared
     totals = inside.groupBy(*by, bucket).agg(F.sum(value).alias("_bt"))
     wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, bucket, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
     return inside.join(offsets, [*by, bucket], "left").withColumn(out, F.col("_in") + F.col("_off")).drop("_in", "_off")
 
 
+def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str = "cum_before",
+                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Sum of ``value`` over earlier rows of the same group in ``order``
+    (exclusive prefix sum). Groups with more than ``hot_rows`` rows are
+    split by ``bucket`` (monotone in the order) and carried across buckets
+    through a small per-(group, bucket) table; every other group uses one
+    window. The hot-group set comes from a partial-aggregated count."""
+    keys = list(by)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
+    d = df.join(F.broadcast(hot), keys, "left")
+    w = Window.partitionBy(*keys).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
+    cold = d.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
+    warm = _running_total_bucketed(d.where(F.col("_hot")).drop("_hot"), keys, order, value, bucket, out)
+    return cold.unionByName(warm.select(*cold.columns))
+
+
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
               order_tail=(), family: str = "family", number_bucket=None) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).

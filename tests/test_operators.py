@@ -173,8 +173,10 @@ def test_running_total_equals_window(spark, skewed):
 
     w = Window.partitionBy("k").orderBy("d", "i").rowsBetween(Window.unboundedPreceding, -1)
     a = skewed.select("i", F.coalesce(F.sum("i").over(w), F.lit(0)).alias("cum_before"))
-    b = running_total(skewed.withColumn("_b", F.date_trunc("month", "d")), ["k"], ["d", "i"], "i", "_b").select("i", "cum_before")
-    assert sorted(a.collect()) == sorted(b.collect())
+    x = skewed.withColumn("_b", F.date_trunc("month", "d"))
+    b = running_total(x, ["k"], ["d", "i"], "i", "_b").select("i", "cum_before")
+    c = running_total(x, ["k"], ["d", "i"], "i", "_b", hot_rows=100).select("i", "cum_before")  # hot key takes the bucketed path
+    assert sorted(a.collect()) == sorted(b.collect()) == sorted(c.collect())
 
 
 def test_palletize_conserves_cases(spark):
