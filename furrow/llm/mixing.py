@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from furrow.llm.common import written
 
-ALPHA = 0.7
+ALPHA = 0.9
 ROUNDS = 25
 LOCAL_CELLS = 200_000
 DIMS = ("source", "lang", "topic")
