@@ -81,7 +81,7 @@ def own_text(text: Column) -> Column:
         quote_next = lambda i: F.coalesce(F.get(ls, i + 1), F.lit("")).rlike(QUOTE)
         return F.filter(ls, lambda line, i: ~line.rlike(QUOTE) & ~(line.rlike(INTRODUCES) & quote_next(i)))
 
-    return F.trim(F.array_join(F.transform(F.array(F.split(text, "\n")), own)[0], "\n"))
+    return F.regexp_replace(F.array_join(F.transform(F.array(F.split(text, "\n")), own)[0], "\n"), r"^\s+|\s+$", "")
 
 
 def format_chats(messages: DataFrame) -> DataFrame:
@@ -119,8 +119,8 @@ joined AS (SELECT base.*, parent, n_quoted, root, depth FROM base LEFT JOIN best
 shaped AS (SELECT *, coalesce(root, turn) AS thread, coalesce(depth, 0) AS deep, string_split(text, chr(10)) AS ls FROM joined)
 SELECT conv_id, turn, role, parent AS reply_to, coalesce(n_quoted, 0)::BIGINT AS n_quoted, thread, deep::BIGINT AS depth,
   lpad(coalesce(thread, -1)::VARCHAR, 12, '0') || '/' || lpad(deep::VARCHAR, 12, '0') || '/' || lpad(coalesce(turn, -1)::VARCHAR, 12, '0') AS place,
-  '<|' || coalesce(role, '') || '|>' || chr(10) || trim(array_to_string(list_filter(ls, lambda l, i:
+  '<|' || coalesce(role, '') || '|>' || chr(10) || regexp_replace(array_to_string(list_filter(ls, lambda l, i:
     NOT regexp_matches(l, '^[ \t]*>') AND NOT (regexp_matches(l, '(?i)^.*\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$')
-      AND regexp_matches(coalesce(ls[i + 1], ''), '^[ \t]*>'))), chr(10))) || chr(10) || '<|end|>' AS formatted
+      AND regexp_matches(coalesce(ls[i + 1], ''), '^[ \t]*>'))), chr(10)), '^\s+|\s+$', '', 'g') || chr(10) || '<|end|>' AS formatted
 FROM shaped
 """

@@ -170,11 +170,12 @@ def suspect_texts(src: DataFrame, flagged: DataFrame) -> DataFrame:
     return src.join(flagged.select("fp").distinct(), "fp", "left_semi").select(*src.columns)
 
 
-def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
+def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", fingerprint=F.xxhash64) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
+    ``fingerprint``: a 64-bit hash of the normalised text."""
     ship(docs.sparkSession)
     norm = docs.select(F.col(id_col).cast("long").alias("doc_id"), collapsed(F.col(text).cast("string")).alias("norm"))
-    src = norm.select("doc_id", "norm", F.xxhash64("norm").alias("fp"), F.unhex(F.sha2("norm", 256)).alias("sha"))
+    src = norm.select("doc_id", "norm", fingerprint("norm").cast("long").alias("fp"), F.unhex(F.sha2("norm", 256)).alias("sha"))
     rows = written(fingerprint_rows(src), "rows")
     flagged = rows.where("suspect")
     texts = suspect_texts(src, flagged)

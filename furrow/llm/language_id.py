@@ -36,8 +36,8 @@ LETTERS = 252
 SEGMENT = 256
 STEP_CHARS = 1 << 20
 UNDETERMINED = "und"
-# Letters above which a text that no language explains is rejected.
-FOREIGN_LETTERS = 20
+# A text of at least so many letters is foreign if its best parse needs a phrase for nearly every character.
+FOREIGN_LETTERS, FOREIGN_RATE = 20, 0.9
 
 _SPACE, _UNKNOWN, _END, _FIRST_LETTER = 0, 1, 2, 3
 
@@ -157,7 +157,7 @@ def phrases(model: Model, rows: list[np.ndarray]) -> np.ndarray:
 
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), lang_pred, score (0 to 1: how far the best rate is below
-    the second), foreign (no learned language explains the text better than another)."""
+    the second), foreign (in no learned language do its letters follow each other)."""
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast((model, model.class_of_char()))
@@ -189,15 +189,16 @@ def _classes(text: str, class_of: np.ndarray) -> np.ndarray:
 def _result(column: pa.Array, model: Model, rows: list[np.ndarray]) -> pa.RecordBatch:
     letters = np.array([int((r != _SPACE).sum()) for r in rows])
     if model.langs:
-        rates = phrases(model, rows) * np.array(model.bits) / np.maximum(1, [len(r) for r in rows])[:, None]
+        per_char = phrases(model, rows) / np.maximum(1, [len(r) for r in rows])[:, None]
+        foreign = (per_char.min(axis=1) >= FOREIGN_RATE) & (letters >= FOREIGN_LETTERS)
+        rates = per_char * np.array(model.bits)
         best = rates.argmin(axis=1)
         two = np.sort(rates, axis=1)[:, :2]
         score = np.ones(len(rows)) if two.shape[1] < 2 else 1 - two[:, 0] / np.maximum(two[:, 1], 1e-300)
         lang = [model.langs[b] if n else UNDETERMINED for b, n in zip(best, letters)]
         score = np.where(letters > 0, score, 0.0)
     else:
-        lang, score = [UNDETERMINED] * len(rows), np.zeros(len(rows))
-    foreign = (score == 0) & (letters >= FOREIGN_LETTERS)
+        lang, score, foreign = [UNDETERMINED] * len(rows), np.zeros(len(rows)), np.zeros(len(rows), bool)
     return pa.RecordBatch.from_arrays([column, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                                        pa.array(foreign)], names=["row", "lang_pred", "score", "foreign"])
 
