@@ -133,32 +133,18 @@ def round_half_up_int(c) -> Column:
     return F.round(col(c)).cast("int")
 
 
-def share_weights(df: DataFrame, part, whole, part_scale: int = 2, prefix: str = "_sw") -> DataFrame:
-    """Pre-compute the integer weight terms of ``share_round`` once per row
-    (centi-hours of the part and of the whole) so several measures reuse
-    them and the generated code stays small."""
-    f = F.lit(10 ** part_scale)
-    return df.withColumns({
-        f"{prefix}_w": F.round(col(part) * f).cast("long"),
-        f"{prefix}_wt": F.round(col(whole) * f).cast("long"),
-    })
-
-
-def share_round(amount, part=None, whole=None, scale: int = 2, part_scale: int = 2, prefix: str | None = None) -> Column:
+def share_round(amount, part, whole, scale: int = 2, weight_scale: int = 0) -> Column:
     """round(amount x part / whole, scale) computed exactly, half away from
-    zero (NUMERIC semantics): amount and the hours are scaled to integers
-    (cents, centi-hours), the product is divided with integer arithmetic,
-    so no binary-float tie can flip the last digit. With ``prefix`` the
-    weight terms come from ``share_weights``."""
-    m = (col(amount) * F.lit(10 ** scale)).cast("long")
-    if prefix is not None:
-        w, wt = F.col(f"{prefix}_w"), F.col(f"{prefix}_wt")
-    else:
-        w = F.round(col(part) * F.lit(10 ** part_scale)).cast("long")
-        wt = F.round(col(whole) * F.lit(10 ** part_scale)).cast("long")
+    zero (NUMERIC semantics): the amount in units of its last digit and the
+    weights in units of 10^-weight_scale are whole numbers, and the product
+    is divided as such, so neither a rounded weight nor a binary-float tie
+    can move the last digit. Weights with more decimals than
+    ``weight_scale`` are rounded to it."""
+    unit = F.lit(10 ** weight_scale)
+    m = (col(amount) * F.lit(10 ** scale)).cast("decimal(18,0)")
+    w = F.round(col(part) * unit).cast("decimal(19,0)")
+    wt = F.round(col(whole) * unit).cast("decimal(19,0)")
     prod = m * w
-    num = F.abs(prod) * 2 + wt
-    den = wt * 2
-    q = F.floor(num / den).cast("long")
+    q = F.call_function("div", F.abs(prod) * F.lit(2) + wt, wt * F.lit(2))
     signed = F.when(prod < 0, -q).otherwise(q)
     return (signed.cast("decimal(18,0)") * F.lit(10 ** -scale).cast(f"decimal({scale + 1},{scale})")).cast(f"decimal(18,{scale})")

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.operators._order import rank_struct
 
@@ -200,7 +201,8 @@ def daily_packer_rollup(df: DataFrame, day: str, product_cols: dict, reporter: s
 def alloc_proportional(totals: DataFrame, weights: DataFrame, on, share_key: str, weight: str, measures,
                        fallback_key: str, scale: int = 2, zero_total_keep=()) -> DataFrame:
     """Split each total row across ``weights`` rows by their share of the
-    per-total weight sum (exact half-away-from-zero rounding); rows without
+    per-total weight sum (exact half-away-from-zero rounding; weights count with all decimals of their type, floats
+    with nine); rows without
     weights keep the total under ``fallback_key``. Measures in
     ``zero_total_keep`` keep the full amount when the weight sum is 0
     (others become 0). Weights are pre-aggregated per (on, share_key) so
@@ -214,9 +216,11 @@ def alloc_proportional(totals: DataFrame, weights: DataFrame, on, share_key: str
         .withColumn(weight, F.lit(0).cast(w.schema[weight].dataType)).withColumn("_wtotal", F.lit(None).cast(wsum.schema["_wtotal"].dataType))
     out = with_w.unionByName(without.select(*with_w.columns))
     dec = f"decimal(18,{scale})"
+    kind = weights.schema[weight].dataType
+    weight_scale = kind.scale if isinstance(kind, T.DecimalType) else 9 if isinstance(kind, T.FractionalType) else 0
     for m in measures:
         alloc = (F.when(F.col("_wtotal").isNull(), F.col(m).cast(dec))
-                 .when(F.col("_wtotal") > 0, share_round(F.col(m), F.col(weight), F.col("_wtotal"), scale))
+                 .when(F.col("_wtotal") > 0, share_round(F.col(m), F.col(weight), F.col("_wtotal"), scale, weight_scale))
                  .otherwise(F.col(m).cast(dec) if m in zero_total_keep else F.lit(0).cast(dec)))
         out = out.withColumn(m, alloc.cast(dec))
     return out.drop("_wtotal")

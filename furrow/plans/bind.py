@@ -107,6 +107,37 @@ schedule AS (
 )"""
 
 
+def shifts(t: Tables) -> DataFrame:
+    """The schedule with shifts of 5 to 250 minutes in steps of five:
+    captured hours only on every third line (to two decimals), the rest
+    from stop - start."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    start = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(7))
+    stop = start + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int") * 5)
+    hours = (F.col("l_quantity") / 4).cast("decimal(18,2)")
+    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+        F.lit(ORG).alias("org_id"),
+        F.col("o_custkey").alias("hr_employee_id"),
+        F.col("l_returnflag").alias("ops_task_id"),
+        start.cast("timestamp_ntz").alias("start_time"),
+        stop.cast("timestamp_ntz").alias("stop_time"),
+        F.when(F.col("l_linenumber") % 3 == 0, hours).alias("total_hours"),
+        F.lit(False).alias("is_deleted"),
+    )
+
+
+SHIFTS_SQL = f"""
+shifts AS (
+  SELECT {ORG} AS org_id, o.o_custkey AS hr_employee_id, l.l_returnflag AS ops_task_id,
+         l.l_shipdate + INTERVAL 7 HOUR AS start_time,
+         l.l_shipdate + INTERVAL 7 HOUR + to_minutes(CAST(l.l_quantity AS INTEGER) * 5) AS stop_time,
+         CASE WHEN l.l_linenumber % 3 = 0 THEN CAST(l.l_quantity / 4 AS DECIMAL(18,2)) END AS total_hours,
+         false AS is_deleted
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+
 def tasks(spark) -> DataFrame:
     """Task dimension: a fixed three-row literal table (a JVM-local relation,
     so broadcasting it is safe and no Python worker is involved)."""

@@ -608,20 +608,18 @@ def q_interval_regularity(spark, d):
 
 
 @register("alloc_proportional", """
-WITH w AS (SELECT l_orderkey, l_returnflag, SUM(CAST(l_quantity AS DECIMAL(18,2))) AS qty FROM lineitem GROUP BY 1, 2),
-ws AS (SELECT l_orderkey, SUM(qty) AS tot FROM w GROUP BY 1),
+WITH w AS (SELECT l_orderkey, l_returnflag, SUM(CAST(CAST(l_quantity AS DECIMAL(18,3)) / 7 AS DECIMAL(18,3))) AS qty FROM lineitem GROUP BY 1, 2),
+s AS (SELECT *, (qty * 1000)::HUGEINT AS part, (SUM(qty) OVER (PARTITION BY l_orderkey) * 1000)::HUGEINT AS whole FROM w),
 t AS (SELECT o_orderkey AS l_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderpriority FROM orders)
-SELECT t.l_orderkey, w.l_returnflag, w.qty,
-  CAST(CAST(sign(CAST(t.amount * 100 AS BIGINT) * CAST(ROUND(w.qty * 100) AS BIGINT)) *
-   ((2 * abs(CAST(t.amount * 100 AS BIGINT) * CAST(ROUND(w.qty * 100) AS BIGINT)) + CAST(ROUND(ws.tot * 100) AS BIGINT))
-    // (2 * CAST(ROUND(ws.tot * 100) AS BIGINT))) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS amount
-FROM t JOIN w ON w.l_orderkey = t.l_orderkey JOIN ws ON ws.l_orderkey = t.l_orderkey WHERE ws.tot > 0
-UNION ALL
-SELECT t.l_orderkey, t.o_orderpriority, CAST(0 AS DECIMAL(18,2)), t.amount FROM t WHERE NOT EXISTS (SELECT 1 FROM ws WHERE ws.l_orderkey = t.l_orderkey)""")
+SELECT l_orderkey, coalesce(l_returnflag, o_orderpriority) AS l_returnflag, coalesce(qty, 0)::DECIMAL(18,3) AS qty,
+  CAST(CASE WHEN whole IS NULL THEN amount WHEN whole = 0 THEN 0 ELSE
+    CAST((amount * 100)::HUGEINT * part // whole + CASE WHEN 2 * ((amount * 100)::HUGEINT * part % whole) >= whole THEN 1 ELSE 0 END AS DECIMAL(18,0))
+    * CAST(0.01 AS DECIMAL(3,2)) END AS DECIMAL(18,2)) AS amount
+FROM t LEFT JOIN s USING (l_orderkey)""")
 def q_alloc_proportional(spark, d):
     t = Tables(spark, d)
     totals = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), "o_orderpriority")
-    weights = t.lineitem.select("l_orderkey", "l_returnflag", F.col("l_quantity").cast("decimal(18,2)").alias("qty"))
+    weights = t.lineitem.select("l_orderkey", "l_returnflag", (F.col("l_quantity").cast("decimal(18,3)") / 7).cast("decimal(18,3)").alias("qty"))
     out = agg.alloc_proportional(totals, weights, ["l_orderkey"], "l_returnflag", "qty", ["amount"], "o_orderpriority")
     return out.select("l_orderkey", "l_returnflag", "qty", "amount")
 
