@@ -2,10 +2,9 @@
 small configuration table, evaluated as Spark SQL expressions.
 
 Each formula is checked against a whitelist (input names, numbers,
-+ - * / ( ) and ROUND) before it reaches ``F.expr``; the distinct
-formulas of the configuration (a bounded dimension, size-checked) are
-compiled once and applied with a CASE on the configuration key, so the
-evaluation itself stays JVM-side for every row.
++ - * / ( ) and ROUND) before it reaches ``F.expr``; each distinct formula
+text of the configuration is compiled once and applied to all keys that
+have it, so the evaluation itself stays JVM-side for every row.
 """
 
 from __future__ import annotations
@@ -41,17 +40,15 @@ def compile_formula(text: str, inputs: dict[str, str]) -> str:
     return " ".join(out)
 
 
-def formula_eval(df: DataFrame, config: DataFrame, key: str, formula_col: str, inputs: dict[str, str],
-                 max_formulas: int = 10_000) -> Column:
-    """CASE over the configuration key of the compiled formulas, as a Column
-    over ``df`` (``key`` must exist in both)."""
-    n = config.select(key, formula_col).distinct().count()
-    if n > max_formulas:
-        raise ValueError(f"{n} distinct formulas exceed the bound {max_formulas}")
-    rows = config.select(key, formula_col).distinct().collect()
-    expr = None
-    for r in sorted(rows, key=lambda r: str(r[0])):
-        e = F.expr(compile_formula(r[1], inputs))
-        cond = F.col(key) == F.lit(r[0])
-        expr = F.when(cond, e) if expr is None else expr.when(cond, e)
-    return expr if expr is not None else F.lit(None)
+def formula_eval(df: DataFrame, config: DataFrame, key: str, formula_col: str, inputs: dict[str, str]) -> Column:
+    """A Column over ``df`` (``key`` must exist in both): one branch per
+    distinct formula text, chosen by the configuration keys that have it."""
+    rows = config.select(key, formula_col).distinct().collect()  # the configuration, not the data
+    keys_of: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: (str(r[0]), str(r[1]))):
+        if r[0] is not None and r[1] is not None:
+            keys_of.setdefault(r[1], []).append(r[0])
+    expr = F.when(F.lit(False), F.lit(None))
+    for text, keys in keys_of.items():
+        expr = expr.when(F.col(key).isin(*keys), F.expr(compile_formula(text, inputs)))
+    return expr

@@ -164,8 +164,10 @@ def parse_number(c, default=None, strip: str = ",", dtype: str = "double") -> Co
 
 
 def parse_int_trunc(c, default=None) -> Column:
-    """``int(float(x))``: truncation toward zero."""
-    v = parse_number(c, strip="").cast("long")
+    """``int(float(x))``: truncation toward zero; text, nan, infinity and
+    values beyond 64 bits are invalid."""
+    x = parse_number(c, strip="")
+    v = F.when(~F.isnan(x), x).try_cast("long")
     return v if default is None else F.coalesce(v, F.lit(default).cast("long"))
 
 
@@ -187,14 +189,14 @@ def parse_positive(c) -> Column:
 
 
 def parse_mixed_fraction(c) -> Column:
-    """'23 7/8' -> 23.875 rounded to 4 places; N/A or no digit -> NULL."""
+    """'23 7/8' -> 23.875 rounded to 4 places; N/A, no digit or a zero denominator -> NULL."""
     s = _strip(c)
     parts = F.split(F.regexp_replace(s, r"\s+", " "), " ")
     terms = F.transform(
         parts,
         lambda p: F.when(
             p.contains("/"),
-            F.substring_index(p, "/", 1).try_cast("double") / F.substring_index(p, "/", -1).try_cast("double"),
+            F.try_divide(F.substring_index(p, "/", 1).try_cast("double"), F.substring_index(p, "/", -1).try_cast("double")),
         ).otherwise(p.try_cast("double")),
     )
     total = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)

@@ -21,7 +21,8 @@ from furrow.operators.windows import keep_first, keep_last
 
 
 def _norm(c):
-    return F.lower(F.trim(c))
+    """Lower case without white space (of any kind) at the ends."""
+    return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on: str, dim_key: str, take, on_duplicate: str = "first",
@@ -100,8 +101,8 @@ def inner_join_multi(df: DataFrame, joins) -> DataFrame:
 def inequality_join(a: DataFrame, b: DataFrame, a_level: str, b_required: str, keys=()) -> DataFrame:
     """``a.level >= b.required`` for small non-negative integer levels:
     each ``a`` row fans out to the levels 0..level (bounded by the level
-    domain) and joins ``b`` on equality."""
-    fan = a.withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.col(a_level).cast("int"))))
+    domain) and joins ``b`` on equality; a negative level meets nothing."""
+    fan = a.where(F.col(a_level) >= 0).withColumn("_lvl", F.explode(F.sequence(F.lit(0), F.col(a_level).cast("int"))))
     return fan.join(b.withColumnRenamed(b_required, "_lvl"), [*keys, "_lvl"], "inner").withColumn(b_required, F.col("_lvl")).drop("_lvl")
 
 
@@ -122,6 +123,7 @@ def range_join(points: DataFrame, ranges: DataFrame, eq, point: str, lo: str, hi
     lo_b = F.date_trunc(bucket, F.col(lo).cast("date")).cast("date")
     hi_b = F.date_trunc(bucket, F.col(hi).cast("date")).cast("date")
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    ranges = ranges.where(F.col(lo).cast("date") <= F.col(hi).cast("date"))  # an inverted range holds no point
     n_buckets = F.size(F.sequence(lo_b, hi_b, step))
     if max_buckets is None:
         short, long_ = ranges, None
@@ -225,24 +227,31 @@ def join_using(df: DataFrame, others, on, how: str = "left") -> DataFrame:
     return df
 
 
-def prefix_join(df: DataFrame, cell: str, codes: DataFrame, code: str, max_len: int = 64) -> DataFrame:
-    """``code startswith cell``: each code emits its prefixes (bounded by the
-    code length), turning the theta join into an equi-join on the prefix."""
-    pref = codes.withColumn("_p", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length(code), F.lit(max_len))),
-                                                        lambda n: F.substr(F.col(code), F.lit(1), n))))
+def prefix_join(df: DataFrame, cell: str, codes: DataFrame, code: str) -> DataFrame:
+    """``code startswith cell``: each code emits its prefixes (as many as it
+    has characters), turning the theta join into an equi-join on the prefix."""
+    pref = codes.where(F.length(code) > 0).withColumn(
+        "_p", F.explode(F.transform(F.sequence(F.lit(1), F.length(code)), lambda n: F.substr(F.col(code), F.lit(1), n))))
     return df.join(pref, df[cell] == pref["_p"], "inner").drop("_p")
 
 
 def multi_code_join(df: DataFrame, cell: str, codes: DataFrame, code: str, id_col: str, sep: str = r"\+",
                     out: str = "matched_ids", keys=()) -> DataFrame:
     """Split a cell on ``sep``; each part matches a code exactly or by its
-    base (a trailing '_N' stripped); distinct ids per source row."""
+    base (a trailing '_N' stripped); distinct ids per source row. Without
+    ``keys`` a row is told apart by all its columns and comes back as often
+    as it was given."""
+    grp = list(keys) or list(df.columns)
+    if not keys:
+        df = df.groupBy(*grp).agg(F.count("*").alias("_rows"))
     parts = df.withColumn("_part", F.explode_outer(F.filter(F.transform(F.split(F.col(cell), sep), lambda x: F.lower(F.trim(x))), lambda x: x != "")))
     alias_tbl = codes.select(F.col(id_col), F.explode(F.array_distinct(F.array(
         F.lower(F.col(code)), F.lower(F.regexp_replace(F.col(code), r"_\d+$", ""))))).alias("_part"))
     j = parts.join(alias_tbl, "_part", "left")
-    grp = [c for c in df.columns] if not keys else list(keys)
-    return j.groupBy(*grp).agg(F.sort_array(F.collect_set(id_col)).alias(out))
+    if keys:
+        return j.groupBy(*grp).agg(F.sort_array(F.collect_set(id_col)).alias(out))
+    found = j.groupBy(*grp, "_rows").agg(F.sort_array(F.collect_set(id_col)).alias(out))
+    return found.withColumn("_rows", F.explode(F.sequence(F.lit(1).cast("long"), "_rows"))).drop("_rows")
 
 
 def strip_prefix_retry_join(df: DataFrame, on: str, dim: DataFrame, dim_key: str, value: str, prefix: str = "S-",

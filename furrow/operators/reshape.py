@@ -118,8 +118,10 @@ def series_days(df: DataFrame, start: str, end: str, day: str = "day", clip: boo
     """One row per calendar day of [start, end]; with ``clip`` each row
     carries the part of the interval inside that day. Like the source
     system, an interval ending exactly at midnight yields a zero-length
-    last day unless ``drop_empty``."""
-    d = df.withColumn(day, F.explode(F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))))
+    last day unless ``drop_empty``. An interval that ends before it starts
+    has no day."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    d = df.where(first <= last).withColumn(day, F.explode(F.sequence(first, last)))
     if clip:
         day_start = F.col(day).cast("timestamp_ntz")
         d = d.withColumn("day_start", F.greatest(F.col(start), day_start)) \

@@ -242,23 +242,26 @@ def q_upsert_by_key(spark, d):
 
 
 @register("insert_ignore", """
-WITH t AS (SELECT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) = 1997),
-n AS (SELECT DISTINCT o_orderkey, o_custkey FROM orders WHERE year(o_orderdate) IN (1997, 1998))
-SELECT * FROM t UNION ALL SELECT * FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)""")
+WITH t AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'),
+n AS (SELECT l_orderkey AS o_orderkey, min(l_suppkey) AS o_custkey FROM lineitem GROUP BY 1)
+SELECT * FROM t UNION ALL SELECT n.* FROM n ANTI JOIN t USING (o_orderkey)""")
 def q_insert_ignore(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"))
-    return sinks.insert_ignore(o.where(F.col("y") == 1997).drop("y"), o.where(F.col("y").isin(1997, 1998)).drop("y"), ["o_orderkey"])
+    """Finished orders, and a row for every line item's order from elsewhere: seen orders keep their row."""
+    t = Tables(spark, d)
+    finished = t.orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("o_custkey"))
+    return sinks.insert_ignore(finished, lines, ["o_orderkey"], order=["o_custkey"])
 
 
 @register("upsert_parent_replace_children", """
-WITH kids AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE year(o.o_orderdate) = 1997),
-touched AS (SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1997 AND o_orderstatus = 'F')
+WITH kids AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem),
+touched AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
 SELECT * FROM kids WHERE l_orderkey NOT IN (SELECT o_orderkey FROM touched)
 UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM touched)""")
 def q_upsert_parent_replace_children(spark, d):
     t = Tables(spark, d)
-    o = t.orders.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderstatus")
-    kids = t.lineitem.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
+    o = t.orders.select("o_orderkey", "o_orderstatus")
+    kids = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
     newp = o.where(F.col("o_orderstatus") == "F")
     newc = t.lineitem.join(newp.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey") \
         .select("l_orderkey", "l_linenumber", (F.col("l_quantity") + 1).alias("l_quantity"))
@@ -267,12 +270,13 @@ def q_upsert_parent_replace_children(spark, d):
 
 
 @register("update_from_values", """
-WITH v AS (SELECT o_custkey AS c_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS c_acctbal FROM orders WHERE year(o_orderdate) = 2001 GROUP BY 1)
-SELECT c.c_custkey, COALESCE(v.c_acctbal, c.c_acctbal) AS c_acctbal FROM customer c LEFT JOIN v USING (c_custkey)""")
+WITH v AS (SELECT o_custkey AS c_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus <> 'F') AS DOUBLE) AS c_acctbal
+  FROM orders GROUP BY 1)
+SELECT c.c_custkey, CASE WHEN v.c_custkey IS NULL THEN c.c_acctbal ELSE v.c_acctbal END AS c_acctbal FROM customer c LEFT JOIN v USING (c_custkey)""")
 def q_update_from_values(spark, d):
     t = Tables(spark, d)
-    v = t.orders.where(F.year("o_orderdate") == 2001).groupBy(F.col("o_custkey").alias("c_custkey")) \
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("c_acctbal"))
+    open_ = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice").cast("decimal(18,2)"))  # none open: the value is NULL
+    v = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum(open_).cast("double").alias("c_acctbal"))
     return sinks.update_from_values(t.customer.select("c_custkey", "c_acctbal"), v, ["c_custkey"], ["c_acctbal"])
 
 
@@ -304,7 +308,8 @@ def q_insert_missing_dims(spark, d):
 
 
 @register("surrogate_id", """
-SELECT o_orderkey, substr(sha256(concat_ws('|', COALESCE(CAST(o_custkey AS VARCHAR), chr(0)), COALESCE(CAST(o_orderdate AS VARCHAR), chr(0)))), 1, 32) AS id
+SELECT o_orderkey, substr(sha256(COALESCE(length(o_custkey::VARCHAR) || ':' || o_custkey::VARCHAR, '-') || '|' ||
+  COALESCE(length(o_orderdate::VARCHAR) || ':' || o_orderdate::VARCHAR, '-')), 1, 32) AS id
 FROM orders""")
 def q_surrogate_id(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderdate")

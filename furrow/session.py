@@ -10,8 +10,11 @@ tests and on a 1000-executor job.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Adaptive broadcast threshold: AQE turns a sort-merge join into a
@@ -26,43 +29,76 @@ def build_session(
     shuffle_partitions: int | None = None,
     app_name: str = "furrow",
 ) -> SparkSession:
-    master = master or os.environ.get("FURROW_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("FURROW_SHUFFLE_PARTITIONS", "8"))
+    """A session with the library's settings. Master, driver memory and
+    shuffle partitions are set only when asked for (argument or
+    environment), so that a submit's own values stay; without any master the
+    session is local."""
+    given = SparkConf()
+    master = master or os.environ.get("FURROW_MASTER") or (None if given.contains("spark.master") else "local[*]")
+    parts = shuffle_partitions or os.environ.get("FURROW_SHUFFLE_PARTITIONS") \
+        or (8 if (master or "").startswith("local[") and not given.contains("spark.sql.shuffle.partitions") else None)
     builder = (
-        SparkSession.builder.master(master)
+        SparkSession.builder
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", ADAPTIVE_BROADCAST_BYTES)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("FURROW_DRIVER_MEMORY", "16g"))
     )
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("FURROW_DRIVER_MEMORY", "16g"))
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment (a shared file system
-    every executor can read); it is only created here when unset, which is
-    the local-test case.
+    On a cluster the deployment must set it to a file system that every
+    executor can read. Only a session in one process (master ``local``) gets a
+    temporary folder when it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="furrow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's modules to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(spark.sparkContext._temp_dir, f"furrow-{app}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

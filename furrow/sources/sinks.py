@@ -12,6 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from furrow.operators.windows import keep_first, keep_last
+
+
+def _one_per_key(df: DataFrame, keys, order=None) -> DataFrame:
+    """The last row of each key in ``order``; without one, the greatest by all other columns."""
+    rest = [c for c in df.columns if c not in keys]
+    if order:
+        return keep_last(df, list(keys), list(order))
+    if not rest:
+        return df.select(*keys).distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+
 
 def write_append(df: DataFrame, path: str, partition_by=()) -> None:
     w = df.write.mode("append")
@@ -37,13 +49,12 @@ def export_summary(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (df.write.mode("overwrite").option("header", True).csv(path) if fmt == "csv" else df.write.mode("overwrite").parquet(path))
 
 
-def upsert_by_key(target: DataFrame, updates: DataFrame, keys, update_cols=None) -> DataFrame:
+def upsert_by_key(target: DataFrame, updates: DataFrame, keys, update_cols=None, order=None) -> DataFrame:
     """Insert new keys; for existing keys overwrite ``update_cols`` (all
-    non-key columns by default). Duplicate keys in ``updates``: last wins
-    by input order is undefined in SQL, so one row per key is required
-    upstream (use ``keep_last``)."""
+    non-key columns by default). Of duplicate keys in ``updates`` the last
+    in ``order`` wins."""
     update_cols = list(update_cols or [c for c in target.columns if c not in keys])
-    u = updates.select(*keys, *update_cols).withColumn("_new", F.lit(True))
+    u = _one_per_key(updates, keys, order).select(*keys, *update_cols).withColumn("_new", F.lit(True))
     t = target.withColumn("_new", F.lit(False))
     j = t.join(u.select(*keys, *[F.col(c).alias("_u_" + c) for c in update_cols], F.col("_new").alias("_hit")), list(keys), "left")
     updated = j.select(*keys, *[F.when(F.col("_hit"), F.col("_u_" + c)).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)
@@ -55,10 +66,12 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys, update_cols=None)
     return updated.select(*target.columns).unionByName(inserted.select(*target.columns))
 
 
-def insert_ignore(target: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """Rows of ``new`` whose key is unseen (in target and earlier in ``new``)
-    appended to the target: ``ON CONFLICT DO NOTHING``."""
-    fresh = new.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+def insert_ignore(target: DataFrame, new: DataFrame, keys, order=None) -> DataFrame:
+    """Rows of ``new`` whose key is unseen (in target and earlier in ``new``,
+    by ``order``) appended to the target: ``ON CONFLICT DO NOTHING``."""
+    rest = [c for c in new.columns if c not in keys]
+    first = keep_first(new, list(keys), list(order or rest)) if rest else new.distinct()
+    fresh = first.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -72,17 +85,20 @@ def upsert_parent_replace_children(parents: DataFrame, children: DataFrame, new_
     return p_state, kept.unionByName(new_children.select(*children.columns))
 
 
-def update_from_values(target: DataFrame, values: DataFrame, keys, cols) -> DataFrame:
-    """Keyed bulk update of chosen columns (one VALUES join)."""
-    v = values.select(*keys, *[F.col(c).alias("_v_" + c) for c in cols]).dropDuplicates(list(keys))
+def update_from_values(target: DataFrame, values: DataFrame, keys, cols, order=None) -> DataFrame:
+    """Keyed bulk update of chosen columns (one VALUES join): a matched row
+    gets the given values, NULL included; of duplicate keys the last in
+    ``order`` counts."""
+    v = _one_per_key(values.select(*keys, *cols, *[o.lstrip("-") for o in order or () if o.lstrip("-") not in (*keys, *cols)]), keys, order)
+    v = v.select(*keys, *[F.col(c).alias("_v_" + c) for c in cols], F.lit(True).alias("_hit"))
     j = target.join(v, list(keys), "left")
-    return j.select(*[F.coalesce(F.col("_v_" + c), F.col(c)).alias(c) if c in cols else F.col(c) for c in target.columns])
+    return j.select(*[F.when(F.col("_hit"), F.col("_v_" + c)).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in target.columns])
 
 
 def update_if_distinct(target: DataFrame, values: DataFrame, key: str, cols, key_fn=F.lower):
     """Case-insensitive key match; update only values that really change.
     Returns (new_state, changed_rows)."""
-    v = values.select(key_fn(F.col(key)).alias("_k"), *[F.col(c).alias("_v_" + c) for c in cols]).dropDuplicates(["_k"])
+    v = _one_per_key(values.select(key_fn(F.col(key)).alias("_k"), *[F.col(c).alias("_v_" + c) for c in cols]), ["_k"])
     j = target.withColumn("_k", key_fn(F.col(key))).join(v, "_k", "left")
     changed = F.lit(False)
     for c in cols:
@@ -122,9 +138,11 @@ def stamp_audit(df: DataFrame, user_col: str | None = None, system_user: str = "
 
 def surrogate_id(df: DataFrame, keys, out: str = "id") -> DataFrame:
     """Deterministic id from the natural key (stable on recompute, so
-    children get the parent id without a round trip)."""
-    return df.withColumn(out, F.substr(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]), 256),
-                                       F.lit(1), F.lit(32)))
+    children get the parent id without a round trip). Each value goes in
+    with its length, so no two keys share a text."""
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-"))
+             for v in (F.col(k).cast("string") for k in keys)]
+    return df.withColumn(out, F.substr(F.sha2(F.concat_ws("|", *parts), 256), F.lit(1), F.lit(32)))
 
 
 def drop_null_payload(df: DataFrame, defaults: dict) -> DataFrame:
