@@ -1,26 +1,30 @@
 """Fuzzy name matching (§2.5 ``fuzzy_best_match``).
 
-Names are normalised, de-duplicated (each distinct name is scored once),
-and scored with Python's block-matching similarity ratio (containment
-counts as at least 0.9); the best candidate at or above the threshold
-wins, ties going to the smallest id.
-
-Candidates are a dimension. When its row count is within
-``max_broadcast`` it is shipped once to every executor and scored inside
-an Arrow-batched pandas UDF over the distinct names (no join at all).
-Beyond that bound an exact length filter is used instead: a ratio of at
-least t is only possible when the shorter string has at least t/(2-t) of
-the longer one's length, so each name is joined (equi-join) only to the
-candidate lengths it can reach, and scored pairwise in pandas.
+Names are normalised and de-duplicated (each distinct name is scored once),
+and scored with Python's block-matching similarity ratio; if one contains the
+other the score is at least 0.9. The candidate with the best (score,
+preference) at or above the threshold wins, ties going to the smallest id.
+
+Only pairs that can reach the threshold are scored, found by equi-joins:
+
+* one contains the other: the contained text's first three characters (or
+  all of them) are a substring of the other; joined on that, then tested.
+* a ratio of at least t: lengths within t / (2 - t) of each other, and a
+  common bigram. With M matched characters of S in both names, the matching
+  blocks are at most S - 2M + 1, so without a block of two M <= (S + 1) / 3;
+  that is below tS / 2 once S > 2 / (3t - 2). Shorter names (and any t up to
+  2/3) are also joined on single characters.
+
+Both are necessary conditions, so the answer is that of scoring all pairs at
+any size of either side.
 """
 
 from __future__ import annotations
 
 import difflib
-import math
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.text import normalize_match_name
@@ -30,56 +34,73 @@ THRESHOLD = 0.78
 CONTAINMENT_SCORE = 0.9
 
 
-def _score(a: str, b: str) -> float:
+def score_names(a: str, b: str, threshold: float = 0.0) -> float:
+    """Similarity of two names; 0 as soon as it can't reach ``threshold``."""
     if not a or not b:
         return 0.0
-    s = difflib.SequenceMatcher(None, a, b).ratio()
-    if a in b or b in a:
-        s = max(s, CONTAINMENT_SCORE)
-    return s
+    m = difflib.SequenceMatcher(None, a, b)
+    floor = CONTAINMENT_SCORE if a in b or b in a else 0.0
+    if floor < threshold and (m.real_quick_ratio() < threshold or m.quick_ratio() < threshold):
+        return 0.0
+    return max(m.ratio(), floor)
 
 
-def fuzzy_best_match(df: DataFrame, name: str, candidates: DataFrame, cand_id: str, cand_name: str,
-                     threshold: float = THRESHOLD, out: str = "match_id", max_broadcast: int = 200_000) -> DataFrame:
-    names = df.select(F.col(name).alias("_raw")).distinct().withColumn("_n", normalize_match_name(F.col("_raw")))
-    cands = candidates.select(F.col(cand_id).alias("_id"), normalize_match_name(F.col(cand_name)).alias("_c")).where(F.col("_c") != "")
-    n_cands = cands.count()
-    if n_cands <= max_broadcast:
-        rows = sorted((r["_id"], r["_c"]) for r in cands.collect())
-        bc = df.sparkSession.sparkContext.broadcast(rows)
-
-        @F.pandas_udf("long")
-        def best(ns: pd.Series) -> pd.Series:
-            cl = bc.value
-            res = []
-            for n in ns:
-                top, top_id = -1.0, None
-                for cid, c in cl:
-                    s = _score(n, c)
-                    if s > top:
-                        top, top_id = s, cid
-                res.append(top_id if top >= threshold else None)
-            return pd.Series(res, dtype="Int64")
-
-        matched = names.withColumn(out, best(F.col("_n")))
-    else:
-        lo = threshold / (2 - threshold)
-        cl = cands.withColumn("_len", F.length("_c"))
-        nl = names.withColumn("_len", F.explode(F.sequence(
-            F.greatest(F.lit(1), F.ceil(F.length("_n") * lo).cast("int")),
-            F.floor(F.length("_n") / lo).cast("int"))))
-        pairs = nl.join(cl, "_len", "inner")
-
-        @F.pandas_udf("double")
-        def score(a: pd.Series, b: pd.Series) -> pd.Series:
-            return pd.Series([_score(x, y) for x, y in zip(a, b)])
-
-        scored = pairs.withColumn("_s", score("_n", "_c")).where(F.col("_s") >= threshold)
-        best = scored.groupBy("_raw").agg(F.min_by("_id", F.struct((-F.col("_s")).alias("s"), F.col("_id").alias("i"))).alias(out))
-        matched = names.join(best, "_raw", "left")
-    return df.join(matched.select(F.col("_raw").alias(name), out), name, "left")
-
-
-def length_band(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+def site_preference(name) -> Column:
+    """Of equally similar sites: food-contact sites first, legs and bottom shelves last."""
+    n = F.lower(name)
+    return F.when(n.contains("fcs"), 3).when(n.contains("leg") | n.contains("bottom shelf"), 0).otherwise(2)
+
+
+def _grams(c: Column, k: int) -> Column:
+    """Distinct substrings of length k."""
+    n = F.length(c) - (k - 1)
+    return F.when(n > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(c, i, F.lit(k))))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def _candidate_pairs(names: DataFrame, cands: DataFrame, threshold: float) -> DataFrame:
+    """(_n, _c) pairs that may reach the threshold, each once."""
+    def keyed(df, c, keys):
+        return df.select(c, F.explode(keys(F.col(c))).alias("_key"))
+
+    def pieces(c):
+        return F.concat(_grams(c, 1), _grams(c, 2), _grams(c, 3))
+
+    def head(c):
+        return F.array(F.substr(c, F.lit(1), F.lit(3)))
+
+    inside = keyed(names, "_n", pieces).join(keyed(cands, "_c", head), "_key").where(F.contains("_n", "_c"))
+    around = keyed(names, "_n", head).join(keyed(cands, "_c", pieces), "_key").where(F.contains("_c", "_n"))
+    pairs = inside.select("_n", "_c").union(around.select("_n", "_c"))
+
+    short = int(2 / (3 * threshold - 2)) if threshold > 2 / 3 else None
+
+    def marks(c):
+        single = _grams(c, 1)
+        return F.concat(_grams(c, 2), single if short is None else F.when(F.length(c) <= short, single).otherwise(F.array().cast("array<string>")))
+
     lo = threshold / (2 - threshold)
-    return max(1, math.ceil(n * lo)), math.floor(n / lo)
+    near = keyed(names, "_n", marks).join(keyed(cands, "_c", marks), "_key")
+    near = near.where((F.length("_c") >= F.length("_n") * lo - 1e-9) & (F.length("_n") >= F.length("_c") * lo - 1e-9))
+    return pairs.union(near.select("_n", "_c")).distinct()
+
+
+def fuzzy_best_match(df: DataFrame, name: str, candidates: DataFrame, cand_id: str, cand_name: str,
+                     threshold: float = THRESHOLD, out: str = "match_id", prefer=None) -> DataFrame:
+    """``df`` with the id of the best candidate, NULL where none reaches the
+    threshold. ``prefer``: function of the candidate's name column giving the
+    preference among equal scores (greater first)."""
+    raw = df.select(F.col(name).alias("_raw")).distinct().withColumn("_n", normalize_match_name(F.col("_raw")))
+    names = raw.where("_n <> ''").select("_n").distinct()
+    cands = candidates.select(F.col(cand_id).alias("_id"), normalize_match_name(F.col(cand_name)).alias("_c"),
+                              (F.lit(0) if prefer is None else prefer(F.col(cand_name))).alias("_p")).where("_c <> ''")
+
+    @F.pandas_udf("double")
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([score_names(x, y, threshold) for x, y in zip(a, b)], dtype="float64")
+
+    scored = _candidate_pairs(names, cands.select("_c").distinct(), threshold).withColumn("_s", score("_n", "_c"))
+    rank = F.struct((-F.col("_s")).alias("s"), (-F.col("_p")).alias("p"), F.col("_id").alias("i"))
+    best = scored.where(F.col("_s") >= threshold).join(cands, "_c").groupBy("_n").agg(F.min_by("_id", rank).alias(out))
+    matched = raw.join(best, "_n", "left").select(F.col("_raw").alias(name), out)
+    return df.join(matched, df[name].eqNullSafe(matched[name]), "left").drop(matched[name])

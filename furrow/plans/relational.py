@@ -853,9 +853,9 @@ def q_fuzzy_best_match(spark, d):
     """Distinct part names perturbed (dropped letter, prefix, case) matched
     back to the part-name dimension; scored in a pandas UDF, so checked
     against brute-force difflib in tests instead of SQL."""
-    from furrow.operators.fuzzy import fuzzy_best_match
+    from furrow.operators.fuzzy import fuzzy_best_match, site_preference
 
     p = Tables(spark, d).part
     names = p.select(F.concat(F.lit("GH - "), F.upper(F.regexp_replace("p_name", "e", ""))).alias("name")).distinct()
     dim = p.groupBy("p_name").agg(F.min("p_partkey").alias("p_partkey"))
-    return fuzzy_best_match(names, "name", dim, "p_partkey", "p_name")
+    return fuzzy_best_match(names, "name", dim, "p_partkey", "p_name", prefer=site_preference)
