@@ -29,31 +29,43 @@ def q_stream_ingest_dedup(spark, d):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@register("stream_daily_dose", """
-SELECT user_id, date_trunc('day', ts) AS day_start, SUM(CAST(value AS DECIMAL(18,2))) AS daily_total FROM events GROUP BY 1, 2""")
+# Increments whose next reading the watermark (newest reading - look-back) has passed.
+_INCREMENTS_SQL = """
+inc AS (SELECT user_id AS key, ts, value * ((epoch_us(lead(ts) OVER w) - epoch_us(ts)) / 1e6) AS increment, lead(ts) OVER w AS nxt
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, value)),
+final AS (SELECT key, ts, increment FROM inc WHERE nxt <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 6 HOUR)"""
+
+
+def _increments(spark, d):
+    """The increments, landed by a stream of their own."""
+    s = _events_stream(spark, d).select("user_id", "ts", "value")
+    return streams.run_available_now(spark, streams.stream_next_interval(s, "user_id", "ts", "value"), "next_interval")
+
+
+@register("stream_daily_dose", "WITH " + _INCREMENTS_SQL + """
+SELECT key AS user_id, date_trunc('day', ts) AS day_start, ROUND(SUM(CAST(increment AS DECIMAL(28,6))), 2) AS daily_total FROM final
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM final) - INTERVAL 6 HOUR GROUP BY 1, 2""")
 def q_stream_daily_dose(spark, d):
-    s = _events_stream(spark, d).select("user_id", "ts", F.col("value").cast("decimal(18,2)").alias("v"))
-    agg = streams.stream_daily_dose(s, ["user_id"], "ts", "v")
-    out = streams.run_available_now(spark, agg, "daily", mode="complete")
-    return out.select("user_id", F.col("day.start").cast("timestamp_ntz").alias("day_start"), "daily_total")
+    landed = _increments(spark, d)
+    path = landed.inputFiles()[0].rsplit("/", 1)[0]
+    s = spark.readStream.schema(landed.schema).parquet(path).select("key", "ts", F.col("increment").cast("decimal(28,6)").alias("v"))
+    out = streams.run_available_now(spark, streams.stream_daily_dose(s, ["key"], "ts", "v"), "daily")
+    return out.select(F.col("key").alias("user_id"), F.col("day.start").cast("timestamp_ntz").alias("day_start"),
+                      F.round("daily_total", 2).alias("daily_total"))
 
 
 @register("stream_pivot", """
 SELECT user_id, ts, """ + ", ".join(f"max(CASE WHEN event_type = '{c}' THEN value END) AS {c}" for c in CHANNELS) + """
-FROM events GROUP BY 1, 2""")
+FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR GROUP BY 1, 2""")
 def q_stream_pivot(spark, d):
     s = _events_stream(spark, d).select("user_id", "ts", "event_type", "value")
-    out = streams.run_available_now(spark, streams.stream_pivot(s, ["user_id"], "ts", "event_type", "value", CHANNELS), "pivot", mode="complete")
+    out = streams.run_available_now(spark, streams.stream_pivot(s, ["user_id"], "ts", "event_type", "value", CHANNELS), "pivot")
     return out.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), *CHANNELS)
 
 
-@register("stream_next_interval", """
-SELECT * FROM (SELECT user_id AS key, ts, value * ((epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts)) - epoch_us(ts)) / 1e6) AS increment
-FROM events) WHERE increment IS NOT NULL""")
+@register("stream_next_interval", "WITH " + _INCREMENTS_SQL + " SELECT * FROM final")
 def q_stream_next_interval(spark, d):
-    s = _events_stream(spark, d).select("user_id", "ts", "value")
-    out = streams.run_available_now(spark, streams.stream_next_interval(s, "user_id", "ts", "value"), "next_interval")
-    return out.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "increment")
+    return _increments(spark, d).select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "increment")
 
 
 @register("stream_terminate", """

@@ -5,7 +5,8 @@ look-back and ignores duplicate (org, reading time) rows. Here the landed
 files are a streaming source; duplicates are dropped within the
 watermark, channels are pivoted per reading, daily doses are tumbling
 windows, and the "value x time to next reading" increment is a stateful
-operator that keeps only the previous reading per key.
+operator that keeps a key's readings only until the watermark has passed
+them.
 
 All sinks are file sinks / ``foreachBatch`` writes under the shared
 checkpoint folder (``spark.checkpoint.dir``), so a restarted query resumes
@@ -17,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,45 +44,51 @@ def stream_pivot(sdf: DataFrame, by, ts: str, channel: str, value: str, channels
 
 
 def stream_daily_dose(sdf: DataFrame, by, ts: str, value: str, delay: str = LOOKBACK) -> DataFrame:
-    """Tumbling one-day windows of the increment column."""
+    """Tumbling one-day windows of the increment column, final once the
+    watermark has passed the day's end."""
     w = sdf.withWatermark(ts, delay)
     return w.groupBy(*by, F.window(ts, "1 day").alias("day")).agg(F.sum(value).alias("daily_total"))
 
 
 def _next_interval_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-    """Per key: sort the batch, pair each reading with the next one; the
-    last reading waits in state for its successor (emitted later)."""
-    frames = [p[["ts", "value"]] for p in pdfs if len(p)]
-    prev = None
-    if state.exists:
-        prev_ts, prev_val = state.get
-        prev = pd.Timestamp(prev_ts)
-    if not frames:
-        return
-    cur = pd.concat(frames, ignore_index=True)
-    cur["ts"] = pd.to_datetime(cur["ts"])
-    if prev is not None:
-        # readings not newer than the stored one arrived late: the pair they
-        # belong to was already emitted, so they are left to the late report
-        cur = cur[cur["ts"] > prev]
-        cur = pd.concat([pd.DataFrame({"ts": [prev], "value": [float(prev_val)]}), cur], ignore_index=True)
-    cur["value"] = cur["value"].astype("float64")
-    cur = cur.sort_values("ts", kind="mergesort").reset_index(drop=True)
-    nxt = cur["ts"].shift(-1)
-    secs = (nxt - cur["ts"]).dt.total_seconds()
-    out = pd.DataFrame({"key": [key[0]] * (len(cur) - 1), "ts": cur["ts"].iloc[:-1], "increment": (cur["value"] * secs).iloc[:-1]})
-    last = cur.iloc[-1]
-    state.update((last["ts"].to_pydatetime(), float(last["value"])))
-    yield out
-
-
-def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str) -> DataFrame:
-    """value x seconds to the next reading of the same key, emitted when the
-    next reading arrives (state: one previous reading per key)."""
-    x = sdf.select(F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("ts"), F.col(value).cast("double").alias("value"))
+    """Per key: readings wait in state, in order, until the watermark has
+    passed them and no reading can come between any more; then each is paired
+    with its successor. What stays is the last reading behind the watermark
+    and those ahead of it, so at most the look-back's readings."""
+    times, values = [[np.asarray(x, kind)] for x, kind in zip(state.get if state.exists else ((), ()), ("int64", "float64"))]
+    mark = state.getCurrentWatermarkMs() * 1000
+    for p in pdfs:
+        t = pd.to_datetime(p["ts"]).astype("datetime64[us]").astype("int64").to_numpy()
+        v = p["value"].astype("float64").to_numpy()
+        fresh = t > mark  # older ones are in the late report
+        times.append(t[fresh])
+        values.append(v[fresh])
+    t, v = np.concatenate(times), np.concatenate(values)
+    order = np.lexsort((v, t))
+    t, v = t[order], v[order]
+    final = int(np.searchsorted(t, mark, side="right"))
+    n = max(0, final - 1)
+    if n:
+        yield pd.DataFrame({"key": [key[0]] * n, "ts": pd.to_datetime(t[:n], unit="us"), "increment": v[:n] * ((t[1:n + 1] - t[:n]) / 1e6)})
+    t, v = t[n:], v[n:]
+    state.update((t.tolist(), v.tolist()))
+    ahead = t[t > mark]
+    if len(ahead):
+        state.setTimeoutTimestamp(int(ahead[0] // 1000) + 1)
+
+
+def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str, delay: str | None = LOOKBACK) -> DataFrame:
+    """value x seconds to the next reading of the same key, emitted once the
+    watermark has passed the next reading. Readings that come out of order
+    within the look-back take their place; older ones are left to
+    ``late_report_handler``. ``delay`` None: ``sdf`` has a watermark already."""
+    x = sdf.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(value).cast("double").alias("value"))
+    if delay is not None:
+        x = x.withWatermark("ts", delay)
     return x.groupBy("key").applyInPandasWithState(
         _next_interval_state, outputStructType="key long, ts timestamp, increment double",
-        stateStructType="ts timestamp, value double", outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        stateStructType="ts array<long>, value array<double>", outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, delay: str = LOOKBACK) -> DataFrame:
@@ -116,11 +124,14 @@ def upsert_state_handler(state_dir: str, parent_key, child_fk, children_for, par
 
 def late_report_handler(out_dir: str, ts: str, lookback_hours: int = 6):
     """``foreachBatch`` handler: report the rows of a micro-batch that are
-    older than the batch's newest event time minus the look-back. Each batch
-    writes its own ``batch_id=N`` folder with overwrite, so a batch replayed
-    after a failure rewrites its report instead of duplicating it."""
+    older than the newest event time so far minus the look-back; those are
+    all rows that a watermark of the look-back can drop. Each batch writes its
+    own ``batch_id=N`` folders (report, newest) with overwrite, so a batch
+    replayed after a failure rewrites its report instead of duplicating it."""
     def handler(batch: DataFrame, batch_id: int):
-        mx = batch.agg(F.max(ts)).first()[0]
+        spark, seen = batch.sparkSession, f"{out_dir}_newest"
+        batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
+        mx = spark.read.parquet(seen).where(F.col("batch_id") <= batch_id).agg(F.max("newest")).first()[0]
         if mx is None:
             return
         late = batch.where(F.col(ts) < F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)))

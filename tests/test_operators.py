@@ -269,25 +269,50 @@ def _land_polls(spark, n_polls=5, overlap_hours=6):
     return path, ev
 
 
-def test_stream_next_interval_parity_over_many_batches(spark):
-    from pyspark.sql import Window
+def _increments_of(rows, mark):
+    """Brute force: pairs whose second reading is not after ``mark``."""
+    out, by = {}, {}
+    for k, ts, v in rows:
+        by.setdefault(k, []).append((ts, v))
+    for k, r in by.items():
+        r.sort()
+        for (t0, v0), (t1, _) in zip(r, r[1:]):
+            if t1 <= mark:
+                out[k, t0] = v0 * ((t1 - t0) / dt.timedelta(seconds=1))
+    return out
+
 
+def test_stream_next_interval_parity_over_many_batches(spark):
     from furrow.streaming import streams
 
     path, ev = _land_polls(spark)
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
     s = streams.stream_ingest_dedup(s.withColumn("ts", F.col("ts").cast("timestamp")), ["user_id", "ts"], "ts")
-    out = streams.run_available_now(spark, streams.stream_next_interval(s, "user_id", "ts", "value"), "parity")
-    w = Window.partitionBy("user_id").orderBy("ts")
-    want = ev.select(F.col("user_id").alias("key"), "ts", (F.col("value") * F.timestamp_diff("MICROSECOND", F.col("ts"), F.lead("ts").over(w)) / 1e6)
-                     .alias("increment")).where(F.col("increment").isNotNull())
-    got = out.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "increment")
-    import math
-
-    a = {(r["key"], r["ts"]): r["increment"] for r in got.collect()}
-    b = {(r["key"], r["ts"]): r["increment"] for r in want.collect()}
-    assert a.keys() == b.keys()
-    assert all(math.isclose(a[k], b[k], rel_tol=1e-12, abs_tol=1e-9) for k in a)
+    out = streams.run_available_now(spark, streams.stream_next_interval(s, "user_id", "ts", "value", delay=None), "parity")
+    got = {(r.key, r.ts): r.increment for r in out.select("key", F.col("ts").cast("timestamp_ntz").alias("ts"), "increment").collect()}
+    rows_ = [(r.user_id, r.ts, r.value) for r in ev.collect()]
+    newest = max(t for _, t, _ in rows_)
+    want = _increments_of(rows_, newest.replace(microsecond=newest.microsecond // 1000 * 1000) - dt.timedelta(hours=6))
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12, abs=1e-9) for k in want)
+
+
+def test_readings_out_of_order_take_their_place(spark):
+    """A reading some minutes behind the one before it is neither lost nor paired wrongly."""
+    from furrow.session import scratch_path
+    from furrow.streaming import streams
+
+    path = scratch_path(spark, "out-of-order")
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    polls = [[(1, at(0), 1.0), (1, at(60), 2.0)], [(1, at(30), 3.0), (1, at(90), 4.0)], [(1, at(2000), 5.0)], [(1, at(10), 9.0), (1, at(2100), 6.0)], [(2, at(9000), 0.0)]]
+    for p in polls:
+        spark.createDataFrame(p, "k long, ts timestamp, v double").coalesce(1).write.mode("append").parquet(path)
+    s = spark.readStream.schema("k long, ts timestamp, v double").option("maxFilesPerTrigger", 1).parquet(path)
+    out = streams.run_available_now(spark, streams.stream_next_interval(s, "k", "ts", "v"), "order")
+    got = {(r.key, r.ts.replace(tzinfo=None)): r.increment for r in out.collect()}
+    kept = [r for p in polls for r in p if r[2] != 9.0]  # that one is a day behind: late
+    assert got == _increments_of(kept, at(9000) - dt.timedelta(hours=6))
 
 
 def test_stream_dedup_parity_with_overlapping_polls(spark):
