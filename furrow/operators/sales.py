@@ -3,111 +3,196 @@ palletisation, container spaces and spillover, price resolution,
 allocation reconciliation, lock-preserving rebuilds, ASN cartons and
 all-or-nothing buyer-part resolution.
 
-Palletisation is greedy and sequential by nature (fill a pallet to its
-maximum, top off across pack dates), but the sequence only depends on the
+Palletisation is greedy (fill a pallet to its maximum, top off across pack
+dates), but without special quantities the sequence only depends on the
 running case count: a fulfilment occupying cases [s, s+q) of its group
 lands on pallets floor(s/max) .. floor((s+q-1)/max). The running count is
 a two-level prefix sum (inside a time bucket, plus the totals of earlier
 buckets from a small per-bucket table), so even a group holding a third
 of all rows is spread over many tasks; the fan-out is bounded by the
-pallets a fulfilment spans.
+pallets a fulfilment spans. Groups with special quantities (a fresh pallet is
+force-closed early) are packed line by line; such a group is one product of
+one customer's order, a row per pack date.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.operators._order import window_order
+from furrow.operators.windows import row_number_bucketed
 
 
-# Groups above this many rows take the bucketed path. At most
-# rows / HOT_GROUP_ROWS groups can be that large, which bounds the hot-key
-# set that is broadcast (e.g. 1e12 rows -> at most 2e5 keys).
-HOT_GROUP_ROWS = 5_000_000
+# Cases taken on a fresh pallet that is then closed, by remaining cases.
+BALANCED_SPLIT = {84: 60, 78: 60, 72: 54}
+# Deliveries that are not palletised, container spaces in the order of overflow, pallet prefixes.
+LOCAL_DELIVERY = ("Farm", "Local Delivery")
+CONTAINER_SPACES = (("cucumber", 18), ("lettuce", 18), ("box_truck", 10))
+PALLET_PREFIX = {"cucumber": "CP", "lettuce": "LP", "box_truck": "BP"}
 
 
-def _running_total_bucketed(df: DataFrame, by, order, value: str, bucket: str, out: str) -> DataFrame:
-    w_in = Window.partitionBy(*by, bucket).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
+def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str = "cum_before") -> DataFrame:
+    """Sum of ``value`` over earlier rows of the same group in ``order``
+    (exclusive prefix sum). Rows are windowed per (group, ``bucket``) and
+    carried across buckets through a small per-(group, bucket) table, so
+    ``bucket`` must not fall along the order. The input is read twice: pass a
+    written table if it is costly."""
+    keys = list(by)
+    w_in = Window.partitionBy(*keys, bucket).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     inside = df.withColumn("_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    totals = inside.groupBy(*by, bucket).agg(F.sum(value).alias("_bt"))
-    wb = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, bucket, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
-    return inside.join(offsets, [*by, bucket], "left").withColumn(out, F.col("_in") + F.col("_off")).drop("_in", "_off")
+    totals = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_bt"))
+    wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, bucket, F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
+    same = [inside[k].eqNullSafe(offsets[k]) for k in (*keys, bucket)]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return inside.join(offsets, cond, "left").select(*[inside[c] for c in df.columns], (F.col("_in") + F.coalesce("_off", F.lit(0))).alias(out))
 
 
-def running_total(df: DataFrame, by, order, value: str, bucket: str, out: str = "cum_before",
-                  hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Sum of ``value`` over earlier rows of the same group in ``order``
-    (exclusive prefix sum). Groups with more than ``hot_rows`` rows are
-    split by ``bucket`` (monotone in the order) and carried across buckets
-    through a small per-(group, bucket) table; every other group uses one
-    window. The hot-group set comes from a partial-aggregated count."""
-    keys = list(by)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys).withColumn("_hot", F.lit(True))
-    d = df.join(F.broadcast(hot), keys, "left")
-    w = Window.partitionBy(*keys).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
-    cold = d.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)))
-    warm = _running_total_bucketed(d.where(F.col("_hot")).drop("_hot"), keys, order, value, bucket, out)
-    return cold.unionByName(warm.select(*cold.columns))
+class Packing:
+    """Fills pallets with a group's lines in order: a pallet takes up to
+    ``max_cases``; a fresh one opened with exactly a special quantity
+    remaining takes its split and is closed."""
+
+    def __init__(self, split=None):
+        self.split, self.pallet, self.held = split or {}, 0, 0
+
+    def take(self, quantity: int, max_cases: int):
+        """(pallet, cases) of one line."""
+        left = quantity
+        while left > 0:
+            forced = self.held == 0 and left in self.split
+            cases = min(self.split[left] if forced else left, max_cases - self.held)
+            yield self.pallet, cases
+            left, self.held = left - cases, self.held + cases
+            if forced or self.held >= max_cases:
+                self.pallet, self.held = self.pallet + 1, 0
 
 
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
-              order_tail=(), family: str = "family", number_bucket=None) -> tuple[DataFrame, DataFrame]:
+              order_tail=(), family: str = "family", number_bucket=None, special: str | None = None, fob: str | None = None,
+              customer: str = "customer", first_index=None) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).
 
-    Pallets are filled to ``max_cases`` walking pack dates oldest first
-    (crossing ``full_cases`` does not close a pallet); a closed pallet is
-    'Full' when it reaches ``full_cases``, else 'Stackable' for groups
-    flagged ``stackable`` and 'Shareable' otherwise. Pallets are numbered
-    per scope and container family ('CP01', ...)."""
+    Rows whose ``fob`` is a local delivery are left out. Pallets are filled
+    to ``max_cases`` walking pack dates oldest first (crossing
+    ``full_cases`` does not close a pallet); groups flagged ``special`` use
+    the balanced split. A closed pallet is 'Full' when it reaches
+    ``full_cases``, else 'Stackable' for groups flagged ``stackable`` and
+    'Shareable' otherwise. Shareable pallets are numbered per scope and
+    customer ('7_01'), the others per scope and container family ('CP01').
+    ``first_index``: column with the first pallet index of the row's group
+    (after pallets that are kept). Rows with equal order columns must be
+    interchangeable. The input is read more than once."""
     keys = [*scope, *group]
     order = [pack_date, *order_tail]
-    f = fulfilments.withColumn("_bucket", F.date_trunc("month", F.col(pack_date)))
-    f = running_total(f, keys, order, qty, "_bucket")
-    first = (F.col("cum_before") / F.col(max_cases)).cast("long")
-    last = ((F.col("cum_before") + F.col(qty) - 1) / F.col(max_cases)).cast("long")
-    alloc = f.where(F.col(qty) > 0).withColumn("pallet_index", F.explode(F.sequence(first, last)))
+    f = fulfilments.where(F.col(qty) > 0)
+    if fob is not None:
+        f = f.where(~F.coalesce(F.col(fob).isin(*LOCAL_DELIVERY), F.lit(False)))
+    f = f.withColumn("_first", F.lit(0).cast("long") if first_index is None else F.coalesce(F.col(first_index), F.lit(0).cast("long")))
+    f = f.withColumn("_bucket", F.date_trunc("month", F.col(pack_date)))
+    by_count = f if special is None else f.where(~F.coalesce(F.col(special), F.lit(False)))
+    r = running_total(by_count, keys, order, qty, "_bucket")
+    slot = F.explode(F.sequence(F.call_function("div", F.col("cum_before"), F.col(max_cases)),
+                                F.call_function("div", F.col("cum_before") + F.col(qty) - 1, F.col(max_cases))))
+    alloc = r.withColumn("pallet_index", slot)
     lo = F.greatest(F.col("cum_before"), F.col("pallet_index") * F.col(max_cases))
     hi = F.least(F.col("cum_before") + F.col(qty), (F.col("pallet_index") + 1) * F.col(max_cases))
-    alloc = alloc.withColumn("allocated_quantity", (hi - lo).cast("long")).drop("_bucket", "cum_before")
+    alloc = alloc.withColumn("allocated_quantity", (hi - lo).cast("long")).drop("cum_before")
+    if special is not None:
+        alloc = alloc.unionByName(_packed_line_by_line(f.where(F.col(special)), keys, order, qty, max_cases).select(*alloc.columns))
+    alloc = alloc.withColumn("pallet_index", F.col("pallet_index") + F.col("_first")).drop("_bucket", "_first")
     pallets = alloc.groupBy(*keys, "pallet_index").agg(
         F.sum("allocated_quantity").alias("cases"), F.max(max_cases).alias("max_cases"), F.max(full_cases).alias("full_cases"),
-        F.max(F.col(stackable).cast("int")).alias("_stack"), F.first(family, ignorenulls=True).alias(family))
+        F.max(F.col(stackable).cast("int")).alias("_stack"), F.min(family).alias(family))
     label = F.when(F.col("cases") >= F.col("full_cases"), "Full").when(F.col("_stack") == 1, "Stackable").otherwise("Shareable")
-    prefix = F.when(F.col(family) == "cucumber", "CP").when(F.col(family) == "lettuce", "LP").otherwise("BP")
     pallets = pallets.withColumn("label", label).drop("_stack")
-    order = [*group, "pallet_index"]
-    if number_bucket is not None:
-        from furrow.operators.windows import row_number_bucketed
-
-        pallets = row_number_bucketed(pallets, [*scope, family], order, number_bucket, out="_num")
-    else:
-        pallets = pallets.withColumn("_num", F.row_number().over(Window.partitionBy(*scope, family).orderBy(*order)))
-    pallets = pallets.withColumn("pallet_number", F.concat(prefix, F.lpad(F.col("_num").cast("string"), 2, "0"))).drop("_num")
-    return pallets, alloc
-
-
-def stack_spaces(pallets: DataFrame, scope, order, capacity: int, containers=("cucumber", "lettuce", "box_truck"),
-                 label: str = "label", bucket=None) -> DataFrame:
-    """Non-Full pallets get container spaces 1..N in sort order; when the
-    preferred container is full the highest spaces spill over to the next
-    container family, moving whole pallets (one pallet_number = one row).
-    With ``bucket`` (monotone in ``order``) the sequence numbers are
-    computed per (scope, bucket) plus earlier-bucket counts."""
-    nf = pallets.where(F.col(label) != "Full")
+    prefix = F.when(F.col("label") == "Shareable", F.concat(F.col(customer).cast("string"), F.lit("_")))
+    for name, short in PALLET_PREFIX.items():
+        prefix = prefix.when(F.col(family) == name, short)
+    pallets = pallets.withColumn("_prefix", prefix.otherwise(PALLET_PREFIX["box_truck"]))
+    pallets = _numbered(pallets, [*scope, "_prefix"], [*group, "pallet_index"], number_bucket, "_num")
+    number = F.lpad(F.col("_num").cast("string"), F.greatest(F.lit(2), F.length(F.col("_num").cast("string"))), F.lit("0"))
+    return pallets.withColumn("pallet_number", F.concat("_prefix", number)).drop("_num", "_prefix"), alloc
+
+
+def _numbered(df: DataFrame, by, order, bucket, out: str) -> DataFrame:
     if bucket is not None:
-        from furrow.operators.windows import row_number_bucketed
+        return row_number_bucketed(df, by, order, bucket, out=out)
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*window_order(order))))
+
+
+def _packed_line_by_line(f: DataFrame, keys, order, qty: str, max_cases: str) -> DataFrame:
+    """Allocations of the groups with special quantities: the rows of a
+    partition stream by in group order, and only the open pallet is held."""
+    names = f.columns
 
-        x = row_number_bucketed(nf, scope, order, bucket, out="_seq").withColumn("_seq", F.col("_seq") - 1)
-    else:
-        w = Window.partitionBy(*scope).orderBy(*window_order(order))
-        x = nf.withColumn("_seq", F.row_number().over(w) - 1)
-    slot = (F.col("_seq") / capacity).cast("int")
-    cont = F.array(*[F.lit(c) for c in containers])
-    return x.select("*", (F.col("_seq") % capacity + 1).alias("container_space_number"),
-                    F.element_at(cont, F.least(slot + 1, F.lit(len(containers)))).alias("container"),
-                    (slot > 0).alias("is_spillover")).drop("_seq")
+    def pack(batches):
+        group, state = None, None
+        for batch in batches:
+            rows, pallets, cases = [], [], []
+            columns = [batch.column(names.index(c)).to_pylist() for c in (*keys, qty, max_cases)]
+            for i, (*key, q, most) in enumerate(zip(*columns)):
+                if state is None or key != group:
+                    group, state = key, Packing(BALANCED_SPLIT)
+                for pallet, n in state.take(q, most):
+                    rows.append(i)
+                    pallets.append(pallet)
+                    cases.append(n)
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(pallets, pa.int64()), pa.array(cases, pa.int64())],
+                                             names=[*names, "pallet_index", "allocated_quantity"])
+
+    schema = T.StructType([*f.schema.fields, T.StructField("pallet_index", T.LongType()), T.StructField("allocated_quantity", T.LongType())])
+    return f.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(pack, schema)
+
+
+def stack_spaces(pallets: DataFrame, scope, order, spaces=CONTAINER_SPACES, label: str = "label", family: str = "family",
+                 bucket=None) -> DataFrame:
+    """Non-Full pallets get a space of their own container family, in sort
+    order; ``spaces`` is (container, capacity) in the order of overflow. The
+    pallets with the highest numbers beyond a capacity move on to the open
+    spaces of the later containers (first family first), whole: one
+    pallet_number is one row. No space is given twice: pallets beyond all
+    open spaces have no container and no space. With ``bucket`` (not falling
+    along ``order``) numbers are computed per (scope, bucket) plus the
+    counts of earlier buckets."""
+    names = [n for n, _ in spaces]
+    nf = pallets.where(F.col(label) != "Full")
+    x = _numbered(nf, [*scope, family], order, bucket, "_seq")
+    counts = nf.groupBy(*scope).agg(*[F.count(F.when(F.col(family) == n, 1)).alias(f"_n_{n}") for n in names])
+    x = x.join(counts, list(scope))
+    zero = F.lit(0).cast("long")
+
+    def own(i):
+        return F.least(F.col(f"_n_{names[i]}"), F.lit(spaces[i][1]))
+
+    def over(i):
+        return F.greatest(F.col(f"_n_{names[i]}") - F.lit(spaces[i][1]), zero)
+
+    def open_(i):
+        return F.lit(spaces[i][1]) - own(i)
+
+    at = F.when(F.lit(False), F.struct(F.lit("").alias("container"), zero.alias("space")))
+    for i, (name, capacity) in enumerate(spaces):
+        here = F.col(family) == name
+        at = at.when(here & (F.col("_seq") <= capacity), F.struct(F.lit(name).alias("container"), F.col("_seq").cast("long").alias("space")))
+        # place in the queue of all overflow, then along the open spaces of the containers
+        queue = F.col("_seq") - capacity
+        for j in range(i):
+            queue = queue + over(j)
+        before = zero
+        for j in range(len(spaces)):
+            fits = here & (queue > before) & (queue <= before + open_(j)) & (F.lit(j) > i)
+            at = at.when(fits, F.struct(F.lit(names[j]).alias("container"), (own(j) + queue - before).cast("long").alias("space")))
+            before = before + open_(j)
+    out = x.withColumn("_at", at)
+    return out.select(*pallets.columns, F.col("_at.space").alias("container_space_number"), F.col("_at.container").alias("container"),
+                      F.coalesce(F.col("_at.container") != F.col(family), F.lit(True)).alias("is_spillover"))
 
 
 def price_resolution(lines: DataFrame, prices: DataFrame, line_keys, product: str, customer: str, group: str, date: str,
@@ -115,27 +200,20 @@ def price_resolution(lines: DataFrame, prices: DataFrame, line_keys, product: st
                      p_from: str = "effective_from", p_to: str = "effective_to", p_price: str = "price") -> DataFrame:
     """Most specific price valid on the line date: customer, else customer
     group, else the default row; within a tier the latest effective_from.
-    One equi-join per tier (product + tier key) with the date test, then
-    a priority coalesce - no theta join on customers. ``line_keys`` is the
-    natural key of a line (used to bring each tier's pick back)."""
-    keys = list(line_keys)
+    One equi-join on product; customer, group and dates are tested on the
+    product's prices, and one ``max_by`` per line takes the best (tier, date,
+    price). ``line_keys`` is the natural key of a line."""
     base = lines.withColumn("_d", F.col(date).cast("date"))
-    valid = (F.col("_d") >= F.col(p_from)) & (F.col(p_to).isNull() | (F.col("_d") <= F.col(p_to)))
-
-    def tier(name, cond_prices, left_keys, right_keys):
-        p = prices.where(cond_prices).select(*[F.col(r).alias(f"_{name}_{i}") for i, r in enumerate(right_keys)],
-                                             F.col(p_from), F.col(p_to), F.col(p_price).alias(f"_{name}_price"))
-        left = base.select(*keys, "_d", *[F.col(k).alias(f"_{name}_l{i}") for i, k in enumerate(left_keys)])
-        j = left.join(p, [F.col(f"_{name}_l{i}") == F.col(f"_{name}_{i}") for i in range(len(left_keys))], "inner").where(valid)
-        return j.groupBy(*keys).agg(F.max_by(f"_{name}_price", F.struct(p_from, f"_{name}_price")).alias(f"_{name}_price"))
-
-    c = tier("c", F.col(p_customer).isNotNull(), [product, customer], [p_product, p_customer])
-    g = tier("g", F.col(p_customer).isNull() & F.col(p_group).isNotNull(), [product, group], [p_product, p_group])
-    dflt = tier("d", F.col(p_customer).isNull() & F.col(p_group).isNull(), [product], [p_product])
-    j = base.join(c, keys, "left").join(g, keys, "left").join(dflt, keys, "left")
-    return j.withColumn("price_per_case", F.coalesce("_c_price", "_g_price", "_d_price")).withColumn(
-        "price_tier", F.when(F.col("_c_price").isNotNull(), "customer").when(F.col("_g_price").isNotNull(), "group")
-        .when(F.col("_d_price").isNotNull(), "default")).drop("_c_price", "_g_price", "_d_price", "_d")
+    p = prices.select(F.col(p_product).alias("_p"), F.col(p_customer).alias("_c"), F.col(p_group).alias("_g"), F.col(p_from).alias("_f"),
+                      F.col(p_to).alias("_t"), F.col(p_price).alias("_price"))
+    in_time = (F.col("_d") >= F.col("_f")) & (F.col("_t").isNull() | (F.col("_d") <= F.col("_t")))
+    whose = F.when(F.col("_c").isNotNull(), F.col("_c") == F.col(customer)).when(F.col("_g").isNotNull(), F.col("_g") == F.col(group)).otherwise(True)
+    j = base.join(p, (F.col(product) == F.col("_p")) & in_time & whose, "left")
+    tier = F.when(F.col("_c").isNotNull(), 3).when(F.col("_g").isNotNull(), 2).when(F.col("_p").isNotNull(), 1)
+    rest = [c for c in lines.columns if c not in line_keys]
+    best = j.groupBy(*line_keys).agg(*[F.first(c).alias(c) for c in rest], F.max(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), "_f", "_price"))).alias("_b"))
+    name = F.when(F.col("_b.tier") == 3, "customer").when(F.col("_b.tier") == 2, "group").when(F.col("_b.tier") == 1, "default")
+    return best.select(*lines.columns, F.col("_b._price").alias("price_per_case"), name.alias("price_tier"))
 
 
 def allocation_reconcile(alloc: DataFrame, fulfilments: DataFrame, key, allocated: str, fulfilled: str) -> DataFrame:
@@ -146,12 +224,19 @@ def allocation_reconcile(alloc: DataFrame, fulfilments: DataFrame, key, allocate
         "status", F.when(F.col("allocated") == F.col("fulfilled"), "ok").otherwise("mismatch"))
 
 
-def lock_preserving_refresh(old: DataFrame, new: DataFrame, lock: str, keys) -> DataFrame:
-    """Locked rows of the old build survive; the new build only fills keys
-    not already held by a locked row."""
-    locked = old.where(F.col(lock))
-    fresh = new.join(locked.select(*keys), list(keys), "left_anti").withColumn(lock, F.lit(False))
-    return locked.unionByName(fresh.select(*locked.columns))
+def lock_preserving_refresh(old_pallets: DataFrame, old_alloc: DataFrame, fulfilments: DataFrame, lock: str, pallet_keys, line_keys,
+                            qty: str, rebuild) -> DataFrame:
+    """Pallets after a rebuild: locked ones stay with what they hold; the
+    cases of each fulfilment that no locked pallet holds are palletised
+    anew by ``rebuild(rest)``, where ``rest`` has ``_first`` (the index after
+    the group's last locked pallet)."""
+    group = list(pallet_keys[:-1])
+    locked = old_pallets.where(F.col(lock))
+    held = old_alloc.join(locked.select(*pallet_keys), list(pallet_keys), "left_semi").groupBy(*line_keys).agg(F.sum("allocated_quantity").alias("_held"))
+    after = locked.groupBy(*group).agg((F.max(pallet_keys[-1]) + 1).alias("_first"))
+    rest = fulfilments.join(held, list(line_keys), "left").withColumn(qty, F.col(qty) - F.coalesce("_held", F.lit(0))).drop("_held")
+    fresh = rebuild(rest.join(after, group, "left"))
+    return locked.unionByName(fresh.withColumn(lock, F.lit(False)).select(*locked.columns))
 
 
 def asn_cartons(alloc: DataFrame, keys, cases: str, per_carton: int, lot: str) -> DataFrame:
@@ -164,7 +249,7 @@ def asn_cartons(alloc: DataFrame, keys, cases: str, per_carton: int, lot: str) -
 def buyer_part_resolution(lines: DataFrame, parts_map: DataFrame, order_key: str, buyer_part: str, map_key: str, product: str):
     """All-or-nothing order parse: map buyer part numbers; an order with
     any unmapped line is rejected whole. Returns (accepted, rejected)."""
-    m = parts_map.select(F.col(map_key).alias(buyer_part), F.col(product).alias("_product")).dropDuplicates([buyer_part])
+    m = parts_map.groupBy(F.col(map_key).alias(buyer_part)).agg(F.min(product).alias("_product"))
     j = lines.join(m, buyer_part, "left")
     bad = j.groupBy(order_key).agg(F.max(F.col("_product").isNull().cast("int")).alias("_bad"))
     j = j.join(bad, order_key, "left")

@@ -11,92 +11,146 @@ from furrow.functions.arith import reorder_point, safe_ratio
 from furrow.functions.formula import formula_eval
 from furrow.operators import rules, sales
 from furrow.plans.registry import register
+from furrow.session import written_table
 from furrow.sources.tables import Tables
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
-SCOPE = ["farm_id", "run_year"]
+SCOPE = ["farm_id", "run_id"]
 GROUP = ["customer", "product"]
 ORDER_TAIL = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+PALLET_KEY = [*SCOPE, *GROUP, "pallet_index"]
+# What was packed when the operator locked the full pallets.
+LOCKED_BEFORE = "1998-01-01"
 
 
 def fulfilments(t: Tables) -> DataFrame:
     """lineitem x orders x part x customer as PO fulfilments: scope = (line
-    status, order year), group = (customer, part), cases = quantity."""
+    status, four-year run), group = (customer, product type), cases = six per
+    unit, so that the special quantities occur; FOB from the priority."""
     li, o, p, c = t.lineitem, t.orders, t.part, t.customer
-    j = li.join(o.select("o_orderkey", "o_custkey", "o_orderdate"), li.l_orderkey == o.o_orderkey) \
+    j = li.join(o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), li.l_orderkey == o.o_orderkey) \
         .join(p.select("p_partkey", "p_size", "p_type"), li.l_partkey == p.p_partkey) \
         .join(c.select("c_custkey", "c_mktsegment"), o.o_custkey == c.c_custkey)
     return j.select(
-        *LINE_KEY, F.col("l_linestatus").alias("farm_id"), F.year("o_orderdate").alias("run_year"),
-        F.col("o_custkey").alias("customer"), F.col("l_partkey").alias("product"), F.col("l_shipdate").cast("date").alias("pack_date"),
-        F.col("l_quantity").cast("long").alias("qty"), (F.col("p_size") + 10).cast("long").alias("max_cases"),
-        (F.col("p_size") + 5).cast("long").alias("full_cases"), F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE").alias("stackable"),
+        *LINE_KEY, F.col("l_linestatus").alias("farm_id"), F.floor(F.year("o_orderdate") / 4).cast("int").alias("run_id"),
+        F.col("o_custkey").alias("customer"), F.col("p_type").alias("product"), F.col("l_shipdate").cast("date").alias("pack_date"),
+        (F.col("l_quantity") * 6).cast("long").alias("qty"), (F.length("p_type") * 5 + 36).cast("long").alias("max_cases"),
+        (F.length("p_type") * 5 + 20).cast("long").alias("full_cases"), F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE").alias("stackable"),
+        (F.col("c_mktsegment").isin("BUILDING") & F.col("p_type").isin("PROMO", "ECONOMY")).alias("special"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "Farm").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Local Delivery")
+        .otherwise("HNL").alias("fob"),
         F.when(F.col("p_type").isin("SMALL", "PROMO"), "cucumber").when(F.col("p_type").isin("MEDIUM", "STANDARD"), "lettuce")
         .otherwise("box_truck").alias("family"))
 
 
+def _packing_sql(lines: str, out: str) -> str:
+    """Pallets by walking the lines of each group, one take per step: (line, pallet, cases) in table ``out``."""
+    return f"""
+{out}_l AS (SELECT *, row_number() OVER (PARTITION BY farm_id, run_id, customer, product
+    ORDER BY pack_date, l_orderkey, l_linenumber, l_suppkey, l_extendedprice) AS ln FROM {lines} WHERE qty > 0),
+{out}_step AS (
+  SELECT farm_id, run_id, customer, product, ln, qty AS remaining, 0::BIGINT AS held, first_index AS pallet, 0::BIGINT AS took, -1::BIGINT AS took_pallet
+  FROM {out}_l WHERE ln = 1
+  UNION ALL
+  SELECT farm_id, run_id, customer, product, next_ln, CASE WHEN remaining = 0 THEN next_qty ELSE remaining - take END,
+    CASE WHEN remaining = 0 THEN held WHEN forced OR held + take >= max_cases THEN 0 ELSE held + take END,
+    CASE WHEN remaining > 0 AND (forced OR held + take >= max_cases) THEN pallet + 1 ELSE pallet END,
+    CASE WHEN remaining = 0 THEN 0 ELSE take END, CASE WHEN remaining = 0 THEN -1 ELSE pallet END
+  FROM (SELECT s.*, l.max_cases, n.qty AS next_qty, CASE WHEN s.remaining = 0 THEN s.ln + 1 ELSE s.ln END AS next_ln,
+          s.held = 0 AND l.special AND s.remaining IN (84, 78, 72) AS forced,
+          least(CASE WHEN s.held = 0 AND l.special AND s.remaining IN (84, 78) THEN 60 WHEN s.held = 0 AND l.special AND s.remaining = 72 THEN 54
+                ELSE s.remaining END, l.max_cases - s.held) AS take
+        FROM {out}_step s JOIN {out}_l l USING (farm_id, run_id, customer, product, ln)
+        LEFT JOIN {out}_l n ON n.farm_id = s.farm_id AND n.run_id = s.run_id AND n.customer = s.customer AND n.product = s.product AND n.ln = s.ln + 1)
+  WHERE remaining > 0 OR next_qty IS NOT NULL),
+{out}_a AS (SELECT l.*, s.took_pallet AS pallet_index, s.took AS allocated_quantity
+  FROM {out}_step s JOIN {out}_l l USING (farm_id, run_id, customer, product, ln) WHERE s.took > 0),
+{out}_p AS (SELECT farm_id, run_id, customer, product, pallet_index, sum(allocated_quantity)::BIGINT AS cases, any_value(max_cases) AS max_cases,
+    any_value(full_cases) AS full_cases, any_value(family) AS family,
+    CASE WHEN sum(allocated_quantity) >= any_value(full_cases) THEN 'Full' WHEN bool_or(stackable) THEN 'Stackable' ELSE 'Shareable' END AS label
+  FROM {out}_a GROUP BY ALL),
+{out} AS (SELECT *, px || CASE WHEN num < 10 THEN '0' ELSE '' END || num AS pallet_number FROM (
+  SELECT *, row_number() OVER (PARTITION BY farm_id, run_id, px ORDER BY customer, product, pallet_index) AS num FROM (
+    SELECT *, CASE WHEN label = 'Shareable' THEN customer || '_' WHEN family = 'cucumber' THEN 'CP' WHEN family = 'lettuce' THEN 'LP' ELSE 'BP' END AS px
+    FROM {out}_p)))"""
+
+
 FUL_SQL = """
-WITH f AS (
+WITH RECURSIVE f AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_extendedprice, l.l_quantity,
-         l.l_linestatus AS farm_id, year(o.o_orderdate) AS run_year, o.o_custkey AS customer, l.l_partkey AS product,
-         CAST(l.l_shipdate AS DATE) AS pack_date, CAST(l.l_quantity AS BIGINT) AS qty, CAST(p.p_size + 10 AS BIGINT) AS max_cases,
-         CAST(p.p_size + 5 AS BIGINT) AS full_cases, c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') AS stackable,
+         l.l_linestatus AS farm_id, (year(o.o_orderdate) // 4)::INTEGER AS run_id, o.o_custkey AS customer, p.p_type AS product,
+         CAST(l.l_shipdate AS DATE) AS pack_date, CAST(l.l_quantity * 6 AS BIGINT) AS qty, CAST(length(p.p_type) * 5 + 36 AS BIGINT) AS max_cases,
+         CAST(length(p.p_type) * 5 + 20 AS BIGINT) AS full_cases, c.c_mktsegment IN ('BUILDING', 'AUTOMOBILE') AS stackable,
+         c.c_mktsegment = 'BUILDING' AND p.p_type IN ('PROMO', 'ECONOMY') AS special, 0::BIGINT AS first_index,
          CASE WHEN p.p_type IN ('SMALL', 'PROMO') THEN 'cucumber' WHEN p.p_type IN ('MEDIUM', 'STANDARD') THEN 'lettuce' ELSE 'box_truck' END AS family
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey JOIN customer c ON o.o_custkey = c.c_custkey),
-cb AS (SELECT *, CAST(COALESCE(SUM(qty) OVER (PARTITION BY farm_id, run_year, customer, product
-                   ORDER BY pack_date, l_orderkey, l_linenumber, l_suppkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum_before
-       FROM f),
-a AS (SELECT cb.*, pi AS pallet_index,
-             CAST(least(cum_before + qty, (pi + 1) * max_cases) - greatest(cum_before, pi * max_cases) AS BIGINT) AS allocated_quantity
-      FROM cb, LATERAL (SELECT unnest(generate_series(cum_before // max_cases, (cum_before + qty - 1) // max_cases)) AS pi) WHERE qty > 0),
-pal AS (SELECT farm_id, run_year, customer, product, pallet_index, SUM(allocated_quantity) AS cases, max(max_cases) AS max_cases,
-               max(full_cases) AS full_cases, max(CAST(stackable AS INTEGER)) AS st, first(family) AS family
-        FROM a GROUP BY 1, 2, 3, 4, 5),
-pallets AS (SELECT farm_id, run_year, customer, product, pallet_index, cases, max_cases, full_cases, family,
-   CASE WHEN cases >= full_cases THEN 'Full' WHEN st = 1 THEN 'Stackable' ELSE 'Shareable' END AS label,
-   CASE family WHEN 'cucumber' THEN 'CP' WHEN 'lettuce' THEN 'LP' ELSE 'BP' END ||
-     lpad(CAST(row_number() OVER (PARTITION BY farm_id, run_year, family ORDER BY customer, product, pallet_index) AS VARCHAR), 2, '0') AS pallet_number
-  FROM pal)
-"""
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE o.o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED')),""" + _packing_sql("f", "pallets") + "\n"
+
+
+def _palletize(f: DataFrame, first_index=None):
+    return sales.palletize(f, SCOPE, GROUP, "pack_date", "qty", "max_cases", "full_cases", "stackable", ORDER_TAIL,
+                           number_bucket=F.floor(F.col("customer") / 1000), special="special", fob="fob", first_index=first_index)
 
 
-def _palletize(t: Tables):
-    return sales.palletize(fulfilments(t), SCOPE, GROUP, "pack_date", "qty", "max_cases", "full_cases", "stackable", ORDER_TAIL,
-                           number_bucket=F.floor(F.col("customer") / 1000))
+def _packed(t: Tables):
+    """(pallets, allocations) over the fulfilments, which are written once."""
+    return _palletize(written_table(fulfilments(t), "fulfilments"))
 
 
-@register("palletize", FUL_SQL + "SELECT * FROM pallets")
+@register("palletize", FUL_SQL + "SELECT farm_id, run_id, customer, product, pallet_index, cases, max_cases, full_cases, family, label, pallet_number FROM pallets")
 def q_palletize(spark, d):
-    pallets, _ = _palletize(Tables(spark, d))
-    return pallets.select(*SCOPE, *GROUP, "pallet_index", "cases", "max_cases", "full_cases", "family", "label", "pallet_number")
+    pallets, _ = _packed(Tables(spark, d))
+    return pallets.select(*PALLET_KEY, "cases", "max_cases", "full_cases", "family", "label", "pallet_number")
 
 
 @register("pallet_allocations", FUL_SQL + """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, pallet_index, allocated_quantity FROM a""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, pallet_index, allocated_quantity FROM pallets_a""")
 def q_pallet_allocations(spark, d):
-    _, alloc = _palletize(Tables(spark, d))
+    _, alloc = _packed(Tables(spark, d))
     return alloc.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pallet_index", "allocated_quantity")
 
 
-@register("stack_spaces", FUL_SQL + """
-SELECT * EXCLUDE (seq), CAST(seq % 20 + 1 AS BIGINT) AS container_space_number,
-  ['cucumber', 'lettuce', 'box_truck'][least(CAST(seq // 20 AS INTEGER) + 1, 3)] AS container, seq // 20 > 0 AS is_spillover
-FROM (SELECT farm_id, run_year, customer, product, pallet_index, label,
-             row_number() OVER (PARTITION BY farm_id, run_year ORDER BY customer, product, pallet_index) - 1 AS seq
-      FROM pallets WHERE label <> 'Full')""")
+# The k-th pallet beyond its container's spaces takes the k-th open space, in the order of the containers.
+SPACES_SQL = FUL_SQL + """,
+room AS (SELECT * FROM (VALUES ('cucumber', 1, 18), ('lettuce', 2, 18), ('box_truck', 3, 10)) v(container, rank, spaces)),
+waiting AS (SELECT p.*, rank, spaces, row_number() OVER (PARTITION BY farm_id, run_id, family ORDER BY customer, product, pallet_index) AS seq
+  FROM pallets p JOIN room ON container = family WHERE label <> 'Full'),
+every AS (SELECT farm_id, run_id, container, rank, unnest(generate_series(1, spaces)) AS space FROM (SELECT DISTINCT farm_id, run_id FROM waiting), room),
+free AS (SELECT *, row_number() OVER (PARTITION BY farm_id, run_id ORDER BY rank, space) AS k FROM every e
+  ANTI JOIN (SELECT farm_id, run_id, family AS container, seq AS space FROM waiting) w USING (farm_id, run_id, container, space)),
+queue AS (SELECT *, row_number() OVER (PARTITION BY farm_id, run_id ORDER BY rank, seq) AS k FROM waiting WHERE seq > spaces)
+"""
+
+
+@register("stack_spaces", SPACES_SQL + """
+SELECT farm_id, run_id, customer, product, pallet_index, label, family, seq AS container_space_number, family AS container, false AS is_spillover
+FROM waiting WHERE seq <= spaces
+UNION ALL
+SELECT q.farm_id, q.run_id, q.customer, q.product, q.pallet_index, q.label, q.family, free.space, free.container, true
+FROM queue q LEFT JOIN free ON free.farm_id = q.farm_id AND free.run_id = q.run_id AND free.k = q.k AND free.rank > q.rank""")
 def q_stack_spaces(spark, d):
-    pallets, _ = _palletize(Tables(spark, d))
-    p = pallets.select(*SCOPE, *GROUP, "pallet_index", "label")
-    out = sales.stack_spaces(p, SCOPE, ["customer", "product", "pallet_index"], 20, bucket=F.floor(F.col("customer") / 1000))
-    return out.select(*SCOPE, *GROUP, "pallet_index", "label", F.col("container_space_number").cast("long").alias("container_space_number"),
-                      "container", "is_spillover")
+    return _stacked(spark, d).select(*PALLET_KEY, "label", "family", "container_space_number", "container", "is_spillover")
+
+
+def _stacked(spark, d):
+    pallets, _ = _packed(Tables(spark, d))
+    p = pallets.select(*PALLET_KEY, "label", "family", "pallet_number")
+    return sales.stack_spaces(written_table(p, "pallets"), SCOPE, ["customer", "product", "pallet_index"], bucket=F.floor(F.col("customer") / 1000))
+
+
+@register("spillover", SPACES_SQL + """
+SELECT q.farm_id, q.run_id, q.pallet_number, q.family, free.container, free.space AS container_space_number
+FROM queue q LEFT JOIN free ON free.farm_id = q.farm_id AND free.run_id = q.run_id AND free.k = q.k AND free.rank > q.rank""")
+def q_spillover(spark, d):
+    """The pallets that left their own container, with where they went (null: no space anywhere)."""
+    return _stacked(spark, d).where("is_spillover").select(*SCOPE, "pallet_number", "family", "container", "container_space_number")
 
 
 @register("asn_cartons", FUL_SQL + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, pallet_index, pack_date AS lot, carton_number
-FROM a, LATERAL (SELECT unnest(generate_series(1, CAST(ceil(allocated_quantity / 10) AS INTEGER))) AS carton_number) WHERE allocated_quantity > 0""")
+FROM pallets_a, LATERAL (SELECT unnest(generate_series(1, CAST(ceil(allocated_quantity / 10) AS INTEGER))) AS carton_number) WHERE allocated_quantity > 0""")
 def q_asn_cartons(spark, d):
-    _, alloc = _palletize(Tables(spark, d))
+    _, alloc = _packed(Tables(spark, d))
     a = alloc.withColumnRenamed("pack_date", "lot")
     return sales.asn_cartons(a, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pallet_index"], "allocated_quantity", 10, "lot")
 
@@ -105,27 +159,37 @@ def q_asn_cartons(spark, d):
 SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, f.qty AS fulfilled, COALESCE(s.allocated, 0) AS allocated,
   CASE WHEN COALESCE(s.allocated, 0) = f.qty THEN 'ok' ELSE 'mismatch' END AS status
 FROM f LEFT JOIN (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity,
-                         SUM(allocated_quantity) AS allocated FROM a GROUP BY 1, 2, 3, 4, 5, 6, 7) s
+                         SUM(allocated_quantity)::BIGINT AS allocated FROM pallets_a GROUP BY 1, 2, 3, 4, 5, 6, 7) s
   USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity)""")
 def q_allocation_reconcile(spark, d):
-    t = Tables(spark, d)
-    _, alloc = _palletize(t)
-    r = sales.allocation_reconcile(alloc, fulfilments(t), LINE_KEY, "allocated_quantity", "qty")
+    f = written_table(fulfilments(Tables(spark, d)).where(F.col("fob") == "HNL"), "fulfilments")
+    _, alloc = _palletize(f)
+    r = sales.allocation_reconcile(alloc, f, LINE_KEY, "allocated_quantity", "qty")
     return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "fulfilled", "allocated", "status")
 
 
-@register("lock_preserving_refresh", FUL_SQL + """
-SELECT farm_id, run_year, customer, product, pallet_index, cases, label, label = 'Full' AS is_locked FROM pallets WHERE label = 'Full'
-UNION ALL
-SELECT farm_id, run_year, customer, product, pallet_index, cases, label, false FROM pallets p
-WHERE NOT EXISTS (SELECT 1 FROM pallets q WHERE q.label = 'Full' AND q.farm_id = p.farm_id AND q.run_year = p.run_year
-                  AND q.customer = p.customer AND q.product = p.product AND q.pallet_index = p.pallet_index)""")
+@register("lock_preserving_refresh", FUL_SQL.rstrip() + """,
+early AS (SELECT * FROM f WHERE pack_date < DATE '""" + LOCKED_BEFORE + """'),""" + _packing_sql("early", "old") + """,
+locked AS (SELECT * FROM old WHERE label = 'Full'),
+kept AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity, sum(allocated_quantity) AS q
+  FROM old_a SEMI JOIN locked USING (farm_id, run_id, customer, product, pallet_index) GROUP BY ALL),
+after AS (SELECT farm_id, run_id, customer, product, max(pallet_index) + 1 AS nxt FROM locked GROUP BY ALL),
+rest AS (SELECT f.* REPLACE ((f.qty - coalesce(kept.q, 0))::BIGINT AS qty, coalesce(nxt, 0)::BIGINT AS first_index)
+  FROM f LEFT JOIN kept USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity)
+  LEFT JOIN after USING (farm_id, run_id, customer, product)),""" + _packing_sql("rest", "fresh") + """
+SELECT farm_id, run_id, customer, product, pallet_index, cases, label, true AS is_locked FROM locked
+UNION ALL SELECT farm_id, run_id, customer, product, pallet_index, cases, label, false FROM fresh""")
 def q_lock_preserving_refresh(spark, d):
-    pallets, _ = _palletize(Tables(spark, d))
-    cols = [*SCOPE, *GROUP, "pallet_index", "cases", "label"]
-    old = pallets.select(*cols).withColumn("is_locked", F.col("label") == "Full")
-    new = pallets.select(*cols)
-    return sales.lock_preserving_refresh(old, new, "is_locked", [*SCOPE, *GROUP, "pallet_index"])
+    """The full pallets of an early run are locked; the rest is packed again with all later fulfilments."""
+    f = written_table(fulfilments(Tables(spark, d)), "fulfilments")
+    pallets, alloc = _palletize(f.where(F.col("pack_date") < F.lit(LOCKED_BEFORE).cast("date")))
+    cols = [*PALLET_KEY, "cases", "label"]
+    old = pallets.select(*cols, (F.col("label") == "Full").alias("is_locked"))
+
+    def rebuild(rest):
+        return _palletize(written_table(rest, "rest"), first_index="_first")[0].select(*cols)
+
+    return sales.lock_preserving_refresh(old, alloc, f, "is_locked", PALLET_KEY, LINE_KEY, "qty", rebuild)
 
 
 def _prices(t: Tables) -> DataFrame:

@@ -12,10 +12,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive broadcast threshold: AQE turns a sort-merge join into a
 # broadcast hash join only when the *measured* size of one side (after its
@@ -103,3 +104,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet under the shared checkpoint
+    folder and read it back, so that later reads don't compute it again."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,3 +134,35 @@ def test_fuzzy_match_equals_scoring_all_pairs(spark):
         best = min(((-score_names(norm(n), norm(c)), -prefer(c), i) for i, c in cands if norm(c) and norm(n)), default=(0, 0, None))
         assert got[n] == (best[2] if -best[0] >= 0.78 else None), n
     assert got[None] is None
+
+
+def test_balanced_split_and_top_off():
+    from furrow.operators.sales import BALANCED_SPLIT, Packing
+
+    def pack(quantities, most, split=None):
+        p = Packing(split)
+        return [(i, *t) for i, q in enumerate(quantities) for t in p.take(q, most)]
+
+    assert pack([84], 66, BALANCED_SPLIT) == [(0, 0, 60), (0, 1, 24)]
+    assert pack([84], 66) == [(0, 0, 66), (0, 1, 18)]
+    assert pack([72, 10], 66, BALANCED_SPLIT) == [(0, 0, 54), (0, 1, 18), (1, 1, 10)]
+    assert pack([10, 78], 66, BALANCED_SPLIT) == [(0, 0, 10), (1, 0, 56), (1, 1, 22)]  # not a fresh pallet
+    assert pack([84], 50, BALANCED_SPLIT) == [(0, 0, 50), (0, 1, 34)]
+
+
+def test_no_container_space_is_used_twice(spark):
+    from furrow.operators.sales import CONTAINER_SPACES, stack_spaces
+
+    rows = [("F", "cucumber", i, "Stackable") for i in range(25)] + [("F", "lettuce", i, "Shareable") for i in range(15)]
+    rows += [("F", "box_truck", i, "Shareable") for i in range(9)] + [("F", "cucumber", 99, "Full")] + [("G", "cucumber", 0, "Stackable")]
+    df = spark.createDataFrame(rows, "farm string, family string, i int, label string")
+    for bucket in (None, F.floor(F.col("i") / 4)):
+        got = stack_spaces(df, ["farm"], ["i"], bucket=bucket).collect()
+        assert len(got) == len(rows) - 1
+        placed = [(r.farm, r.container, r.container_space_number) for r in got if r.container]
+        assert len(placed) == len(set(placed))
+        room = dict(CONTAINER_SPACES)
+        assert all(1 <= n <= room[c] for _, c, n in placed)
+        over = sorted((r.i, r.container, r.container_space_number) for r in got if r.farm == "F" and r.is_spillover)
+        # seven cucumber pallets too many: three open lettuce spaces, one open box space, three without any
+        assert over == [(18, "lettuce", 16), (19, "lettuce", 17), (20, "lettuce", 18), (21, "box_truck", 10), (22, None, None), (23, None, None), (24, None, None)]
