@@ -21,9 +21,9 @@ def unpivot_measures(df: DataFrame, id_cols, value_cols, name: str = "metric", v
     long = df.unpivot(list(id_cols), list(value_cols), name, value).where(F.col(value).isNotNull())
     if config is not None:
         if config_key is None or config_key == name:
-            long = long.join(F.broadcast(config), name, "inner")
+            long = long.join(config, name, "inner")
         else:
-            long = long.join(F.broadcast(config), long[name] == config[config_key], "inner").drop(config_key)
+            long = long.join(config, long[name] == config[config_key], "inner").drop(config_key)
     return long
 
 
@@ -68,7 +68,7 @@ def explode_channel_index(sensors: DataFrame, device: str, channels: str, types:
     channel's type and exponent from a fixed type table; channels whose
     type is not listed (skipped types) drop out of the inner join."""
     x = sensors.select(F.col(device).alias("device_id"), F.explode(F.col(channels)).alias(type_key))
-    return x.join(F.broadcast(types), type_key, "inner")
+    return x.join(types, type_key, "inner")
 
 
 def unpivot_questions(df: DataFrame, id_cols, questions, out_prefix: str = "response_") -> DataFrame:

@@ -174,11 +174,24 @@ def q_nav_entitlements(spark, d):
 
 
 @register("auth_employee_id", """
-SELECT c_nationkey AS org_id, min(c_custkey) AS employee_id, arg_min(c_mktsegment, c_custkey) AS access_level FROM customer
-WHERE c_acctbal > 9000 GROUP BY 1""")
+SELECT c_mktsegment AS org_id, min(c_custkey) AS employee_id FROM customer WHERE c_nationkey = 7 AND c_acctbal >= 0 GROUP BY 1""")
 def q_auth_employee_id(spark, d):
-    c = Tables(spark, d).customer.withColumn("user_key", F.col("c_acctbal") > 9000).withColumn("org_id", F.col("c_nationkey"))
-    return rules.resolve_principal(c, "user_key", True, "org_id", "c_custkey", "c_mktsegment")
+    """Per org the employee of one signed-in user; negative balances stand for deleted records."""
+    return _principal(spark, d).select("org_id", "employee_id")
+
+
+@register("auth_access_level", """
+SELECT c_mktsegment AS org_id, CASE arg_min(c_custkey, c_custkey) % 5 WHEN 0 THEN 'Owner' WHEN 1 THEN 'Admin' WHEN 2 THEN 'Manager'
+  WHEN 3 THEN 'Team Lead' ELSE 'Employee' END AS access_level FROM customer WHERE c_nationkey = 7 AND c_acctbal >= 0 GROUP BY 1""")
+def q_auth_access_level(spark, d):
+    """Per org the access level of that user's employee."""
+    return _principal(spark, d).select("org_id", "access_level")
+
+
+def _principal(spark, d):
+    level = F.element_at(F.array(*[F.lit(x) for x in ("Owner", "Admin", "Manager", "Team Lead", "Employee")]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    c = Tables(spark, d).customer.where("c_acctbal >= 0").withColumn("level", level).withColumn("org_id", F.col("c_mktsegment"))
+    return rules.resolve_principal(c, "c_nationkey", 7, "org_id", "c_custkey", "level")
 
 
 @register("pack_session_set_defaults", """

@@ -106,12 +106,12 @@ def q_etl_harvest_sessions(spark, d):
 
 
 @register("etl_lettuce", """
-WITH s AS (SELECT o_orderkey, upper(strftime(o_orderdate, '%y%m') || 'P' || o_orderstatus) AS code, o_orderdate FROM orders WHERE o_orderpriority = '3-MEDIUM')
+WITH s AS (SELECT o_orderkey, upper(strftime(o_orderdate, '%y%m') || 'P' || o_orderstatus) AS code, o_orderdate FROM orders)
 SELECT o_orderkey, CASE WHEN rn > 1 THEN code || '_' || CAST(rn AS VARCHAR) ELSE code END AS code,
        CAST(o_orderdate AS DATE) + 14 AS transplant_date
 FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY o_orderdate, o_orderkey) AS rn FROM s)""")
 def q_etl_lettuce(spark, d):
-    o = Tables(spark, d).orders.where(F.col("o_orderpriority") == "3-MEDIUM").select(
+    o = Tables(spark, d).orders.select(
         "o_orderkey", "o_orderdate", F.upper(F.concat(F.date_format("o_orderdate", "yyMM"), F.lit("P"), F.col("o_orderstatus"))).alias("code"))
     x = win.dup_suffix_bucketed(o, "code", ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"))
     return x.select("o_orderkey", "code", arith.default_dates(F.lit(None).cast("date"), F.col("o_orderdate").cast("date"), 14).alias("transplant_date"))

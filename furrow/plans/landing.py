@@ -65,11 +65,12 @@ def q_scan_unformatted(spark, d):
 
 @register("scan_tabs_union", """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS status, 'tab_' || CAST(year(o_orderdate) AS VARCHAR) AS tab
-FROM orders WHERE year(o_orderdate) IN (1997, 1998)""")
+FROM orders""")
 def q_scan_tabs_union(spark, d):
     base = _run_dir(spark, "tabs")
     paths = []
-    for y in (1997, 1998):
+    first, last = Tables(spark, d).orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    for y in range(first, last + 1):  # a tab per year
         p = f"{base}/tab_{y}"
         _land_orders_tab(spark, d, p, F.year("o_orderdate") == y)
         paths.append(p)
@@ -160,12 +161,14 @@ def q_catalog_columns(spark, d):
 
 
 @register("write_append", """
-SELECT o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) IN (1997, 1998)""")
+SELECT o_orderkey, o_orderstatus FROM orders""")
 def q_write_append(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    """Finished orders first, all others appended."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
     path = _run_dir(spark, "append")
-    sinks.write_append(o.where(F.col("y") == 1997).drop("y"), path)
-    sinks.write_append(o.where(F.col("y") == 1998).drop("y"), path)
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    sinks.write_append(o.where(finished), path)
+    sinks.write_append(o.where(~finished), path)
     return spark.read.parquet(path)
 
 

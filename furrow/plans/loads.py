@@ -107,9 +107,9 @@ def q_json_array_elements(spark, d):
 
 
 @register("entitlement_grid", """
-SELECT c_custkey, m AS module FROM customer, (VALUES ('hr'), ('grow'), ('pack')) v(m) WHERE c_acctbal > 0""")
+SELECT c_custkey, m AS module FROM customer, (VALUES ('hr'), ('grow'), ('pack')) v(m)""")
 def q_entitlement_grid(spark, d):
-    c = Tables(spark, d).customer.where(F.col("c_acctbal") > 0).select("c_custkey")
+    c = Tables(spark, d).customer.select("c_custkey")
     return rs.entitlement_grid(c, ["hr", "grow", "pack"])
 
 

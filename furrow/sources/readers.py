@@ -87,8 +87,8 @@ def distinct_seed(df: DataFrame, c: str, out: str = "name") -> DataFrame:
 
 
 def static_dim(spark: SparkSession, rows, schema) -> DataFrame:
-    """Hand-listed reference rows (fixed size, so safe to broadcast)."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """Hand-listed reference rows; a join broadcasts them if they are small enough for the session."""
+    return spark.createDataFrame(rows, schema)
 
 
 def catalog_columns(spark: SparkSession, db: str | None = None) -> DataFrame:
