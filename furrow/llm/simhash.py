@@ -36,6 +36,7 @@ from functools import lru_cache
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -245,17 +246,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DI
     whole = kept.where("_furrow_rows = 1").select(*docs.columns)
     repeated = kept.where("_furrow_rows > 1").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
 
-    def pattern(texts: Iterator) -> Iterator:
-        for t in texts:
-            yield t.map(lambda s: np.uint64(simhash((s or "").encode(), shingle)).astype(np.int64)).astype("int64")
+    @F.pandas_udf("long")
+    def pattern(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([simhash((t or "").encode(), shingle) for t in texts], np.uint64).view(np.int64))
 
-    nameless = docs.where("doc_id IS NULL").withColumn("_furrow_fp", _series(pattern)(F.col("text")))
+    nameless = docs.where("doc_id IS NULL").withColumn("_furrow_fp", pattern("text"))
     alone = groups.where("component_id IS NULL").select(F.col("fp").alias("_furrow_fp"), "root").distinct()
     one = nameless.join(alone, "_furrow_fp").groupBy("root").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
     return whole.union(repeated.select("_furrow_row.*")).union(one.select("_furrow_row.*"))
-
-
-def _series(fn):
-    from pyspark.sql.functions import PandasUDFType, pandas_udf
-
-    return pandas_udf(fn, "long", PandasUDFType.SCALAR_ITER)
