@@ -17,6 +17,7 @@ from furrow.operators import reshape as rs
 from furrow.operators import rows
 from furrow.operators import windows as win
 from furrow.operators.rules import flag_out_of_range
+from furrow.plans.cleaning import proper_case_sql
 from furrow.plans.registry import register
 from furrow.sources import sinks
 from furrow.sources.tables import Tables
@@ -24,56 +25,165 @@ from furrow.sources.tables import Tables
 # ---------------------------------------------------------------- etl_payroll
 
 
+# Number columns of the sheet (sheet name where it differs) in the order of the loaded table.
+PAYROLL_NUMBERS = {
+    "regular_hours": None, "overtime_hours": None, "discretionary_overtime_hours": None, "pto_hours": "pto_hours_taken", "total_hours": None,
+    "pto_hours_accrued": None, "regular_pay": None, "overtime_pay": None, "discretionary_overtime_pay": None, "pto_pay": None,
+    "other_pay": None, "bonus_pay": None, "auto_allowance": "allowance_auto", "per_diem": "allowance_per_diem", "gross_wage": None,
+    "fit": None, "sit": None, "social_security": None, "medicare": None, "comp_plus": None, "hds_dental": None, "pre_tax_401k": None,
+    "auto_deduction": None, "child_support": None, "program_fees": None, "net_pay": None, "labor_tax": None, "other_tax": None,
+    "workers_compensation": None, "health_benefits": None, "other_health_charges": None, "admin_fees": None, "hawaii_get": None,
+    "other_charges": None, "tdi": "ex_invoice_tdi", "total_cost": None}
+# Fixed binding values: department cells and the departments they stand for.
+DEPARTMENTS = {"1-urgent": "pack", "2-high": "grow", "3-medium": "maintenance"}
+PAY_STRUCTURES = ("Hourly", "Salary")
+
+
+def _number_cell(i: int, k: str, cost: str, engine: str) -> str:
+    """Cell text of the i-th number column: blank on every 7th row, else a multiple of the cost with separators."""
+    value = f"CAST({cost} * {i + 1} AS DECIMAL(18,2))"
+    shown = f"format('{{:,.2f}}', CAST({value} AS DOUBLE))" if engine == "duckdb" else f"format_number({value}, 2)"
+    return f"CASE WHEN ({k} + {i}) % 7 = 0 THEN '' ELSE {shown} END"
+
+
 def raw_payroll(t: Tables) -> DataFrame:
     """orders x customer rendered as the payroll sheet: id cell sometimes
-    blank, name cell with case / spacing drift, 'd1 - d2' pay period, blank
-    check date, amounts with thousands separators."""
+    blank, name cell with case / spacing drift or of a line without an
+    employee, 'd1 - d2' pay period, blank check date, departments and
+    structures in free spelling, amounts with thousands separators or blank."""
     o, c = t.orders, t.customer
-    j = o.join(c.select("c_custkey", "c_name"), o.o_custkey == c.c_custkey)
+    j = o.join(c.select("c_custkey", "c_name"), o.o_custkey == c.c_custkey).withColumn("cost", F.col("o_totalprice").cast("decimal(18,2)"))
     k = F.col("o_orderkey")
-    name = F.when(k % 2 == 0, F.upper(F.col("c_name"))).otherwise(F.concat(F.lit("  "), F.col("c_name")))
+    name = F.when(k % 97 == 0, "Adjustment").when(k % 89 == 0, " ").when(k % 2 == 0, F.upper(F.col("c_name"))).otherwise(F.concat(F.lit("  "), F.col("c_name")))
+    cells = [F.expr(_number_cell(i, "o_orderkey", "cost", "spark")).alias(sheet or out) for i, (out, sheet) in enumerate(PAYROLL_NUMBERS.items())]
     return j.select(
-        k.alias("row_no"), F.when(k % 3 == 0, F.lit("")).otherwise(F.col("o_custkey").cast("string")).alias("employee_id"),
-        F.when(k % 5 == 0, F.regexp_replace(F.col("c_name"), "#", " ")).otherwise(name).alias("full_name"),
-        F.concat(F.date_format("o_orderdate", "M/d/yyyy"), F.lit(" - "), F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 13), "M/d/yyyy")).alias("pay_period"),
-        F.lit("").alias("check_date"), F.format_number("o_totalprice", 2).alias("total_cost"))
-
-
-def etl_payroll(raw: DataFrame, employees: DataFrame) -> DataFrame:
-    x = parse.with_split_period(raw, "pay_period", "check_date", out="_p")
-    emp = employees.select("c_custkey", "c_name", text.slug("c_name").alias("c_slug"))
-    x = jn.cascade_lookup(x.withColumn("_slug", text.slug("full_name")), [
-        (emp, "employee_id", "c_custkey", "c_custkey"),
-        (emp, "full_name", "c_name", "c_custkey"),
-        (emp, "_slug", "c_slug", "c_custkey")], "hr_employee_id")
-    return x.select("row_no", "hr_employee_id", F.col("_p.start").alias("pay_period_start"), F.col("_p.end").alias("pay_period_end"),
-                    F.col("_p.check_date").alias("check_date"), parse.parse_number("total_cost", dtype="decimal(18,2)").alias("total_cost"))
-
-
-PARSE_D = """CASE WHEN regexp_matches(trim({c}), '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') THEN CAST(try_strptime(trim({c}), '%m/%d/%Y') AS DATE) END"""
-
-
-@register("etl_payroll", """
-WITH r AS (
-  SELECT o.o_orderkey AS row_no, CASE WHEN o.o_orderkey % 3 = 0 THEN '' ELSE CAST(o.o_custkey AS VARCHAR) END AS employee_id,
-    CASE WHEN o.o_orderkey % 5 = 0 THEN replace(c.c_name, '#', ' ') WHEN o.o_orderkey % 2 = 0 THEN upper(c.c_name) ELSE '  ' || c.c_name END AS full_name,
-    strftime(o.o_orderdate, '%-m/%-d/%Y') || ' - ' || strftime(CAST(o.o_orderdate AS DATE) + 13, '%-m/%-d/%Y') AS pay_period,
-    format('{:,.2f}', o.o_totalprice) AS total_cost
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-e AS (SELECT c_custkey, c_name, trim(regexp_replace(lower(trim(c_name)), '[^a-z0-9_]+', '_', 'g'), '_') AS c_slug FROM customer)
-SELECT r.row_no, COALESCE(
-    (SELECT min(c_custkey) FROM e WHERE lower(trim(CAST(e.c_custkey AS VARCHAR))) = lower(trim(r.employee_id))),
-    (SELECT min(c_custkey) FROM e WHERE lower(trim(e.c_name)) = lower(trim(r.full_name))),
-    (SELECT min(c_custkey) FROM e WHERE lower(trim(e.c_slug)) = trim(regexp_replace(lower(trim(r.full_name)), '[^a-z0-9_]+', '_', 'g'), '_'))
-  ) AS hr_employee_id,
-  """ + PARSE_D.format(c="split_part(r.pay_period, ' - ', 1)") + """ AS pay_period_start,
-  """ + PARSE_D.format(c="split_part(r.pay_period, ' - ', 2)") + """ AS pay_period_end,
-  """ + PARSE_D.format(c="split_part(r.pay_period, ' - ', 2)") + """ AS check_date,
-  TRY_CAST(NULLIF(replace(trim(r.total_cost), ',', ''), '') AS DECIMAL(18,2)) AS total_cost
-FROM r""")
+        k.alias("row_no"), F.when(k % 3 == 0, F.lit("")).otherwise(F.col("o_custkey").cast("string")).alias("employee_id"), name.alias("full_name"),
+        F.when(k % 13 != 0, F.concat(F.date_format("o_orderdate", "M/d/yyyy"), F.lit(" - "),
+                                     F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 13), "M/d/yyyy"))).otherwise("").alias("pay_period"),
+        F.when(k % 13 == 0, F.when(k % 26 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))).otherwise("").alias("check_date"),
+        F.concat(F.lit(" "), F.upper("o_orderpriority")).alias("department"), F.lower("o_orderstatus").alias("status"),
+        F.when(k % 4 == 0, F.lit(" ")).otherwise(F.substr("o_orderpriority", F.lit(1), F.lit(1))).alias("workers_compensation_code"),
+        F.element_at(F.array(*[F.lit(x) for x in ("HOURLY", "salary ", "weekly", "")]), (k % 4 + 1).cast("int")).alias("pay_structure"),
+        F.when(k % 5 == 0, "ADP ").otherwise(" ").alias("source"), F.when(F.col("o_orderstatus") != "P", " True").otherwise("no").alias("is_standard"),
+        F.when(k % 6 == 0, "").otherwise(F.concat(F.lit("INV"), k.cast("string"))).alias("invoice_number"), *cells)
+
+
+def payroll_employees(t: Tables) -> DataFrame:
+    """customers as employees; every eleventh has left and is unknown."""
+    c = t.customer.where("c_custkey % 11 <> 0")
+    return c.select(text.slug("c_name").alias("id"), F.col("c_custkey").cast("string").alias("payroll_id"), F.upper("c_name").alias("full_name"),
+                    F.lower("c_mktsegment").alias("hr_department_id"), F.lit("1099").alias("hr_work_authorization_id"),
+                    F.substr("c_mktsegment", F.lit(1), F.lit(2)).alias("wc"),
+                    F.when(F.col("c_acctbal") > 0, F.col("c_acctbal").cast("decimal(18,2)")).alias("overtime_threshold"))
+
+
+def _named_rows(raw: DataFrame) -> DataFrame:
+    """Rows of a person: blank names and adjustment lines are no payroll lines."""
+    x = raw.withColumn("_name", F.upper(text.strip_all("full_name"))).withColumn("_eid", text.strip_all("employee_id"))
+    return x.where((F.col("_name") != "") & (F.col("_name") != "ADJUSTMENT"))
+
+
+def _with_employee(x: DataFrame, employees: DataFrame) -> DataFrame:
+    """The employee by payroll id, else by name; ids and names are unique among employees (the least id otherwise)."""
+    cols = ["id", "payroll_id", "hr_department_id", "hr_work_authorization_id", "wc", "overtime_threshold"]
+    packed = F.struct(*cols)
+    by_id = employees.where("payroll_id <> ''").groupBy(F.col("payroll_id").alias("_eid")).agg(F.min(packed).alias("_by_id"))
+    by_name = employees.groupBy(F.col("full_name").alias("_name")).agg(F.min(packed).alias("_by_name"))
+    return x.join(by_id, "_eid", "left").join(by_name, "_name", "left").withColumn("_e", F.coalesce("_by_id", "_by_name"))
+
+
+def etl_payroll(raw: DataFrame, employees: DataFrame, departments=None, authorizations=("H2A", "F", "O")) -> DataFrame:
+    """Payroll lines with employee, period, snapshots and every number column; undated lines are left out."""
+    x = _with_employee(_named_rows(raw), employees)
+    x = parse.with_split_period(x, "pay_period", "check_date", out="_p").where(F.col("_p.check_date").isNotNull())
+    blank = lambda c: F.when(text.strip_all(c) != "", text.strip_all(c))
+    pairs = [F.lit(v) for kv in (departments or DEPARTMENTS).items() for v in kv]
+    department = F.try_element_at(F.create_map(*pairs), F.lower(text.strip_all("department")))
+    status = F.try_element_at(F.create_map(*[F.lit(v) for a in authorizations for v in (a.lower(), a)]), F.lower(text.strip_all("status")))
+    structure = F.initcap(text.strip_all("pay_structure"))
+    own = F.coalesce(F.col("_e.id"), text.slug("_name"))
+    # one parse over the array of cells: 36 inlined ones would not fit a generated method
+    parsed = F.transform(F.array(*[sheet or out for out, sheet in PAYROLL_NUMBERS.items()]), lambda c: parse.parse_number(c, default=0, dtype="decimal(18,2)"))
+    x = x.withColumn("_numbers", parsed)
+    numbers = [F.get("_numbers", F.lit(i)).alias(out) for i, out in enumerate(PAYROLL_NUMBERS)]
+    return text.map_distinct(x, "_name", text.proper_case, "employee_name").select(
+        "row_no", own.alias("hr_employee_id"), F.coalesce(blank("_eid"), F.col("_e.payroll_id"), own).alias("payroll_id"),
+        F.col("_p.start").alias("pay_period_start"), F.col("_p.end").alias("pay_period_end"), F.col("_p.check_date").alias("check_date"),
+        blank("invoice_number").alias("invoice_number"), F.coalesce(blank("source"), F.lit("HRB")).alias("payroll_processor"),
+        (F.lower(text.strip_all("is_standard")) == "true").alias("is_standard"), "employee_name",
+        F.coalesce(department, F.col("_e.hr_department_id")).alias("hr_department_id"),
+        F.coalesce(status, F.col("_e.hr_work_authorization_id")).alias("hr_work_authorization_id"),
+        F.coalesce(blank("workers_compensation_code"), F.col("_e.wc")).alias("wc"),
+        F.when(structure.isin(*PAY_STRUCTURES), structure).alias("pay_structure"),
+        F.col("_e.overtime_threshold").alias("overtime_threshold"), *numbers)
+
+
+def former_employees(raw: DataFrame, employees: DataFrame, departments=None) -> DataFrame:
+    """Inactive employee records for the names that no employee answers to: one per name, from its first row; an id that
+    exists already is never overwritten."""
+    x = _with_employee(_named_rows(raw), employees).where("_e IS NULL")
+    pairs = [F.lit(v) for kv in (departments or DEPARTMENTS).items() for v in kv]
+    first = win.keep_first(x.select("_name", "_eid", "department", "workers_compensation_code", "source", "row_no"), ["_name"], ["row_no"])
+    tail = F.regexp_replace("_name", r"^\S+\s*", "")
+    out = first.select(
+        text.slug("_name").alias("id"), F.when(tail != "", text.proper_case(tail)).otherwise("Unknown").alias("first_name"),
+        text.proper_case(F.regexp_extract("_name", r"^\S+", 0)).alias("last_name"),
+        F.try_element_at(F.create_map(*pairs), F.lower(text.strip_all("department"))).alias("hr_department_id"),
+        F.when(F.col("_eid") != "", F.col("_eid")).alias("payroll_id"), text.clean_text("workers_compensation_code").alias("wc"),
+        text.clean_text("source").alias("payroll_processor"), F.lit(True).alias("is_deleted"))
+    return out.join(employees.select("id"), "id", "left_anti")
+
+
+def _raw_payroll_sql() -> str:
+    cells = ", ".join(f"{_number_cell(i, 'o_orderkey', 'cost', 'duckdb')} AS n_{out}" for i, out in enumerate(PAYROLL_NUMBERS))
+    return f"""
+WITH sheet AS (
+  SELECT o_orderkey AS row_no, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_custkey::VARCHAR END AS eid,
+    CASE WHEN o_orderkey % 97 = 0 THEN 'ADJUSTMENT' WHEN o_orderkey % 89 = 0 THEN '' ELSE upper(c_name) END AS name, o_orderdate::DATE AS d,
+    lower(o_orderpriority) AS dep, o_orderstatus AS st, CASE WHEN o_orderkey % 4 <> 0 THEN substr(o_orderpriority, 1, 1) END AS wc,
+    CASE o_orderkey % 4 WHEN 0 THEN 'Hourly' WHEN 1 THEN 'Salary' END AS structure, CASE WHEN o_orderkey % 5 = 0 THEN 'ADP' END AS source,
+    o_orderstatus <> 'P' AS is_standard, CASE WHEN o_orderkey % 6 <> 0 THEN 'INV' || o_orderkey END AS invoice_number, {cells}
+  FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS cost FROM orders) JOIN customer ON c_custkey = o_custkey),
+people AS (SELECT trim(regexp_replace(lower(c_name), '[^a-z0-9_]+', '_', 'g'), '_') AS id, c_custkey::VARCHAR AS pid, upper(c_name) AS name,
+    lower(c_mktsegment) AS dep, substr(c_mktsegment, 1, 2) AS wc, CASE WHEN c_acctbal > 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS threshold
+  FROM customer WHERE c_custkey % 11 <> 0),
+named AS (SELECT * FROM sheet WHERE name NOT IN ('', 'ADJUSTMENT')),
+found AS (SELECT s.*, coalesce(a.id, b.id) AS emp, coalesce(a.pid, b.pid) AS emp_pid, CASE WHEN a.id IS NULL THEN b.dep ELSE a.dep END AS emp_dep,
+    CASE WHEN a.id IS NULL THEN b.wc ELSE a.wc END AS emp_wc, CASE WHEN a.id IS NULL THEN b.threshold ELSE a.threshold END AS emp_threshold,
+    trim(regexp_replace(lower(s.name), '[^a-z0-9_]+', '_', 'g'), '_') AS slug
+  FROM named s LEFT JOIN people a ON a.pid = s.eid LEFT JOIN people b ON b.name = s.name)"""
+
+
+_DEPARTMENT_SQL = "CASE dep " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DEPARTMENTS.items()) + " END"
+
+
+def _payroll_sql() -> str:
+    numbers = ", ".join(f"coalesce(TRY_CAST(replace(n_{c}, ',', '') AS DECIMAL(18,2)), 0)::DECIMAL(18,2) AS {c}" for c in PAYROLL_NUMBERS)
+    dated = "row_no % 13 <> 0"
+    return _raw_payroll_sql() + f"""
+SELECT row_no, coalesce(emp, slug) AS hr_employee_id, coalesce(nullif(eid, ''), emp_pid, slug) AS payroll_id, d AS pay_period_start,
+  CASE WHEN {dated} THEN d + 13 ELSE d END AS pay_period_end, CASE WHEN {dated} THEN d + 13 ELSE d END AS check_date,
+  invoice_number, coalesce(source, 'HRB') AS payroll_processor, is_standard, {proper_case_sql("name")} AS employee_name,
+  coalesce({_DEPARTMENT_SQL}, emp_dep) AS hr_department_id, coalesce(CASE WHEN st IN ('F', 'O') THEN st END, CASE WHEN emp IS NOT NULL THEN '1099' END)
+    AS hr_work_authorization_id, coalesce(wc, emp_wc) AS wc, structure AS pay_structure, emp_threshold AS overtime_threshold, {numbers}
+FROM found WHERE row_no % 26 <> 0"""
+
+
+@register("etl_payroll", _payroll_sql())
 def q_etl_payroll(spark, d):
     t = Tables(spark, d)
-    return etl_payroll(raw_payroll(t), t.customer)
+    return etl_payroll(raw_payroll(t), payroll_employees(t))
+
+
+@register("etl_payroll_former_employees", _raw_payroll_sql() + f"""
+SELECT slug AS id, CASE WHEN strpos(name, ' ') > 0 THEN {proper_case_sql("regexp_replace(name, '^[^ ]+ *', '')")} ELSE 'Unknown' END AS first_name,
+  {proper_case_sql("split_part(name, ' ', 1)")} AS last_name, {_DEPARTMENT_SQL} AS hr_department_id, nullif(eid, '') AS payroll_id, wc,
+  source AS payroll_processor, true AS is_deleted
+FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY row_no) AS rn FROM found WHERE emp IS NULL)
+WHERE rn = 1 AND slug NOT IN (SELECT id FROM people)""")
+def q_etl_payroll_former_employees(spark, d):
+    t = Tables(spark, d)
+    return former_employees(raw_payroll(t), payroll_employees(t))
 
 
 # ---------------------------------------------------------------- etl_schedule

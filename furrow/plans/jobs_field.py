@@ -14,6 +14,7 @@ from furrow.operators import reshape as rs
 from furrow.operators import rows, setops
 from furrow.operators import windows as win
 from furrow.plans.registry import register
+from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
 
@@ -169,26 +170,80 @@ def q_etl_scouting(spark, d):
     return rs.unpivot_prefix_groups(o, ["tracker_id"], ["pest", "disease"], ["finding"], label="kind")
 
 
+def invoice_docs(t: Tables) -> DataFrame:
+    """orders with their line items as nested invoice documents (one document holds its own lines)."""
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("Id")).agg(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("LineNum"), F.col("l_extendedprice").cast("decimal(14,2)").alias("Amount"),
+        F.struct(F.col("l_partkey").cast("string").alias("ItemRef"), F.col("l_quantity").cast("decimal(14,4)").alias("Qty")).alias("Detail"))).alias("Line"))
+    head = t.orders.select(F.col("o_orderkey").alias("Id"), F.concat(F.lit("D"), F.col("o_orderkey").cast("string")).alias("DocNumber"),
+                           F.col("o_orderdate").cast("date").alias("TxnDate"), F.col("o_custkey").cast("string").alias("CustomerRef"),
+                           F.col("o_orderstatus").alias("Status"))
+    return head.join(lines, "Id", "left")
+
+
+def invoice_headers(docs: DataFrame) -> DataFrame:
+    amounts = F.transform("Line", lambda x: x["Amount"])
+    total = F.aggregate(amounts, F.lit(0).cast("decimal(24,2)"), lambda a, x: (a + F.coalesce(x, F.lit(0))).cast("decimal(24,2)"))
+    return docs.select(F.col("Id").alias("invoice_id"), F.col("DocNumber").alias("doc_number"), F.col("TxnDate").alias("txn_date"),
+                       F.col("CustomerRef").alias("customer_ref"), F.coalesce(F.size("Line"), F.lit(0)).alias("n_lines"),
+                       F.coalesce(total, F.lit(0)).cast("decimal(24,2)").alias("total"))
+
+
+def invoice_lines(docs: DataFrame) -> DataFrame:
+    x = docs.select(F.col("Id").alias("invoice_id"), F.explode("Line").alias("l"))
+    return x.select("invoice_id", F.col("l.LineNum").alias("line_num"), F.col("l.Detail.ItemRef").alias("item_ref"),
+                    F.col("l.Detail.Qty").alias("qty"), F.col("l.Amount").alias("amount"))
+
+
 @register("etl_invoices", """
-SELECT o.o_orderkey AS invoice_id, CAST(o.o_orderdate AS DATE) AS txn_date, COUNT(l.l_linenumber) AS n_lines,
-       SUM(CAST(l.l_extendedprice AS DECIMAL(14,2))) AS total
-FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus <> 'P' GROUP BY 1, 2""")
+SELECT o_orderkey AS invoice_id, 'D' || o_orderkey AS doc_number, CAST(o_orderdate AS DATE) AS txn_date, o_custkey::VARCHAR AS customer_ref,
+       count(l_linenumber)::INTEGER AS n_lines, coalesce(sum(CAST(l_extendedprice AS DECIMAL(14,2))), 0)::DECIMAL(24,2) AS total
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
 def q_etl_invoices(spark, d):
-    t = Tables(spark, d)
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("invoice_id")).agg(F.collect_list(F.struct(
-        F.col("l_linenumber").alias("LineNum"), F.col("l_extendedprice").cast("decimal(14,2)").alias("Amount"))).alias("Line"))
-    docs = t.orders.where(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("invoice_id"), F.col("o_orderdate").cast("date").alias("txn_date")) \
-        .join(lines, "invoice_id")
-    flat = rs.explode_docs(docs, "Line", ["invoice_id", "txn_date"], {"line_num": F.col("l.LineNum"), "amount": F.col("l.Amount")})
-    return flat.groupBy("invoice_id", "txn_date").agg(F.count("line_num").alias("n_lines"), F.sum("amount").alias("total"))
+    """Headers of the nested invoice documents."""
+    return invoice_headers(invoice_docs(Tables(spark, d)))
+
+
+@register("etl_invoice_lines", """
+SELECT l_orderkey AS invoice_id, l_linenumber AS line_num, l_partkey::VARCHAR AS item_ref, CAST(l_quantity AS DECIMAL(14,4)) AS qty,
+       CAST(l_extendedprice AS DECIMAL(14,2)) AS amount FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+def q_etl_invoice_lines(spark, d):
+    return invoice_lines(invoice_docs(Tables(spark, d)))
+
+
+@register("etl_invoice_reload", """
+SELECT l_orderkey AS invoice_id, l_linenumber AS line_num, l_partkey::VARCHAR AS item_ref, CAST(l_quantity AS DECIMAL(14,4)) AS qty,
+       CASE WHEN o_orderstatus = 'O' THEN -CAST(l_extendedprice AS DECIMAL(14,2)) ELSE CAST(l_extendedprice AS DECIMAL(14,2)) END AS amount
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'O' OR l_linenumber <= 3""")
+def q_etl_invoice_reload(spark, d):
+    """A second load of the open invoices, corrected to their first three lines with the sign turned: their old lines go."""
+    docs = invoice_docs(Tables(spark, d))
+    fixed = F.transform(F.filter("Line", lambda x: x["LineNum"] <= 3), lambda x: x.withField("Amount", (-x["Amount"]).cast("decimal(14,2)")))
+    again = docs.where("Status = 'O'").withColumn("Line", fixed)
+    _, children = sinks.upsert_parent_replace_children(
+        invoice_headers(docs), invoice_lines(docs), invoice_headers(again), invoice_lines(again), ["invoice_id"], ["invoice_id"])
+    return children
+
+
+def expense_docs(t: Tables) -> DataFrame:
+    """Line items grouped as expense documents; a returned one is a credit."""
+    return t.lineitem.groupBy(F.col("l_orderkey").alias("Id")).agg(
+        F.max(F.col("l_returnflag") == "R").alias("Credit"),
+        F.collect_list(F.struct(
+            F.col("l_linenumber").alias("LineNum"), F.col("l_extendedprice").cast("decimal(14,2)").alias("Amount"),
+            F.when(F.col("l_linestatus") == "F", F.struct(F.col("l_suppkey").cast("string").alias("AccountRef"))).alias("AccountDetail"),
+            F.when(F.col("l_linestatus") != "F", F.struct(F.col("l_partkey").cast("string").alias("ItemRef"))).alias("ItemDetail"))).alias("Line"))
 
 
 @register("etl_expenses", """
-SELECT l_orderkey AS expense_id, l_linenumber AS line_num,
-       CASE WHEN l_returnflag = 'R' THEN -CAST(l_extendedprice AS DECIMAL(14,2)) ELSE CAST(l_extendedprice AS DECIMAL(14,2)) END AS amount,
-       COALESCE(CASE WHEN l_linestatus = 'F' THEN 'account' END, 'item') AS detail_type FROM lineitem""")
+SELECT l_orderkey AS expense_id, l_linenumber AS line_num, CASE WHEN l_linestatus = 'F' THEN 'account' ELSE 'item' END AS detail_type,
+       CASE WHEN l_linestatus = 'F' THEN l_suppkey::VARCHAR ELSE l_partkey::VARCHAR END AS ref,
+       CASE WHEN bool_or(l_returnflag = 'R') OVER (PARTITION BY l_orderkey) THEN -CAST(l_extendedprice AS DECIMAL(14,2)) ELSE CAST(l_extendedprice AS DECIMAL(14,2)) END AS amount
+FROM lineitem""")
 def q_etl_expenses(spark, d):
-    li = Tables(spark, d).lineitem
-    return li.select(F.col("l_orderkey").alias("expense_id"), F.col("l_linenumber").alias("line_num"),
-                     codes.signed_amount(F.col("l_extendedprice").cast("decimal(14,2)"), F.col("l_returnflag") == "R").alias("amount"),
-                     arith.coalesce_chain(F.when(F.col("l_linestatus") == "F", F.lit("account")), F.lit("item")).alias("detail_type"))
+    """Lines of the nested expense documents: account or item detail, credits with a negative sign."""
+    x = expense_docs(Tables(spark, d)).select(F.col("Id").alias("expense_id"), "Credit", F.explode("Line").alias("l"))
+    return x.select("expense_id", F.col("l.LineNum").alias("line_num"),
+                    F.when(F.col("l.AccountDetail").isNotNull(), "account").otherwise("item").alias("detail_type"),
+                    arith.coalesce_chain(F.col("l.AccountDetail.AccountRef"), F.col("l.ItemDetail.ItemRef")).alias("ref"),
+                    codes.signed_amount(F.col("l.Amount"), F.col("Credit")).alias("amount"))
