@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import ship
+from furrow.llm.common import sample_by_hash, ship
 
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 20_000
@@ -52,16 +52,17 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
 CONTENT_TAGS = frozenset("article main".split())
-LAYOUT_TAGS = frozenset("nav header footer aside menu".split())
+LAYOUT_TAGS = frozenset("nav footer aside menu".split())
 STRONG_TAGS = frozenset("form button dialog label fieldset legend option".split())
 CONTENT_ROLES = frozenset("main article".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 CONTENT_WORDS = frozenset("article articlebody content main post entry story".split())
 LAYOUT_WORDS = frozenset(
-    "aside banner bottombar breadcrumb breadcrumbs foot footer head header masthead menu nav navbar navigation pager "
+    "aside banner bottombar breadcrumb breadcrumbs foot footer masthead menu nav navbar navigation pager "
     "pagination rail search side sidebar toolbar topbar widget widgets".split())
+HEADING_WORDS = frozenset("head header heading".split())
 STRONG_WORDS = frozenset(
-    "ad ads adsense advert advertisement adverts alert comment comments commentlist consent cookie cookies copyright disclaimer "
+    "ad ads adsbygoogle adsense adslot adunit advert advertisement adverts alert comment comments commentlist consent cookie cookies copyright disclaimer "
     "discussion disqus gdpr login modal newsletter notice notification overlay popup promo promotion recommended related "
     "replies reply respond share sharing signup skip social sponsor sponsored subscribe subscription tagcloud toast "
     "trending warning".split())
@@ -72,20 +73,21 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*>", re.DOTALL | re.IGNORECASE)
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden|itemprop)(?=[\s=>]|$)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden|itemprop)(?=[\s=>]|$)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "content", "layout", "strong", "holds_content")
+    __slots__ = ("tag", "parent", "depth", "content", "layout", "strong", "heading", "holds_content")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.content = tag in CONTENT_TAGS
         self.layout = tag in LAYOUT_TAGS
         self.strong = tag in STRONG_TAGS
+        self.heading = tag == "header"
         self.holds_content = False
         if attrs.strip() and tag not in ("html", "body"):
             for name, value in _ATTR.findall(attrs):
@@ -94,7 +96,8 @@ class Element:
                     words = set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
                     self.layout |= bool(words & LAYOUT_WORDS)
                     self.strong |= bool(words & STRONG_WORDS)
-                    self.content |= bool(words & CONTENT_WORDS) and not self.layout and not self.strong
+                    self.heading |= bool(words & HEADING_WORDS)
+                    self.content |= bool(words & CONTENT_WORDS) and not (self.layout or self.strong or self.heading)
                 elif name == "role":
                     self.content |= value.lower() in CONTENT_ROLES
                     self.layout |= value.lower() in BOILERPLATE_ROLES
@@ -184,7 +187,8 @@ def hints(block: Block, marked: bool) -> float:
     inside = False
     score = 0.0
     for e in block.element.path():
-        if e.strong or (e.layout and not e.holds_content and not (e.tag == "header" and _in_content(e))):
+        around = (e.layout or (e.heading and not _in_content(e))) and not e.holds_content
+        if e.strong or around:
             score = HINT_BOILERPLATE
         inside |= e.content
     if score < 0:
@@ -336,7 +340,7 @@ def learned_weights(pages: DataFrame, column: str = "html") -> np.ndarray:
     """Weights from at most ``SAMPLE_PAGES`` pages, chosen by a hash."""
     picked = pages.where(F.col(column).isNotNull()).select(F.substring(column, 1, SAMPLE_CHARS).alias("h"),
                                                            F.xxhash64(column).alias("k"))
-    return learn([r.h for r in picked.orderBy("k").limit(SAMPLE_PAGES).collect()])
+    return learn([r.h for r in sample_by_hash(picked, "k", SAMPLE_PAGES)])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -46,6 +46,8 @@ LAYOUTS = {
     "unclosed": "<article><p>" + "<p>".join(ESCAPED) + "</article><footer><p>foot note of the site",
     "plain": f"<body><ul><li><a href=/>Home</a><li><a href=/a>News</a><li><a href=/b>Mail</a></ul><div>{BODY}</div><div><a href=/>Back</a> | <a href=/x>Top</a></div></body>",
     "hidden": f"<main>{BODY}<div style='display: none'><p>This text is not shown to any reader.</p></div><p hidden>nor this.</p></main>",
+    "article header": "<div id='header'><h2>Site</h2></div><article><header><div class='post-header'><h2>" + PROSE[0] + "</h2></div></header>"
+                      + "".join(f"<p data-id='sidebar'>{p}</p>" for p in ESCAPED[1:]) + "<footer>Filed under news.</footer></article>",
     "ads inside": f"<article>{BODY.replace('<p>Short', '<div class=advert><p>Our partner has an offer for you.</p></div><p>Short')}</article>",
 }
 
