@@ -4,57 +4,42 @@ from __future__ import annotations
 
 import os
 import uuid
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.session import ensure_checkpoint_dir
+from furrow.session import ship_package as ship
+from furrow.session import written_table as written
 from furrow.sources.tables import read_table
 
 # Bytes of text that one numpy step handles at a time inside a task; a longer single text is a step of its own.
 STEP_BYTES = 2 << 20
 
-_shipped: set[str] = set()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, through Spark's reader; makes the package importable in Python workers."""
     ship(spark)
     return read_table(spark, sf_dir, name)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package to the Python workers once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(spark.sparkContext._temp_dir, f"furrow-{app}.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, names in os.walk(root):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    spark.sparkContext.addPyFile(target)
-    _shipped.add(app)
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), f"furrow-{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def sample_by_hash(df: DataFrame, key: str, n: int) -> list[Row]:
+    """The ``n`` rows with the least values of the hash column ``key``. The tasks hand over only rows below a threshold that
+    about 4n rows pass, so what reaches the driver doesn't grow with the table."""
+    total = df.count()
+    if total > 8 * n:
+        low = df.where(F.col(key) < -(1 << 63) + int(4 * n / total * 2**64))
+        picked = low.orderBy(key).limit(n).collect()
+        if len(picked) == n:
+            return picked
+    return df.orderBy(key).limit(n).collect()
 
 
 def collapsed(text: Column) -> Column:
