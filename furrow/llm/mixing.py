@@ -30,27 +30,29 @@ ROUNDS = 25
 LOCAL_CELLS = 200_000
 DIMS = ("source", "lang", "topic")
 
-# Topics by what a text's lines look like; the first that applies. Fixed values: (topic, regular expression).
+# Topics by what a text holds; the first that applies. Fixed values: (topic, one of these parts, then this pattern if any).
 TOPICS = (
-    ("licence", r"(?i)licensed under|released under the|public license"),
-    ("table", r"\|[^|\n]*\|"),
-    ("contact", r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[a-z]+"),
-    ("emphatic", r"!!|###|\$\$\$|%%%"),
+    ("licence", ("icensed under", "eleased under the", "ublic License"), None),
+    ("table", ("|",), r"\|[^|\n]*\|"),
+    ("contact", ("@",), r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.[a-z]"),
+    ("emphatic", ("!!", "###", "$$$", "%%%"), None),
 )
 OTHER_TOPIC = "prose"
 
 
 def n_tokens(text: Column) -> Column:
-    """Runs of other than ASCII white space."""
-    body = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+", "x")
-    return F.length(body) - F.length(F.replace(body, F.lit("x"), F.lit("")))
+    """Runs of other than ASCII white space: each with the white space around it becomes one letter."""
+    marks = F.regexp_replace(text, r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")
+    return F.when(marks.startswith("x"), F.length(marks)).otherwise(0)
 
 
 def topic_of(text: Column) -> Column:
-    body = F.coalesce(text, F.lit(""))
     out = F.lit(OTHER_TOPIC)
-    for name, pattern in reversed(TOPICS):
-        out = F.when(body.rlike(pattern), name).otherwise(out)
+    for name, parts, pattern in reversed(TOPICS):
+        has = text.contains(parts[0])
+        for p in parts[1:]:
+            has = has | text.contains(p)
+        out = F.when(has if pattern is None else has & text.rlike(pattern), name).otherwise(out)
     return out
 
 
@@ -157,8 +159,11 @@ def _few(cells: DataFrame) -> bool:
 
 def oracle_sql() -> str:
     """The report in DuckDB SQL: the raking as a chain of window sums."""
-    topic = "CASE " + " ".join(
-        f"WHEN regexp_matches(coalesce(text, ''), '{p}') THEN '{n}'" for n, p in TOPICS) + f" ELSE '{OTHER_TOPIC}' END"
+    def holds(parts, pattern):
+        some = " OR ".join(f"contains(text, '{p}')" for p in parts)
+        return f"({some})" + (f" AND regexp_matches(text, '{pattern}')" if pattern else "")
+
+    topic = "CASE " + " ".join(f"WHEN {holds(p, r)} THEN '{n}'" for n, p, r in TOPICS) + f" ELSE '{OTHER_TOPIC}' END"
     parts = [f"""rows AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents)""",
