@@ -154,17 +154,19 @@ def interval_regularity(df: DataFrame, by, date: str, min_n: int = 3, bands=CADE
     return g.where(F.col("n_orders") >= min_n).withColumn("mean_gap_days", F.round(mean_gap, 4)).withColumn("cadence", label)
 
 
-def block_extent(df: DataFrame, site: str, block: str, order, value: str, first_seen) -> DataFrame:
+def block_extent(df: DataFrame, site: str, block: str, order, value: str, first_seen, bucket=None) -> DataFrame:
     """Per (site, block): min / max value, block number by first appearance
     within the site, direction Forward when ascending steps (in ``order``)
-    are at least the descending ones. The step counts use a window over
-    one block's rows; block numbering ranks the small (site, block) table."""
+    are at least the descending ones. The step counts compare neighbours in
+    a window per (block, ``bucket``) - a column that doesn't fall along the
+    order - with the last row of the bucket before; block numbering ranks the
+    small (site, block) table."""
     from pyspark.sql import Window
 
-    from furrow.operators._order import window_order
+    from furrow.operators.windows import prev_value
 
-    w = Window.partitionBy(site, block).orderBy(*window_order(order))
-    prev = F.lag(value).over(w)
+    df = prev_value(df, [site, block], list(order), value, F.lit(0) if bucket is None else bucket, out="_prev")
+    prev = F.col("_prev")
     steps = df.select(site, block, value, *[F.col(o.lstrip("-")) for o in first_seen if o.lstrip("-") not in (site, block, value)],
                       F.when(F.col(value) > prev, 1).otherwise(0).alias("_up"), F.when(F.col(value) < prev, 1).otherwise(0).alias("_down"))
     r = rank_struct(steps, first_seen)

@@ -22,7 +22,8 @@ SELECT site, block, dense_rank() OVER (PARTITION BY site ORDER BY first_seen) AS
 def q_block_extent(spark, d):
     li = Tables(spark, d).lineitem.select(F.col("l_suppkey").alias("site"), F.col("l_returnflag").alias("block"), F.col("l_partkey").alias("rn"),
                                           "l_orderkey", "l_linenumber")
-    out = agg.block_extent(li, "site", "block", ["l_orderkey", "l_linenumber", "rn"], "rn", ["l_orderkey", "l_linenumber"])
+    out = agg.block_extent(li, "site", "block", ["l_orderkey", "l_linenumber", "rn"], "rn", ["l_orderkey", "l_linenumber"],
+                           bucket=F.floor(F.col("l_orderkey") / 10_000))
     return out.withColumn("block_number", F.col("block_number").cast("long"))
 
 

@@ -46,7 +46,8 @@ SELECT site, block, CAST(dense_rank() OVER (PARTITION BY site ORDER BY first_see
 def q_etl_plant_map(spark, d):
     li = Tables(spark, d).lineitem.where(F.col("l_returnflag") != "R").select(
         F.col("l_suppkey").alias("site"), F.col("l_linestatus").alias("block"), F.col("l_partkey").alias("rn"), "l_orderkey", "l_linenumber")
-    out = agg.block_extent(li, "site", "block", ["l_orderkey", "l_linenumber", "rn"], "rn", ["l_orderkey", "l_linenumber"])
+    out = agg.block_extent(li, "site", "block", ["l_orderkey", "l_linenumber", "rn"], "rn", ["l_orderkey", "l_linenumber"],
+                           bucket=F.floor(F.col("l_orderkey") / 10_000))
     return out.withColumn("block_number", F.col("block_number").cast("long"))
 
 

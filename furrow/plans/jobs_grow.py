@@ -30,7 +30,7 @@ def q_etl_employees_alt(spark, d):
     r = c.select("c_custkey", F.concat(F.col("c_mktsegment"), F.lit(", Cust"), (F.col("c_custkey") % 50).cast("string"), F.lit(" Q.")).alias("full_name"))
     p = r.withColumn("_n", text.split_person_name("full_name", style="comma")).select("c_custkey", "_n.first_name", "_n.last_name")
     p = p.withColumn("id", text.slug(F.concat_ws(" ", "first_name", "last_name")))
-    return win.dup_suffix(p, "id", ["c_custkey"]).select("c_custkey", "first_name", "last_name", "id")
+    return win.dup_suffix_bucketed(p, "id", ["c_custkey"], F.floor(F.col("c_custkey") / 1000)).select("c_custkey", "first_name", "last_name", "id")
 
 
 @register("etl_maintenance", """
