@@ -21,6 +21,7 @@ PLAN_MODULES = (
     "furrow.plans.coverage",
     "furrow.plans.jobs_grow",
     "furrow.plans.jobs_field",
+    "furrow.plans.jobs_inventory",
 )
 
 _loaded = False
