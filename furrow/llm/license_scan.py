@@ -122,7 +122,9 @@ def minhash(hashes: Column, band: int) -> Column:
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    return spark.createDataFrame(list(templates), "license_id string, text string").coalesce(1)
+    """The templates as literals."""
+    rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in templates])
+    return spark.range(1).select(F.inline(rows))
 
 
 def scan(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
