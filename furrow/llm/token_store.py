@@ -17,9 +17,11 @@ writes one file. A task that is run again writes a file with another name; only
 count. Writing and reading the data files goes through Arrow's file systems, so the folder may be local (shared),
 HDFS or an object store.
 
-Tokens: each text is cut at ASCII white space and, after an ASCII letter, before a comma or full stop that ends a
-piece; each distinct piece is encoded once by the tokenizers library and its id bytes are then reused. The tokenizer
-splits at the same places by itself, so the ids are those of the whole text (tested); a text that could spell a
+Tokens: each text is cut at ASCII white space and, after a letter or digit, before a comma or full stop that ends a
+piece; each distinct piece is encoded once by the tokenizers library and its id bytes are then reused. A new piece of
+Latin letters, digits and ASCII signs is cut further into runs of letters, digits and signs, which the library's model encodes
+by themselves. The tokenizer splits at the same places, so the ids are those of the whole text (tested, and tried on
+probe texts when a vocabulary is loaded: if they differ, every text is encoded whole); a text that could spell a
 special token is encoded whole.
 
 Cases: null text counts as empty and has the end id only; rows without doc_id come first; repeated rows and equal
@@ -35,13 +37,14 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.common import ship
+from furrow.llm.common import sample_by_hash, ship
 
 MAGIC = b"FRWTOK01"
 HEADER = "<8sII32s"
@@ -51,45 +54,89 @@ DICT_BYTES = 64 << 10
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 16 << 10
 LEVEL = 3
-# Distinct pieces whose ids a Python worker remembers; beyond it the memory starts anew. Results don't change.
-PIECES_KEPT = 600_000
+# Distinct pieces whose ids a task remembers, in two generations of half each: pieces that were not met for a generation
+# are forgotten, all are at the end of a task. Results don't change.
+PIECES_KEPT = 800_000
 READ_STEP = 8 << 20
 
-_COMMA = re.compile(rb"(?<=[a-z])([,.])(?=[ \t\n\r]|$)")
-
-
-class Encoder:
-    """Whole texts to little-endian id bytes, remembering the ids of each distinct piece."""
+# ASCII letters small, white space as a space.
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\x0b\x0c\r" else b for b in range(256))
+# Comma and full stop as a comma, other ASCII signs as an exclamation mark, the rest as a letter.
+_SIGNS = bytes(44 if b in b",." else 33 if 33 <= b < 127 and not chr(b).isalnum() else 32 if b in b" \t\n\x0b\x0c\r" else 97 for b in range(256))
+# Bytes of ASCII and of the letters up to U+00FF (two signs among them are looked for by themselves).
+_LATIN = bytes([*range(9, 14), *range(32, 127), *range(0x80, 0xC0), 0xC3])
+# A small piece that is cut into runs, without the apostrophe; the runs: letters, a digit, signs.
+_SIMPLE = re.compile("[!-&(-@\\[-~\u00df-\u00f6\u00f8-\u00ff]+")
+_RUNS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+# Characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_PROBES = ("It's a text, with 1234 words... and d'll; (A-B) re:we've #5!", "Élève naïve, ça où \u00ff\u00d6\u00c4\u00dc\u00df. \u00bfqu\u00e9?", "x&&& a,, b!, c. d\te\nf")
+
+
+def pieces_of(text: bytes) -> list[bytes]:
+    """The parts of a text at whose ends the tokenizer splits anyway."""
+    plain = text.translate(_PLAIN)
+    signs = text.translate(_SIGNS)
+    if b",," in signs or b"!," in signs or text.translate(None, _LATIN) or b"\xc3\x97" in text or b"\xc3\xb7" in text:
+        return plain.split()
+    return (plain + b" ").replace(b", ", b" , ").replace(b". ", b" . ").split()
+
+
+class Encoder(dict):
+    """Whole texts to little-endian id bytes. The dict holds the ids of the pieces met, the newer of two generations; a
+    piece of the older one moves over when it is met again."""
 
     def __init__(self, path: str, width: int | None = None):
         import os
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = width or (2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4)
-        self.kept: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.width = width or (2 if max(self.tokenizer.get_vocab().values()) < 1 << 16 else 4)
+        self.older: dict[bytes, bytes] = {}
+        self.by_piece = all(self._by_piece(t.encode()) == self.whole(t) for t in _PROBES)
+        self.clear()
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
 
-    def _bytes(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+    def pack(self, ids) -> bytes:
+        return np.asarray(ids, f"<u{self.width}").tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            return self._bytes(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
-        pieces = _COMMA.sub(rb" \1", text.lower()).split()
-        kept = self.kept
-        try:
-            return b"".join(map(kept.__getitem__, pieces))
-        except KeyError:
-            if len(kept) > PIECES_KEPT:
-                kept.clear()
-            new = list({p for p in pieces if p not in kept})
-            for lo in range(0, len(new), 4096):
-                part = new[lo:lo + 4096]
-                coded = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-                kept.update(zip(part, [self._bytes(c.ids) for c in coded]))
-            return b"".join(map(kept.__getitem__, pieces))
+        if b"<|" in text or not self.by_piece:
+            return self.whole(text.decode())
+        return self._by_piece(text)
+
+    def _by_piece(self, text: bytes) -> bytes:
+        if len(self) > PIECES_KEPT // 2:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, pieces_of(text)))
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            text = piece.decode().lower()
+            if _SIMPLE.fullmatch(text):
+                runs = _RUNS.findall(text)
+                if len(runs) == 1:
+                    shown = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTE_CHARS)
+                    ids = self.pack([t.id for t in self.model.tokenize(shown)])
+                else:
+                    ids = b"".join([self[r.encode()] for r in runs])
+            else:
+                ids = self.whole(piece.decode())
+        self[piece] = ids
+        return ids
 
 
 _encoders: dict[str, Encoder] = {}
@@ -112,10 +159,10 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
     import zstandard
 
     ship(docs.sparkSession)
-    picked = docs.select(F.col("text").cast("string").alias("t"), F.xxhash64("doc_id", "text").alias("h")) \
-        .orderBy("h").limit(sample_docs).select(F.substring("t", 1, SAMPLE_BYTES).alias("t"))
+    picked = sample_by_hash(docs.select(F.substring(F.col("text").cast("string"), 1, SAMPLE_BYTES).alias("t"),
+                                        F.xxhash64("doc_id", "text").alias("h")), "h", sample_docs)
     code = encoder(tokenizer_path)
-    arrays = [code.encode((r.t or "").encode())[:SAMPLE_BYTES] + code._bytes([end_id]) for r in picked.collect()]
+    arrays = [code.encode((r.t or "").encode())[:SAMPLE_BYTES] + code.pack([end_id]) for r in picked]
     total = sum(map(len, arrays))
     try:
         return zstandard.train_dictionary(max(256, min(DICT_BYTES, total // 8)), arrays).as_bytes() if total else b""
@@ -138,7 +185,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
         import zstandard
 
         code = encoder(tokenizer_path)
-        end = code._bytes([end_id])
+        end = code.pack([end_id])
         compressor = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         system, root = _open(folder)
@@ -162,6 +209,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_I
                     [pa.array(c, t) for c, t in zip(zip(*rows), _INDEX.types)] if rows
                     else [pa.array([], t) for t in _INDEX.types], schema=_INDEX)
         finally:
+            code.forget()
             if sink is not None:
                 sink.close()
 
@@ -235,8 +283,6 @@ def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[tuple[i
 
 def read_digest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document read back from the files: doc_id, start, n_tokens, ids_crc32 (of little-endian 32-bit ids)."""
-    import numpy as np
-
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
