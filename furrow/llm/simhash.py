@@ -251,6 +251,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DI
         return pd.Series(np.array([simhash((t or "").encode(), shingle) for t in texts], np.uint64).view(np.int64))
 
     nameless = docs.where("doc_id IS NULL").withColumn("_furrow_fp", pattern("text"))
-    alone = groups.where("component_id IS NULL").select(F.col("fp").alias("_furrow_fp"), "root").distinct()
-    one = nameless.join(alone, "_furrow_fp").groupBy("root").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
+    alone = groups.where("component_id IS NULL").select(F.col("fp").alias("_furrow_fp"), F.col("root").alias("_furrow_root")).distinct()
+    one = nameless.join(alone, "_furrow_fp").groupBy("_furrow_root").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
     return whole.union(repeated.select("_furrow_row.*")).union(one.select("_furrow_row.*"))
