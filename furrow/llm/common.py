@@ -12,12 +12,24 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.session import ensure_checkpoint_dir
-from furrow.session import ship_package as ship
+from furrow.session import ship_package
 from furrow.session import written_table as written
 from furrow.sources.tables import read_table
 
 # Bytes of text that one numpy step handles at a time inside a task; a longer single text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
+
+# Rows of an Arrow batch where the session has Spark's default: whole texts make large batches, which a Python worker
+# and the JVM beside it hold a few of at a time.
+BATCH_KEY, DEFAULT_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the session ready for Python tasks over texts: the package in the workers, batches of fewer rows."""
+    ship_package(spark)
+    if spark.conf.get(BATCH_KEY) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, through Spark's reader; makes the package importable in Python workers."""

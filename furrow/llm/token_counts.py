@@ -27,7 +27,7 @@ from furrow.llm.common import ship
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-STEP_CHARS = 16 << 20
+STEP_CHARS = 8 << 20
 
 
 class Vocabulary:
