@@ -33,8 +33,10 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,7 +108,10 @@ class Encoder(dict):
         self.older = {}
 
     def pack(self, ids) -> bytes:
-        return np.asarray(ids, f"<u{self.width}").tobytes()
+        out = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def whole(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -124,7 +129,9 @@ class Encoder(dict):
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.older.get(piece)
-        if ids is None:
+        if ids is None and piece.isalpha():  # ASCII letters, small already
+            ids = self.pack([t.id for t in self.model.tokenize(piece.decode())])
+        elif ids is None:
             text = piece.decode().lower()
             if _SIMPLE.fullmatch(text):
                 runs = _RUNS.findall(text)
