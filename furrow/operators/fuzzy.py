@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.text import normalize_match_name
+from furrow.session import ship_package
 
 # Acceptance threshold and the containment score floor.
 THRESHOLD = 0.78
@@ -90,6 +91,7 @@ def fuzzy_best_match(df: DataFrame, name: str, candidates: DataFrame, cand_id: s
     """``df`` with the id of the best candidate, NULL where none reaches the
     threshold. ``prefer``: function of the candidate's name column giving the
     preference among equal scores (greater first)."""
+    ship_package(df.sparkSession)
     raw = df.select(F.col(name).alias("_raw")).distinct().withColumn("_n", normalize_match_name(F.col("_raw")))
     names = raw.where("_n <> ''").select("_n").distinct()
     cands = candidates.select(F.col(cand_id).alias("_id"), normalize_match_name(F.col(cand_name)).alias("_c"),

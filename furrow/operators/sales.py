@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from furrow.operators._order import window_order
 from furrow.operators.windows import row_number_bucketed
+from furrow.session import ship_package
 
 
 # Cases taken on a fresh pallet that is then closed, by remaining cases.
@@ -129,6 +130,7 @@ def _numbered(df: DataFrame, by, order, bucket, out: str) -> DataFrame:
 def _packed_line_by_line(f: DataFrame, keys, order, qty: str, max_cases: str) -> DataFrame:
     """Allocations of the groups with special quantities: the rows of a
     partition stream by in group order, and only the open pallet is held."""
+    ship_package(f.sparkSession)
     names = f.columns
 
     def pack(batches):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from furrow.session import scratch_path
+from furrow.session import scratch_path, ship_package
 
 # Fixed value: the source's poll look-back, used as the lateness bound.
 LOOKBACK = "6 hours"
@@ -82,6 +82,7 @@ def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str, delay: s
     watermark has passed the next reading. Readings that come out of order
     within the look-back take their place; older ones are left to
     ``late_report_handler``. ``delay`` None: ``sdf`` has a watermark already."""
+    ship_package(sdf.sparkSession)
     x = sdf.select(F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(value).cast("double").alias("value"))
     if delay is not None:
         x = x.withWatermark("ts", delay)
