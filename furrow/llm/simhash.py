@@ -214,9 +214,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _mark(edges: DataFrame):
-    """Count and two order-free checksums of the edge set."""
+    """Count and two order-free checksums of the edge set. The sum is a decimal: a LONG would overflow from some millions of
+    edges on."""
     h = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.shiftrightunsigned(h, 20))).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())
 
 
 def classes(by_doc: DataFrame, max_distance: int = MAX_DISTANCE, hot_homes: int = HOT_HOMES) -> DataFrame:

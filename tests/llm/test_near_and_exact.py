@@ -172,3 +172,9 @@ def test_suspects_are_found_if_partitions_changed(spark):
     src = frame(spark, rows).select("doc_id", F.col("text").alias("norm"), F.xxhash64("text").alias("fp"), F.lit(b"").alias("sha"))
     elsewhere = src.select("doc_id", "fp", "sha", F.lit(99).cast("long").alias("sender"))
     assert exact_dedup.suspect_texts(src, elsewhere).count() == 20
+
+
+def test_components_of_more_than_a_million_links(spark):
+    edges = spark.range(1_200_000).select((F.col("id") * 2 + 1).alias("a"), (F.col("id") * 2).alias("b"))
+    got = simhash.components(edges)
+    assert got.agg(F.count("*"), F.count_if(F.col("root") == F.col("v") - 1)).first() == (1_200_000, 1_200_000)
