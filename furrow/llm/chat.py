@@ -2,10 +2,13 @@
 
 A message's lines have a quote level: the number of ``>`` marks at their start. Level 0 is the message's own text;
 deeper lines repeat others. Each line is normalised (marks off, lower case, runs of white space as one space) and hashed;
-the hash of a line at level n is looked up among the own lines of the messages of the same conversation. The original of
-a quoted line is the earliest message that says it, if that is earlier than the quoting one. A message replies to the
-original of most of its level-1 lines (of equal ones the latest). If none is found, it replies to nothing and
-opens a thread.
+the hash of a line at level n is looked up among the lines at level n - 1 of the messages of the same conversation, then
+among their own lines. The original of a quoted line is the earliest message that has it, if that is earlier than the
+quoting one. Lines without such an original may be wrapped anew: consecutive lines of one level are a passage, and a line's
+windows are the runs of ``WINDOW`` words of its passage that touch it (a shorter passage is one window). They are looked up
+like lines; the original is the earliest message first in most of them, if in half of them or more. A message replies to
+the original of most of its lines of the lowest level that has any original (of equal ones the latest); n_quoted counts
+these lines of that level. If none is found, it replies to nothing and opens a thread.
 
 Threads are the trees of these replies. Their roots and depths come from pointer doubling, as many rounds as the
 logarithm of the longest chain. The order of a conversation is thread by thread (by the turn of the root), and in a thread
@@ -22,11 +25,19 @@ of a later message is no link; an empty table gives no rows; further columns are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import blake2b, sha256
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import written
+from furrow.llm.common import ship, written
 
+WINDOW = 3
+# Rows of windows handed on at a time.
+WINDOWS_STEP = 1 << 16
 START, END = "<|", "|>"
 QUOTE = r"^[ \t]*(>[ \t]?)+"
 INTRODUCES = r"(?i)^.*\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$"
@@ -50,15 +61,85 @@ def lines(messages: DataFrame) -> DataFrame:
     return each.where("key <> ''").select("conv", "turn", "level", F.sha2("key", 256).alias("passage"))
 
 
+def _looked_up(level: Column) -> Column:
+    """The levels at which a line of a level is looked up."""
+    return F.explode(F.array_distinct(F.array(level - 1, F.lit(0))))
+
+
+def _windows_of(lines_: list[dict], quoted: bool) -> Iterator[tuple]:
+    """(level, passage, of, window) of a message: the windows of each quoted line with their number, or all windows once."""
+    for (level, worded), run in groupby(lines_, key=lambda line: (line["level"], line["key"] != "")):
+        if not worded or quoted and not level:
+            continue
+        keys = [line["key"] for line in run]
+        words = [w for key in keys for w in key.split(" ")]
+        starts = range(max(1, len(words) - WINDOW + 1))
+        hashes = [int.from_bytes(blake2b(" ".join(words[i:i + WINDOW]).encode(), digest_size=8).digest(), "big", signed=True)
+                  for i in starts]
+        if not quoted:
+            yield from ((level, None, 0, h) for h in hashes)
+            continue
+        at = 0
+        for key in keys:
+            upto = at + key.count(" ") + 1
+            mine = set(hashes[max(0, at - WINDOW + 1):upto]) or {hashes[-1]}
+            yield from ((level, sha256(key.encode()).hexdigest(), len(mine), h) for h in mine)
+            at = upto
+
+
+def windows(messages: DataFrame, quoted: bool) -> DataFrame:
+    """(conv, turn, level, passage, of, window): see ``_windows_of``."""
+    ship(messages.sparkSession)
+    schema = pa.schema([("conv", pa.string()), ("turn", pa.int64()), ("level", pa.int32()), ("passage", pa.string()),
+                        ("of", pa.int64()), ("window", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for conv, turn, lines_ in zip(*batch.columns):
+                for row in _windows_of(lines_.as_py(), quoted):
+                    rows.append((conv.as_py(), turn.as_py(), *row))
+                    if len(rows) == WINDOWS_STEP:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                        rows.clear()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    each = F.transform(F.split("text", "\n"), lambda line: F.struct(level_of(line).alias("level"), key_of(line).alias("key")))
+    return messages.select("conv", "turn", each.alias("lines")) \
+        .mapInArrow(run, "conv string, turn long, level int, passage string, of long, window long")
+
+
+def _rewrapped(messages: DataFrame, unknown: DataFrame) -> DataFrame:
+    """(conv, turn, level, passage, origin) of the lines of ``unknown`` whose windows have an original."""
+    line = ["conv", "turn", "level", "passage"]
+    there = messages.join(unknown.select("conv").distinct(), "conv", "left_semi")
+    first = windows(there, False).groupBy("conv", F.col("level").alias("at"), "window").agg(F.min("turn").alias("origin"))
+    quoting = there.where(F.col("text").rlike("(?m)" + QUOTE))
+    asked = windows(quoting, True).distinct().join(unknown.select(*line), line, "left_semi")
+    found = asked.select("*", _looked_up(F.col("level")).alias("at")).join(first, ["conv", "at", "window"]).where("origin < turn") \
+        .groupBy(*line, "of", "at", "origin").agg(F.count("*").alias("n")).where("2 * n >= of")
+    best = F.max_by("origin", F.struct("at", "n", -F.col("origin")))
+    return found.groupBy(*line).agg(best.alias("origin"))
+
+
 def replies(messages: DataFrame) -> DataFrame:
     """(conv, turn, parent, n_quoted) of the messages with a known original. ``messages``: conv, turn, text."""
+    line = ["conv", "turn", "level", "passage"]
     said = lines(messages)
-    own = said.where("level = 0").groupBy("conv", "passage").agg(F.min("turn").alias("origin"))
-    quoted = said.where("level = 1").select("conv", "turn", "passage").distinct()
-    votes = quoted.join(own, ["conv", "passage"]).where("origin < turn") \
-        .groupBy("conv", "turn", "origin").agg(F.count("*").alias("n"))
-    best = votes.groupBy("conv", "turn").agg(F.max(F.struct("n", "origin")).alias("b"), F.sum("n").alias("n_quoted"))
-    return best.select("conv", "turn", F.col("b.origin").alias("parent"), "n_quoted")
+    first = said.groupBy("conv", F.col("level").alias("at"), "passage").agg(F.min("turn").alias("origin"))
+    quoted = said.where("level > 0").distinct().select("*", _looked_up(F.col("level")).alias("at"))
+    earlier = F.when(F.col("origin") < F.col("turn"), F.col("origin"))
+    known = written(quoted.join(first, ["conv", "at", "passage"], "left").withColumn("origin", earlier)
+                    .groupBy(*line).agg(F.max_by("origin", F.when(F.col("origin").isNotNull(), F.col("at"))).alias("origin")), "quoted")
+    unknown = known.where("origin IS NULL AND turn IS NOT NULL")
+    origins = known.where("origin IS NOT NULL")
+    if not unknown.isEmpty():
+        origins = origins.unionByName(_rewrapped(messages, unknown))
+    votes = origins.groupBy("conv", "turn", "level", "origin").agg(F.count("*").alias("n"))
+    best = votes.groupBy("conv", "turn", "level").agg(F.max(F.struct("n", "origin")).alias("b"), F.sum("n").alias("n_quoted"))
+    lowest = best.groupBy("conv", "turn").agg(F.min(F.struct("level", F.col("b.origin").alias("parent"), "n_quoted")).alias("l"))
+    return lowest.select("conv", "turn", "l.parent", "l.n_quoted")
 
 
 def threads(links: DataFrame) -> DataFrame:

@@ -185,3 +185,19 @@ def test_long_chain_and_cases(spark):
     assert got[4, 0].formatted == "<||>\n\n<|end|>" and got[3, None].place < got[3, 0].place
     assert len(thread(spark, odd)) == len(odd)
     assert chat.format_chats(spark.createDataFrame([], CHAT)).count() == 0
+
+
+def test_rewrapped_and_deeper_quotes(spark):
+    long = "The dough has to rest for an hour, then it is folded twice and left in a cold place until the next morning."
+    wrapped = "> The dough has to rest for an hour, then\n> it is folded twice and left in a cold\n> place until the next morning."
+    rows = [(1, 0, "u", "How do I bake bread?"), (1, 1, "u", "> How do I bake bread?\n" + long), (1, 2, "u", "Another matter is the price of it all."),
+            (1, 3, "u", wrapped + "\nThanks."), (1, 4, "u", ">> How do I bake bread?\nAsked before."),
+            (1, 5, "u", wrapped.replace(">", ">>") + "\nSo I did."), (1, 6, "u", ">> The price of it all\n>> is what nobody said here.\nNo."),
+            (2, 0, "u", "one short\nline"), (2, 1, "u", ">> one\n>> short line\nyes"), (2, 2, "u", ">>> one short\nno"),
+            (3, 0, "u", long.replace("folded", "folded\n").replace("place", "\nplace")), (3, 1, "u", "> " + long + "\nok"),
+            (4, 0, "u", wrapped)]
+    got = {(r.conv_id, r.turn): r for r in thread(spark, rows)}
+    assert {k: r.reply_to for k, r in got.items()} == {
+        (1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 1, (1, 4): 1, (1, 5): 3, (1, 6): None,
+        (2, 0): None, (2, 1): 0, (2, 2): 0, (3, 0): None, (3, 1): 0, (4, 0): None}
+    assert got[1, 3].n_quoted == 3 and got[1, 5].thread == 0 and got[1, 5].depth == 3
