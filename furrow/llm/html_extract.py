@@ -8,7 +8,8 @@ follow each other, weaker the further apart they are in the tree, and blocks wit
 maximum flow gives the cheapest labelling; what stays connected to the source is content.
 
 Output: character references decoded, white space inside a block as one space, blocks trimmed and joined in page
-order by a line feed. Script, style, comments, head and form controls have no text.
+order by a line feed. Script, style, comments, title and form controls have no text, and skipped ones last to their end tag
+or the end of the page; svg and math that end in /> are empty. A head needs no end tag: only its elements are skipped.
 
 Each page is one row of an Arrow batch; nothing is shuffled. The graph has an edge or two per block, so memory and
 time grow with the page.
@@ -47,7 +48,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre section select "
     "summary table tbody td textarea tfoot th thead tr ul".split())
-SILENT_TAGS = "script style noscript template svg math iframe object canvas audio video head title select textarea".split()
+SILENT_TAGS = "script style noscript template svg math iframe object canvas audio video title select textarea".split()
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
@@ -69,6 +70,7 @@ STRONG_WORDS = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<empty>svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
     r"|<(?P<silent>" + "|".join(SILENT_TAGS) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=silent)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
@@ -155,7 +157,7 @@ def blocks_of(page: str) -> list[Block]:
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
-            if m["silent"]:
+            if m["silent"] or m["empty"]:
                 pieces.append(" ")
             continue
         closing = m["close"] or m["close2"]

@@ -62,6 +62,16 @@ def test_white_space_and_references():
     assert html_extract.extract(page) == "A <b> title\none twothree four &amp; éA"
 
 
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><meta charset=utf-8><style>p{{x:y}}</style><body><article>{BODY}</article>",
+    f"<head><title>T</title><script>a</script><article>{BODY}</article>",
+    f"<HEAD>\n<title>T</title>\n</HEAD><body><article>{BODY}</article></body>",
+    f"<article><svg class='i' d=\"a>b\" />{BODY}</article>",
+    f"<article><svg/><math/>{BODY}<p><svg width='1'><title>no</title><path d='M0'/></svg></p></article>"])
+def test_open_head_and_empty_icons(page):
+    assert html_extract.extract(page).split("\n") == PROSE
+
+
 def test_page_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<html></html>"), (4, "u", "<<>>< a <b"), (5, "u", LAYOUTS["article"]),
             (5, "u", LAYOUTS["article"]), (6, "u", "<article><p>" + "long text. " * 60_000), (None, "u", "</p></div></article>x</b>"),
