@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from furrow.llm.common import sample_by_hash, ship
 
 SAMPLE_PAGES = 300
-SAMPLE_CHARS = 20_000
 ADJACENT = 0.8  # capacity between blocks that follow each other under one parent
 SIBLING = 0.4   # capacity between blocks of one parent that don't follow each other
 HINT_BOILERPLATE = -8.0
@@ -214,7 +213,7 @@ def shape(block: Block) -> list[float]:
         sum(w[-1] in ".!?;:" for w in words) / len(words),
         math.log1p(len(words)) / 4,
         1.0 if "©" in t or "·" in t or "|" in t else 0.0,
-        sum(c.isdigit() for c in t[:200]) / min(n, 200),
+        sum(map(str.isdigit, t)) / n,
         1.0 if block.element.tag in ("li", "td", "th", "dt", "dd") else 0.0,
     ]
 
@@ -339,9 +338,8 @@ def extract(page: str | None, weights: np.ndarray = PRIOR) -> str:
 
 
 def learned_weights(pages: DataFrame, column: str = "html") -> np.ndarray:
-    """Weights from at most ``SAMPLE_PAGES`` pages, chosen by a hash."""
-    picked = pages.where(F.col(column).isNotNull()).select(F.substring(column, 1, SAMPLE_CHARS).alias("h"),
-                                                           F.xxhash64(column).alias("k"))
+    """Weights from at most ``SAMPLE_PAGES`` whole pages, chosen by a hash."""
+    picked = pages.where(F.col(column).isNotNull()).select(F.col(column).alias("h"), F.xxhash64(column).alias("k"))
     return learn([r.h for r in sample_by_hash(picked, "k", SAMPLE_PAGES)])
 
 

@@ -72,6 +72,15 @@ def test_open_head_and_empty_icons(page):
     assert html_extract.extract(page).split("\n") == PROSE
 
 
+def test_whole_blocks_and_pages_count(spark):
+    digits, = html_extract.blocks_of("<p>" + "a" * 300 + "1" * 100 + "</p>")
+    assert html_extract.shape(digits)[6] == 0.25
+    page = "<article>" + "<p>Some words of the article, and more of them.</p>" * 600 + "</article><footer><p>12 34 | 56</p></footer>"
+    pages = spark.createDataFrame([(page,)], "html string")
+    assert (html_extract.learned_weights(pages) == html_extract.learn([page])).all()
+    assert (html_extract.learn([page]) != html_extract.PRIOR).any()
+
+
 def test_page_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<html></html>"), (4, "u", "<<>>< a <b"), (5, "u", LAYOUTS["article"]),
             (5, "u", LAYOUTS["article"]), (6, "u", "<article><p>" + "long text. " * 60_000), (None, "u", "</p></div></article>x</b>"),
