@@ -240,8 +240,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(0).cast("long").alias("n_words"),
                       F.array().cast("array<long>").alias("spans"), F.array().cast("array<long>").alias("items"))
     at = docs.columns.index(text)
-    for block in list(_blocks(benchmark, item_text, item_id, block_bytes)) or [[]]:
+    blocks = _blocks(benchmark, item_text, item_id, block_bytes)
+    block = next(blocks, [])
+    while block is not None:
         held = spark.sparkContext.broadcast(block)
+        del block  # the driver holds one block at a time
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = Index(held.value, window)
@@ -249,6 +252,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str
                 yield from _scan_batch(batch, index, at)
 
         out = out.mapInArrow(run, _SCHEMA.format(row=row_type))
+        block = next(blocks, None)
     return out
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import weakref
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,25 @@ def test_small_steps_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontam, "steps", lambda o: real(o, 50))
     assert pa.Table.from_batches(decontam._scan_batch(batch, index, 0)).to_pylist() == whole.to_pylist()
     assert np.sum(whole.column("n_words").to_numpy()) > 0
+
+
+class Block(list):
+    pass
+
+
+def test_the_driver_holds_one_block_at_a_time(spark, monkeypatch):
+    seen = []
+
+    def blocks(*_):
+        for i in range(3):
+            assert all(r() is None for r in seen)
+            block = Block([(i, b"some words")])
+            seen.append(weakref.ref(block))
+            given = [block]
+            del block
+            yield given.pop()
+
+    monkeypatch.setattr(decontam, "_blocks", blocks)
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    decontam.scan(docs, docs)
+    assert len(seen) == 3
