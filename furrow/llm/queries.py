@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from furrow.llm import (
     chat,
+    collocations,
     decontam,
     exact_dedup,
     html_extract,
     language_id,
     license_scan,
     mixing,
+    ranked_search,
     simhash,
     token_counts,
     token_store,
@@ -74,10 +76,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(UNIGRAM_FILE))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_html_extract, op3_language_id, op4_exact_dedup, op5_mixing, op6_chat_format, op7_simhash_dedup,
-        op8_token_store, op9_decontaminate, op10_token_counts)}
+        op8_token_store, op9_decontaminate, op10_token_counts, op12_ranked_search, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -88,4 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": mixing.oracle_sql(),
         "op6_chat_format": chat.ORACLE,
         "op9_decontaminate": decontam.ORACLE,
+        "op12_ranked_search": ranked_search.ORACLE,
+        "op13_collocations": collocations.ORACLE,
     }
