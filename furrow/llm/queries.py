@@ -20,6 +20,7 @@ from furrow.llm import (
     simhash,
     token_counts,
     token_store,
+    toxicity,
 )
 from furrow.llm.common import shared_folder, table
 
@@ -76,6 +77,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(UNIGRAM_FILE))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -87,7 +92,8 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_html_extract, op3_language_id, op4_exact_dedup, op5_mixing, op6_chat_format, op7_simhash_dedup,
-        op8_token_store, op9_decontaminate, op10_token_counts, op12_ranked_search, op13_collocations)}
+        op8_token_store, op9_decontaminate, op10_token_counts, op11_toxicity,
+        op12_ranked_search, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
