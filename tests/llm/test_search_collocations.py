@@ -139,7 +139,7 @@ def phrase_cases(seed):
 def test_mining_is_the_brute_force(spark, seed, least, shard_words):
     rows = phrase_cases(seed)
     d = spark.createDataFrame(rows, "lang string, text string").withColumn("words", F.lit(1)).withColumn("shard", F.lit("x"))
-    got = collocations.mine(d.repartition(3), min_count=least, shard_words=shard_words).collect()
+    got = collocations.mine(d.repartition(3), min_count=least, shard_words=shard_words, owner_keys=shard_words).collect()
     assert sorted(map(tuple, got)) == sorted(plain_mine(rows, least))
 
 
@@ -161,15 +161,34 @@ def test_index_extends_on_both_sides(seed):
     seq = np.concatenate([[0], rng.integers(0, 5, 300), [0]])
     index = collocations.Index(seq, 4)
     want = Counter(tuple(seq[i:i + k].tolist()) for k in (2, 3, 4) for i in range(len(seq) - k + 1) if seq[i:i + k].all())
-    a, b, lo, other, size = collocations.pairs_of(index)
-    words = np.stack([a, b], axis=1)
-    got = Counter(dict(zip(map(tuple, words.tolist()), size.tolist())))
-    for side in rng.permutation([True, False]):
-        if side:
-            of, c, lo, other, size = index.extend(lo, other, size, True)
-            words = np.concatenate([c[:, None], words[of]], axis=1)
-        else:
-            of, c, other, lo, size = index.extend(other, lo, size, False)
-            words = np.concatenate([words[of], c[:, None]], axis=1)
+    a, b, size = collocations.pairs_of(index)
+    got = Counter(dict(zip(zip(a.tolist(), b.tolist()), size.tolist())))
+    for words, size in collocations.longer_phrases(index, 4):
         got.update(dict(zip(map(tuple, words.tolist()), size.tolist())))
     assert got == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chains_keep_all_longer_phrases_of_frequent_pairs(seed):
+    rng = np.random.default_rng(seed)
+    seq = np.concatenate([[0], rng.integers(0, 6, 200), [0]])
+    frequent = np.unique(rng.integers(1, 6, 12) * 6 + rng.integers(1, 6, 12))
+    left = collocations.chains(seq, frequent, 5)
+    good = {divmod(c, 6) for c in frequent.tolist()}
+
+    def phrases(s):
+        runs = [tuple(s[i:i + k].tolist()) for k in (3, 4) for i in range(len(s) - k + 1)]
+        return Counter(w for w in runs if all(x in good for x in zip(w, w[1:])))
+
+    assert phrases(left) == phrases(seq) and left[0] == left[-1] == 0
+    assert all(x == 0 or y == 0 or (x, y) in good for x, y in zip(left.tolist(), left[1:].tolist()))
+    assert collocations.chains(seq, np.array([999]), 5).tolist() == [0, 0]
+
+
+def test_blocks_come_back():
+    codes = np.array([5, 1 << 60, 7, 0])
+    got = [(collocations.unpack_sorted(c).tolist(), collocations.unpack(n, np.int32).tolist())
+           for _, c, n in collocations._blocks(codes, np.array([1, 2, 3, 4]), 3)]
+    assert sorted(x for cs, ns in got for x in zip(cs, ns)) == [(0, 4), (5, 1), (7, 3), (1 << 60, 2)]
+    for g in ("en", "a\\nb", "a\nb\tc", "\\", ""):
+        assert collocations._language(collocations._named(g).decode()[1:]) == g
