@@ -11,24 +11,31 @@ a two-level prefix sum (inside a time bucket, plus the totals of earlier
 buckets from a small per-bucket table), so even a group holding a third
 of all rows is spread over many tasks; the fan-out is bounded by the
 pallets a fulfilment spans. Groups with special quantities (a fresh pallet is
-force-closed early) are packed line by line; such a group is one product of
-one customer's order, a row per pack date.
+force-closed early) are packed line by line; of a large one each pack date is
+a block, and a prefix over the blocks' transitions gives the pallet and the
+cases held with which a block starts, so that its blocks are packed in parallel.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from furrow.operators._order import window_order
 from furrow.operators.windows import row_number_bucketed
-from furrow.session import ship_package
+from furrow.session import ship_package, written_table
 
 
 # Cases taken on a fresh pallet that is then closed, by remaining cases.
 BALANCED_SPLIT = {84: 60, 78: 60, 72: 54}
+# Rows of a group with special quantities above which its pack dates are packed in parallel.
+BLOCK_ROWS = 100_000
 # Deliveries that are not palletised, container spaces in the order of overflow, pallet prefixes.
 LOCAL_DELIVERY = ("Farm", "Local Delivery")
 CONTAINER_SPACES = (("cucumber", 18), ("lettuce", 18), ("box_truck", 10))
@@ -59,13 +66,17 @@ class Packing:
     ``max_cases``; a fresh one opened with exactly a special quantity
     remaining takes its split and is closed."""
 
-    def __init__(self, split=None):
-        self.split, self.pallet, self.held = split or {}, 0, 0
+    def __init__(self, split=None, pallet: int = 0, held: int = 0):
+        self.split, self.pallet, self.held = split or {}, pallet, held
 
     def take(self, quantity: int, max_cases: int):
         """(pallet, cases) of one line."""
+        if max_cases < 1:
+            raise ValueError("a pallet takes at least one case")
         left = quantity
         while left > 0:
+            if self.held >= max_cases:  # the maximum has fallen
+                self.pallet, self.held = self.pallet + 1, 0
             forced = self.held == 0 and left in self.split
             cases = min(self.split[left] if forced else left, max_cases - self.held)
             yield self.pallet, cases
@@ -74,15 +85,42 @@ class Packing:
                 self.pallet, self.held = self.pallet + 1, 0
 
 
+def transition(lines, most: int, split=None) -> tuple[np.ndarray, np.ndarray]:
+    """What a block of lines (quantity, max_cases) does to a pallet that holds 0 .. most - 1 cases when the block starts:
+    (pallets opened, cases held) afterwards for each. Blocks compose by look-up: held[held_before]."""
+    held, pallets = np.arange(most, dtype=np.int64), np.zeros(most, np.int64)
+    sizes = np.array(sorted(split or {}), np.int64)
+    taken = np.array([split[x] for x in sizes], np.int64) if split else sizes
+    for quantity, max_cases in lines:
+        left = np.full(most, quantity, np.int64)
+        while (open_ := np.flatnonzero(left > 0)).size:
+            h, x = held[open_], left[open_]
+            over = h >= max_cases
+            pallets[open_] += over
+            h = np.where(over, 0, h)
+            at = np.minimum(np.searchsorted(sizes, x), max(len(sizes) - 1, 0))
+            forced = (h == 0) & (sizes[at] == x) if len(sizes) else np.zeros(len(x), bool)
+            cases = np.minimum(np.where(forced, taken[at], x) if len(sizes) else x, max_cases - h)
+            h += cases
+            full = forced | (h >= max_cases)
+            pallets[open_] += full
+            held[open_] = np.where(full, 0, h)
+            left[open_] = x - cases
+    return pallets, held
+
+
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
               order_tail=(), family: str = "family", number_bucket=None, special: str | None = None, fob: str | None = None,
-              customer: str = "customer", first_index=None) -> tuple[DataFrame, DataFrame]:
+              customer: str = "customer", first_index=None, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).
 
-    Rows whose ``fob`` is a local delivery are left out. Pallets are filled
+    Rows whose ``fob`` is a local delivery are left out, and so are rows
+    without a maximum of at least one case: they get no pallet and no
+    allocation, which ``allocation_reconcile`` reports. Pallets are filled
     to ``max_cases`` walking pack dates oldest first (crossing
     ``full_cases`` does not close a pallet); groups flagged ``special`` use
-    the balanced split. A closed pallet is 'Full' when it reaches
+    the balanced split, those with more than ``block_rows`` rows in a
+    block per pack date. A closed pallet is 'Full' when it reaches
     ``full_cases``, else 'Stackable' for groups flagged ``stackable`` and
     'Shareable' otherwise. Shareable pallets are numbered per scope and
     customer ('7_01'), the others per scope and container family ('CP01').
@@ -91,7 +129,7 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
     interchangeable. The input is read more than once."""
     keys = [*scope, *group]
     order = [pack_date, *order_tail]
-    f = fulfilments.where(F.col(qty) > 0)
+    f = fulfilments.where((F.col(qty) > 0) & (F.col(max_cases) >= 1))
     if fob is not None:
         f = f.where(~F.coalesce(F.col(fob).isin(*LOCAL_DELIVERY), F.lit(False)))
     f = f.withColumn("_first", F.lit(0).cast("long") if first_index is None else F.coalesce(F.col(first_index), F.lit(0).cast("long")))
@@ -105,7 +143,7 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
     hi = F.least(F.col("cum_before") + F.col(qty), (F.col("pallet_index") + 1) * F.col(max_cases))
     alloc = alloc.withColumn("allocated_quantity", (hi - lo).cast("long")).drop("cum_before")
     if special is not None:
-        alloc = alloc.unionByName(_packed_line_by_line(f.where(F.col(special)), keys, order, qty, max_cases).select(*alloc.columns))
+        alloc = alloc.unionByName(_packed(f.where(F.col(special)), keys, order, qty, max_cases, block_rows).select(*alloc.columns))
     alloc = alloc.withColumn("pallet_index", F.col("pallet_index") + F.col("_first")).drop("_bucket", "_first")
     pallets = alloc.groupBy(*keys, "pallet_index").agg(
         F.sum("allocated_quantity").alias("cases"), F.max(max_cases).alias("max_cases"), F.max(full_cases).alias("full_cases"),
@@ -127,20 +165,93 @@ def _numbered(df: DataFrame, by, order, bucket, out: str) -> DataFrame:
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*window_order(order))))
 
 
-def _packed_line_by_line(f: DataFrame, keys, order, qty: str, max_cases: str) -> DataFrame:
-    """Allocations of the groups with special quantities: the rows of a
-    partition stream by in group order, and only the open pallet is held."""
+def _same(left: DataFrame, right: DataFrame, keys):
+    return reduce(lambda x, y: x & y, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def _packed(f: DataFrame, keys, order, qty: str, max_cases: str, block_rows: int) -> DataFrame:
+    """Allocations of the groups with special quantities."""
+    sizes = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max(max_cases).alias("_most"))
+    large = written_table(sizes.where(F.col("_rows") > block_rows).select(*keys, "_most"), "large-groups")
+    if large.isEmpty():
+        return _packed_line_by_line(f, keys, keys, order, qty, max_cases)
+    small = f.join(large, _same(f, large, keys), "left_anti")
+    small = _packed_line_by_line(small, keys, keys, order, qty, max_cases)
+    hot = f.join(large, _same(f, large, keys)).select(f["*"], large["_most"])
+    starts = _block_starts(hot, keys, order, qty, max_cases)
+    hot = hot.join(starts, _same(hot, starts, [*keys, order[0]])).select(f["*"], starts["_pallet0"], starts["_held0"])
+    hot = _packed_line_by_line(hot, [*keys, order[0]], keys, order, qty, max_cases, ("_pallet0", "_held0")).drop("_pallet0", "_held0")
+    return small.unionByName(hot)
+
+
+def _block_starts(hot: DataFrame, keys, order, qty: str, max_cases: str) -> DataFrame:
+    """(keys, pack date, _pallet0, _held0): where each block of a group starts. The transitions of the blocks are found
+    in parallel; one row per block is then walked in order."""
+    ship_package(hot.sparkSession)
+    block = [*keys, order[0]]
+    names = [*block, qty, max_cases, "_most"]
+    cols = hot.select(*dict.fromkeys([*names, *order]))
+    places = [cols.columns.index(c) for c in names]
+    n_keys, n_block = len(keys), len(block)
+
+    def transitions(batches):
+        group, lines, most = None, [], 0
+
+        def row():
+            pallets, held = transition(lines, most, BALANCED_SPLIT)
+            return [*group, pallets.tolist(), held.tolist()]
+
+        for batch in batches:
+            out = []
+            for *key, q, m, top in zip(*[batch.column(i).to_pylist() for i in places]):
+                if key != group:
+                    if lines:
+                        out.append(row())
+                    group, lines, most = key, [], top
+                lines.append((q, m))
+            yield pa.RecordBatch.from_pylist([dict(zip(fields, r)) for r in out], schema=arrow)
+        if lines:
+            yield pa.RecordBatch.from_pylist([dict(zip(fields, row()))], schema=arrow)
+
+    key_fields = [hot.schema[c] for c in block]
+    schema = T.StructType([*key_fields, T.StructField("_pallets", T.ArrayType(T.LongType())), T.StructField("_after", T.ArrayType(T.LongType()))])
+    arrow, fields = to_arrow_schema(schema), schema.names
+    found = written_table(cols.repartition(*block).sortWithinPartitions(*block, *window_order(order)).mapInArrow(transitions, schema), "transitions")
+
+    def walk(batches):
+        group, pallet, held = None, 0, 0
+        for batch in batches:
+            pallets, holds = [], []
+            for *key, opened, after in zip(*[batch.column(i).to_pylist() for i in (*range(n_keys), n_block, n_block + 1)]):
+                if key != group:
+                    group, pallet, held = key, 0, 0
+                pallets.append(pallet)
+                holds.append(held)
+                pallet, held = pallet + opened[held], after[held]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n_block)], pa.array(pallets, pa.int64()), pa.array(holds, pa.int64())],
+                                             names=[*block, "_pallet0", "_held0"])
+
+    out = T.StructType([*key_fields, T.StructField("_pallet0", T.LongType()), T.StructField("_held0", T.LongType())])
+    walked = found.repartition(*keys).sortWithinPartitions(*keys, *window_order(order[:1])).mapInArrow(walk, out)
+    return written_table(walked, "block-starts")
+
+
+def _packed_line_by_line(f: DataFrame, block, keys, order, qty: str, max_cases: str, start=None) -> DataFrame:
+    """Allocations with special quantities: the rows of a partition stream by in block order (a block is a whole group, or
+    one of its parts with the state to ``start`` from), and only the open pallet is held."""
     ship_package(f.sparkSession)
     names = f.columns
+    read = [*block, qty, max_cases, *(start or ())]
 
     def pack(batches):
         group, state = None, None
         for batch in batches:
             rows, pallets, cases = [], [], []
-            columns = [batch.column(names.index(c)).to_pylist() for c in (*keys, qty, max_cases)]
-            for i, (*key, q, most) in enumerate(zip(*columns)):
+            columns = [batch.column(names.index(c)).to_pylist() for c in read]
+            for i, values in enumerate(zip(*columns)):
+                key, (q, most, *at) = values[:len(block)], values[len(block):]
                 if state is None or key != group:
-                    group, state = key, Packing(BALANCED_SPLIT)
+                    group, state = key, Packing(BALANCED_SPLIT, *at)
                 for pallet, n in state.take(q, most):
                     rows.append(i)
                     pallets.append(pallet)
@@ -150,7 +261,7 @@ def _packed_line_by_line(f: DataFrame, keys, order, qty: str, max_cases: str) ->
                                              names=[*names, "pallet_index", "allocated_quantity"])
 
     schema = T.StructType([*f.schema.fields, T.StructField("pallet_index", T.LongType()), T.StructField("allocated_quantity", T.LongType())])
-    return f.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(pack, schema)
+    return f.repartition(*block).sortWithinPartitions(*block, *window_order(order)).mapInArrow(pack, schema)
 
 
 def stack_spaces(pallets: DataFrame, scope, order, spaces=CONTAINER_SPACES, label: str = "label", family: str = "family",
@@ -201,21 +312,38 @@ def price_resolution(lines: DataFrame, prices: DataFrame, line_keys, product: st
                      p_product: str = "product", p_customer: str = "customer_id", p_group: str = "group_id",
                      p_from: str = "effective_from", p_to: str = "effective_to", p_price: str = "price") -> DataFrame:
     """Most specific price valid on the line date: customer, else customer
-    group, else the default row; within a tier the latest effective_from.
-    One equi-join on product; customer, group and dates are tested on the
-    product's prices, and one ``max_by`` per line takes the best (tier, date,
-    price). ``line_keys`` is the natural key of a line."""
-    base = lines.withColumn("_d", F.col(date).cast("date"))
-    p = prices.select(F.col(p_product).alias("_p"), F.col(p_customer).alias("_c"), F.col(p_group).alias("_g"), F.col(p_from).alias("_f"),
-                      F.col(p_to).alias("_t"), F.col(p_price).alias("_price"))
+    group, else the default row; within a tier the latest effective_from (of
+    equal ones the greatest price). ``line_keys`` is the natural key of a line;
+    lines that repeat it each get the price.
+
+    A line asks in three scopes: (product, customer), (product, group) and
+    (product). The different (scope, date) questions meet only the prices of
+    their own scope and are answered once each; the answers are written and
+    joined back on scope and date, so a product that holds a third of all lines is
+    spread over its dates, and no line meets the prices of another customer."""
+    p = prices.select(
+        F.col(p_product).alias("_p"),
+        F.when(F.col(p_customer).isNotNull(), 3).when(F.col(p_group).isNotNull(), 2).otherwise(1).alias("_tier"),
+        F.coalesce(F.col(p_customer).cast("string"), F.col(p_group).cast("string"), F.lit("")).alias("_who"),
+        F.col(p_from).alias("_f"), F.col(p_to).alias("_t"), F.col(p_price).alias("_price"))
+    tiers = {3: ("customer", F.col(customer).cast("string")), 2: ("group", F.col(group).cast("string")), 1: ("default", F.lit(""))}
+    scopes = F.explode(F.array(*[F.struct(F.lit(t).alias("_tier"), who.alias("_who")) for t, (_, who) in tiers.items()]))
+    asked = lines.select(F.col(product).alias("_p"), F.col(date).cast("date").alias("_d"), scopes.alias("_s")) \
+        .select("_p", "_d", "_s.*").where(F.col("_who").isNotNull()).distinct()
     in_time = (F.col("_d") >= F.col("_f")) & (F.col("_t").isNull() | (F.col("_d") <= F.col("_t")))
-    whose = F.when(F.col("_c").isNotNull(), F.col("_c") == F.col(customer)).when(F.col("_g").isNotNull(), F.col("_g") == F.col(group)).otherwise(True)
-    j = base.join(p, (F.col(product) == F.col("_p")) & in_time & whose, "left")
-    tier = F.when(F.col("_c").isNotNull(), 3).when(F.col("_g").isNotNull(), 2).when(F.col("_p").isNotNull(), 1)
-    rest = [c for c in lines.columns if c not in line_keys]
-    best = j.groupBy(*line_keys).agg(*[F.first(c).alias(c) for c in rest], F.max(F.when(tier.isNotNull(), F.struct(tier.alias("tier"), "_f", "_price"))).alias("_b"))
-    name = F.when(F.col("_b.tier") == 3, "customer").when(F.col("_b.tier") == 2, "group").when(F.col("_b.tier") == 1, "default")
-    return best.select(*lines.columns, F.col("_b._price").alias("price_per_case"), name.alias("price_tier"))
+    won = asked.join(p, ["_p", "_tier", "_who"]).where(in_time).groupBy("_p", "_tier", "_who", "_d") \
+        .agg(F.max(F.struct("_f", "_price")).alias("_best"))
+    won = written_table(won.select("_p", "_tier", "_who", "_d", "_best._price"), "prices")
+    out = lines
+    for t, (_, who) in tiers.items():
+        w = won.where(F.col("_tier") == t).select("_p", "_who", "_d", F.col("_price").alias(f"_price{t}"), F.lit(True).alias(f"_hit{t}"))
+        out = out.join(w, (out[product] == w["_p"]) & (who == w["_who"]) & (out[date].cast("date") == w["_d"]), "left") \
+            .drop(w["_p"], w["_who"], w["_d"])
+    price, name = F.lit(None), F.lit(None).cast("string")
+    for t in sorted(tiers):
+        price = F.when(F.col(f"_hit{t}"), F.col(f"_price{t}")).otherwise(price)
+        name = F.when(F.col(f"_hit{t}"), F.lit(tiers[t][0])).otherwise(name)
+    return out.select(*[lines[c] for c in lines.columns], price.alias("price_per_case"), name.alias("price_tier"))
 
 
 def allocation_reconcile(alloc: DataFrame, fulfilments: DataFrame, key, allocated: str, fulfilled: str) -> DataFrame:

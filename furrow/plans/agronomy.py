@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from furrow.functions.formula import formula_eval
+from furrow.functions.formula import formula_join
 from furrow.operators import aggregates as agg
 from furrow.operators import rules
 from furrow.plans.registry import register
@@ -68,8 +68,8 @@ def q_formula_eval(spark, d):
     t = Tables(spark, d)
     cfg = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in TYPE_FORMULAS.items()) + " AS t(p_type, formula)")
     j = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    e = formula_eval(j, cfg, "p_type", "formula", {"a": "l_quantity", "b": "l_discount", "c": "l_tax"})
-    return j.select("l_orderkey", "l_linenumber", e.cast("double").alias("net_weight"))
+    e = formula_join(j, cfg, "p_type", "formula", {"a": "l_quantity", "b": "l_discount", "c": "l_tax"}, "net_weight")
+    return e.select("l_orderkey", "l_linenumber", F.col("net_weight").cast("double").alias("net_weight"))
 
 
 @register("audit_set_once", """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from furrow.functions.arith import date_parts
 from furrow.functions.codes import lot_code
-from furrow.functions.formula import formula_eval
+from furrow.functions.formula import formula_join
 from furrow.operators import aggregates as agg
 from furrow.operators import reshape as rs
 from furrow.operators import rules
@@ -232,5 +232,5 @@ def q_tare_resolution(spark, d):
     t = Tables(spark, d)
     j = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").withColumn("n", F.col("l_quantity").cast("int"))
     cfg = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in BRAND_TARE.items()) + " AS t(p_brand, formula)")
-    tare = F.coalesce(formula_eval(j, cfg, "p_brand", "formula", {"n": "n"}).cast("double"), F.lit(0.25) * F.col("n"))
-    return j.select("l_orderkey", "l_linenumber", tare.alias("tare"))
+    j = formula_join(j, cfg, "p_brand", "formula", {"n": "n"}, "tare")
+    return j.select("l_orderkey", "l_linenumber", F.coalesce(F.col("tare").cast("double"), F.lit(0.25) * F.col("n")).alias("tare"))

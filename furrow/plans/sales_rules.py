@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.arith import reorder_point, safe_ratio
-from furrow.functions.formula import formula_eval
+from furrow.functions.formula import formula_join
 from furrow.operators import rules, sales
 from furrow.plans.registry import register
 from furrow.session import written_table
@@ -184,7 +184,9 @@ def q_lock_preserving_refresh(spark, d):
     f = written_table(fulfilments(Tables(spark, d)), "fulfilments")
     pallets, alloc = _palletize(f.where(F.col("pack_date") < F.lit(LOCKED_BEFORE).cast("date")))
     cols = [*PALLET_KEY, "cases", "label"]
-    old = pallets.select(*cols, (F.col("label") == "Full").alias("is_locked"))
+    # the early run is computed once; its allocations and pallets are read several times
+    old = written_table(pallets.select(*cols, (F.col("label") == "Full").alias("is_locked")), "early-pallets")
+    alloc = written_table(alloc.select(*PALLET_KEY, *LINE_KEY, "allocated_quantity"), "early-allocations")
 
     def rebuild(rest):
         return _palletize(written_table(rest, "rest"), first_index="_first")[0].select(*cols)
@@ -296,7 +298,8 @@ def q_net_weight(spark, d):
     j = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey") \
         .withColumn("gross_weight", F.col("l_quantity") * 2.5 + 1).withColumn("n", F.col("l_quantity").cast("int"))
     cfg = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in TARE_FORMULAS.items()) + " AS t(p_type, formula)")
-    tare = F.coalesce(formula_eval(j, cfg, "p_type", "formula", {"n": "n"}).cast("double"), F.lit(FIXED_TARE) * F.col("n"))
+    j = formula_join(j, cfg, "p_type", "formula", {"n": "n"}, "tare")
+    tare = F.coalesce(F.col("tare").cast("double"), F.lit(FIXED_TARE) * F.col("n"))
     return j.select("l_orderkey", "l_linenumber", "gross_weight", (F.col("gross_weight") - tare).alias("net_weight"))
 
 

@@ -1,17 +1,24 @@
-"""Streaming queries (§2.14) over the given ``events`` table used as a
-file stream (org = user_id, channel = event_type, reading time = ts).
-Each runs with ``availableNow`` and returns its sink contents, so it is
-checked against the equivalent batch SQL."""
+"""Streaming queries (§2.14) over the given tables, landed as several files
+the way polls leave them (events: org = user_id, channel = event_type,
+reading time = ts). Each runs with ``availableNow``, one file per micro-batch,
+and returns its sink contents, so it is checked against the equivalent batch
+SQL."""
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from furrow.plans.registry import register
-from furrow.sources.tables import table_path
+from furrow.session import scratch_path
+from furrow.sources.tables import Tables, table_path
 from furrow.streaming import streams
+from furrow.streaming.state import BucketedState
 
 CHANNELS = ("view", "click", "purchase", "error", "signup")
+FILES = 6
 
 
 def _events_stream(spark, d):
@@ -22,9 +29,25 @@ def _events_stream(spark, d):
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _stream_of(spark, path, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+# The poll in which an event is read: five days each. In SQL: (day(ts) - 1) // 5.
+_POLL = F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(FILES - 1)).cast("int")
+
+
+def _polled_events(spark, d):
+    """The events as polls land them: each poll reads the last three hours of the one before again."""
+    ev = Tables(spark, d).events
+    again = ev.where(F.hour("ts") >= 21).where(F.dayofmonth("ts") % 5 == 0).where(_POLL < FILES - 1).withColumn("poll", _POLL + 1)
+    path = streams.land(ev.withColumn("poll", _POLL).unionByName(again), F.col("poll"), FILES, "polls")
+    return _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @register("stream_ingest_dedup", "SELECT DISTINCT ON (user_id, ts) event_id, user_id, ts FROM events ORDER BY user_id, ts, event_id")
 def q_stream_ingest_dedup(spark, d):
-    s = _events_stream(spark, d).select("event_id", "user_id", "ts")
+    s = _polled_events(spark, d).select("event_id", "user_id", "ts")
     out = streams.run_available_now(spark, streams.stream_ingest_dedup(s, ["user_id", "ts"], "ts"), "dedup")
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -55,11 +78,12 @@ def q_stream_daily_dose(spark, d):
 
 
 @register("stream_pivot", """
-SELECT user_id, ts, """ + ", ".join(f"max(CASE WHEN event_type = '{c}' THEN value END) AS {c}" for c in CHANNELS) + """
-FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 6 HOUR GROUP BY 1, 2""")
+SELECT user_id, date_trunc('hour', ts) AS ts, """ + ", ".join(f"arg_max(value, event_id) FILTER (event_type = '{c}') AS {c}" for c in CHANNELS) + """
+FROM events GROUP BY 1, 2 HAVING date_trunc('hour', any_value(ts)) <= (SELECT date_trunc('hour', max(ts)) FROM events) - INTERVAL 6 HOUR""")
 def q_stream_pivot(spark, d):
-    s = _events_stream(spark, d).select("user_id", "ts", "event_type", "value")
-    out = streams.run_available_now(spark, streams.stream_pivot(s, ["user_id"], "ts", "event_type", "value", CHANNELS), "pivot")
+    """Readings of a clock hour share its time, so that cells are written several times; polls repeat rows."""
+    s = _polled_events(spark, d).select("event_id", "user_id", F.date_trunc("hour", "ts").alias("ts"), "event_type", "value")
+    out = streams.run_available_now(spark, streams.stream_pivot(s, ["user_id"], "ts", "event_type", "value", CHANNELS, "event_id"), "pivot")
     return out.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), *CHANNELS)
 
 
@@ -73,49 +97,67 @@ SELECT l_orderkey, min(l_shipdate) AS terminated_at, arg_min('discount on line '
   (l_shipdate, 'discount on line ' || CAST(l_linenumber AS VARCHAR))) AS termination_reason
 FROM lineitem WHERE l_discount > 0.08 GROUP BY 1""")
 def q_stream_terminate(spark, d):
-    schema = spark.read.parquet(table_path(d, "lineitem")).schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d) \
-        .withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
-    agg = streams.stream_terminate(s, "l_orderkey", "l_shipdate", F.col("l_discount") > 0.08,
-                                   F.concat(F.lit("discount on line "), F.col("l_linenumber").cast("string")), delay="3650 days")
-    out = streams.run_available_now(spark, agg, "terminate", mode="complete")
-    return out.select("l_orderkey", F.col("terminated_at").cast("timestamp_ntz").alias("terminated_at"), "termination_reason")
+    """Lines land by ship date, some of them up to two days behind, and a heartbeat closes the stream; an order ships for
+    at most 2,600 days."""
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_discount", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"))
+    at = F.unix_timestamp("l_shipdate")
+    lo, hi = li.agg(F.min(at), F.max(at)).first()
+    seen = at + F.pmod("l_linenumber", F.lit(3)) * 86400
+    poll = F.floor((seen - F.lit(lo)) / F.lit(hi - lo + 3 * 86400) * FILES).cast("int")
+    beat = spark.range(1).select(F.lit(None).cast("long").alias("l_orderkey"), F.lit(0).alias("l_linenumber"), F.lit(1.0).alias("l_discount"),
+                                 F.timestamp_seconds(F.lit(hi + 6000 * 86400)).alias("l_shipdate"))
+    path = streams.land(li.withColumn("poll", poll).unionByName(beat.withColumn("poll", F.lit(FILES))), F.col("poll"), FILES + 1, "lines")
+    ended = streams.stream_terminate(_stream_of(spark, path, li.schema), "l_orderkey", "l_shipdate", F.col("l_discount") > 0.08,
+                                     F.concat(F.lit("discount on line "), F.col("l_linenumber").cast("string")),
+                                     keep=pd.Timedelta(days=2600), delay="10 days")
+    out = streams.run_available_now(spark, ended, "terminate")
+    return out.where(F.col("trial").isNotNull()).select(F.col("trial").alias("l_orderkey"), F.col("terminated_at").cast("timestamp_ntz").alias("terminated_at"),
+                                                        "termination_reason")
 
 
 @register("stream_upsert_parent_children", """
-WITH kids AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE year(o.o_orderdate) = 1997),
-touched AS (SELECT o_orderkey FROM orders WHERE year(o_orderdate) IN (1997, 1998) AND o_orderstatus = 'F')
-SELECT * FROM kids WHERE l_orderkey NOT IN (SELECT o_orderkey FROM touched)
-UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM touched)""")
+SELECT l_orderkey, l_linenumber, l_quantity + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS l_quantity
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey""")
 def q_stream_upsert_parent_children(spark, d):
-    from furrow.session import scratch_path
-    from furrow.sources.tables import Tables
-    import uuid
-
+    """All orders and lines are the state; the finished orders come again in several polls and replace their lines."""
     t = Tables(spark, d)
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
     run = scratch_path(spark, f"stream-upsert-{uuid.uuid4().hex[:8]}")
-    o = t.orders.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderstatus")
-    kids = t.lineitem.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
-    schema = spark.read.parquet(table_path(d, "orders")).schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d) \
-        .where(F.year("o_orderdate").isin(1997, 1998) & (F.col("o_orderstatus") == "F")).select("o_orderkey", "o_orderstatus")
+    state = BucketedState(spark, f"{run}/state", orders.schema, lines.schema, ["o_orderkey"], ["l_orderkey"], buckets=16)
+    state.seed(orders, lines)
+    path = streams.land(orders.where("o_orderstatus = 'F'"), F.pmod("o_orderkey", F.lit(FILES)), FILES, "orders")
 
     def children_for(batch):
-        return t.lineitem.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey") \
-            .select("l_orderkey", "l_linenumber", (F.col("l_quantity") + 1).alias("l_quantity"))
+        return lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").withColumn("l_quantity", F.col("l_quantity") + 1)
+
+    streams.run_foreach_batch(_stream_of(spark, path, orders.schema), streams.upsert_state_handler(state, children_for), f"{run}/ckpt")
+    return state.read("children")
+
 
-    handler = streams.upsert_state_handler(f"{run}/state", ["o_orderkey"], ["l_orderkey"], children_for, o, kids)
-    last = streams.run_foreach_batch(s, handler, f"{run}/ckpt")
-    return spark.read.parquet(f"{run}/state/v{last}/children")
+# Every 23rd event comes two polls later than its time; what a poll brings is late if the polls before it have seen a
+# reading more than the look-back newer.
+_ROUTED_SQL = """
+WITH landed AS (SELECT event_id, ts, least(5, (day(ts) - 1) // 5 + CASE WHEN event_id % 23 = 0 THEN 2 ELSE 0 END) AS poll FROM events),
+newest AS (SELECT poll, max(ts) AS newest FROM landed GROUP BY 1),
+marks AS (SELECT p.poll, (SELECT date_trunc('millisecond', max(newest)) - INTERVAL 6 HOUR FROM newest n WHERE n.poll < p.poll) AS mark FROM newest p)
+SELECT event_id, ts{flag} FROM landed JOIN marks USING (poll){where}"""
 
 
-@register("stream_late_report", """
-SELECT event_id, ts FROM events WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 6 HOUR""")
+def _routed(spark, d):
+    ev = Tables(spark, d).events.select("event_id", "ts")
+    poll = F.least(F.lit(FILES - 1), _POLL + F.when(F.col("event_id") % 23 == 0, 2).otherwise(0))
+    path = streams.land(ev.withColumn("poll", poll), F.col("poll"), FILES, "late")
+    s = _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    return streams.run_available_now(spark, streams.stream_route_late(s, "ts"), "late").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_late_report", _ROUTED_SQL.format(flag="", where=" WHERE ts <= mark"))
 def q_stream_late_report(spark, d):
-    from furrow.session import scratch_path
-    import uuid
+    return _routed(spark, d).where("is_late").select("event_id", "ts")
+
 
-    run = scratch_path(spark, f"stream-late-{uuid.uuid4().hex[:8]}")
-    s = _events_stream(spark, d).select("event_id", "ts")
-    streams.run_foreach_batch(s, streams.late_report_handler(f"{run}/out", "ts"), f"{run}/ckpt")
-    return spark.read.parquet(f"{run}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+@register("stream_route_late", _ROUTED_SQL.format(flag=", coalesce(ts <= mark, false) AS is_late", where=""))
+def q_stream_route_late(spark, d):
+    """Accepted and late rows: together every event once."""
+    return _routed(spark, d).select("event_id", "ts", "is_late")

@@ -4,9 +4,10 @@ The source system polls a sensor API every few minutes with a six-hour
 look-back and ignores duplicate (org, reading time) rows. Here the landed
 files are a streaming source; duplicates are dropped within the
 watermark, channels are pivoted per reading, daily doses are tumbling
-windows, and the "value x time to next reading" increment is a stateful
+windows, the "value x time to next reading" increment is a stateful
 operator that keeps a key's readings only until the watermark has passed
-them.
+them, and the end of a trial is a stateful operator that emits once and
+forgets the trial when its time is over.
 
 All sinks are file sinks / ``foreachBatch`` writes under the shared
 checkpoint folder (``spark.checkpoint.dir``), so a restarted query resumes
@@ -22,9 +23,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from furrow.session import scratch_path, ship_package
+from furrow.streaming.state import BucketedState
 
 # Fixed value: the source's poll look-back, used as the lateness bound.
 LOOKBACK = "6 hours"
@@ -35,11 +38,12 @@ def stream_ingest_dedup(sdf: DataFrame, keys, ts: str, delay: str = LOOKBACK) ->
     return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_pivot(sdf: DataFrame, by, ts: str, channel: str, value: str, channels, delay: str = LOOKBACK) -> DataFrame:
-    """Long channel readings -> one wide row per (key, timestamp); last
-    write wins per cell; rows are final once the watermark passes."""
+def stream_pivot(sdf: DataFrame, by, ts: str, channel: str, value: str, channels, written: str, delay: str = LOOKBACK) -> DataFrame:
+    """Long channel readings -> one wide row per (key, timestamp); of several
+    readings of a cell the last write wins, the one with the greatest
+    ``written``; rows are final once the watermark passes."""
     w = sdf.withWatermark(ts, delay)
-    aggs = [F.max_by(F.when(F.col(channel) == c, F.col(value)), F.when(F.col(channel) == c, F.col(ts))).alias(c) for c in channels]
+    aggs = [F.max_by(F.when(F.col(channel) == c, F.col(value)), F.when(F.col(channel) == c, F.col(written))).alias(c) for c in channels]
     return w.groupBy(*by, ts).agg(*aggs)
 
 
@@ -92,51 +96,77 @@ def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str, delay: s
         timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, delay: str = LOOKBACK) -> DataFrame:
-    """First failing observation per trial (terminated_at, reason); the
-    aggregate is idempotent, so replays after a failure give the same row."""
-    f = sdf.where(failed).withColumn("_reason", reason)
-    return f.withWatermark(ts, delay).groupBy(trial).agg(
-        F.min(ts).alias("terminated_at"), F.min_by("_reason", F.struct(F.col(ts), F.col("_reason"))).alias("termination_reason"))
+def _terminate_state(keep_us: int):
+    """Per trial: failures wait until the watermark has passed them, so that no earlier one can come any more; the first is
+    then emitted, and those within ``keep_us`` after it are of the same trial. What waits is the earliest one ahead of
+    the watermark and those that may belong to a later trial; what stays of an ended trial is its end, until the watermark
+    has passed the time in which its failures can come."""
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        end, times, reasons = state.get if state.exists else (None, (), ())
+        waiting = set(zip(times, reasons))
+        mark = state.getCurrentWatermarkMs() * 1000
+        for p in pdfs:
+            waiting.update(zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(), p["reason"]))
+        out = []
+        for t, why in sorted(waiting, key=lambda w: (w[0], w[1] or "")):
+            if t <= mark and (end is None or t > end + keep_us):
+                out.append((key[0], t, why))
+                end = t
+        left = sorted(((t, w) for t, w in waiting if t > mark and (end is None or t > end + keep_us)), key=lambda w: (w[0], w[1] or ""))
+        left = left[:1] + [x for x in left[1:] if x[0] > mark + keep_us]
+        if out:
+            yield pd.DataFrame({"trial": [x[0] for x in out], "terminated_at": pd.to_datetime([x[1] for x in out], unit="us"),
+                                "termination_reason": [x[2] for x in out]})
+        if end is not None and end + keep_us <= mark:
+            end = None
+        if end is None and not left:
+            if state.exists:
+                state.remove()
+            return
+        state.update((end, [t for t, _ in left], [w for _, w in left]))
+        state.setTimeoutTimestamp(max(min([t for t, _ in left[:1]] + ([end + keep_us] if end is not None else [])), mark) // 1000 + 1)
+    return step
+
+
+def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, keep: pd.Timedelta, delay: str = LOOKBACK) -> DataFrame:
+    """First failing observation per trial: one row (trial, terminated_at,
+    termination_reason), emitted when the watermark has passed it (of equal
+    times the least reason). Failures that come out of order within ``delay``
+    count; later failures of an ended trial are ignored for ``keep`` after its
+    end, the longest that a trial goes on, and then the trial's state is
+    dropped. ``trial`` is a long."""
+    ship_package(sdf.sparkSession)
+    x = sdf.where(failed).select(F.col(trial).alias("trial"), F.col(ts).alias("ts"), reason.alias("reason")).withWatermark("ts", delay)
+    return x.groupBy("trial").applyInPandasWithState(
+        _terminate_state(int(keep / pd.Timedelta(microseconds=1))),
+        outputStructType="trial long, terminated_at timestamp, termination_reason string",
+        stateStructType="ended long, ts array<long>, reason array<string>", outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
-def upsert_state_handler(state_dir: str, parent_key, child_fk, children_for, parents_seed: DataFrame, children_seed: DataFrame):
-    """``foreachBatch`` handler: each micro-batch of new parent rows upserts
-    the parent table and replaces the children of every touched parent.
-    The state is versioned (one folder per batch id) so a batch never
-    overwrites the files it reads, and a replayed batch rewrites the same
-    version."""
-    from furrow.sources.sinks import upsert_parent_replace_children
+def stream_route_late(sdf: DataFrame, ts: str, delay: str = LOOKBACK, late: str = "is_late", lanes: int = 64) -> DataFrame:
+    """Every row with ``late``: was its time at or behind the query's own
+    watermark when it came? Rows pass through ``lanes`` groups without any
+    state; accepted and late rows are together all rows."""
+    ship_package(sdf.sparkSession)
+    columns = sdf.columns
 
-    def handler(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        if batch_id == 0:
-            parents, children = parents_seed, children_seed
-        else:
-            prev = f"{state_dir}/v{batch_id - 1}"
-            parents, children = spark.read.parquet(f"{prev}/parents"), spark.read.parquet(f"{prev}/children")
-        new_children = children_for(batch)
-        p, c = upsert_parent_replace_children(parents, children, batch.select(*parents.columns), new_children, parent_key, child_fk)
-        p.write.mode("overwrite").parquet(f"{state_dir}/v{batch_id}/parents")
-        c.write.mode("overwrite").parquet(f"{state_dir}/v{batch_id}/children")
+    def route(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+        for p in pdfs:
+            yield p[columns].assign(**{late: p[ts] <= mark})
 
-    return handler
+    x = sdf.withWatermark(ts, delay).withColumn("_lane", F.pmod(F.xxhash64(*columns), F.lit(lanes)))
+    out = T.StructType([*sdf.schema.fields, T.StructField(late, T.BooleanType())])
+    return x.groupBy("_lane").applyInPandasWithState(route, outputStructType=out, stateStructType="unused int", outputMode="append",
+                                                     timeoutConf=GroupStateTimeout.NoTimeout)
 
 
-def late_report_handler(out_dir: str, ts: str, lookback_hours: int = 6):
-    """``foreachBatch`` handler: report the rows of a micro-batch that are
-    older than the newest event time so far minus the look-back; those are
-    all rows that a watermark of the look-back can drop. Each batch writes its
-    own ``batch_id=N`` folders (report, newest) with overwrite, so a batch
-    replayed after a failure rewrites its report instead of duplicating it."""
+def upsert_state_handler(state: BucketedState, children_for):
+    """``foreachBatch`` handler: each micro-batch of new parent rows upserts
+    the parents and replaces the children of every touched parent in the
+    buckets they fall into; a replayed batch changes nothing."""
     def handler(batch: DataFrame, batch_id: int):
-        spark, seen = batch.sparkSession, f"{out_dir}_newest"
-        batch.agg(F.max(ts).alias("newest")).write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
-        mx = spark.read.parquet(seen).where(F.col("batch_id") <= batch_id).agg(F.max("newest")).first()[0]
-        if mx is None:
-            return
-        late = batch.where(F.col(ts) < F.lit(mx) - F.make_dt_interval(F.lit(0), F.lit(lookback_hours)))
-        late.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        state.apply(batch, children_for(batch), batch_id)
 
     return handler
 
@@ -150,6 +180,15 @@ def run_foreach_batch(sdf: DataFrame, handler, checkpoint: str) -> int:
     return max(ids) if ids else -1
 
 
+def land(df: DataFrame, arrival, n: int, name: str) -> str:
+    """Write ``df`` as ``n`` files, one after the other, by the number 0 .. n - 1 in ``arrival``: the folder that a polled
+    source leaves. A stream with one file per trigger takes them in that order."""
+    path = scratch_path(df.sparkSession, f"landed-{name}-{uuid.uuid4().hex[:8]}")
+    for i in range(n):
+        df.where(arrival == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def run_available_now(spark: SparkSession, sdf: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a streaming plan over everything available and return the sink
     contents as a batch DataFrame (sink and checkpoint under the shared
