@@ -14,7 +14,7 @@ here contains a cartesian product or a nested-loop join over fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.operators.windows import keep_first, keep_last
@@ -324,3 +324,37 @@ def two_hop_sync(child: DataFrame, parent: DataFrame, fk: str, pk: str, cols) ->
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col("_p_" + c), F.col(c)) if c in child.columns else F.col("_p_" + c)).drop("_p_" + c)
     return j
+
+
+def _key_text(cols) -> Column:
+    """Values as one text, each with its length, so that no two keys share it; NULL if any is NULL."""
+    parts = [F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in (c.cast("string") for c in cols)]
+    return F.concat(*parts)
+
+
+def _keyed(levels) -> Column:
+    """Array of (level, key) of the keys that have all values."""
+    keys = [F.struct(F.lit(i).alias("_level"), _key_text(cols).alias("_key")) for i, cols in enumerate(levels)]
+    return F.filter(F.array(*keys), lambda k: k["_key"].isNotNull())
+
+
+def prioritised_match(df: DataFrame, id_col: str, keys, targets: DataFrame, target_keys, target: str, order, out: str,
+                      level: str | None = None) -> DataFrame:
+    """``df`` with the target that its first matching key gives. ``keys`` and
+    ``target_keys`` are lists of equally many keys, best first, each a list of
+    columns (constants tell kinds of targets apart); a key with a NULL matches
+    nothing. Of several targets under a key the first in ``order`` counts.
+    ``level``: column for the number of the key that matched.
+
+    All keys of a side go through one join: targets are reduced to one per key
+    before the shuffle, rows meet at most one target per key and are put
+    together again by ``id_col``, which is unique."""
+    best = targets.select(F.explode(_keyed(target_keys)).alias("_k"), F.struct(*[F.col(o) for o in order], F.col(target).alias("_t")).alias("_o")) \
+        .groupBy("_k._level", "_k._key").agg(F.min("_o").alias("_o")).select("_level", "_key", F.col("_o._t").alias("_target"))
+    rest = [c for c in df.columns if c != id_col]
+    rows = df.select(id_col, F.struct(*rest).alias("_row"), F.explode_outer(_keyed(keys)).alias("_k")).select(id_col, "_row", "_k.*")
+    hit = F.col("_target").isNotNull()
+    found = rows.join(best, ["_level", "_key"], "left").groupBy(id_col).agg(
+        F.first("_row").alias("_row"), F.min(F.when(hit, F.struct("_level", "_target"))).alias("_hit"))
+    extra = [F.col("_hit._level").alias(level)] if level else []
+    return found.select(*[F.col(id_col) if c == id_col else F.col("_row")[c].alias(c) for c in df.columns], F.col("_hit._target").alias(out), *extra)

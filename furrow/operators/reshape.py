@@ -158,3 +158,29 @@ def json_array_elements(df: DataFrame, c: str, out: str = "element", prefix: str
 def entitlement_grid(df: DataFrame, modules, out: str = "module") -> DataFrame:
     """Each row x a fixed list of enabled modules (explode of literals)."""
     return df.withColumn(out, F.explode(F.array(*[F.lit(m) for m in modules])))
+
+
+def rotation_calendar(slots: DataFrame, slot: str, anchor_slot: int, anchor_date: str, n_slots: int, after: str, until: str,
+                      out: str, slot_days: int = 7) -> DataFrame:
+    """The days in (``after``, ``until``] on which each slot of a rotation comes
+    round: the anchor slot on ``anchor_date``, the next one ``slot_days`` later,
+    again after all ``n_slots``; never before the first round. Each slot's
+    first and last round are computed, not searched."""
+    cycle = n_slots * slot_days
+    first = F.date_add(F.lit(anchor_date).cast("date"), (F.pmod(F.col(slot) - anchor_slot, F.lit(n_slots)) * slot_days).cast("int"))
+    begin = F.greatest(F.floor(F.datediff(F.lit(after).cast("date"), first) / cycle) + 1, F.lit(0))
+    end = F.floor(F.datediff(F.lit(until).cast("date"), first) / cycle)
+    rounds = F.when(end >= begin, F.sequence(begin, end)).otherwise(F.array().cast("array<bigint>"))
+    return slots.withColumn("_round", F.explode(rounds)).withColumn(out, F.date_add(first, (F.col("_round") * cycle).cast("int"))).drop("_round")
+
+
+def typed_events(df: DataFrame, keys, events, amount: str = "amount") -> DataFrame:
+    """The events a record holds, one row each: ``keys``, event_no (1.. within
+    the record, in the given order), event, unit, the further fields and the
+    amount. ``events`` is [(event, amount column, unit, {field: column})], all
+    with the same fields; an event takes place if its amount is positive."""
+    each = [F.when(F.coalesce(a > 0, F.lit(False)), F.struct(
+        F.lit(name).alias("event"), F.lit(unit).alias("unit"), *[c.alias(f) for f, c in fields.items()], a.cast("double").alias(amount)))
+        for name, a, unit, fields in events]
+    there = F.filter(F.array(*each), lambda e: e.isNotNull())
+    return df.select(*keys, F.posexplode(there).alias("_no", "_e")).select(*keys, (F.col("_no") + 1).alias("event_no"), "_e.*")

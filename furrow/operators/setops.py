@@ -36,3 +36,23 @@ def snapshot_diff(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     return ka.join(kb, list(keys), "left_anti").withColumn("side", F.lit("only_a")).unionByName(
         kb.join(ka, list(keys), "left_anti").withColumn("side", F.lit("only_b"))
     )
+
+
+def set_changes(current: DataFrame, wanted: DataFrame, keys, cols) -> DataFrame:
+    """What makes ``current`` equal ``wanted``: one row per key that differs, with
+    op 'insert', 'update' or 'delete' and the wanted values (NULL for 'delete').
+    Keys are unique in both and not NULL; of equal sets there are no changes."""
+    a = current.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in cols], F.lit(True).alias("_has"))
+    b = wanted.select(*keys, *cols, F.lit(True).alias("_wants"))
+    j = a.join(b, list(keys), "full")
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    op = F.when(F.col("_has").isNull(), "insert").when(F.col("_wants").isNull(), "delete").when(~same, "update")
+    return j.withColumn("op", op).where(F.col("op").isNotNull()).select(*keys, *cols, "op")
+
+
+def apply_changes(current: DataFrame, changes: DataFrame, keys, cols) -> DataFrame:
+    """``current`` after ``set_changes``."""
+    kept = current.select(*keys, *cols).join(changes.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(changes.where(F.col("op") != "delete").select(*keys, *cols))

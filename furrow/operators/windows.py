@@ -215,3 +215,16 @@ def attach_once_bucketed(df: DataFrame, by, order, c: str, bucket) -> DataFrame:
     firsts = df.groupBy(*by).agg(F.min(r).alias("_first"))
     d = df.withColumn("_me", r).join(firsts, list(by), "left")
     return d.withColumn(c, F.when(F.col("_me") == F.col("_first"), F.col(c))).drop("_me", "_first")
+
+
+def value_runs(df: DataFrame, by, number: str, values, span: int = 1000) -> DataFrame:
+    """Maximal runs of consecutive ``number`` values (unique per ``by``) with
+    equal ``values``: by, ``number``_from, ``number``_to, n, values. A number less
+    its rank among the rows of equal values is the same all along a run; ranks
+    are counted per ``span`` of numbers, so a long key is spread over tasks."""
+    same = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+    ranked = row_number_bucketed(df.withColumn("_same", same), [*by, "_same"], [number], F.floor(F.col(number) / span), out="_rn")
+    runs = ranked.groupBy(*by, "_same", (F.col(number) - F.col("_rn")).alias("_run")).agg(
+        F.min(number).alias(f"{number}_from"), F.max(number).alias(f"{number}_to"), F.count(F.lit(1)).alias("n"),
+        *[F.first(v).alias(v) for v in values])
+    return runs.drop("_same", "_run")

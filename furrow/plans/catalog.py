@@ -22,6 +22,8 @@ PLAN_MODULES = (
     "furrow.plans.jobs_grow",
     "furrow.plans.jobs_field",
     "furrow.plans.jobs_inventory",
+    "furrow.plans.jobs_rotation",
+    "furrow.plans.jobs_events",
 )
 
 _loaded = False

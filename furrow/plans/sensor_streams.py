@@ -33,15 +33,16 @@ def _stream_of(spark, path, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-# The poll in which an event is read: five days each. In SQL: (day(ts) - 1) // 5.
-_POLL = F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(FILES - 1)).cast("int")
+def _poll():
+    """The poll in which an event is read: five days each."""
+    return F.least(F.floor((F.dayofmonth("ts") - 1) / 5), F.lit(FILES - 1)).cast("int")
 
 
 def _polled_events(spark, d):
     """The events as polls land them: each poll reads the last three hours of the one before again."""
     ev = Tables(spark, d).events
-    again = ev.where(F.hour("ts") >= 21).where(F.dayofmonth("ts") % 5 == 0).where(_POLL < FILES - 1).withColumn("poll", _POLL + 1)
-    path = streams.land(ev.withColumn("poll", _POLL).unionByName(again), F.col("poll"), FILES, "polls")
+    again = ev.where(F.hour("ts") >= 21).where(F.dayofmonth("ts") % 5 == 0).where(_poll() < FILES - 1).withColumn("poll", _poll() + 1)
+    path = streams.land(ev.withColumn("poll", _poll()).unionByName(again), F.col("poll"), FILES, "polls")
     return _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -146,7 +147,7 @@ SELECT event_id, ts{flag} FROM landed JOIN marks USING (poll){where}"""
 
 def _routed(spark, d):
     ev = Tables(spark, d).events.select("event_id", "ts")
-    poll = F.least(F.lit(FILES - 1), _POLL + F.when(F.col("event_id") % 23 == 0, 2).otherwise(0))
+    poll = F.least(F.lit(FILES - 1), _poll() + F.when(F.col("event_id") % 23 == 0, 2).otherwise(0))
     path = streams.land(ev.withColumn("poll", poll), F.col("poll"), FILES, "late")
     s = _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
     return streams.run_available_now(spark, streams.stream_route_late(s, "ts"), "late").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
