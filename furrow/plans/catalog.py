@@ -24,6 +24,7 @@ PLAN_MODULES = (
     "furrow.plans.jobs_inventory",
     "furrow.plans.jobs_rotation",
     "furrow.plans.jobs_events",
+    "furrow.plans.jobs_people",
 )
 
 _loaded = False
