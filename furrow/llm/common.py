@@ -8,6 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"furrow-{name}-{uuid.uuid4().hex}")
 
 
+def read_shared(folder: str) -> pa.Table:
+    """Inside a task: the Parquet files of a folder below the shared one."""
+    system, root = arrow_fs.FileSystem.from_uri(folder) if "://" in folder else (arrow_fs.LocalFileSystem(), folder)
+    files = sorted(f.path for f in system.get_file_info(arrow_fs.FileSelector(root, allow_not_found=True)) if f.path.endswith(".parquet"))
+    return pa.concat_tables([parquet.read_table(f, filesystem=system) for f in files])
+
+
 def sample_by_hash(df: DataFrame, key: str, n: int) -> list[Row]:
     """The ``n`` rows with the least values of the hash column ``key``. The tasks hand over only rows below a threshold that
     about 4n rows pass, so what reaches the driver doesn't grow with the table."""
@@ -54,6 +63,16 @@ def sample_by_hash(df: DataFrame, key: str, n: int) -> list[Row]:
     return df.orderBy(key).limit(n).collect()
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_row(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct."""
+    return F.struct(*[quoted(c).alias(c) for c in df.columns]).alias(name)
+
+
 def collapsed(text: Column) -> Column:
     """Each run of ASCII white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")

@@ -11,11 +11,13 @@ sides, so both keep the same gram of it - no shared window escapes. Items
 shorter than the window get a class of their own length by the same rule.
 
 The fingerprints of the benchmark are joined with those of a document where
-the document is read: a broadcast join in the scan task, so no text is
+the document is read, in the scan task, so no text is
 shuffled and a document with many hits, or a passage in a third of all
 documents, stays a local matter. The benchmark is a query set that is run
-against all rows in blocks of at most ``block_bytes`` of item text; each
-block is one more Arrow pass that adds to the hits of the row. Each meeting
+against all rows in blocks of at most ``block_bytes`` of item text. One block is
+broadcast. More are files in the shared folder: a task reads some
+``HELD_BYTES`` of its documents, runs them against one block after the other and
+holds the index of one block at a time. Each meeting
 gram is extended to the left and the right along its diagonal, by at most a
 window, and the words of the extended hit are compared byte by byte.
 
@@ -35,12 +37,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from furrow.llm.common import binary_column, ship, steps
+from furrow.llm.common import as_row, binary_column, read_shared, shared_folder, ship, steps
 
 WINDOW = 10
 # Item text of one broadcast block.
 BLOCK_BYTES = 32 << 20
+# Documents that a task runs against all blocks at a time.
+HELD_BYTES = 64 << 20
 
 _MULT = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2^64
 
@@ -227,33 +232,60 @@ def _blocks(benchmark: DataFrame, text: str, id_col: str, block_bytes: int) -> I
         yield sorted((r.i, r.t.encode()) for r in part.toLocalIterator())
 
 
-_SCHEMA = "row {row}, n_words long, spans array<long>, items array<long>"
-
-
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text",
          item_text: str = "text", item_id: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct), n_words, spans (first and end word of each shared span, one after
     the other), items (ids of the items with a shared window, ascending)."""
     spark = docs.sparkSession
     ship(spark)
-    row_type = docs.schema.simpleString()
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast("array<long>").alias("spans"), F.array().cast("array<long>").alias("items"))
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("n_words", T.LongType()), T.StructField("spans", longs),
+                           T.StructField("items", longs)])
+    src = docs.select(as_row(docs), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("spans"),
+                      F.array().cast("array<long>").alias("items"))
     at = docs.columns.index(text)
+    folder, n = shared_folder(spark, "benchmark-blocks"), 0
     blocks = _blocks(benchmark, item_text, item_id, block_bytes)
-    block = next(blocks, [])
+    block = next(blocks, None)
     while block is not None:
-        held = spark.sparkContext.broadcast(block)
+        spark.createDataFrame(block, _ITEMS).coalesce(1).write.parquet(f"{folder}/{n}")
         del block  # the driver holds one block at a time
+        n += 1
+        block = next(blocks, None)
+    if n <= 1:
+        only = [tuple(r) for r in spark.read.schema(_ITEMS).parquet(f"{folder}/0").collect()] if n else []
+        held = spark.sparkContext.broadcast(only)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index(held.value, window)
             for batch in batches:
                 yield from _scan_batch(batch, index, at)
+    else:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _parts(batches):
+                for b in range(n):
+                    items = read_shared(f"{folder}/{b}").to_pylist()
+                    index = Index([(r["i"], r["t"]) for r in items], window)
+                    part = [x for batch in part for x in _scan_batch(batch, index, at)]
+                yield from part
 
-        out = out.mapInArrow(run, _SCHEMA.format(row=row_type))
-        block = next(blocks, None)
-    return out
+    return src.mapInArrow(run, schema)
+
+
+_ITEMS = "i long, t binary"
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The batches in groups of about ``HELD_BYTES``."""
+    part, size = [], 0
+    for batch in batches:
+        part.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _scan_batch(batch: pa.RecordBatch, index: Index, at: int) -> Iterator[pa.RecordBatch]:
@@ -278,7 +310,8 @@ def _scan_batch(batch: pa.RecordBatch, index: Index, at: int) -> Iterator[pa.Rec
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark."""
-    return scan(docs, benchmark, window).where(F.size("items") == 0).select("row.*")
+    found = scan(docs, benchmark, window).where(F.size("items") == 0)
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

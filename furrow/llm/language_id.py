@@ -5,7 +5,8 @@ longest phrases that occur in that sample: the automaton is followed as far as i
 language whose sample needs the fewest phrases, normalised as phrases x log2(sample length) / text length (the
 cross-entropy estimate), wins; equal rates go to the alphabetically first.
 
-Texts are lower-cased; each run of characters that aren't letters counts as one space. A parse restarts every
+Texts are lower-cased; each run of characters that aren't letters counts as one space. Every letter of the samples is told
+apart; the tables of a language know its own sample's letters, so their size doesn't depend on the other languages. A parse restarts every
 ``SEGMENT`` characters, the same for all languages, so that the segments of a batch are parsed side by side and a very
 long text is no slower per character than a short one. Every character of a text is parsed.
 
@@ -19,22 +20,22 @@ table gives no rows; further columns stay as they are.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from furrow.llm.common import ship
+from furrow.llm.common import as_row, ship
 
 DOCS_PER_LANG = 64
 CHARS_PER_DOC = 480
-# Letters told apart; rarer ones count as unknown.
-LETTERS = 252
 SEGMENT = 256
 STEP_CHARS = 1 << 20
+# Bytes of all parse tables up to which they are dense; beyond it they are hashed.
+DENSE_BYTES = 1 << 28
 UNDETERMINED = "und"
 # A text of at least so many letters is foreign if its best parse needs a phrase for nearly every character.
 FOREIGN_LETTERS, FOREIGN_RATE = 20, 0.9
@@ -47,17 +48,18 @@ def normalised(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def suffix_automaton(classes: list[int], width: int) -> np.ndarray:
-    """Transitions (state, class) of the automaton of a sequence; -1 where there is none. State 0 is the start."""
-    nxt, link, length = [[-1] * width], [-1], [0]
+def suffix_automaton(classes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the automaton of a sequence: class -> state for each state. State 0 is the start."""
+    nxt: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
     last = 0
     for c in classes:
         cur = len(nxt)
-        nxt.append([-1] * width)
+        nxt.append({})
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and nxt[p][c] < 0:
+        while p >= 0 and c not in nxt[p]:
             nxt[p][c] = cur
             p = link[p]
         if p >= 0:
@@ -66,46 +68,101 @@ def suffix_automaton(classes: list[int], width: int) -> np.ndarray:
                 link[cur] = q
             else:
                 twin = len(nxt)
-                nxt.append(nxt[q][:])
+                nxt.append(dict(nxt[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and nxt[p][c] == q:
+                while p >= 0 and nxt[p].get(c) == q:
                     nxt[p][c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    return np.array(nxt, np.int32)
+    return nxt
 
 
-def parse_table(transitions: np.ndarray) -> np.ndarray:
-    """State and phrases ended, as state * 4 + phrases, for each (state, class): a failing step ends the phrase
-    and goes on from the start; a class that the sample lacks is a phrase of its own."""
-    start = transitions[0]
-    known = start >= 0
-    missing = transitions < 0
-    busy = np.arange(len(transitions)) > 0
-    state = np.where(missing, np.where(known, start, 0), transitions)
-    ended = np.where(missing, busy[:, None].astype(np.int32) + ~known, 0)
-    state[:, _END], ended[:, _END] = 0, busy
-    return (state * 4 + ended).astype(np.int32).ravel()
+class Parser:
+    """Greedy parse with the automaton of a sample, many texts at a time. The classes are those of the letters of this sample;
+    every other letter is a phrase of its own. A failing step ends the phrase and goes on from the start.
+
+    ``dense``: a table of state * 4 + phrases ended for each (state, class). Otherwise only the transitions there are, in a hash
+    table with linear probing, and the start's row for the steps that fail."""
+
+    def __init__(self, sample: str, dense: bool):
+        letters = sorted(set(sample) - {" "})
+        self.letters = {c: _FIRST_LETTER + i for i, c in enumerate(letters)}
+        self.width = _FIRST_LETTER + len(letters)
+        steps = suffix_automaton([self.letters[c] if c != " " else _SPACE for c in sample])
+        self.states = len(steps)
+        sizes = np.array([len(s) for s in steps])
+        at = np.repeat(np.arange(len(steps)), sizes)
+        c = np.fromiter((x for s in steps for x in s), np.int64, int(sizes.sum()))
+        to = np.fromiter((x for s in steps for x in s.values()), np.int64, int(sizes.sum()))
+        first = np.full(self.width, -1, np.int64)
+        first[c[at == 0]] = to[at == 0]
+        # a failing step from the start and from elsewhere, for each class
+        fail = np.where(first >= 0, first, 0) * 4 + (first < 0)
+        self.fail = np.stack([fail, fail + 1]).astype(np.int32)
+        self.fail[:, _END] = [0, 1]
+        if dense:
+            table = np.repeat(self.fail[1:], len(steps), axis=0)
+            table[0] = self.fail[0]
+            table[at, c] = to * 4
+            self.table = table.ravel()
+        else:
+            self.table = None
+            bits = max(2, int(len(at) * 2 - 1).bit_length())
+            self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+            self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+            key = at * self.width + c
+            place = self._place(key)
+            left = np.arange(len(key))
+            while len(left):  # the first of those that meet at a free place takes it
+                free = self.keys[place[left]] < 0
+                self.keys[place[left[free]]] = key[left[free]]
+                self.to[place[left[free]]] = to[left[free]] * 4
+                left = left[self.keys[place[left]] != key[left]]
+                place[left] = (place[left] + 1) & self.mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """state * 4 + phrases ended after a class each."""
+        if self.table is not None:
+            return self.table[state * self.width + c]
+        out = np.where(state > 0, self.fail[1, c], self.fail[0, c])
+        key = state.astype(np.int64) * self.width + c
+        place = self._place(key)
+        left = np.arange(len(key))
+        while len(left):
+            there = self.keys[place[left]]
+            hit = there == key[left]
+            out[left[hit]] = self.to[place[left[hit]]]
+            left = left[~hit & (there >= 0)]
+            place[left] = (place[left] + 1) & self.mask
+        return out
 
 
 class Model:
-    """Character classes and a parse table per language."""
+    """Classes of all letters of the samples, and a parser per language."""
 
-    def __init__(self, samples: dict[str, str]):
-        seen = Counter(c for t in samples.values() for c in t if c != " ")
-        letters = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
+    def __init__(self, samples: dict[str, str], dense_bytes: int = DENSE_BYTES):
+        letters = sorted({c for t in samples.values() for c in t} - {" "})
         self.letters = {c: _FIRST_LETTER + i for i, c in enumerate(letters)}
-        self.width = _FIRST_LETTER + len(letters)
         self.langs = sorted(samples)
         self.bits = [float(np.log2(max(2, len(samples[lang])))) for lang in self.langs]
-        self.tables = [
-            parse_table(suffix_automaton([self.letters.get(c, _UNKNOWN) if c != " " else _SPACE for c in samples[lang]],
-                                         self.width)) for lang in self.langs]
+        size = sum(8 * len(t) * (len(set(t)) + _FIRST_LETTER) for t in samples.values())  # two states a character at most
+        self.parsers = [Parser(samples[lang], size <= dense_bytes) for lang in self.langs]
+        # the class that a letter has in each language
+        self.own = []
+        for parser in self.parsers:
+            own = np.full(_FIRST_LETTER + len(letters), _UNKNOWN, np.int32)
+            own[[_SPACE, _END]] = _SPACE, _END
+            for c, k in parser.letters.items():
+                own[self.letters[c]] = k
+            self.own.append(own)
 
     def class_of_char(self) -> np.ndarray:
-        out = np.array([_UNKNOWN if chr(i).isalpha() else _SPACE for i in range(0x110000)], np.uint8)
+        out = np.array([_UNKNOWN if chr(i).isalpha() else _SPACE for i in range(0x110000)], np.int32)
         for c, k in self.letters.items():
             out[ord(c)] = k
         return out
@@ -138,17 +195,17 @@ def phrases(model: Model, rows: list[np.ndarray]) -> np.ndarray:
     if not per.sum():
         return counts
     owner = np.repeat(np.arange(len(rows)), per)
-    lanes = np.full((len(owner), SEGMENT), _END, np.uint8)
+    lanes = np.full((len(owner), SEGMENT), _END, np.int32)
     flat = lanes.reshape(-1)
     at = np.r_[0, np.cumsum(per)] * SEGMENT
     for i, r in enumerate(rows):
         flat[at[i]:at[i] + len(r)] = r
-    columns = np.ascontiguousarray(lanes.T).astype(np.int32)
-    for k, table in enumerate(model.tables):
+    columns = np.ascontiguousarray(lanes.T)
+    for k, (parser, own) in enumerate(zip(model.parsers, model.own)):
         state = np.zeros(len(owner), np.int32)
         ended = np.zeros(len(owner), np.int32)
-        for c in columns:
-            v = table[state * model.width + c]
+        for c in own[columns]:
+            v = parser.step(state, c)
             state = v >> 2
             ended += v & 3
         counts[:, k] = np.bincount(owner, weights=ended + (state > 0), minlength=len(rows))
@@ -176,8 +233,9 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     yield _result(column.slice(begin, len(rows)), model, rows)
                     begin, size, rows = i + 1, 0, []
 
-    schema = f"row {docs.schema.simpleString()}, lang_pred string, score double, foreign boolean"
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("foreign", T.BooleanType())])
+    return docs.select(as_row(docs)).mapInArrow(run, schema)
 
 
 def _classes(text: str, class_of: np.ndarray) -> np.ndarray:
@@ -222,5 +280,5 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     found = classify(docs, model).where((F.col("lang_pred") != UNDETERMINED) & ~F.col("foreign"))
     return found.select(*[
-        F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang") if c == "lang" else F.col(f"row.`{c}`").alias(c)
+        F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang") if c == "lang" else F.col("row")[c].alias(c)
         for c in docs.columns])

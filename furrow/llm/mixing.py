@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import written
+from furrow.llm.common import quoted, written
 
 ALPHA = 0.9
 ROUNDS = 25
@@ -150,7 +150,7 @@ def sample(docs: DataFrame, **options) -> DataFrame:
         & (F.coalesce(F.col("lang").cast("string"), F.lit("")) == F.col("_furrow_lang")) \
         & (topic_of(F.col("text")) == F.col("_furrow_topic"))
     out = docs.join(F.broadcast(cells) if _few(cells) else cells, same)
-    return out.where(uniform(F.col("doc_id")) < F.col("_furrow_prob")).select(*docs.columns)
+    return out.where(uniform(F.col("doc_id")) < F.col("_furrow_prob")).select(*[quoted(c) for c in docs.columns])
 
 
 def _few(cells: DataFrame) -> bool:

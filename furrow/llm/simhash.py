@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furrow.llm.common import ship, written
+from furrow.llm.common import as_row, quoted, ship, written
 
 SHINGLE = 3
 MAX_DISTANCE = 2
@@ -224,8 +224,9 @@ def classes(by_doc: DataFrame, max_distance: int = MAX_DISTANCE, hot_homes: int
     """(fp, root, component_id) of the different fingerprints of ``by_doc`` (doc_id, fp)."""
     fps = written(by_doc.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(fps, max_distance, hot_homes))
-    member = fps.join(roots, fps.fp == roots.v, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    member = written(fps.join(roots, fps.fp == roots.v, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "members")
+    # written, so that the members of a large component can be split over tasks in the join
+    ids = written(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     return member.join(ids, "root").select("fp", "root", "component_id")
 
 
@@ -243,9 +244,10 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DI
     groups = written(near_duplicates(docs, shingle, max_distance), "groups")
     stay = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_furrow_rows"))
     kept = docs.join(stay.withColumnRenamed("doc_id", "_furrow_stay"), F.col("doc_id") == F.col("_furrow_stay"))
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    whole = kept.where("_furrow_rows = 1").select(*docs.columns)
-    repeated = kept.where("_furrow_rows > 1").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
+    columns = [quoted(c) for c in docs.columns]
+    row, back = as_row(docs, "_furrow_row"), [F.col("_furrow_row")[c].alias(c) for c in docs.columns]
+    whole = kept.where("_furrow_rows = 1").select(*columns)
+    repeated = kept.where("_furrow_rows > 1").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*columns)).alias("_furrow_row"))
 
     @F.pandas_udf("long")
     def pattern(texts: pd.Series) -> pd.Series:
@@ -253,5 +255,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DI
 
     nameless = docs.where("doc_id IS NULL").withColumn("_furrow_fp", pattern("text"))
     alone = groups.where("component_id IS NULL").select(F.col("fp").alias("_furrow_fp"), F.col("root").alias("_furrow_root")).distinct()
-    one = nameless.join(alone, "_furrow_fp").groupBy("_furrow_root").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_furrow_row"))
-    return whole.union(repeated.select("_furrow_row.*")).union(one.select("_furrow_row.*"))
+    one = nameless.join(alone, "_furrow_fp").groupBy("_furrow_root").agg(F.min_by(row, F.xxhash64(*columns)).alias("_furrow_row"))
+    return whole.union(repeated.select(*back)).union(one.select(*back))

@@ -124,3 +124,22 @@ def test_the_driver_holds_one_block_at_a_time(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     decontam.scan(docs, docs)
     assert len(seen) == 3
+
+
+def test_a_task_holds_one_index_at_a_time(spark, monkeypatch):
+    """Blocks are run one after the other over groups of batches; the result is that of a single block."""
+    import pyarrow as pa
+
+    docs, items = cases(2)
+    items = [(j, t) for j, t in items if j is not None]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    out = decontam.scan(d, b, block_bytes=200)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    key = lambda r: (r.row.doc_id is None, r.row.doc_id or 0, str(r.row.text))
+    one = sorted(decontam.scan(d, b).collect(), key=key)
+    assert [(r.n_words, sorted(r["items"]), decontam.covered(r.spans)) for r in sorted(out.collect(), key=key)] == \
+        [(r.n_words, sorted(r["items"]), decontam.covered(r.spans)) for r in one]
+    batches = [pa.RecordBatch.from_pydict({"x": ["a" * 100]}) for _ in range(7)]
+    monkeypatch.setattr(decontam, "HELD_BYTES", 250)
+    assert [len(p) for p in decontam._parts(iter(batches))] == [3, 3, 1]

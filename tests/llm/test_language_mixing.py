@@ -143,3 +143,36 @@ def test_given_targets(spark):
     goals = {"source": one({"s": 1.0}), "lang": one({"en": 0.5, "fr": 0.5}), "topic": one({"prose": 1.0})}
     prob = {r.lang: r.prob for r in mixing.mix(docs, targets=goals).collect()}
     assert prob["fr"] == pytest.approx(1.0) and prob["en"] == pytest.approx(1 / 3, abs=1e-6)
+
+
+def many_letters(rng, n):
+    return " ".join("".join(chr(0x4E00 + rng.randrange(900)) for _ in range(rng.randrange(1, 6))) for _ in range(n))
+
+
+def test_every_letter_of_the_samples_counts():
+    """More letters than a byte tells apart; dense and hashed tables give the plain parses."""
+    rng = random.Random(6)
+    samples = {"zh": language_id.normalised(many_letters(rng, 300)), "ko": "".join(rng.choices([chr(0xAC00 + i) for i in range(400)] + [" "], k=900)).strip(), "en": "the cat and the hat"}
+    samples["ko"] = language_id.normalised(samples["ko"])
+    assert len({c for t in samples.values() for c in t}) > 600
+    texts = [language_id.normalised(many_letters(rng, 12) + samples["ko"][50:80] + " the cat") for _ in range(6)] + [samples["zh"][:200], "z"]
+    want = [[plain_phrases(t, samples[lang]) for lang in sorted(samples)] for t in texts]
+    for dense in (0, 1 << 30):
+        model = language_id.Model(samples, dense)
+        assert all((p.table is not None) == bool(dense) for p in model.parsers)
+        rows = [language_id._classes(t, model.class_of_char()) for t in texts]
+        assert max(map(len, rows)) <= language_id.SEGMENT and language_id.phrases(model, rows).tolist() == want
+
+
+def test_a_script_that_no_sample_has_is_foreign(spark):
+    rng = random.Random(1)
+    korean = ["".join(rng.choices([chr(0xAC00 + i) for i in range(600)], k=3)) for _ in range(80)]
+    text = lambda words, k: " ".join(rng.choices(words, k=k))
+    rows = [(i, text(korean, 60), "ko", "s", 1) for i in range(20)] + [(i + 100, text("the of and a to in is was".split(), 60), "en", "s", 1) for i in range(20)]
+    thai = "".join(chr(0x0E01 + i) for i in range(40))
+    rows += [(500, " ".join(thai[i:i + 5] for i in range(0, 35, 5)) * 3, None, "s", 1), (501, text(korean, 30), None, "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    assert got[500].foreign and not got[501].foreign and got[501].lang_pred == "ko"
+    kept = {r.doc_id for r in language_id.keep_identified(docs).collect()}
+    assert 500 not in kept and 501 in kept

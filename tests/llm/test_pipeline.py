@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from furrow.llm import language_id, mixing
+from furrow.llm import decontam, language_id, mixing, simhash
 from furrow.llm.common import table
 from furrow.llm.queries import TOKEN_FILE, tokenizer_path
 from tests.llm.test_decontam import plain
@@ -106,3 +106,15 @@ def test_language_labels_never_enter_a_prediction(spark):
     a = {r.row.doc_id: (r.lang_pred, r.score) for r in language_id.classify(docs, model).collect()}
     b = {r.row.doc_id: (r.lang_pred, r.score) for r in language_id.classify(other, model).collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["my col", "a-b", "a.b", "ä", "`x`", "row", "items", "é `.` -"])
+def test_odd_column_names_pass_every_stage(spark, name):
+    texts = ["the cat and the dog were there with all of the others " * 2, "le chat et le chien avec tous les autres dans la maison " * 2]
+    rows = [(i, texts[i % 2] + f"number {'abcdefghij'[i % 10]}", ["en", "fr"][i % 2], "web", 3, i) for i in range(30)]
+    rows += [(None, "another text here", "en", "web", 3, 99), (3, texts[1], "fr", "web", 3, 98)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", name])
+    bench = spark.createDataFrame([(1, "nothing like that")], "item_id long, text string")
+    for out in (language_id.keep_identified(docs), simhash.keep_one(docs), decontam.decontaminate(docs, bench), mixing.sample(docs)):
+        kept = out.collect()
+        assert out.columns == docs.columns and kept and {r[5] for r in kept} <= {r[5] for r in rows}
