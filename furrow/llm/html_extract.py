@@ -1,11 +1,17 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into text blocks with the open elements around each. A linear classifier gives every block a score:
-hints of the markup around it (landmark elements, roles, words in class and id) with fixed weights, and the shape of
-its text (links, length, punctuation) with weights learned from a bounded sample of pages that mark their article. The
-score becomes two terminal capacities: what it costs to call the block content or boilerplate. Edges join blocks that
-follow each other, weaker the further apart they are in the tree, and blocks with the same parent element. The
-maximum flow gives the cheapest labelling; what stays connected to the source is content.
+A page is cut into text blocks with the open elements around each. A linear classifier gives every block a cost: the
+shape of its text (links, length, punctuation) and three features of the markup around it (a layout part, a heading outside
+the content, a notice, form, comment or the like), all with weights fitted on a bounded sample of pages that mark their
+article, and what the page itself marks as content. The cost becomes two terminal capacities: what it costs to call the
+block content or boilerplate. Edges join blocks that follow each other, weaker the further apart they are in the tree, and
+blocks with the same parent element. The maximum flow gives the cheapest labelling; what stays connected to the source is
+content. Shape is bounded so that it weighs about as much as the edges of a block: on a page without marks the
+neighbours decide about a short line among paragraphs, or a long one among links.
+
+An element that holds the content is never boilerplate, whatever it is called: the content is the marked element with the
+most text, or, without any mark, what holds ``WRAPPER`` of the text of the page. Words in class and id that tell a state
+(``comments-open``, ``has-cookie-notice``) don't name a part.
 
 Output: character references decoded, white space inside a block as one space, blocks trimmed and joined in page
 order by a line feed. Script, style, comments, title and form controls have no text, and skipped ones last to their end tag
@@ -35,12 +41,12 @@ from pyspark.sql import functions as F
 from furrow.llm.common import sample_by_hash, ship
 
 SAMPLE_PAGES = 300
-ADJACENT = 0.8  # capacity between blocks that follow each other under one parent
-SIBLING = 0.4   # capacity between blocks of one parent that don't follow each other
-HINT_BOILERPLATE = -8.0
-HINT_CONTENT = 5.0
-HINT_OUTSIDE = -6.0  # the page marks its content, and the block is elsewhere
-SHAPE_LIMIT = 3.0    # what the shape of a text may weigh
+ADJACENT = 1.0  # capacity between blocks that follow each other under one parent
+SIBLING = 0.5   # capacity between blocks of one parent that don't follow each other
+SHAPE_LIMIT = 2.5           # what the shape of a text may weigh
+INSIDE, OUTSIDE = 3.0, -4.5  # what the page's own mark of its content weighs, in it and elsewhere
+PART_RANGE = (-6.0, -3.0)   # what the fitted weight of a part of the markup may be
+WRAPPER = 0.8               # part of a page's text from which on an element of a page without marks holds the content
 
 # Elements that start a block, elements without text of the page, and hints in the markup.
 BLOCK_TAGS = frozenset(
@@ -67,6 +73,8 @@ STRONG_WORDS = frozenset(
     "replies reply respond share sharing signup skip social sponsor sponsored subscribe subscription tagcloud toast "
     "trending warning".split())
 
+STATE_WORDS = frozenset("closed disabled enabled has have is no none not off on open with without".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<empty>svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
@@ -81,7 +89,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "content", "layout", "strong", "heading", "holds_content")
+    __slots__ = ("tag", "parent", "depth", "content", "layout", "strong", "heading", "size", "holds_content")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
@@ -89,12 +97,16 @@ class Element:
         self.layout = tag in LAYOUT_TAGS
         self.strong = tag in STRONG_TAGS
         self.heading = tag == "header"
-        self.holds_content = False
+        self.size, self.holds_content = 0, False
         if attrs.strip() and tag not in ("html", "body"):
             for name, value in _ATTR.findall(attrs):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id"):
-                    words = set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+                    words: set[str] = set()
+                    for token in value.split():
+                        parts = set(_WORD.findall(_CAMEL.sub(" ", token).lower()))
+                        if not parts & STATE_WORDS:
+                            words |= parts
                     self.layout |= bool(words & LAYOUT_WORDS)
                     self.strong |= bool(words & STRONG_WORDS)
                     self.heading |= bool(words & HEADING_WORDS)
@@ -109,11 +121,6 @@ class Element:
                 else:
                     self.strong |= name == "hidden" or value.lower() == "true"
         self.content &= not self.strong
-        if self.content:
-            up = parent
-            while up is not None and not up.holds_content:
-                up.holds_content = True
-                up = up.parent
 
     def path(self) -> Iterator[Element]:
         e: Element | None = self
@@ -180,21 +187,47 @@ def blocks_of(page: str) -> list[Block]:
     if at < len(page):
         pieces.append(page[at:])
     flush()
+    _find_content(out)
     return out
 
 
-def hints(block: Block, marked: bool) -> float:
-    """What the markup around a block says."""
-    inside = False
-    score = 0.0
+def _find_content(blocks: list[Block]) -> None:
+    """Note in the elements which of them hold the content of the page."""
+    total, marked = 0, None
+    for b in blocks:
+        own = max(0, len(b.text) - b.linked)
+        total += own
+        for e in b.element.path():
+            e.size += own
+    for b in blocks:
+        for e in b.element.path():  # from the inside out: of equal sizes the outermost
+            if e.content and (marked is None or e.size >= marked.size):
+                marked = e
+    if marked is not None:
+        for e in marked.path():
+            e.holds_content = True
+    elif total:
+        for b in blocks:
+            for e in b.element.path():
+                e.holds_content = e.size >= WRAPPER * total
+
+
+def parts(block: Block) -> list[float]:
+    """Features of the markup around a block: in a layout part, in a heading outside the content, in a notice, form, comment or
+    the like. What holds the content is none of them."""
+    layout = heading = strong = False
     for e in block.element.path():
-        around = (e.layout or (e.heading and not _in_content(e))) and not e.holds_content
-        if e.strong or around:
-            score = HINT_BOILERPLATE
-        inside |= e.content
-    if score < 0:
-        return score
-    return HINT_CONTENT if inside else HINT_OUTSIDE if marked else 0.0
+        if not e.holds_content:
+            layout |= e.layout
+            heading |= e.heading and not _in_content(e)
+            strong |= e.strong
+        elif e.content:
+            strong |= e.strong
+    return [float(layout), float(heading), float(strong)]
+
+
+def _is_marked(blocks: list[Block]) -> bool:
+    return any(e.content for b in blocks for e in b.element.path() if e.parent is not None)
 
 
 def _in_content(e: Element) -> bool:
@@ -218,19 +251,22 @@ def shape(block: Block) -> list[float]:
     ]
 
 
-# Weights of a text's shape where no sample can be learned from.
-PRIOR = np.array([-0.6, 0.8, -4.0, 1.0, 0.8, -1.5, -1.0, -0.5])
+# Weights of the shape and part features where no sample can be learned from.
+PRIOR = np.array([-0.6, 0.8, -4.0, 1.0, 0.8, -1.5, -1.0, -0.5, -4.0, -4.0, -5.0])
+_SHAPES = 8
 
 
 def learn(pages: list[str], rounds: int = 12, ridge: float = 2.0) -> np.ndarray:
-    """Weights of the shape features by ridge logistic regression (towards ``PRIOR``) on pages that mark their content."""
+    """Weights of the features by ridge logistic regression (towards ``PRIOR``) on pages that mark their content; a block is
+    content if it is inside and in no other part."""
     xs, ys = [], []
     for page in pages:
         blocks = blocks_of(page)
-        marked = any(e.content for b in blocks for e in b.element.path())
-        if marked:
-            xs += [shape(b) for b in blocks]
-            ys += [hints(b, True) > 0 for b in blocks]
+        if _is_marked(blocks):
+            for b in blocks:
+                part = parts(b)
+                xs.append(shape(b) + part)
+                ys.append(_in_content(b.element) and not any(part))
     if not xs or all(ys) or not any(ys):
         return PRIOR
     x, y, w = np.array(xs), np.array(ys, float), PRIOR.copy()
@@ -238,14 +274,23 @@ def learn(pages: list[str], rounds: int = 12, ridge: float = 2.0) -> np.ndarray:
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - y) + ridge * (w - PRIOR)
         w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), g)
+    w[_SHAPES:] = np.clip(w[_SHAPES:], *PART_RANGE)
     return w
 
 
+def costs(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
+    """What it costs to call each block boilerplate (or, negative, content)."""
+    marked = _is_marked(blocks)
+    looks = np.clip(np.array([shape(b) for b in blocks]) @ weights[:_SHAPES], -SHAPE_LIMIT, SHAPE_LIMIT)
+    part = np.array([parts(b) for b in blocks])
+    around = (part * weights[_SHAPES:]).min(axis=1)
+    mark = np.array([0.0 if not marked or p.any() else INSIDE if _in_content(b.element) else OUTSIDE for b, p in zip(blocks, part)])
+    return looks + around + mark
+
+
 def graph(blocks: list[Block], weights: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
-    """(score per block, edges with capacities)."""
-    marked = any(e.content for b in blocks for e in b.element.path() if e.parent is not None)
-    looks = np.clip(np.array([shape(b) for b in blocks]) @ weights, -SHAPE_LIMIT, SHAPE_LIMIT)
-    score = looks + np.array([hints(b, marked) for b in blocks])
+    """(cost per block, edges with capacities)."""
+    score = costs(blocks, weights)
     edges = []
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):

@@ -57,6 +57,41 @@ def test_layouts(name):
     assert html_extract.extract(LAYOUTS[name]).split("\n") == PROSE
 
 
+NAMED = f"<article><h1>Title of it</h1>{BODY}</article>"
+WRAPPED = {
+    "form": f"<body><form action=x><nav><a href=/>Home</a></nav>{NAMED}<footer>&copy; 2020 Site</footer></form></body>",
+    "state of comments": f"<body><div class='page comments-open'><div id=nav-main><a href=/>Home</a></div>{NAMED}</div></body>",
+    "state of notices": f"<body><div class='site has-cookie-notice no-sidebar'>{NAMED}<div class='cookie-notice'>We use cookies on this site, as you know.</div></div></body>",
+    "state of the article": NAMED.replace("<article>", "<article class='post related-none'>"),
+    "teasers aside": f"{NAMED}<aside><article><h2>Another piece</h2><p>This is a piece that you may like, too.</p></article></aside>",
+    "dialog around all": f"<div role=dialog class=modal>{NAMED}</div>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_what_holds_the_content_is_no_boilerplate(name):
+    assert html_extract.extract(WRAPPED[name]).split("\n") == ["Title of it", *PROSE]
+
+
+@pytest.mark.parametrize("wrap", ["<form>{}</form>", "<div class='modal'>{}</div>", "<div id=sidebar-page>{}</div>", "<div>{}</div>"])
+def test_a_wrapper_of_a_page_without_marks(wrap):
+    links = "<ul><li><a href=/>Home</a><li><a href=/a>News of the day</a><li><a href=/b>Mail</a></ul>"
+    page = "<body>" + wrap.format(links + "<div>" + BODY + "</div><div><a href=/>Back</a> | <a href=/x>Top</a></div>") + "</body>"
+    assert html_extract.extract(page).split("\n") == PROSE
+
+
+def test_the_cut_mends_what_the_costs_alone_get_wrong():
+    """Pages without marks: a short line among paragraphs is content, a sentence among links is not."""
+    long = "The river rose for three days, and nobody in the village had seen it so high; the bridge was closed to all."
+    page = f"<div><p>{long}</p><p>By Ann, 4 | 5</p><p>{long}</p><p>{long}</p></div>" \
+           "<ul><li><a href=/1>One</a><li><a href=/2>Two</a><li>See all of our news, and that of last week.<li><a href=/3>Three</a><li><a href=/4>Four</a></ul>"
+    blocks = html_extract.blocks_of(page)
+    score, edges = html_extract.graph(blocks, html_extract.PRIOR)
+    alone, cut = [bool(s > 0) for s in score], html_extract.minimum_cut(score, edges)
+    want = [True] * 4 + [False] * 5
+    assert cut == want and alone != want and sum(a != w for a, w in zip(alone, want)) >= 2
+
+
 def test_white_space_and_references():
     page = "<article><h1>A&nbsp;&lt;b&gt;\n\n title</h1><p> one<br>two<b>three</b>\t four &amp;amp; &eacute;&#x41;</p><p> </p></article>"
     assert html_extract.extract(page) == "A <b> title\none twothree four &amp; éA"
