@@ -25,6 +25,8 @@ PLAN_MODULES = (
     "furrow.plans.jobs_rotation",
     "furrow.plans.jobs_events",
     "furrow.plans.jobs_people",
+    "furrow.plans.jobs_packing",
+    "furrow.plans.jobs_checks",
 )
 
 _loaded = False
