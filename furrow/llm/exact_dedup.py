@@ -1,18 +1,20 @@
 """Exact duplicates by a Golomb-coded fingerprint exchange.
 
-1. Each partition fingerprints its normalised texts (64 bits), sorts the fingerprints and sends each *owner* (an equal
-   share of the hash range) its part as Rice-coded gaps, the Golomb code for a power of two.
+1. Each partition fingerprints its normalised texts (64 bits), sorts the different fingerprints and sends each *owner* (an
+   equal share of the hash range) its part as Rice-coded gaps, the Golomb code for a power of two, with a bit for each that
+   tells whether the sender has it more than once.
 2. An owner merges what the senders sent it, finds the fingerprints that occur more than once over all senders, and
    returns to each sender a bitmap over the order in which it sent them.
 3. A sender's suspects are the documents whose bit is set. The sender reads its partition again, lets only suspects
-   through, and only their texts are shuffled: each is compared byte by byte with the text of the smallest doc_id of its
-   fingerprint. Equal ones form the group; should two texts share a fingerprint, the members of that fingerprint are
-   grouped by their whole text. If the partitions of the second reading are not those of the first (a changed
+   through, and only their texts are compared byte by byte: the least and the greatest text of each fingerprint, found
+   per task before the shuffle. If they are equal, all of its texts are, and they form the group; should two texts share a
+   fingerprint, the members of that fingerprint are grouped by their whole text. If the partitions of the second reading are not those of the first (a changed
    layout), fewer suspects come through than were flagged; then a semi join on the fingerprint finds them.
 
-A group of copies is never gathered: representatives come from a partial aggregate over (fingerprint, id), the
-comparison is a join that splits skewed keys. Owners get a bounded number of fingerprints: there are as many owners as
-``OWNER_FINGERPRINTS`` asks for.
+A group of copies is never gathered: a sender sends a fingerprint once however many copies it has, texts and smallest ids
+are compared by partial aggregates, and a group's rows meet its one summary row in a join whose sides are written, so
+that it is broadcast or its large keys are split. Owners get a bounded number of fingerprints: there are as many
+owners as ``OWNER_FINGERPRINTS`` asks for, and a task ranks the rows of one sender or a few.
 
 Cases: null counts as empty; empty texts equal each other; of equal texts the row with the smallest doc_id stays
 (a null id only if there is no other); repeated rows with the same id: one of them is kept (``kept``), the other shares
@@ -72,7 +74,8 @@ def rice_decode(code: bytes, k: int, n: int) -> np.ndarray:
 
 
 def _sort_and_rank(owners: int):
-    """Rows in order of sender and fingerprint, with owner and rank among those the sender sends to the owner."""
+    """Rows in order of sender and fingerprint, with owner, rank among the sender's rows for that owner, and place of the
+    fingerprint among the different ones that it sends there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -85,8 +88,10 @@ def _sort_and_rank(owners: int):
         place = np.arange(len(fp))
         new = np.r_[True, (np.diff(owner) != 0) | (np.diff(sender[order]) != 0)]
         rank = place - np.maximum.accumulate(np.where(new, place, 0))
+        other = np.cumsum(new | np.r_[True, fp[order][1:] != fp[order][:-1]])
+        at = other - np.maximum.accumulate(np.where(new, other, 0))
         t = t.take(pa.array(order))
-        for name, col in (("owner", owner), ("rank", rank)):
+        for name, col in (("owner", owner), ("rank", rank), ("place", at)):
             t = t.append_column(name, pa.array(col, pa.int64()))
         yield from t.to_batches(max_chunksize=20_000)
 
@@ -94,7 +99,8 @@ def _sort_and_rank(owners: int):
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One coded list per (sender, owner) from the ranked rows."""
+    """One coded list of different fingerprints per (sender, owner) from the ranked rows, with the bits of those that occur
+    more than once there."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
@@ -104,18 +110,20 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(sender) != 0)) + 1
     rows = []
     for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(fp)]):
-        k, code = rice_encode(fp[lo:hi])
-        rows.append((int(sender[lo]), int(owner[lo]), int(hi - lo), k, code))
+        different, times = np.unique(fp[lo:hi], return_counts=True)
+        k, code = rice_encode(different)
+        rows.append((int(sender[lo]), int(owner[lo]), len(different), k, code, np.packbits(times > 1, bitorder="little").tobytes()))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(c, ty) for c, ty in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-        names=["sender", "owner", "n", "k", "code"])
+        [pa.array(c, ty) for c, ty in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+        names=["sender", "owner", "n", "k", "code", "multiple"])
 
 
 def _find(sent: pd.DataFrame) -> pd.DataFrame:
     """An owner's answer: for each sender the bitmap of the fingerprints that occur more than once."""
     lists = [rice_decode(c, k, n) for c, k, n in zip(sent["code"], sent["k"], sent["n"])]
     every = np.sort(np.concatenate(lists))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    several = [v[np.unpackbits(np.frombuffer(m, np.uint8), count=len(v), bitorder="little").astype(bool)] for v, m in zip(lists, sent["multiple"])]
+    twice = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *several]))
     maps = []
     for values in lists:
         at = np.searchsorted(twice, values)
@@ -134,12 +142,13 @@ def fingerprint_rows(src: DataFrame) -> DataFrame:
     first = written(rows, "fingerprints")
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-first.count() // OWNER_FINGERPRINTS))
     ensure_checkpoint_dir(spark)
-    ranked = first.repartition("sender").mapInArrow(
-        _sort_and_rank(owners), "doc_id long, fp long, sha binary, sender long, owner long, rank long").checkpoint()
-    sent = ranked.select("sender", "owner", "fp").mapInArrow(_send, "sender long, owner long, n long, k int, code binary")
+    senders = (first.agg(F.max("sender")).first()[0] or 0) + 1
+    ranked = first.repartition(senders, "sender").mapInArrow(
+        _sort_and_rank(owners), "doc_id long, fp long, sha binary, sender long, owner long, rank long, place long").checkpoint()
+    sent = ranked.select("sender", "owner", "fp").mapInArrow(_send, "sender long, owner long, n long, k int, code binary, multiple binary")
     maps = sent.groupBy("owner").applyInPandas(_find, "sender long, owner long, bitmap binary").where("bitmap IS NOT NULL")
-    byte = F.conv(F.hex(F.substring("bitmap", F.shiftright("rank", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.getbit(byte, F.pmod("rank", F.lit(8)).cast("int"))
+    byte = F.conv(F.hex(F.substring("bitmap", F.shiftright("place", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, F.pmod("place", F.lit(8)).cast("int"))
     return ranked.join(maps, ["sender", "owner"], "left").select(
         "doc_id", "fp", "sha", "sender", "rank", F.coalesce(bit == 1, F.lit(False)).alias("suspect"))
 
@@ -180,14 +189,13 @@ def exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id"
     flagged = rows.where("suspect")
     texts = suspect_texts(src, flagged)
 
-    # byte verification against the text of the smallest id
-    by_id = F.struct(F.col("doc_id").isNull(), "doc_id", "norm")
-    model = texts.groupBy("fp").agg(F.min_by("norm", by_id).alias("model"))
-    split = written(texts.join(model, "fp").where(F.col("norm") != F.col("model")).select("fp").distinct(), "split")
+    # byte verification: all texts of a fingerprint are equal if the least and the greatest are
+    split = written(texts.groupBy("fp").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest"))
+                    .where(F.col("least") != F.col("greatest")).select("fp"), "split")
 
-    groups = flagged.groupBy("fp").agg(
+    groups = written(flagged.groupBy("fp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sender", "rank")).alias("k"),
-        F.count("*").alias("group_size"))
+        F.count("*").alias("group_size")), "groups")
     is_first = (F.col("sender") == F.col("k.sender")) & (F.col("rank") == F.col("k.rank"))
     same = flagged.join(split, "fp", "left_anti").join(groups, "fp").select(
         "doc_id", F.col("k.doc_id").alias("keep_id"), "group_size", is_first.alias("kept"), "sha")
