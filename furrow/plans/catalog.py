@@ -27,6 +27,7 @@ PLAN_MODULES = (
     "furrow.plans.jobs_people",
     "furrow.plans.jobs_packing",
     "furrow.plans.jobs_checks",
+    "furrow.plans.jobs_field_tables",
 )
 
 _loaded = False
