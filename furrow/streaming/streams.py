@@ -97,50 +97,69 @@ def stream_next_interval(sdf: DataFrame, key: str, ts: str, value: str, delay: s
 
 
 def _terminate_state(keep_us: int):
-    """Per trial: failures wait until the watermark has passed them, so that no earlier one can come any more; the first is
-    then emitted, and those within ``keep_us`` after it are of the same trial. What waits is the earliest one ahead of
-    the watermark and those that may belong to a later trial; what stays of an ended trial is its end, until the watermark
-    has passed the time in which its failures can come."""
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        end, times, reasons = state.get if state.exists else (None, (), ())
-        waiting = set(zip(times, reasons))
-        mark = state.getCurrentWatermarkMs() * 1000
+    """The trials of a lane. Failures wait until the watermark has passed them, so that no earlier one can come any more; the
+    first of a trial is then emitted, and those within ``keep_us`` after it are of the same trial. What waits is a trial's
+    earliest failure ahead of the watermark and those that may belong to a later trial; what stays of an ended trial is its
+    end, until the watermark has passed the time in which its failures can come."""
+    def order(failure):
+        return failure[0], failure[1] or ""
+
+    def step(_, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        ended_trials, ends, trials, times, reasons = state.get if state.exists else ((),) * 5
+        end = dict(zip(ended_trials, ends))
+        waiting: dict = {}
+        for k, t, why in zip(trials, times, reasons):
+            waiting.setdefault(k, set()).add((t, why))
         for p in pdfs:
-            waiting.update(zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(), p["reason"]))
-        out = []
-        for t, why in sorted(waiting, key=lambda w: (w[0], w[1] or "")):
-            if t <= mark and (end is None or t > end + keep_us):
-                out.append((key[0], t, why))
-                end = t
-        left = sorted(((t, w) for t, w in waiting if t > mark and (end is None or t > end + keep_us)), key=lambda w: (w[0], w[1] or ""))
-        left = left[:1] + [x for x in left[1:] if x[0] > mark + keep_us]
+            keys = [None if pd.isna(k) else int(k) for k in p["trial"]]
+            for k, t, why in zip(keys, p["ts"].astype("datetime64[us]").astype("int64").tolist(), p["reason"]):
+                waiting.setdefault(k, set()).add((t, why))
+        mark = state.getCurrentWatermarkMs() * 1000
+        out, left = [], []
+        for k, failures in waiting.items():
+            last = end.get(k)
+            ahead = []
+            for t, why in sorted(failures, key=order):
+                if last is not None and t <= last + keep_us:
+                    continue
+                if t <= mark:
+                    out.append((k, t, why))
+                    last = t
+                else:
+                    ahead.append((k, t, why))
+            if last is not None:
+                end[k] = last
+            left += ahead[:1] + [x for x in ahead[1:] if x[1] > mark + keep_us]
         if out:
-            yield pd.DataFrame({"trial": [x[0] for x in out], "terminated_at": pd.to_datetime([x[1] for x in out], unit="us"),
+            yield pd.DataFrame({"trial": pd.array([x[0] for x in out], "Int64"), "terminated_at": pd.to_datetime([x[1] for x in out], unit="us"),
                                 "termination_reason": [x[2] for x in out]})
-        if end is not None and end + keep_us <= mark:
-            end = None
-        if end is None and not left:
+        end = {k: t for k, t in end.items() if t + keep_us > mark}
+        if not end and not left:
             if state.exists:
                 state.remove()
             return
-        state.update((end, [t for t, _ in left], [w for _, w in left]))
-        state.setTimeoutTimestamp(max(min([t for t, _ in left[:1]] + ([end + keep_us] if end is not None else [])), mark) // 1000 + 1)
+        state.update((list(end), list(end.values()), *([x[i] for x in left] for i in range(3))))
+        state.setTimeoutTimestamp(max(min([x[1] for x in left] + [t + keep_us for t in end.values()]), mark) // 1000 + 1)
     return step
 
 
-def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, keep: pd.Timedelta, delay: str = LOOKBACK) -> DataFrame:
+def stream_terminate(sdf: DataFrame, trial: str, ts: str, failed, reason, keep: pd.Timedelta, delay: str = LOOKBACK,
+                     lanes: int = 256) -> DataFrame:
     """First failing observation per trial: one row (trial, terminated_at,
     termination_reason), emitted when the watermark has passed it (of equal
     times the least reason). Failures that come out of order within ``delay``
     count; later failures of an ended trial are ignored for ``keep`` after its
     end, the longest that a trial goes on, and then the trial's state is
-    dropped. ``trial`` is a long."""
+    dropped. ``trial`` is a long. Trials share ``lanes`` state entries, so that a
+    micro-batch makes few Python calls; an entry holds the open and lately
+    ended trials of its lane."""
     ship_package(sdf.sparkSession)
     x = sdf.where(failed).select(F.col(trial).alias("trial"), F.col(ts).alias("ts"), reason.alias("reason")).withWatermark("ts", delay)
-    return x.groupBy("trial").applyInPandasWithState(
+    return x.withColumn("_lane", F.pmod(F.xxhash64("trial"), F.lit(lanes))).groupBy("_lane").applyInPandasWithState(
         _terminate_state(int(keep / pd.Timedelta(microseconds=1))),
         outputStructType="trial long, terminated_at timestamp, termination_reason string",
-        stateStructType="ended long, ts array<long>, reason array<string>", outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
+        stateStructType="ended_trial array<long>, ended array<long>, trial array<long>, ts array<long>, reason array<string>",
+        outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_route_late(sdf: DataFrame, ts: str, delay: str = LOOKBACK, late: str = "is_late", lanes: int = 64) -> DataFrame:

@@ -27,9 +27,9 @@ def landed(spark, polls, schema, name):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def ended(spark, polls, keep=48):
+def ended(spark, polls, keep=48, lanes=8):
     s = landed(spark, polls, OBS, "trials")
-    out = streams.stream_terminate(s, "trial", "ts", F.col("bad"), F.col("why"), keep=pd.Timedelta(hours=keep))
+    out = streams.stream_terminate(s, "trial", "ts", F.col("bad"), F.col("why"), keep=pd.Timedelta(hours=keep), lanes=lanes)
     run = scratch_path(spark, f"trials-{random.random()}")
     q = out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -54,7 +54,7 @@ def test_a_trial_ends_once(spark):
 
 def test_state_of_ended_trials_is_dropped(spark):
     polls = [[(i, at(i % 7), True, "x") for i in range(200)], [(500, at(100), True, "x")], [(501, at(300), True, "x")]]
-    got, q = ended(spark, polls)
+    got, q = ended(spark, polls, lanes=1 << 20)
     assert len(got) == 201
     sizes = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
     assert max(sizes) >= 200 and sizes[-1] <= 2  # those that are still open
