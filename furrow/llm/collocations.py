@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from furrow.llm.common import ship, written
+from furrow.llm.common import read_shared, shared_folder, ship, written
 
 MAX_WORDS = 4
 MIN_COUNT = 30
@@ -366,41 +366,68 @@ def _sum_codes(min_count: int, answer: bool):
     return run
 
 
-def _known(replies: pa.StructArray, key: str, offsets: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the shard, their numbers in the corpus) from the owners' answers."""
-    owner, keys, no = (replies.field(i).to_pylist() for i in range(3))
-    numbers = [unpack(n, np.int64) + offsets[o] for o, n in zip(owner, no)]
-    return np.concatenate([unpack_sorted(k) for k in keys]), np.concatenate(numbers)
+class _Answers:
+    """Inside a task: what the owners answered to the shards, read for one origin at a time."""
 
+    def __init__(self, folder: str, offsets: dict[int, int]):
+        self.folder, self.offsets, self.origin, self.rows = folder, offsets, None, {}
 
-def _send_pairs(offsets: dict[int, int], n_words: int, owners: int):
-    """First the shard's sequence over its frequent words (owner -1), then its pairs for each owner."""
+    def of(self, shard: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """(keys of the shard, their numbers in the corpus); None without any."""
+        if shard >> 32 != self.origin:
+            self.origin, self.rows = shard >> 32, {}
+            table = read_shared(f"{self.folder}/origin={self.origin}")
+            for r in table.to_pylist() if table is not None else ():
+                self.rows.setdefault(r["shard"], []).append(r)
+        mine = self.rows.get(shard)
+        if not mine:
+            return None
+        return (np.concatenate([unpack_sorted(r["key"]) for r in mine]),
+                np.concatenate([unpack(r["no"], np.int64) + self.offsets[r["owner"]] for r in mine]))
+
+
+def _frequent(data: bytes, known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's sequence over its frequent words, numbered 1.. in order of their ids in the corpus, and those ids."""
+    local, ids = known
+    order = np.argsort(ids)
+    local, ids = local[order], ids[order]
+    seq = unpack(data, np.int32)
+    to = np.zeros(int(max(seq.max(), local.max())) + 1, np.int64)
+    to[local] = np.arange(1, len(local) + 1)
+    return only(seq, to), ids
+
+
+def _send_pairs(folder: str, offsets: dict[int, int], n_words: int, owners: int):
+    """The pairs of each shard for each owner."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Answers(folder, offsets)
         for batch in batches:
             for i in range(batch.num_rows):
-                local, ids = _known(batch.column(2)[i].values, "local", offsets)
-                order = np.argsort(ids)
-                local, ids = local[order], ids[order]
-                seq = unpack(batch.column(1)[i].as_py(), np.int32)
-                to = np.zeros(int(max(seq.max(), local.max())) + 1, np.int64)
-                to[local] = np.arange(1, len(local) + 1)
-                seq = only(seq, to)
                 shard = batch.column(0)[i].as_py()
+                known = words.of(shard)
+                if known is None:
+                    continue
+                seq, ids = _frequent(batch.column(1)[i].as_py(), known)
                 a, b, count = pairs_of(Index(seq, len(ids), 2))
-                rows = [(-1, pack(seq.astype(np.int32)), pack_sorted(ids)), *_blocks(ids[a - 1] * n_words + ids[b - 1], count, owners)]
+                rows = list(_blocks(ids[a - 1] * n_words + ids[b - 1], count, owners))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64()),
                      *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], names=["owner", "shard", "codes", "counts"])
     return run
 
 
-def _send_longer(offsets: dict[int, int], n_words: int, n_pairs: int, owners: int, longest: int):
+def _send_longer(of_words: tuple[str, dict[int, int]], of_pairs: tuple[str, dict[int, int]], n_words: int, n_pairs: int, owners: int, longest: int):
     """The phrases of 3 words for the first ``owners``, those of 4 for the second."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_known, pairs_known = _Answers(*of_words), _Answers(*of_pairs)
         for batch in batches:
             for i in range(batch.num_rows):
-                seq, ids = unpack(batch.column(1)[i].as_py(), np.int32).astype(np.int64), unpack_sorted(batch.column(2)[i].as_py())
-                codes, numbers = _known(batch.column(3)[i].values, "codes", offsets)
+                shard = batch.column(0)[i].as_py()
+                known = pairs_known.of(shard)
+                if known is None:
+                    continue
+                codes, numbers = known
+                seq, ids = _frequent(batch.column(1)[i].as_py(), words_known.of(shard))
                 pair = (np.searchsorted(ids, codes // n_words) + 1) * (len(ids) + 1) + np.searchsorted(ids, codes % n_words) + 1
                 order = np.argsort(pair)
                 pair, numbers = pair[order], numbers[order]
@@ -417,7 +444,7 @@ def _send_longer(offsets: dict[int, int], n_words: int, n_pairs: int, owners: in
                     code = head * n_words + ids[words[:, 2] - 1] if three else head * n_pairs + number(words[:, 2], words[:, 3])
                     rows = list(_blocks(code, count, owners, 0 if three else owners))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[0] for r in rows], pa.int32()), pa.array([batch.column(0)[i].as_py()] * len(rows), pa.int64()),
+                        [pa.array([r[0] for r in rows], pa.int32()), pa.array([shard] * len(rows), pa.int64()),
                          *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], names=["owner", "shard", "codes", "counts"])
     return run
 
@@ -436,9 +463,13 @@ def _numbered(found: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
     return found.join(starts, "owner").withColumn("id", F.col("start") + F.col("number")).drop("start", "number"), offsets, n
 
 
-def _answers(found: DataFrame, key: str) -> DataFrame:
-    """What the owners answer to each shard: bounded by the shard's words or pairs."""
-    return found.where(F.col("shard").isNotNull()).groupBy("shard").agg(F.collect_list(F.struct("owner", key, "no")).alias("known"))
+def _answers(found: DataFrame, key: str) -> str:
+    """Folder of what the owners answer to the shards, by the task that the shards are of: so the sequences stay where they are,
+    and a task reads the answers to the shards that it comes by. They are bounded by the shards' words or pairs."""
+    folder = shared_folder(found.sparkSession, "phrase-answers")
+    rows = found.where(F.col("shard").isNotNull()).select("shard", "owner", F.col(key).alias("key"), "no", F.shiftright("shard", 32).alias("origin"))
+    rows.repartition("origin").write.partitionBy("origin").parquet(folder)
+    return folder
 
 
 def _big(c: str) -> Column:
@@ -456,23 +487,22 @@ def counts(docs: DataFrame, min_count: int, max_words: int, text: str, lang: str
         .agg(F.sum("x.totals").alias("n"))
     size = parts.agg(F.sum("n_words").alias("words"), F.sum("n_seq").alias("seq")).first()
     owners = [max(1, -(-(x or 0) // per)) for x, per in zip(size, (max(1, owner_keys // 2), owner_keys))]
-
     sent = parts.select("shard", "words", "counts").mapInArrow(
         _send_words(owners[0]), "owner int, shard long, words binary, local binary, counts binary")
-    summed = written(sent.groupBy("owner").applyInArrow(_sum_words(min_count), _WORDS), "phrase-words")
-    words, starts, n_words = _numbered(summed.where(F.col("f").isNotNull()).select("owner", "number", "lang", "text", "f"))
+    summed = written(sent.repartition(owners[0], "owner").groupBy("owner").applyInArrow(_sum_words(min_count), _WORDS), "phrase-words")
+    words, word_starts, n_words = _numbered(summed.where(F.col("f").isNotNull()).select("owner", "number", "lang", "text", "f"))
     block = "owner int, shard long, codes binary, counts binary"
-    sent = written(parts.select("shard", "seq").join(_answers(summed, "local"), "shard").mapInArrow(
-        _send_pairs(starts, n_words, owners[1]), block), "phrase-pairs")
-    summed = written(sent.where(F.col("owner") >= 0).groupBy("owner").applyInArrow(_sum_codes(min_count, True), _CODES), "phrase-two")
+    of_words = _answers(summed, "local"), word_starts
+    sent = parts.select("shard", "seq").mapInArrow(_send_pairs(*of_words, n_words, owners[1]), block)
+    summed = written(sent.repartition(owners[1], "owner").groupBy("owner").applyInArrow(_sum_codes(min_count, True), _CODES), "phrase-two")
     two, starts, n_pairs = _numbered(summed.where(F.col("f").isNotNull()).select("owner", "number", "code", "f"))
     two = two.select("id", F.expr(f"code div {max(n_words, 1)}").alias("a"), F.expr(f"code % {max(n_words, 1)}").alias("b"), "f")
     phrases = two.select(F.array("a", "b").alias("words"), "f")
     if max_words > 2:
-        kept = sent.where(F.col("owner") < 0).select("shard", F.col("codes").alias("seq"), F.col("counts").alias("ids"))
-        sent = kept.join(_answers(summed, "codes"), "shard").mapInArrow(
-            _send_longer(starts, n_words, n_pairs, owners[1], max_words), block)
-        more = written(sent.groupBy("owner").applyInArrow(_sum_codes(min_count, False), _CODES).select("owner", "code", "f"), "phrase-more")
+        of_pairs = _answers(summed, "codes"), starts
+        sent = parts.select("shard", "seq").mapInArrow(_send_longer(of_words, of_pairs, n_words, n_pairs, owners[1], max_words), block)
+        more = written(sent.repartition(2 * owners[1], "owner").groupBy("owner").applyInArrow(_sum_codes(min_count, False), _CODES)
+                       .select("owner", "code", "f"), "phrase-more")
         head = two.select(F.col("id").alias("p"), "a", "b")
         tail = two.select(F.col("id").alias("q"), F.col("a").alias("c"), F.col("b").alias("d"))
         three = more.where(F.col("owner") < owners[1]).select(

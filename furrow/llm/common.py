@@ -44,11 +44,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"furrow-{name}-{uuid.uuid4().hex}")
 
 
-def read_shared(folder: str) -> pa.Table:
-    """Inside a task: the Parquet files of a folder below the shared one."""
+def read_shared(folder: str) -> pa.Table | None:
+    """Inside a task: the Parquet files of a folder below the shared one; None if there are none."""
     system, root = arrow_fs.FileSystem.from_uri(folder) if "://" in folder else (arrow_fs.LocalFileSystem(), folder)
     files = sorted(f.path for f in system.get_file_info(arrow_fs.FileSelector(root, allow_not_found=True)) if f.path.endswith(".parquet"))
-    return pa.concat_tables([parquet.read_table(f, filesystem=system) for f in files])
+    return pa.concat_tables([parquet.read_table(f, filesystem=system, partitioning=None) for f in files]) if files else None
 
 
 def sample_by_hash(df: DataFrame, key: str, n: int) -> list[Row]:
