@@ -20,7 +20,7 @@ HEADLINE = (
     "payroll_by_task", "payroll_employee_comparison", "weekly_schedule", "staffing_per_period", "inventory_summary",
     "spray_restrictions", "light_dose", "pack_day_summary", "invoice_summary", "latest_snapshot", "keep_first",
     "range_join", "asof_next", "group_sum", "alloc_proportional", "payroll_task_comparison", "payroll_secure", "palletize",
-    "lock_preserving_refresh",
+    "lock_preserving_refresh", "price_resolution",
 )
 
 
