@@ -28,6 +28,7 @@ PLAN_MODULES = (
     "furrow.plans.jobs_packing",
     "furrow.plans.jobs_checks",
     "furrow.plans.jobs_field_tables",
+    "furrow.plans.jobs_safety",
 )
 
 _loaded = False
