@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from furrow.functions import arith, codes, lists, parse, text
 from furrow.plans.registry import register
+from furrow.session import spread
 from furrow.sources.tables import Tables
 
 
@@ -238,13 +239,15 @@ def q_title_case(spark, d):
     return p.select("p_partkey", text.title_case(s).alias("v"))
 
 
+# Rows of a task that cases names: a small file is one split, and the casing takes far longer than the reading.
+CASED_ROWS = 10_000
 _LABEL = "chr(9) || lower(c_mktsegment) || ' of  gh/12AB-o' || chr(39) || 'neil d' || chr(39) || 'x ' || lower(c_name) || ' of'"
 
 
 @register("proper_case", f"SELECT c_custkey, {proper_case_sql(_LABEL)} AS v FROM customer")
 def q_proper_case(spark, d):
     """Display-name casing with acronyms, part codes, apostrophes and stop words."""
-    c = Tables(spark, d).customer
+    c = spread(Tables(spark, d).customer, "c_custkey", rows=CASED_ROWS)
     s = F.concat(F.lit("\t"), F.lower("c_mktsegment"), F.lit(" of  gh/12AB-o'neil d'x "), F.lower("c_name"), F.lit(" of"))
     return c.select("c_custkey", text.proper_case(s).alias("v"))
 
@@ -254,7 +257,7 @@ _SLUG = "regexp_replace(regexp_replace(lower(trim(c_mktsegment || ' ' || c_name)
 
 @register("slug_to_proper", "SELECT c_custkey, " + proper_case_sql(f"replace({_SLUG}, '_', ' ')") + " AS v FROM customer")
 def q_slug_to_proper(spark, d):
-    c = Tables(spark, d).customer
+    c = spread(Tables(spark, d).customer, "c_custkey", rows=CASED_ROWS)
     return c.select("c_custkey", text.slug_to_proper(text.slug(F.concat_ws(" ", "c_mktsegment", "c_name"))).alias("v"))
 
 
