@@ -13,6 +13,7 @@ from furrow.operators import aggregates as agg
 from furrow.operators import reshape as rs
 from furrow.operators import windows as win
 from furrow.plans.registry import register
+from furrow.session import spread
 from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
@@ -138,7 +139,7 @@ def purchase_docs(t: Tables) -> DataFrame:
         F.when(F.col("l_linenumber") % 3 != 0, F.col("l_linenumber")).alias("LineNum"),
         F.when(F.col("l_linenumber") < 5, F.struct(F.concat(F.lit("acct "), F.col("l_suppkey")).alias("AccountRef"), F.col("l_returnflag").alias("ClassRef"))).alias("AccountDetail"),
         F.when(F.col("l_linenumber").between(5, 6), F.struct(F.concat(F.lit("item "), F.col("l_partkey")).alias("AccountRef"), F.lit(None).cast("string").alias("ClassRef"))).alias("ItemDetail"))
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("Line"))  # the lines of one document
+    lines = spread(t.lineitem, "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("Line"))  # the lines of one document
     o = t.orders.select(F.col("o_orderkey").alias("Id"), F.concat(F.lit("payee "), F.col("o_custkey")).alias("EntityRef"), F.col("o_orderpriority").alias("AccountRef"),
                         (F.col("o_orderstatus") == "F").alias("Credit"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("TxnDate"))
     return o.join(lines, o.Id == lines.l_orderkey, "left").drop("l_orderkey")
