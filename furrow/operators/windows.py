@@ -221,7 +221,8 @@ def value_runs(df: DataFrame, by, number: str, values, span: int = 1000) -> Data
     """Maximal runs of consecutive ``number`` values (unique per ``by``) with
     equal ``values``: by, ``number``_from, ``number``_to, n, values. A number less
     its rank among the rows of equal values is the same all along a run; ranks
-    are counted per ``span`` of numbers, so a long key is spread over tasks."""
+    are counted per ``span`` of numbers, so a long key is spread over tasks. The
+    input is read twice: pass a written table if it is costly."""
     same = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
     ranked = row_number_bucketed(df.withColumn("_same", same), [*by, "_same"], [number], F.floor(F.col(number) / span), out="_rn")
     runs = ranked.groupBy(*by, "_same", (F.col(number) - F.col("_rn")).alias("_run")).agg(

@@ -13,6 +13,7 @@ from furrow.operators import joins as jn
 from furrow.operators import reshape as rs
 from furrow.operators import windows as win
 from furrow.plans.registry import register
+from furrow.session import written_table
 from furrow.sources.tables import Tables
 
 # Variety names of the map, the pair that 'Mixed' stands for, plants that a bag can hold.
@@ -119,7 +120,7 @@ def q_etl_plant_map_changes(spark, d):
     same = F.lit(True)
     for c, p in what.items():
         same = same & F.col(c).eqNullSafe(F.col(p))
-    changed = both.where((F.col("planned") == 1) & ~same).drop("planned")
+    changed = written_table(both.where((F.col("planned") == 1) & ~same).drop("planned"), "plant-map-changes")
     return win.value_runs(changed, ["site_id"], "row_number", [*what, *what.values()])
 
 
