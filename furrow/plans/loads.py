@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from furrow.operators import reshape as rs
 from furrow.operators import rules
 from furrow.plans.registry import register
+from furrow.session import spread
 from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
@@ -261,9 +262,9 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1 FROM lineitem WHERE l_
 def q_upsert_parent_replace_children(spark, d):
     t = Tables(spark, d)
     o = t.orders.select("o_orderkey", "o_orderstatus")
-    kids = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    kids = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "l_orderkey")
     newp = o.where(F.col("o_orderstatus") == "F")
-    newc = t.lineitem.join(newp.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey") \
+    newc = kids.join(newp.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey") \
         .select("l_orderkey", "l_linenumber", (F.col("l_quantity") + 1).alias("l_quantity"))
     _, children = sinks.upsert_parent_replace_children(o, kids, newp, newc, ["o_orderkey"], ["l_orderkey"])
     return children

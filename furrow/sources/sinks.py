@@ -80,8 +80,9 @@ def upsert_parent_replace_children(parents: DataFrame, children: DataFrame, new_
     """Upsert headers; drop every child of a touched header; add the new
     lines. Returns (parents_state, children_state)."""
     p_state = upsert_by_key(parents, new_parents, parent_key)
-    touched = new_parents.select(*[F.col(k).alias(f) for k, f in zip(parent_key, child_fk)]).distinct()
-    kept = children.join(touched, list(child_fk), "left_anti")
+    touched = new_parents.select(*[F.col(k).alias(f) for k, f in zip(parent_key, child_fk)], F.lit(True).alias("_touched"))
+    # a left join, since an anti join would be moved below the caller's partitioning of the children; touched rows go, repeated or not
+    kept = children.join(touched, list(child_fk), "left").where(F.col("_touched").isNull()).select(*children.columns)
     return p_state, kept.unionByName(new_children.select(*children.columns))
 
 
