@@ -79,23 +79,31 @@ def payroll_employees(t: Tables) -> DataFrame:
 
 def _named_rows(raw: DataFrame) -> DataFrame:
     """Rows of a person: blank names and adjustment lines are no payroll lines."""
-    x = raw.withColumn("_name", F.upper(text.strip_all("full_name"))).withColumn("_eid", text.strip_all("employee_id"))
+    x = raw.withColumn("_name", F.upper(text.strip_all("full_name"))).withColumn("_eid", F.coalesce(text.strip_all("employee_id"), F.lit("")))
     return x.where((F.col("_name") != "") & (F.col("_name") != "ADJUSTMENT"))
 
 
-def _with_employee(x: DataFrame, employees: DataFrame) -> DataFrame:
-    """The employee by payroll id, else by name; ids and names are unique among employees (the least id otherwise)."""
+def _employees_of(x: DataFrame, employees: DataFrame) -> DataFrame:
+    """Each different (_name, _eid) of the sheet with its employee _e: by payroll id, else by name; ids and names are unique
+    among employees (the least id otherwise). The many rows without an id are looked up by name only."""
     cols = ["id", "payroll_id", "hr_department_id", "hr_work_authorization_id", "wc", "overtime_threshold"]
     packed = F.struct(*cols)
     by_id = employees.where("payroll_id <> ''").groupBy(F.col("payroll_id").alias("_eid")).agg(F.min(packed).alias("_by_id"))
     by_name = employees.groupBy(F.col("full_name").alias("_name")).agg(F.min(packed).alias("_by_name"))
-    return x.join(by_id, "_eid", "left").join(by_name, "_name", "left").withColumn("_e", F.coalesce("_by_id", "_by_name"))
+    people = x.select("_name", "_eid").distinct()
+    with_id = people.where("_eid <> ''").join(by_id, "_eid", "left").select("_name", "_eid", "_by_id")
+    without = people.where("_eid = ''").select("_name", "_eid", F.lit(None).cast(with_id.schema["_by_id"].dataType).alias("_by_id"))
+    found = with_id.unionByName(without).join(by_name, "_name", "left")
+    return found.select("_name", "_eid", F.coalesce("_by_id", "_by_name").alias("_e"))
 
 
 def etl_payroll(raw: DataFrame, employees: DataFrame, departments=None, authorizations=("H2A", "F", "O")) -> DataFrame:
     """Payroll lines with employee, period, snapshots and every number column; undated lines are left out."""
-    x = _with_employee(_named_rows(raw), employees)
-    x = parse.with_split_period(x, "pay_period", "check_date", out="_p").where(F.col("_p.check_date").isNotNull())
+    named = _named_rows(raw)
+    # the wide rows are shuffled once, by name and id: the rows without an id are not one key
+    people = text.map_distinct(_employees_of(named, employees), "_name", text.proper_case, "employee_name")
+    x = parse.with_split_period(named, "pay_period", "check_date", out="_p").where(F.col("_p.check_date").isNotNull())
+    x = x.join(people, ["_name", "_eid"], "left")
     blank = lambda c: F.when(text.strip_all(c) != "", text.strip_all(c))
     pairs = [F.lit(v) for kv in (departments or DEPARTMENTS).items() for v in kv]
     department = F.try_element_at(F.create_map(*pairs), F.lower(text.strip_all("department")))
@@ -106,7 +114,7 @@ def etl_payroll(raw: DataFrame, employees: DataFrame, departments=None, authoriz
     parsed = F.transform(F.array(*[sheet or out for out, sheet in PAYROLL_NUMBERS.items()]), lambda c: parse.parse_number(c, default=0, dtype="decimal(18,2)"))
     x = x.withColumn("_numbers", parsed)
     numbers = [F.get("_numbers", F.lit(i)).alias(out) for i, out in enumerate(PAYROLL_NUMBERS)]
-    return text.map_distinct(x, "_name", text.proper_case, "employee_name").select(
+    return x.select(
         "row_no", own.alias("hr_employee_id"), F.coalesce(blank("_eid"), F.col("_e.payroll_id"), own).alias("payroll_id"),
         F.col("_p.start").alias("pay_period_start"), F.col("_p.end").alias("pay_period_end"), F.col("_p.check_date").alias("check_date"),
         blank("invoice_number").alias("invoice_number"), F.coalesce(blank("source"), F.lit("HRB")).alias("payroll_processor"),
@@ -121,7 +129,8 @@ def etl_payroll(raw: DataFrame, employees: DataFrame, departments=None, authoriz
 def former_employees(raw: DataFrame, employees: DataFrame, departments=None) -> DataFrame:
     """Inactive employee records for the names that no employee answers to: one per name, from its first row; an id that
     exists already is never overwritten."""
-    x = _with_employee(_named_rows(raw), employees).where("_e IS NULL")
+    named = _named_rows(raw)
+    x = named.join(_employees_of(named, employees), ["_name", "_eid"], "left").where("_e IS NULL")
     pairs = [F.lit(v) for kv in (departments or DEPARTMENTS).items() for v in kv]
     first = win.keep_first(x.select("_name", "_eid", "department", "workers_compensation_code", "source", "row_no"), ["_name"], ["row_no"])
     tail = F.regexp_replace("_name", r"^\S+\s*", "")
