@@ -19,6 +19,7 @@ from furrow.operators import windows as win
 from furrow.operators.rules import flag_out_of_range
 from furrow.plans.cleaning import proper_case_sql
 from furrow.plans.registry import register
+from furrow.session import parts_for, spread
 from furrow.sources import sinks
 from furrow.sources.tables import Tables
 
@@ -199,21 +200,23 @@ def q_etl_payroll_former_employees(spark, d):
 
 
 def raw_schedule(t: Tables) -> DataFrame:
-    li, o = t.lineitem, t.orders
+    li, o = spread(t.lineitem, "l_orderkey"), t.orders
     j = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey)
     task = F.when(F.col("l_returnflag") == "R", "Leave").when(F.col("l_returnflag") == "A", " harvest ").otherwise("PACK")
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("employee"), task.alias("task"),
                     F.col("l_shipdate").cast("date").alias("work_date"), F.col("l_quantity").alias("hours"))
 
 
-def etl_schedule(raw: DataFrame) -> DataFrame:
+def etl_schedule(raw: DataFrame, parts: int | None = None) -> DataFrame:
     """Task names normalised to proper case, leave rows skipped, last row
-    wins per (employee, date, task) in sheet order."""
+    wins per (employee, date, task) in sheet order. ``parts``: partitions
+    for a large sheet, whose rows the aggregate sorts."""
     # skip leave on the raw cell (cheap); a filter on the cased name would be
     # pushed below the distinct and case every row
     x = raw.where(text.slug("task") != "leave")
-    x = text.map_distinct(x, "task", lambda c: text.slug_to_proper(text.slug(c)), "_task")
+    x = text.map_distinct(x, "task", lambda c: text.slug_to_proper(text.slug(c)), "_task", salts=parts or 1)
     x = x.drop("task").withColumnRenamed("_task", "task")
+    x = x.repartition(parts, "employee", "work_date", "task") if parts else x
     return win.keep_last(x.select("employee", "work_date", "task", "hours", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
                          ["employee", "work_date", "task"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]) \
         .select("employee", "work_date", "task", "hours")
@@ -226,7 +229,8 @@ WITH r AS (SELECT o.o_custkey AS employee, CASE l.l_returnflag WHEN 'R' THEN 'Le
 SELECT employee, work_date, task, arg_max(hours, (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS hours
 FROM r WHERE task <> 'Leave' GROUP BY 1, 2, 3""")
 def q_etl_schedule(spark, d):
-    return etl_schedule(raw_schedule(Tables(spark, d)))
+    t = Tables(spark, d)
+    return etl_schedule(raw_schedule(t), parts_for(t.lineitem))
 
 
 @register("etl_tasks_seed", """
