@@ -6,11 +6,13 @@ all-or-nothing buyer-part resolution.
 Palletisation is greedy (fill a pallet to its maximum, top off across pack
 dates), but without special quantities the sequence only depends on the
 running case count: a fulfilment occupying cases [s, s+q) of its group
-lands on pallets floor(s/max) .. floor((s+q-1)/max). The running count is
-a two-level prefix sum (inside a time bucket, plus the totals of earlier
-buckets from a small per-bucket table), so even a group holding a third
-of all rows is spread over many tasks; the fan-out is bounded by the
-pallets a fulfilment spans. Groups with special quantities (a fresh pallet is
+lands on pallets floor(s/max) .. floor((s+q-1)/max). Whole groups are shuffled
+once, by zone (a scope's range of groups), in which they are counted, laid out
+and numbered. In zones too large for one task the running count is a two-level
+prefix sum (inside a time bucket, plus the totals of earlier buckets from a
+small per-bucket table), so even a group holding a third of all rows is spread
+over many tasks; the fan-out is bounded by the pallets a fulfilment spans.
+Groups with special quantities (a fresh pallet is
 force-closed early) are packed line by line; of a large one each pack date is
 a block, and a prefix over the blocks' transitions gives the pallet and the
 cases held with which a block starts, so that its blocks are packed in parallel.
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from furrow.operators._order import window_order
-from furrow.operators.windows import row_number_bucketed
+from furrow import session
 from furrow.session import ship_package, written_table
 
 
@@ -111,7 +113,7 @@ def transition(lines, most: int, split=None) -> tuple[np.ndarray, np.ndarray]:
 
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
               order_tail=(), family: str = "family", number_bucket=None, special: str | None = None, fob: str | None = None,
-              customer: str = "customer", first_index=None, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+              customer: str = "customer", first_index=None, block_rows: int = BLOCK_ROWS, number: bool = True) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).
 
     Rows whose ``fob`` is a local delivery are left out, and so are rows
@@ -125,8 +127,12 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
     'Shareable' otherwise. Shareable pallets are numbered per scope and
     customer ('7_01'), the others per scope and container family ('CP01').
     ``first_index``: column with the first pallet index of the row's group
-    (after pallets that are kept). Rows with equal order columns must be
-    interchangeable. The input is read more than once."""
+    (after pallets that are kept). ``number_bucket`` is a range of the groups
+    that rises with them: all groups of a scope and range are packed and
+    numbered in one task after a single shuffle, unless they have more than
+    ``block_rows`` rows. Without ``number`` pallets get no number. Rows with
+    equal order columns must be interchangeable. The input is read more than
+    once."""
     keys = [*scope, *group]
     order = [pack_date, *order_tail]
     f = fulfilments.where((F.col(qty) > 0) & (F.col(max_cases) >= 1))
@@ -134,35 +140,81 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
         f = f.where(~F.coalesce(F.col(fob).isin(*LOCAL_DELIVERY), F.lit(False)))
     f = f.withColumn("_first", F.lit(0).cast("long") if first_index is None else F.coalesce(F.col(first_index), F.lit(0).cast("long")))
     f = f.withColumn("_bucket", F.date_trunc("month", F.col(pack_date)))
-    by_count = f if special is None else f.where(~F.coalesce(F.col(special), F.lit(False)))
-    r = running_total(by_count, keys, order, qty, "_bucket")
-    slot = F.explode(F.sequence(F.call_function("div", F.col("cum_before"), F.col(max_cases)),
-                                F.call_function("div", F.col("cum_before") + F.col(qty) - 1, F.col(max_cases))))
-    alloc = r.withColumn("pallet_index", slot)
-    lo = F.greatest(F.col("cum_before"), F.col("pallet_index") * F.col(max_cases))
-    hi = F.least(F.col("cum_before") + F.col(qty), (F.col("pallet_index") + 1) * F.col(max_cases))
-    alloc = alloc.withColumn("allocated_quantity", (hi - lo).cast("long")).drop("cum_before")
-    if special is not None:
-        alloc = alloc.unionByName(_packed(f.where(F.col(special)), keys, order, qty, max_cases, block_rows).select(*alloc.columns))
-    alloc = alloc.withColumn("pallet_index", F.col("pallet_index") + F.col("_first")).drop("_bucket", "_first")
-    pallets = alloc.groupBy(*keys, "pallet_index").agg(
-        F.sum("allocated_quantity").alias("cases"), F.max(max_cases).alias("max_cases"), F.max(full_cases).alias("full_cases"),
-        F.max(F.col(stackable).cast("int")).alias("_stack"), F.min(family).alias(family))
-    label = F.when(F.col("cases") >= F.col("full_cases"), "Full").when(F.col("_stack") == 1, "Stackable").otherwise("Shareable")
-    pallets = pallets.withColumn("label", label).drop("_stack")
+    zone = keys
+    if number_bucket is not None:
+        f, zone = f.withColumn("_zone", number_bucket), [*scope, "_zone"]
+    sizes = written_table(f.groupBy(*zone).agg(F.count(F.lit(1)).alias("_rows")), "zones")
+    total, most = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    parts = max(int(f.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // session.ROWS_PER_TASK))
+    large = sizes.where(F.col("_rows") > block_rows).select(*zone)
+    span = F.sequence(F.call_function("div", F.col("cum_before"), F.col(max_cases)),
+                      F.call_function("div", F.col("cum_before") + F.col(qty) - 1, F.col(max_cases)))
+
+    def laid_out(rows: DataFrame, whole: bool) -> DataFrame:
+        """Allocations of zones that are whole in a task, or of large ones."""
+        none = F.lit(None).cast("long")
+        lines = rows if special is None else rows.where(~F.coalesce(F.col(special), F.lit(False)))
+        lines = lines.withColumns({"_at": none, "_took": none})
+        if not whole:
+            lines = running_total(lines, keys, order, qty, "_bucket")
+        if special is not None:
+            if whole:
+                packed = _packed_line_by_line(rows.where(F.col(special)).repartition(parts, *zone), keys, keys, order, qty, max_cases, placed=True)
+            else:
+                packed = _packed(rows.where(F.col(special)), keys, order, qty, max_cases, block_rows)
+            packed = packed.withColumnsRenamed({"pallet_index": "_at", "allocated_quantity": "_took"})
+            lines = lines.unionByName(packed, allowMissingColumns=True)
+        if whole:
+            count = Window.partitionBy(*dict.fromkeys([*zone, *keys])).orderBy(*window_order(order)).rowsBetween(Window.unboundedPreceding, -1)
+            counted = F.coalesce(F.sum(F.when(F.col("_at").isNull(), F.col(qty))).over(count), F.lit(0))
+            lines = lines.repartition(parts, *zone).withColumn("cum_before", counted)
+        at = F.when(F.col("_at").isNull(), span).otherwise(F.array("_at"))
+        out = lines.withColumn("pallet_index", F.explode(at))
+        lo = F.greatest(F.col("cum_before"), F.col("pallet_index") * F.col(max_cases))
+        hi = F.least(F.col("cum_before") + F.col(qty), (F.col("pallet_index") + 1) * F.col(max_cases))
+        out = out.withColumn("allocated_quantity", F.coalesce("_took", (hi - lo).cast("long")))
+        return out.withColumn("pallet_index", F.col("pallet_index") + F.col("_first")).drop("cum_before", "_at", "_took", "_bucket", "_first")
+
+    def pallets_of(alloc: DataFrame) -> DataFrame:
+        pallets = alloc.groupBy(*dict.fromkeys([*zone, *keys]), "pallet_index").agg(
+            F.sum("allocated_quantity").alias("cases"), F.max(max_cases).alias("max_cases"), F.max(full_cases).alias("full_cases"),
+            F.max(F.col(stackable).cast("int")).alias("_stack"), F.min(family).alias(family))
+        label = F.when(F.col("cases") >= F.col("full_cases"), "Full").when(F.col("_stack") == 1, "Stackable").otherwise("Shareable")
+        return pallets.withColumn("label", label).drop("_stack")
+
+    if (most or 0) <= block_rows:
+        alloc = laid_out(f, True)
+        pallets = pallets_of(alloc)
+    else:
+        hot = _same(f, large, zone)
+        runs = [laid_out(f.join(large, hot, "left_anti"), True), laid_out(f.join(large, hot, "left_semi"), False)]
+        alloc = runs[0].unionByName(runs[1])
+        pallets = pallets_of(runs[0]).unionByName(pallets_of(runs[1]))
+    alloc = alloc.drop("_zone")
+    if not number:
+        return pallets.drop("_zone"), alloc
     prefix = F.when(F.col("label") == "Shareable", F.concat(F.col(customer).cast("string"), F.lit("_")))
     for name, short in PALLET_PREFIX.items():
         prefix = prefix.when(F.col(family) == name, short)
     pallets = pallets.withColumn("_prefix", prefix.otherwise(PALLET_PREFIX["box_truck"]))
-    pallets = _numbered(pallets, [*scope, "_prefix"], [*group, "pallet_index"], number_bucket, "_num")
-    number = F.lpad(F.col("_num").cast("string"), F.greatest(F.lit(2), F.length(F.col("_num").cast("string"))), F.lit("0"))
-    return pallets.withColumn("pallet_number", F.concat("_prefix", number)).drop("_num", "_prefix"), alloc
+    pallets = _numbered(pallets, [*scope, "_prefix"], [*group, "pallet_index"], None if number_bucket is None else F.col("_zone"), "_num").drop("_zone")
+    text = F.lpad(F.col("_num").cast("string"), F.greatest(F.lit(2), F.length(F.col("_num").cast("string"))), F.lit("0"))
+    return pallets.withColumn("pallet_number", F.concat("_prefix", text)).drop("_num", "_prefix"), alloc
 
 
 def _numbered(df: DataFrame, by, order, bucket, out: str) -> DataFrame:
-    if bucket is not None:
-        return row_number_bucketed(df, by, order, bucket, out=out)
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*window_order(order))))
+    """Row numbers per ``by``. With ``bucket`` the rows and their numbers inside it are written; the counts of earlier buckets,
+    which are few, are added when they are read."""
+    if bucket is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*window_order(order))))
+    inside = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*window_order(order)))
+    d = written_table(df.withColumn("_b", bucket).withColumn("_in", inside), "numbered")
+    earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy(*by, "_b").agg(F.max("_in").alias("_n"))
+    offsets = counts.select(*by, "_b", F.sum("_n").over(earlier).alias("_before")).where(F.col("_before") > 0)
+    offsets = written_table(offsets, "earlier")  # its measured size decides whether it is broadcast
+    return d.join(offsets, _same(d, offsets, [*by, "_b"]), "left").select(
+        *[d[c] for c in df.columns], (F.col("_in") + F.coalesce("_before", F.lit(0))).alias(out))
 
 
 def _same(left: DataFrame, right: DataFrame, keys):
@@ -236,9 +288,10 @@ def _block_starts(hot: DataFrame, keys, order, qty: str, max_cases: str) -> Data
     return written_table(walked, "block-starts")
 
 
-def _packed_line_by_line(f: DataFrame, block, keys, order, qty: str, max_cases: str, start=None) -> DataFrame:
+def _packed_line_by_line(f: DataFrame, block, keys, order, qty: str, max_cases: str, start=None, placed: bool = False) -> DataFrame:
     """Allocations with special quantities: the rows of a partition stream by in block order (a block is a whole group, or
-    one of its parts with the state to ``start`` from), and only the open pallet is held."""
+    one of its parts with the state to ``start`` from), and only the open pallet is held. ``placed``: each block is in one
+    partition already."""
     ship_package(f.sparkSession)
     names = f.columns
     read = [*block, qty, max_cases, *(start or ())]
@@ -261,7 +314,7 @@ def _packed_line_by_line(f: DataFrame, block, keys, order, qty: str, max_cases:
                                              names=[*names, "pallet_index", "allocated_quantity"])
 
     schema = T.StructType([*f.schema.fields, T.StructField("pallet_index", T.LongType()), T.StructField("allocated_quantity", T.LongType())])
-    return f.repartition(*block).sortWithinPartitions(*block, *window_order(order)).mapInArrow(pack, schema)
+    return (f if placed else f.repartition(*block)).sortWithinPartitions(*block, *window_order(order)).mapInArrow(pack, schema)
 
 
 def stack_spaces(pallets: DataFrame, scope, order, spaces=CONTAINER_SPACES, label: str = "label", family: str = "family",

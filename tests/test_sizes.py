@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from furrow import session
 from furrow.functions import text
+from furrow.operators import sales
 from furrow.plans import catalog, jobs, views
 from tests.conftest import SF_SMALL
 
@@ -99,3 +100,32 @@ def test_casing_is_spread_over_tasks(large, monkeypatch):
     """A small file is one split; 150 customers at 10 a task."""
     monkeypatch.setattr("furrow.plans.cleaning.CASED_ROWS", 10, raising=False)
     assert catalog.queries()["proper_case"](large, SF_SMALL).rdd.getNumPartitions() >= 15
+
+
+def _pallets(spark, **options):
+    lines = spark.range(3000).selectExpr("IF(id % 4 < 3, 'F', 'G') AS farm", "CAST(id % 37 AS INT) AS customer", "CAST(id % 3 AS INT) AS product", "CAST(60 AS BIGINT) AS max_cases",
+                                         "date_add(DATE '2024-01-01', CAST(id % 200 AS INT)) AS pack_date", "id % 130 AS qty", "CAST(50 AS BIGINT) AS full_cases",
+                                         "id % 2 = 0 AS stackable", "IF(id % 3 = 0, 'cucumber', 'lettuce') AS family", "id AS line", "id % 37 % 5 = 0 AS special")
+    return sales.palletize(lines, ["farm"], ["customer", "product"], "pack_date", "qty", "max_cases", "full_cases", "stackable", ["line"],
+                           number_bucket=F.floor(F.col("customer") / 10), **options)
+
+
+def test_lines_are_shuffled_once_into_pallets(large):
+    """Counting and laying out take the lines as one shuffle by zone leaves them; four shuffles before."""
+    _, alloc = _pallets(large)
+    per_pallet = alloc.groupBy("farm", F.floor(F.col("customer") / 10), "customer", "product", "pallet_index").count()
+    assert _plan(alloc).count("Exchange ") == 1 and _plan(per_pallet).count("Exchange ") <= 2
+
+
+@pytest.mark.parametrize("block_rows", [0, 700, 10**6])
+def test_pallets_of_large_zones_are_the_same(spark, block_rows):
+    want, _ = _pallets(spark)
+    got, alloc = _pallets(spark, special="special", block_rows=block_rows)
+    whole, whole_alloc = _pallets(spark, special="special")
+    assert sorted(got.collect()) == sorted(whole.collect()) and sorted(alloc.collect()) == sorted(whole_alloc.collect())
+    assert got.agg(F.sum("cases")).first() == want.agg(F.sum("cases")).first()
+    numbers = {}
+    for r in sorted(got.collect(), key=lambda r: (r.customer, r.product, r.pallet_index)):
+        prefix = f"{r.customer}_" if r.label == "Shareable" else {"cucumber": "CP", "lettuce": "LP"}[r.family]
+        numbers[r.farm, prefix] = numbers.get((r.farm, prefix), 0) + 1
+        assert r.pallet_number == f"{prefix}{numbers[r.farm, prefix]:02d}"
