@@ -113,7 +113,8 @@ def transition(lines, most: int, split=None) -> tuple[np.ndarray, np.ndarray]:
 
 def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, max_cases: str, full_cases: str, stackable: str,
               order_tail=(), family: str = "family", number_bucket=None, special: str | None = None, fob: str | None = None,
-              customer: str = "customer", first_index=None, block_rows: int = BLOCK_ROWS, number: bool = True) -> tuple[DataFrame, DataFrame]:
+              customer: str = "customer", first_index=None, block_rows: int = BLOCK_ROWS, number: bool = True,
+              labels: bool = False) -> tuple[DataFrame, DataFrame]:
     """Expand fulfilments into pallets. Returns (pallets, allocations).
 
     Rows whose ``fob`` is a local delivery are left out, and so are rows
@@ -130,9 +131,9 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
     (after pallets that are kept). ``number_bucket`` is a range of the groups
     that rises with them: all groups of a scope and range are packed and
     numbered in one task after a single shuffle, unless they have more than
-    ``block_rows`` rows. Without ``number`` pallets get no number. Rows with
-    equal order columns must be interchangeable. The input is read more than
-    once."""
+    ``block_rows`` rows. Without ``number`` pallets get no number; with
+    ``labels`` each allocation has the label of its pallet. Rows with equal
+    order columns must be interchangeable. The input is read more than once."""
     keys = [*scope, *group]
     order = [pack_date, *order_tail]
     f = fulfilments.where((F.col(qty) > 0) & (F.col(max_cases) >= 1))
@@ -175,22 +176,27 @@ def palletize(fulfilments: DataFrame, scope, group, pack_date: str, qty: str, ma
         out = out.withColumn("allocated_quantity", F.coalesce("_took", (hi - lo).cast("long")))
         return out.withColumn("pallet_index", F.col("pallet_index") + F.col("_first")).drop("cum_before", "_at", "_took", "_bucket", "_first")
 
+    def label(cases, full, stack):
+        return F.when(cases >= full, "Full").when(stack == 1, "Stackable").otherwise("Shareable")
+
     def pallets_of(alloc: DataFrame) -> DataFrame:
         pallets = alloc.groupBy(*dict.fromkeys([*zone, *keys]), "pallet_index").agg(
             F.sum("allocated_quantity").alias("cases"), F.max(max_cases).alias("max_cases"), F.max(full_cases).alias("full_cases"),
             F.max(F.col(stackable).cast("int")).alias("_stack"), F.min(family).alias(family))
-        label = F.when(F.col("cases") >= F.col("full_cases"), "Full").when(F.col("_stack") == 1, "Stackable").otherwise("Shareable")
-        return pallets.withColumn("label", label).drop("_stack")
+        return pallets.withColumn("label", label(F.col("cases"), F.col("full_cases"), F.col("_stack"))).drop("_stack")
+
+    def with_label(alloc: DataFrame) -> DataFrame:
+        pallet = Window.partitionBy(*dict.fromkeys([*zone, *keys]), "pallet_index")
+        return alloc.withColumn("label", label(F.sum("allocated_quantity").over(pallet), F.max(full_cases).over(pallet),
+                                               F.max(F.col(stackable).cast("int")).over(pallet)))
 
     if (most or 0) <= block_rows:
-        alloc = laid_out(f, True)
-        pallets = pallets_of(alloc)
+        runs = [laid_out(f, True)]
     else:
         hot = _same(f, large, zone)
         runs = [laid_out(f.join(large, hot, "left_anti"), True), laid_out(f.join(large, hot, "left_semi"), False)]
-        alloc = runs[0].unionByName(runs[1])
-        pallets = pallets_of(runs[0]).unionByName(pallets_of(runs[1]))
-    alloc = alloc.drop("_zone")
+    pallets = reduce(DataFrame.unionByName, map(pallets_of, runs))
+    alloc = reduce(DataFrame.unionByName, map(with_label, runs) if labels else runs).drop("_zone")
     if not number:
         return pallets.drop("_zone"), alloc
     prefix = F.when(F.col("label") == "Shareable", F.concat(F.col(customer).cast("string"), F.lit("_")))
@@ -412,10 +418,12 @@ def lock_preserving_refresh(old_pallets: DataFrame, old_alloc: DataFrame, fulfil
     """Pallets after a rebuild: locked ones stay with what they hold; the
     cases of each fulfilment that no locked pallet holds are palletised
     anew by ``rebuild(rest)``, where ``rest`` has ``_first`` (the index after
-    the group's last locked pallet)."""
+    the group's last locked pallet). Allocations may have ``lock`` themselves;
+    else it is looked up."""
     group = list(pallet_keys[:-1])
     locked = old_pallets.where(F.col(lock))
-    held = old_alloc.join(locked.select(*pallet_keys), list(pallet_keys), "left_semi").groupBy(*line_keys).agg(F.sum("allocated_quantity").alias("_held"))
+    kept = old_alloc.where(F.col(lock)) if lock in old_alloc.columns else old_alloc.join(locked.select(*pallet_keys), list(pallet_keys), "left_semi")
+    held = kept.groupBy(*line_keys).agg(F.sum("allocated_quantity").alias("_held"))
     after = locked.groupBy(*group).agg((F.max(pallet_keys[-1]) + 1).alias("_first"))
     rest = fulfilments.join(held, list(line_keys), "left").withColumn(qty, F.col(qty) - F.coalesce("_held", F.lit(0))).drop("_held")
     fresh = rebuild(rest.join(after, group, "left"))

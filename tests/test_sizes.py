@@ -129,3 +129,22 @@ def test_pallets_of_large_zones_are_the_same(spark, block_rows):
         prefix = f"{r.customer}_" if r.label == "Shareable" else {"cucumber": "CP", "lettuce": "LP"}[r.family]
         numbers[r.farm, prefix] = numbers.get((r.farm, prefix), 0) + 1
         assert r.pallet_number == f"{prefix}{numbers[r.farm, prefix]:02d}"
+
+
+def test_locked_allocations_say_so_themselves(spark):
+    """The label of an allocation is that of its pallet, so that a refresh looks nothing up."""
+    line, pallet = ["line"], ["farm", "customer", "product", "pallet_index"]
+    pallets, alloc = _pallets(spark, special="special", labels=True, number=False)
+    key = [F.coalesce(F.col(c), F.lit(-1)) if c != "farm" else F.col(c) for c in pallet]
+    assert sorted(alloc.select(*key, "label").distinct().collect()) == sorted(pallets.select(*key, "label").collect())
+    locked = F.col("label") == "Full"
+    lines = alloc.select("farm", "customer", "product", "line", "qty").distinct()
+
+    def refreshed(old_alloc):
+        return sales.lock_preserving_refresh(pallets.withColumn("is_locked", locked), old_alloc, lines, "is_locked", pallet, line, "qty",
+                                             lambda rest: rest.select("farm", "customer", "product", F.col("line").alias("pallet_index"), "qty", "_first")
+                                             .withColumns({c: F.lit(None) for c in ("cases", "max_cases", "full_cases", "family", "label")})
+                                             .withColumns({"cases": F.col("qty"), "max_cases": F.col("_first")}))
+
+    said, looked_up = refreshed(alloc.withColumn("is_locked", locked)), refreshed(alloc)
+    assert sorted(map(str, said.collect())) == sorted(map(str, looked_up.collect())) and "LeftSemi" in _plan(looked_up) and "LeftSemi" not in _plan(said)
