@@ -29,8 +29,11 @@ def _events_stream(spark, d):
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _stream_of(spark, path, schema):
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _landed(df, arrival, n, name, schema):
+    """``df`` landed as ``n`` polls and streamed, a poll per micro-batch."""
+    files = streams.files_per_poll(df, n)
+    path = streams.land(df, arrival, n, name, files)
+    return df.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _poll():
@@ -42,8 +45,7 @@ def _polled_events(spark, d):
     """The events as polls land them: each poll reads the last three hours of the one before again."""
     ev = Tables(spark, d).events
     again = ev.where(F.hour("ts") >= 21).where(F.dayofmonth("ts") % 5 == 0).where(_poll() < FILES - 1).withColumn("poll", _poll() + 1)
-    path = streams.land(ev.withColumn("poll", _poll()).unionByName(again), F.col("poll"), FILES, "polls")
-    return _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    return _landed(ev.withColumn("poll", _poll()).unionByName(again), F.col("poll"), FILES, "polls", ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @register("stream_ingest_dedup", "SELECT DISTINCT ON (user_id, ts) event_id, user_id, ts FROM events ORDER BY user_id, ts, event_id")
@@ -107,8 +109,8 @@ def q_stream_terminate(spark, d):
     poll = F.floor((seen - F.lit(lo)) / F.lit(hi - lo + 3 * 86400) * FILES).cast("int")
     beat = spark.range(1).select(F.lit(None).cast("long").alias("l_orderkey"), F.lit(0).alias("l_linenumber"), F.lit(1.0).alias("l_discount"),
                                  F.timestamp_seconds(F.lit(hi + 6000 * 86400)).alias("l_shipdate"))
-    path = streams.land(li.withColumn("poll", poll).unionByName(beat.withColumn("poll", F.lit(FILES))), F.col("poll"), FILES + 1, "lines")
-    ended = streams.stream_terminate(_stream_of(spark, path, li.schema), "l_orderkey", "l_shipdate", F.col("l_discount") > 0.08,
+    lines = _landed(li.withColumn("poll", poll).unionByName(beat.withColumn("poll", F.lit(FILES))), F.col("poll"), FILES + 1, "lines", li.schema)
+    ended = streams.stream_terminate(lines, "l_orderkey", "l_shipdate", F.col("l_discount") > 0.08,
                                      F.concat(F.lit("discount on line "), F.col("l_linenumber").cast("string")),
                                      keep=pd.Timedelta(days=2600), delay="10 days")
     out = streams.run_available_now(spark, ended, "terminate")
@@ -127,12 +129,12 @@ def q_stream_upsert_parent_children(spark, d):
     run = scratch_path(spark, f"stream-upsert-{uuid.uuid4().hex[:8]}")
     state = BucketedState(spark, f"{run}/state", orders.schema, lines.schema, ["o_orderkey"], ["l_orderkey"], buckets=16)
     state.seed(orders, lines)
-    path = streams.land(orders.where("o_orderstatus = 'F'"), F.pmod("o_orderkey", F.lit(FILES)), FILES, "orders")
+    finished = _landed(orders.where("o_orderstatus = 'F'"), F.pmod("o_orderkey", F.lit(FILES)), FILES, "orders", orders.schema)
 
     def children_for(batch):
         return lines.join(batch.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").withColumn("l_quantity", F.col("l_quantity") + 1)
 
-    streams.run_foreach_batch(_stream_of(spark, path, orders.schema), streams.upsert_state_handler(state, children_for), f"{run}/ckpt")
+    streams.run_foreach_batch(finished, streams.upsert_state_handler(state, children_for), f"{run}/ckpt")
     return state.read("children")
 
 
@@ -148,8 +150,7 @@ SELECT event_id, ts{flag} FROM landed JOIN marks USING (poll){where}"""
 def _routed(spark, d):
     ev = Tables(spark, d).events.select("event_id", "ts")
     poll = F.least(F.lit(FILES - 1), _poll() + F.when(F.col("event_id") % 23 == 0, 2).otherwise(0))
-    path = streams.land(ev.withColumn("poll", poll), F.col("poll"), FILES, "late")
-    s = _stream_of(spark, path, ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    s = _landed(ev.withColumn("poll", poll), F.col("poll"), FILES, "late", ev.schema).withColumn("ts", F.col("ts").cast("timestamp"))
     return streams.run_available_now(spark, streams.stream_route_late(s, "ts"), "late").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

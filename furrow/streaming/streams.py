@@ -199,12 +199,27 @@ def run_foreach_batch(sdf: DataFrame, handler, checkpoint: str) -> int:
     return max(ids) if ids else -1
 
 
-def land(df: DataFrame, arrival, n: int, name: str) -> str:
-    """Write ``df`` as ``n`` files, one after the other, by the number 0 .. n - 1 in ``arrival``: the folder that a polled
-    source leaves. A stream with one file per trigger takes them in that order."""
-    path = scratch_path(df.sparkSession, f"landed-{name}-{uuid.uuid4().hex[:8]}")
+# Rows of a landed file.
+LANDED_ROWS = 1_000_000
+
+
+def files_per_poll(df: DataFrame, n: int) -> int:
+    """How many files each of ``n`` polls of ``df`` takes, to be written and read in parallel."""
+    return max(1, -(-df.count() // (n * LANDED_ROWS)))
+
+
+def land(df: DataFrame, arrival, n: int, name: str, files: int = 1) -> str:
+    """Write ``df`` as ``n`` polls, one after the other, by the number 0 .. n - 1 in ``arrival``: the folder that a polled
+    source leaves. Each poll has ``files`` files, empty ones if need be, so that a stream with as many files per trigger
+    takes poll after poll in that order."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"landed-{name}-{uuid.uuid4().hex[:8]}")
+    none = spark.createDataFrame([], df.schema).coalesce(1)
     for i in range(n):
-        df.where(arrival == i).coalesce(1).write.mode("append").parquet(path)
+        poll = df.where(arrival == i)
+        (poll.coalesce(1) if files == 1 else poll.repartition(files)).write.mode("append").parquet(path)
+        for _ in range(files * (i + 1) - len(spark.read.schema(df.schema).parquet(path).inputFiles()) if files > 1 else 0):
+            none.write.mode("append").parquet(path)
     return path
 
 

@@ -181,3 +181,20 @@ def test_stream_of_many_batches_equals_one(spark):
     want = {k: v for p in polls for k, v in p}
     assert {r.k: r.v for r in state.read("parents").collect()} == want
     assert {r.fk: r.n for r in state.read("children").collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_large_polls_land_as_several_files_each(spark, monkeypatch):
+    """A poll is written and read by several tasks and still is one micro-batch, also after polls of one row or none."""
+    monkeypatch.setattr(streams, "LANDED_ROWS", 30, raising=False)
+    polls = [[(i, j) for j in range(n)] for i, n in enumerate([200, 1, 0, 150, 2])]
+    df = spark.createDataFrame([x for p in polls for x in p], "poll int, v int")
+    files = streams.files_per_poll(df, 5)
+    path = streams.land(df, F.col("poll"), 5, "several", files)
+    assert files == 3 and len(spark.read.parquet(path).inputFiles()) == 15
+    got = {}
+
+    def batch(b, batch_id):
+        got[batch_id] = sorted((r.poll, r.v) for r in b.collect())
+
+    streams.run_foreach_batch(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path), batch, scratch_path(spark, f"ckpt-{random.random()}"))
+    assert [got[i] for i in sorted(got)] == polls
