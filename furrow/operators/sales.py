@@ -337,7 +337,7 @@ def stack_spaces(pallets: DataFrame, scope, order, spaces=CONTAINER_SPACES, labe
     nf = pallets.where(F.col(label) != "Full")
     x = _numbered(nf, [*scope, family], order, bucket, "_seq")
     counts = nf.groupBy(*scope).agg(*[F.count(F.when(F.col(family) == n, 1)).alias(f"_n_{n}") for n in names])
-    x = x.join(counts, list(scope))
+    x = x.join(written_table(counts, "occupied"), list(scope))  # a row a scope: the pallets are not shuffled by so few keys
     zero = F.lit(0).cast("long")
 
     def own(i):

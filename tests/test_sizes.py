@@ -148,3 +148,16 @@ def test_locked_allocations_say_so_themselves(spark):
 
     said, looked_up = refreshed(alloc.withColumn("is_locked", locked)), refreshed(alloc)
     assert sorted(map(str, said.collect())) == sorted(map(str, looked_up.collect())) and "LeftSemi" in _plan(looked_up) and "LeftSemi" not in _plan(said)
+
+
+def test_pallets_are_not_shuffled_by_scope_to_be_stacked(spark):
+    """Scopes are few: a join that shuffles by them gives a task all pallets of one."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        pallets = spark.range(100_000).selectExpr("id", "id % 3 AS farm", "IF(id % 2 = 0, 'cucumber', 'lettuce') AS family", "'Shareable' AS label")
+        plan = _plan(sales.stack_spaces(pallets, ["farm"], ["id"], bucket=F.floor(F.col("id") / 1000)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan and "hashpartitioning(farm" not in plan
