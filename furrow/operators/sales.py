@@ -379,30 +379,35 @@ def price_resolution(lines: DataFrame, prices: DataFrame, line_keys, product: st
     (product). The different (scope, date) questions meet only the prices of
     their own scope and are answered once each; the answers are written and
     joined back on scope and date, so a product that holds a third of all lines is
-    spread over its dates, and no line meets the prices of another customer."""
+    spread over its dates, and no line meets the prices of another customer. The
+    lines are read three times: pass a written table if they are costly."""
     p = prices.select(
         F.col(p_product).alias("_p"),
         F.when(F.col(p_customer).isNotNull(), 3).when(F.col(p_group).isNotNull(), 2).otherwise(1).alias("_tier"),
         F.coalesce(F.col(p_customer).cast("string"), F.col(p_group).cast("string"), F.lit("")).alias("_who"),
         F.col(p_from).alias("_f"), F.col(p_to).alias("_t"), F.col(p_price).alias("_price"))
     tiers = {3: ("customer", F.col(customer).cast("string")), 2: ("group", F.col(group).cast("string")), 1: ("default", F.lit(""))}
-    scopes = F.explode(F.array(*[F.struct(F.lit(t).alias("_tier"), who.alias("_who")) for t, (_, who) in tiers.items()]))
-    asked = lines.select(F.col(product).alias("_p"), F.col(date).cast("date").alias("_d"), scopes.alias("_s")) \
-        .select("_p", "_d", "_s.*").where(F.col("_who").isNotNull()).distinct()
+    scope = {t: F.struct(F.lit(t).alias("_tier"), who.alias("_who")) for t, (_, who) in tiers.items()}
+    ask = [F.col(product).alias("_p"), F.col(date).cast("date").alias("_d")]
+    # groups with prices are few: only their questions are shuffled
+    groups = written_table(p.where(F.col("_tier") == 2).select("_tier", "_who").distinct(), "price-groups")
+    grouped = lines.select(*ask, scope[2].alias("_s")).select("_p", "_d", "_s.*").join(groups, ["_tier", "_who"], "left_semi")
+    asked = lines.select(*ask, F.explode(F.array(scope[3], scope[1])).alias("_s")).select("_p", "_d", "_s.*").where(F.col("_who").isNotNull())
+    asked = asked.unionByName(grouped).distinct()
     in_time = (F.col("_d") >= F.col("_f")) & (F.col("_t").isNull() | (F.col("_d") <= F.col("_t")))
     won = asked.join(p, ["_p", "_tier", "_who"]).where(in_time).groupBy("_p", "_tier", "_who", "_d") \
         .agg(F.max(F.struct("_f", "_price")).alias("_best"))
     won = written_table(won.select("_p", "_tier", "_who", "_d", "_best._price"), "prices")
-    out = lines
+    out = lines.withColumns({"_price": F.lit(None).cast(won.schema["_price"].dataType), "_by": F.lit(None).cast("int")})
     for t, (_, who) in tiers.items():
-        w = won.where(F.col("_tier") == t).select("_p", "_who", "_d", F.col("_price").alias(f"_price{t}"), F.lit(True).alias(f"_hit{t}"))
-        out = out.join(w, (out[product] == w["_p"]) & (who == w["_who"]) & (out[date].cast("date") == w["_d"]), "left") \
-            .drop(w["_p"], w["_who"], w["_d"])
-    price, name = F.lit(None), F.lit(None).cast("string")
+        w = won.where(F.col("_tier") == t).select("_p", "_who", "_d", F.col("_price").alias("_offer"), F.lit(t).alias("_hit"))
+        out = out.join(w, (out[product] == w["_p"]) & (who == w["_who"]) & (out[date].cast("date") == w["_d"]), "left").select(
+            *[out[c] for c in lines.columns], F.when(F.col("_by").isNull(), F.col("_offer")).otherwise(F.col("_price")).alias("_price"),
+            F.coalesce("_by", "_hit").alias("_by"))
+    name = F.lit(None).cast("string")
     for t in sorted(tiers):
-        price = F.when(F.col(f"_hit{t}"), F.col(f"_price{t}")).otherwise(price)
-        name = F.when(F.col(f"_hit{t}"), F.lit(tiers[t][0])).otherwise(name)
-    return out.select(*[lines[c] for c in lines.columns], price.alias("price_per_case"), name.alias("price_tier"))
+        name = F.when(F.col("_by") == t, F.lit(tiers[t][0])).otherwise(name)
+    return out.select(*[out[c] for c in lines.columns], F.col("_price").alias("price_per_case"), name.alias("price_tier"))
 
 
 def allocation_reconcile(alloc: DataFrame, fulfilments: DataFrame, key, allocated: str, fulfilled: str) -> DataFrame:

@@ -161,3 +161,9 @@ def test_pallets_are_not_shuffled_by_scope_to_be_stacked(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert "SortMergeJoin" not in plan and "hashpartitioning(farm" not in plan
+
+
+def test_priced_lines_are_joined_to_their_orders_once(large):
+    """The lines are written before they ask; no answer is sought in a plan that joins them anew."""
+    plan = _plan(catalog.queries()["price_resolution"](large, SF_SMALL))
+    assert "o_orderkey" not in plan and "c_custkey" not in plan and plan.count("Join") == 3
